@@ -58,7 +58,7 @@ def iso_text(now: datetime | str) -> str:
 
 def utc_wall_clock(ts: Column) -> Column:
     """Instant -> TIMESTAMP_NTZ holding its UTC wall clock, whatever the session zone."""
-    return F.convert_timezone(F.lit("UTC"), ts.cast("timestamp_ntz"))
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
 
 
 def iso_utc(ts: Column) -> Column:

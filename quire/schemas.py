@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType, LongType, StringType, StructField, StructType,
+)
 
 # The review CSV header the batch jobs read, in file order.
 REVIEW_COLUMNS = [
@@ -54,17 +56,14 @@ class KeySpec:
 
     ``partition_key`` are the columns a lookup must fix; ``clustering`` are the
     remaining key columns with their stored direction (True = descending).
-    ``layout`` is "partition" for low-cardinality partition keys (a directory
-    per value) or "bucket" for high-cardinality ones (hash buckets).
+    Rows are stored in ``buckets`` hash buckets of the partition key.
     """
 
     name: str
     partition_key: tuple[str, ...]
     clustering: tuple[tuple[str, bool], ...]
     columns: tuple[str, ...]
-    layout: str = "bucket"
     buckets: int = 64
-    extra: dict = field(default_factory=dict, compare=False)
 
     @property
     def key(self) -> list[str]:
@@ -88,20 +87,34 @@ REVIEWS_BY_CUSTOMER = KeySpec(
 TOP_ITEMS_BY_PERIOD = KeySpec(
     "top_reviewed_items_by_period", ("period",),
     (("review_count", True), ("product_id", False), ("product_title", False)),
-    ("period", "review_count", "product_id", "product_title"), layout="partition",
+    ("period", "review_count", "product_id", "product_title"), buckets=16,
 )
 TOP_CUSTOMERS_BY_PERIOD = KeySpec(
     "top_customers_by_period", ("period",),
     (("review_count", True), ("customer_id", False)),
-    ("period", "review_count", "customer_id"), layout="partition",
+    ("period", "review_count", "customer_id"), buckets=16,
 )
 TOP_SENTIMENT_BY_PERIOD = KeySpec(
     "top_sentiment_by_period", ("period", "sentiment"),
     (("review_count", True), ("customer_id", False)),
-    ("period", "sentiment", "review_count", "customer_id"), layout="partition",
+    ("period", "sentiment", "review_count", "customer_id"), buckets=16,
 )
 PAGE_CREATIONS = KeySpec(
     "page_creations", ("domain",),
     (("created_at", True), ("user_id", False)),
-    ("domain", "created_at", "user_id", "page_title"), layout="partition",
+    ("domain", "created_at", "user_id", "page_title"), buckets=16,
 )
+
+
+# Per-period leaderboards (replaced a whole period at a time).
+def _schema(**cols) -> StructType:
+    return StructType([StructField(k, v, True) for k, v in cols.items()])
+
+
+TOP_ITEMS_SCHEMA = _schema(period=StringType(), product_id=StringType(),
+                           product_title=StringType(), review_count=LongType())
+TOP_CUSTOMERS_SCHEMA = _schema(period=StringType(), customer_id=StringType(),
+                               review_count=LongType())
+TOP_SENTIMENT_SCHEMA = _schema(period=StringType(), customer_id=StringType(),
+                               review_count=LongType(), sentiment=StringType())
+

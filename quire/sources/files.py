@@ -8,6 +8,7 @@ file, and read everything else from Parquet.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quire.schemas import REVIEWS_RAW_SCHEMA
@@ -17,28 +18,34 @@ from quire.schemas import REVIEWS_RAW_SCHEMA
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 
 
+def _by_header(df: DataFrame, schema: StructType) -> DataFrame:
+    """Project the expected columns by header name; absent ones are NULL."""
+    have = set(df.columns)
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in have
+                       else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_reviews_csv(spark: SparkSession, path: str,
                      schema: StructType = REVIEWS_RAW_SCHEMA) -> DataFrame:
     """All-string review scan (A1).
 
     Empty and quoted-empty fields read as NULL, short rows are null-padded,
-    long rows cut, blank lines skipped, spaces kept. Columns are matched to
-    the header by name (``enforceSchema=false``), never inferred.
+    long rows cut, blank lines skipped, spaces kept. Column names come from
+    the header (nothing is inferred: every column is a string) and the
+    expected columns are picked by name, whatever their order in the file.
     """
-    return (spark.read.options(**CSV_DIALECT)
-            .option("enforceSchema", "false")
-            .option("mode", "PERMISSIVE")
-            .schema(schema)
-            .csv(path))
+    df = (spark.read.options(**CSV_DIALECT)
+          .option("inferSchema", "false").option("mode", "PERMISSIVE")
+          .csv(path))
+    return _by_header(df, schema)
 
 
 def read_csv_rows(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """CSV rows as the publisher sees them (A2): every field a string and a
     missing or empty field is ``""`` rather than NULL."""
     schema = StructType([StructField(c, StringType(), True) for c in columns])
-    df = (spark.read.options(**CSV_DIALECT).option("enforceSchema", "false")
-          .schema(schema).csv(path))
-    return df.fillna("", subset=columns)
+    df = spark.read.options(**CSV_DIALECT).option("inferSchema", "false").csv(path)
+    return _by_header(df, schema).fillna("", subset=columns)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
