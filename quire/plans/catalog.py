@@ -19,7 +19,9 @@ from quire.schemas import (
     PAGE_CREATIONS, REVIEW_COLUMNS, REVIEWS_BY_CUSTOMER, REVIEWS_BY_PRODUCT,
 )
 from quire.session import scratch_path
-from quire.sources import fixtures, land_csv, read_csv_rows, read_reviews_csv
+from quire.sources import (
+    fixtures, land_csv, land_lines, read_csv_rows, read_lines, read_reviews_csv,
+)
 
 # Request parameters used by the registered serving queries.
 PERIOD = "1998-01"
@@ -66,8 +68,25 @@ def _reviews_by_customer_table(spark, sf_dir):
     return _keyed(_clean(spark, sf_dir), REVIEWS_BY_CUSTOMER)
 
 
+def _topic(spark: SparkSession, records: DataFrame, name: str) -> DataFrame:
+    """Land records as a topic twin (text lines in the shared folder) and read
+    them back, as the chained stream jobs exchange them through a topic."""
+    path = land_lines(records.select("value"), scratch_path(spark, name))
+    return read_lines(spark, path)
+
+
+def _input_topic(spark, sf_dir):
+    """The page-event topic the normaliser publishes to."""
+    return _topic(spark, fixtures.page_messages(spark, sf_dir), "topic-input")
+
+
+def _processed_topic(spark, sf_dir):
+    """The filter job's output topic, read by the load job."""
+    return _topic(spark, op.wiki_filter(_input_topic(spark, sf_dir)), "topic-processed")
+
+
 def _processed_pages(spark, sf_dir):
-    return op.decode_processed(op.wiki_filter(fixtures.page_messages(spark, sf_dir)))
+    return op.decode_processed(_processed_topic(spark, sf_dir))
 
 
 def _page_creations(spark, sf_dir):
@@ -179,7 +198,7 @@ def upsert_latest_review(spark, sf_dir):
 
 
 def wiki_filter(spark, sf_dir):
-    return op.wiki_filter(fixtures.page_messages(spark, sf_dir))
+    return op.wiki_filter(_input_topic(spark, sf_dir))
 
 
 def wiki_roundtrip(spark, sf_dir):
