@@ -40,3 +40,15 @@ def json_field(v: Column, path: str, type_: str, missing_default: Column | None
 
 def is_json_object(v: Column) -> Column:
     return F.schema_of_variant(v).startswith("OBJECT")
+
+
+def parse_once(parsed: Column) -> Column:
+    """Wrap a parse expression so each row is parsed exactly once.
+
+    The optimizer pushes a filter on parsed fields below the projection that
+    parses, copying the (pruned) parse into every predicate, so one message
+    is parsed once per predicate and once more for the output. A
+    one-element ``explode`` is a Generate node that predicates on its output
+    cannot be pushed through; use as ``select(parse_once(...).alias(...))``.
+    """
+    return F.explode(F.array(parsed))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import (
-    archive_file_name, decode, encode, is_json_object, json_field, minute_key, now_iso,
+    archive_file_name, decode, encode, json_field, minute_key, now_iso, parse_once,
     null_to_empty, sse_payload,
 )
 from quire.schemas import (
@@ -30,7 +30,7 @@ def decode_messages(records: DataFrame, schema=PAGE_MESSAGE_SCHEMA,
                     value_col: str = "value") -> DataFrame:
     """Topic records -> typed columns (H7 binary->string, H8 permissive parse,
     C12 struct expansion). Malformed JSON gives an all-NULL row."""
-    return records.select(decode(value_col, schema).alias("data")).select("data.*")
+    return records.select(parse_once(decode(value_col, schema)).alias("data")).select("data.*")
 
 
 def filter_pages(messages: DataFrame, allowed_domains: Sequence[str] = ALLOWED_DOMAINS) -> DataFrame:
@@ -67,9 +67,11 @@ def sse_to_messages(lines: DataFrame, now: datetime | str | None = None,
     stays NULL (and is later dropped by the filter stream).
     """
     line = F.col(line_col)
-    parsed = (lines.filter(line.startswith(SSE_DATA_FIELD))
-                   .select(F.try_parse_json(sse_payload(line)).alias("v"))
-                   .filter(F.col("v").isNotNull() & is_json_object(F.col("v"))))
+    payload = sse_payload(line)
+    # valid JSON that starts with "{" is an object: no need to inspect its schema
+    parsed = (lines.filter(line.startswith(SSE_DATA_FIELD) & payload.startswith("{"))
+                   .select(parse_once(F.try_parse_json(payload)).alias("v"))
+                   .filter(F.col("v").isNotNull()))
     v = F.col("v")
     empty = F.lit("")
     return parsed.select(
