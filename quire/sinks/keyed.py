@@ -18,7 +18,9 @@ a :class:`KeyedTable` is an append-only log of batch directories::
   the Parquet reader as a pushed filter (row-group statistics skip the rest).
   Bucket directories also avoid type inference of partition values on read.
 * Rows with a NULL key column are rejected (a keyed store would refuse
-  them); :meth:`write_batch` returns how many.
+  them); :meth:`write_batch` returns how many and, given ``rejects_path``,
+  writes them there (only when there are any, so the common case costs no
+  second pass).
 * :meth:`compact` writes the collapsed table to a new path as batch 0;
   readers switch paths, so no path is overwritten while being read.
 """
@@ -43,8 +45,10 @@ def bucket_of(cols: list[Column], buckets: int) -> Column:
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, spec: KeySpec):
+    def __init__(self, spark: SparkSession, path: str, spec: KeySpec,
+                 rejects_path: str | None = None):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
+        self.rejects_path = rejects_path.rstrip("/") if rejects_path else None
 
     # -- write ---------------------------------------------------------------
     def _with_bucket(self, df: DataFrame) -> DataFrame:
@@ -71,7 +75,13 @@ class KeyedTable:
             .partitionBy(BATCH_COL, BUCKET_COL)
             .parquet(self.path))
         got = obs.get
-        return {"rows": int(got.get("rows") or 0), "rejected": int(got.get("rejected") or 0)}
+        res = {"rows": int(got.get("rows") or 0), "rejected": int(got.get("rejected") or 0)}
+        if self.rejects_path and res["rejected"]:
+            # rows with a NULL key column, kept per batch (replay-safe) for inspection
+            (df.select(*spec.columns).filter(bad).withColumn(BATCH_COL, F.lit(int(batch_id)))
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(BATCH_COL).parquet(self.rejects_path))
+        return res
 
     # -- read ----------------------------------------------------------------
     def log(self) -> DataFrame:

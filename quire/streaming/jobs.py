@@ -33,8 +33,9 @@ class Endpoint:
     """Where records come from or go to.
 
     ``format="kafka"``: ``topic`` plus broker ``options``
-    (``kafka.bootstrap.servers``); ``starting_offsets`` is ``latest`` (the
-    filter and load jobs) or ``earliest`` (the archiver).
+    (``kafka.bootstrap.servers``); ``starting_offsets`` left as None takes
+    the job's default: ``latest`` for the filter and load jobs, ``earliest``
+    for the archiver (which reads the whole topic, like a new consumer group).
     ``format="text"``: a directory of line files at ``path``. A file source
     always starts with the files already present.
     """
@@ -43,15 +44,16 @@ class Endpoint:
     path: str | None = None
     topic: str | None = None
     options: dict = field(default_factory=dict)
-    starting_offsets: str = "latest"
+    starting_offsets: str | None = None
     max_per_trigger: int | None = None
 
 
-def read_records(spark: SparkSession, src: Endpoint) -> DataFrame:
+def read_records(spark: SparkSession, src: Endpoint, default_start: str = "latest") -> DataFrame:
     """Streaming records with one string column ``value``."""
     if src.format == "kafka":
         r = (spark.readStream.format("kafka").options(**src.options)
-             .option("subscribe", src.topic).option("startingOffsets", src.starting_offsets))
+             .option("subscribe", src.topic)
+             .option("startingOffsets", src.starting_offsets or default_start))
         if src.max_per_trigger:
             r = r.option("maxOffsetsPerTrigger", src.max_per_trigger)
         return r.load().select(F.col("value").cast("string").alias("value"))
@@ -115,7 +117,8 @@ def start_archive_job(spark: SparkSession, source: Endpoint, out_path: str,
     Minutes come from each message's own stamp, so a late message goes to its
     older minute; the file sink's commit log makes the output exactly-once.
     """
-    rows = op.archive_rows(read_records(spark, source), now).select("minute", *ARCHIVE_COLUMNS)
+    records = read_records(spark, source, default_start="earliest")
+    rows = op.archive_rows(records, now).select("minute", *ARCHIVE_COLUMNS)
     w = (rows.writeStream.format("csv").partitionBy("minute").outputMode("append")
          .option("header", "true").option("quote", CSV_DIALECT["quote"])
          .option("escape", CSV_DIALECT["escape"]).option("path", out_path))

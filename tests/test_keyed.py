@@ -28,11 +28,12 @@ def test_hot_key_is_pre_aggregated(spark):
 
 
 def test_keyed_table_upsert_replay_and_rejects(spark, workdir):
-    t = KeyedTable(spark, f"{workdir}/pages", PAGE_CREATIONS)
+    t = KeyedTable(spark, f"{workdir}/pages", PAGE_CREATIONS, rejects_path=f"{workdir}/rejects")
     b0 = spark.createDataFrame([("d", "2024-01-01", "u1", "A"), ("d", "2024-01-01", "u1", "B"),
                                 ("d", "2024-01-02", "u2", "C"), (None, "2024-01-01", "u3", "X")], COLS)
     res = t.write_batch(b0, 0)
     assert res == {"rows": 3, "rejected": 1}
+    assert [r.user_id for r in spark.read.parquet(f"{workdir}/rejects").collect()] == ["u3"]
     first = {(r.created_at, r.user_id): r.page_title for r in t.read().collect()}
     assert first == {("2024-01-01", "u1"): "B", ("2024-01-02", "u2"): "C"}
     # a later batch replaces the row with the same key
