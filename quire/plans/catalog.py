@@ -116,15 +116,7 @@ def clean_reviews_keep_bad_dates(spark, sf_dir):
 
 
 def stage_counts(spark, sf_dir):
-    clean1 = _clean_keep_bad_dates(spark, sf_dir)
-    return op.stage_counts({
-        "raw": fixtures.reviews_raw(spark, sf_dir),
-        "clean": clean1,
-        "product_stats": op.product_stats(clean1),
-        "customer_stats": op.customer_stats(clean1),
-        "monthly_product_reviews": op.monthly_product_reviews(clean1, ordered=False),
-        "clean_keyed": _clean(spark, sf_dir),
-    })
+    return op.review_stage_counts(fixtures.reviews_raw(spark, sf_dir))
 
 
 def product_stats(spark, sf_dir):

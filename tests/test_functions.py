@@ -83,3 +83,46 @@ def test_minute_key_iso_variants(spark):
 def test_is_iso_datetime(spark):
     assert _col(spark, ["2024-01-01T00:00:00+00:00", "2024", "x", None], is_iso_datetime) == \
         [True, False, False, False]
+
+
+def test_sse_missing_vs_null(spark):
+    from quire.operators import sse_to_messages
+    lines = [
+        'data: {"performer":{"user_is_bot":null}}',
+        'data: {"performer":{}}',
+        'data: {"performer":null}',
+        'data: {"page_title":"x"}',
+        'data:{"performer":{"user_id":12,"user_is_bot":true},"meta":{"domain":"d"},"page_title":"p"}',
+        'data: {"performer":{"user_id":null}, "meta":{"domain":null}, "page_title":null}',
+        ':comment', 'event: message', '', 'data: {broken', 'data: [1,2]', 'data: 5',
+        'id: data: {"page_title":"no"}',
+    ]
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    got = [tuple(r) for r in sse_to_messages(df, now="2025-01-01T00:00:00+00:00").collect()]
+    stamp = "2025-01-01T00:00:00.000000+00:00"
+    assert got == [
+        ("", None, "", "", stamp),
+        ("", False, "", "", stamp),
+        ("", False, "", "", stamp),
+        ("", False, "", "x", stamp),
+        ("12", True, "d", "p", stamp),
+        ("", False, None, None, stamp),
+    ]
+
+
+def test_wiki_filter_drops_null_and_text_bot_flags(spark):
+    from quire.operators import wiki_filter
+    recs = [
+        '{"user_id":"1","user_is_bot":false,"domain":"en.wikipedia.org","page_title":"a","created_at":"t"}',
+        '{"user_id":"2","user_is_bot":true,"domain":"en.wikipedia.org","page_title":"b","created_at":"t"}',
+        '{"user_id":"3","user_is_bot":null,"domain":"en.wikipedia.org","page_title":"c","created_at":"t"}',
+        '{"user_id":"4","user_is_bot":"false","domain":"en.wikipedia.org","page_title":"d","created_at":"t"}',
+        '{"user_id":"5","user_is_bot":false,"domain":"de.wikipedia.org","page_title":"e","created_at":"t"}',
+        '{"user_id":"6","user_is_bot":false,"page_title":"f","created_at":"t"}',
+        '{"user_id":7,"user_is_bot":false,"domain":"www.wikidata.org","created_at":"t"}',
+        '{broken',
+    ]
+    df = spark.createDataFrame([(v,) for v in recs], "value string")
+    got = sorted(r.value for r in wiki_filter(df).collect())
+    assert got == ['{"user_id":"1","domain":"en.wikipedia.org","page_title":"a","created_at":"t"}',
+                   '{"user_id":"7","domain":"www.wikidata.org","created_at":"t"}']
