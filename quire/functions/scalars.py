@@ -23,9 +23,20 @@ def lenient_int(c: ColumnLike) -> Column:
     return F.trim(_col(c)).try_cast("decimal(20,4)").try_cast("int")
 
 
+# ISO calendar date text with a four-digit year.
+_ISO_DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
+
+
 def strict_date(c: ColumnLike, fmt: str = "yyyy-MM-dd") -> Column:
-    """String to date by an exact pattern; anything else is NULL."""
-    return F.try_to_date(_col(c), fmt)
+    """String to date by an exact pattern; anything else is NULL.
+
+    For the ISO pattern the text is shape-checked and cast (no formatter, no
+    exception per bad row); the result equals ``try_to_date(c, fmt)``.
+    """
+    c = _col(c)
+    if fmt == "yyyy-MM-dd":
+        return F.when(c.rlike(_ISO_DATE_TEXT), c.try_cast("date"))
+    return F.try_to_date(c, fmt)
 
 
 def period_of(c: ColumnLike) -> Column:

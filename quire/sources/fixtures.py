@@ -56,7 +56,7 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
          .otherwise(F.concat(F.col("o_orderpriority"), F.lit(" "), F.col("p_name"))).alias("review_body"),
         F.when(F.col("l_suppkey") % 41 == 0, F.lit("bad-date"))
-         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("review_date"),
+         .otherwise(F.col("l_shipdate").cast("date").cast("string")).alias("review_date"),
     )
 
 

@@ -26,6 +26,17 @@ def test_strict_date(spark):
     assert got == [dt.date(2015, 8, 31), None, None, None, None, None, None]
 
 
+def test_strict_date_equals_formatter_parse(spark):
+    vals = ["2015-08-31", "2015-8-1", "2015-02-30", "2016-02-29", "2015-02-29", "0000-01-01",
+            "0001-01-01", "9999-12-31", " 2015-08-31", "2015-08-31 ", "2015-08-31T00:00",
+            "2015-13-01", "2015-00-10", "2015-01-00", "+2015-01-01", "20150101", "2015/01/01",
+            "१२३४-०१-०१", "", None]
+    df = spark.createDataFrame([(v,) for v in vals], "x string")
+    got = df.select("x", strict_date("x").eqNullSafe(F.try_to_date("x", "yyyy-MM-dd")).alias("same"),
+                    strict_date("x").cast("string").alias("a")).collect()
+    assert all(r.same for r in got), [(r.x, r.a) for r in got if not r.same]
+
+
 def test_from_json_permissive(spark):
     rows = ['{bad', '[]', 'null', '', '{"user_id": 12, "user_is_bot": "false"}',
             '{"user_id": "7", "user_is_bot": true, "domain": "x"}']
