@@ -151,6 +151,21 @@ def reviews_by_customer(spark, sf_dir):
     return op.review_projection(_clean(spark, sf_dir), REVIEWS_BY_CUSTOMER.columns)
 
 
+def sentiment_by_period_union(spark, sf_dir):
+    """The literal two-filter union form of the sentiment mart (G1)."""
+    return op.sentiment_by_period(_clean(spark, sf_dir), one_pass=False)
+
+
+def keyed_reviews_by_product(spark, sf_dir):
+    """Content of the product-keyed review table after the write (PK upsert)."""
+    return _reviews_by_product_table(spark, sf_dir)
+
+
+def keyed_reviews_by_customer(spark, sf_dir):
+    """Content of the customer-keyed review table after the write (PK upsert)."""
+    return _reviews_by_customer_table(spark, sf_dir)
+
+
 def reviews_of_product(spark, sf_dir):
     return op.reviews_of_product(_reviews_by_product_table(spark, sf_dir), PRODUCT_ID)
 
@@ -209,6 +224,11 @@ def sse_events(spark, sf_dir):
     return op.sse_to_messages(fixtures.sse_lines(spark, sf_dir), now=NOW)
 
 
+def event_messages(spark, sf_dir):
+    """The normaliser's output: event lines -> JSON page messages, nulls kept."""
+    return op.encode_rows(op.sse_to_messages(fixtures.sse_lines(spark, sf_dir), now=NOW))
+
+
 def publish_tweets(spark, sf_dir):
     """Tweets CSV (read as dict-like rows) -> stamped JSON messages."""
     t = fixtures.tweets(spark, sf_dir)
@@ -231,5 +251,6 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     reviews_of_product, reviews_of_product_rating, reviews_of_customer, top_products,
     top_customers, top_haters, top_backers, top_products_all_periods, upsert_latest_review,
     wiki_filter, wiki_roundtrip, page_creations, newest_pages, sse_events, publish_tweets,
-    tweets_archive_rows, tweets_minute_files,
+    tweets_archive_rows, tweets_minute_files, sentiment_by_period_union,
+    keyed_reviews_by_product, keyed_reviews_by_customer, event_messages,
 ]}

@@ -153,6 +153,26 @@ sse as (
   from events
 )"""
 
+def _field(path: str, missing: str, null: str = "null") -> str:
+    """Missing path -> ``missing``; JSON null -> ``null``; else the text value."""
+    return (f"case when json_extract(p, '{path}') is null then {missing} "
+            f"when json_type(json_extract(p, '{path}')) = 'NULL' then {null} "
+            f"else json_extract_string(p, '{path}') end")
+
+
+SSE_MESSAGES = f"""
+sse_messages as (
+  select {_field('$.performer.user_id', "''", "''")} as user_id,
+         case when json_extract(p, '$.performer.user_is_bot') is null then false
+              else try_cast(json_extract_string(p, '$.performer.user_is_bot') as boolean) end
+           as user_is_bot,
+         {_field('$.meta.domain', "''")} as domain,
+         {_field('$.page_title', "''")} as page_title,
+         '{_NOW_ISO}' as created_at
+  from (select trim(substr(line, 6)) as p from sse where starts_with(line, 'data:')) s
+  where json_valid(p) and json_type(p) = 'OBJECT'
+)"""
+
 TWEETS = """
 tweets as (
   select cast(event_id as varchar) as tweet_id, cast(user_id as varchar) as author_id,
@@ -282,23 +302,19 @@ from processed""",
     "newest_pages": _with(WIKI, PROCESSED, PAGES) + f"""
 select domain, created_at, user_id, page_title from pages where domain = '{DOMAIN}'
 order by created_at desc, user_id asc nulls first limit {TOP_N}""",
-    "sse_events": _with(SSE) + f"""
-select case when json_extract(p, '$.performer.user_id') is null then ''
-            when json_type(json_extract(p, '$.performer.user_id')) = 'NULL' then ''
-            else json_extract_string(p, '$.performer.user_id') end as user_id,
-       case when json_extract(p, '$.performer.user_is_bot') is null then false
-            else try_cast(json_extract_string(p, '$.performer.user_is_bot') as boolean) end
-         as user_is_bot,
-       coalesce(json_extract_string(p, '$.meta.domain'), '') as domain,
-       coalesce(json_extract_string(p, '$.page_title'), '') as page_title,
-       '{_NOW_ISO}' as created_at
-from (select trim(substr(line, 6)) as p from sse where starts_with(line, 'data:')) s
-where json_valid(p) and json_type(p) = 'OBJECT'""",
+    "sse_events": _with(SSE, SSE_MESSAGES) + "select * from sse_messages",
     "publish_tweets": _with(TWEETS) + f"""
 select cast(json_object('tweet_id', coalesce(tweet_id, ''), 'author_id', coalesce(author_id, ''),
                         'created_at', '{_NOW_ISO}', 'text', coalesce(text, '')) as varchar) as value
 from tweets""",
     "tweets_archive_rows": _with(TWEETS, ARCHIVE) + "select * from archive",
+    "sentiment_by_period_union": _with(*_C, SENTIMENT) + "select * from sentiment",
+    "keyed_reviews_by_product": _with(*_C, BY_PRODUCT) + "select * from by_product",
+    "keyed_reviews_by_customer": _with(*_C, BY_CUSTOMER) + "select * from by_customer",
+    "event_messages": _with(SSE, SSE_MESSAGES) + """
+select cast(json_object('user_id', user_id, 'user_is_bot', user_is_bot, 'domain', domain,
+                        'page_title', page_title, 'created_at', created_at) as varchar) as value
+from sse_messages""",
     "tweets_minute_files": _with(TWEETS, ARCHIVE) + """
 select file_name, count(*) as n_rows from archive group by file_name""",
 }
