@@ -67,8 +67,9 @@ class KeyedTable:
             obs, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected"))
         out = self._with_bucket(rows.filter(~bad)).withColumn(BATCH_COL, F.lit(int(batch_id)))
         # hash-cluster by bucket; AQE splits a bucket holding a hot key
+        # sorted on the directory columns first, so the writer needs no extra sort
         out = out.hint("rebalance", BUCKET_COL).sortWithinPartitions(
-            BUCKET_COL, *[F.col(c) for c in spec.partition_key],
+            BATCH_COL, BUCKET_COL, *[F.col(c) for c in spec.partition_key],
             *[F.col(c).desc() if d else F.col(c).asc() for c, d in spec.clustering])
         (out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
