@@ -85,9 +85,14 @@ def write_records(records: DataFrame, sink: Endpoint, name: str, checkpoint: str
 def start_filter_job(spark: SparkSession, source: Endpoint, sink: Endpoint,
                      checkpoint: str | None = None, trigger: dict | None = None,
                      allowed_domains=ALLOWED_DOMAINS) -> StreamingQuery:
-    """Page messages -> human creations on allowed domains -> processed topic."""
-    return write_records(op.wiki_filter(read_records(spark, source), allowed_domains), sink,
-                         "page_filter", checkpoint, trigger)
+    """Page messages -> human creations on allowed domains -> processed topic.
+
+    Each micro-batch reports ``filter_in`` / ``filter_out`` row counts in its
+    progress (``observedMetrics``), computed in the same pass.
+    """
+    records = _count(read_records(spark, source), "filter_in")
+    kept = _count(op.wiki_filter(records, allowed_domains), "filter_out")
+    return write_records(kept, sink, "page_filter", checkpoint, trigger)
 
 
 def start_load_job(spark: SparkSession, source: Endpoint, table: KeyedTable,
@@ -143,6 +148,20 @@ def start_normalise_job(spark: SparkSession, lines: Endpoint, sink: Endpoint,
     return write_records(op.encode_rows(msgs), sink, "event_normalise", checkpoint, trigger)
 
 
+def _count(df: DataFrame, name: str) -> DataFrame:
+    return df.observe(name, F.count(F.lit(1)).alias("rows"))
+
+
 def rows_processed(query: StreamingQuery) -> int:
     """Running input-row counter of a query (D9), from its progress reports."""
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+
+
+def observed_rows(query: StreamingQuery, name: str) -> int:
+    """Running total of an ``observe`` counter over the retained progress reports."""
+    total = 0
+    for p in query.recentProgress:
+        m = (p.get("observedMetrics") or {}).get(name)
+        if m is not None:
+            total += int(m["rows"])
+    return total
