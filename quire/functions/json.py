@@ -38,10 +38,6 @@ def json_field(v: Column, path: str, type_: str, missing_default: Column | None
     return out.otherwise(typed)
 
 
-def is_json_object(v: Column) -> Column:
-    return F.schema_of_variant(v).startswith("OBJECT")
-
-
 def parse_once(parsed: Column) -> Column:
     """Wrap a parse expression so each row is parsed exactly once.
 
