@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.sources.files import CSV_DIALECT
+from quire.sources.files import CSV_WRITE
 
 ARCHIVE_COLUMNS = ["author_id", "created_at", "text"]
 
@@ -45,7 +45,11 @@ def write_records(records: DataFrame, target: str, format: str = "text",
 
 def write_minute_archive(rows: DataFrame, path: str) -> None:
     """Per-minute CSV archive (B6): one directory ``minute=<dd_MM_yyyy_HH_mm>``
-    per minute, a header line in every part file.
+    per minute, a header line in every part file, values written verbatim
+    with minimal quoting. Rows end in LF where a Python ``csv.writer`` writes
+    CRLF: Spark would also rewrite line breaks inside quoted values to the
+    row separator, and values matter more than terminator bytes; the csv
+    module reads either back to the same rows.
 
     ``rebalance`` on the minute gives one writer per minute, while AQE splits
     a minute that holds a hot share of the rows across several writers.
@@ -53,6 +57,4 @@ def write_minute_archive(rows: DataFrame, path: str) -> None:
     (rows.hint("rebalance", "minute")
          .select("minute", *ARCHIVE_COLUMNS)
          .write.mode("append").partitionBy("minute")
-         .option("header", "true").option("quote", CSV_DIALECT["quote"])
-         .option("escape", CSV_DIALECT["escape"])
-         .csv(path))
+         .options(**CSV_WRITE).csv(path))

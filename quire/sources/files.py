@@ -17,6 +17,11 @@ from quire.schemas import REVIEWS_RAW_SCHEMA
 # doubled quote as escape, fields may span lines).
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 
+# Writer options: keep values verbatim (Spark trims by default) and write an
+# empty string as an empty field, like a Python ``csv.writer``.
+CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "",
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 
 def _by_header(df: DataFrame, schema: StructType) -> DataFrame:
     """Project the expected columns by header name; absent ones are NULL."""
@@ -55,9 +60,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def land_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write ``df`` in the review CSV dialect (header per part file)."""
-    (df.write.mode(mode)
-       .option("header", "true").option("quote", '"').option("escape", '"')
-       .csv(path))
+    df.write.mode(mode).options(**CSV_WRITE).csv(path)
     return path
 
 

@@ -25,7 +25,7 @@ from quire.schemas import ALLOWED_DOMAINS
 from quire.session import scratch_path
 from quire.sinks.files import ARCHIVE_COLUMNS
 from quire.sinks.keyed import KeyedTable
-from quire.sources.files import CSV_DIALECT
+from quire.sources.files import CSV_DIALECT, CSV_WRITE
 
 
 @dataclass
@@ -125,8 +125,7 @@ def start_archive_job(spark: SparkSession, source: Endpoint, out_path: str,
     records = read_records(spark, source, default_start="earliest")
     rows = op.archive_rows(records, now).select("minute", *ARCHIVE_COLUMNS)
     w = (rows.writeStream.format("csv").partitionBy("minute").outputMode("append")
-         .option("header", "true").option("quote", CSV_DIALECT["quote"])
-         .option("escape", CSV_DIALECT["escape"]).option("path", out_path))
+         .options(**CSV_WRITE).option("path", out_path))
     return _start(w, "tweet_archive", spark, checkpoint, trigger)
 
 

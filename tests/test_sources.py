@@ -56,3 +56,28 @@ def test_multiline_roundtrip_conversations(spark, workdir):
     back = read_reviews_csv(spark, f"{workdir}/conv", schema)
     assert back.count() == conv.count()
     assert back.exceptAll(conv).count() == 0 and conv.exceptAll(back).count() == 0
+
+
+def test_archive_bytes_match_python_csv_writer(spark, workdir):
+    import csv
+    import glob
+    import io
+
+    from quire.sinks import write_minute_archive
+    rows = [("a1", "2024-01-01T00:00:00+00:00", '  spaced, "quoted"\ntext  '),
+            ("", "2024-01-01T00:00:30+00:00", ""),
+            ("a3", "2024-01-01T00:00:59+00:00", "plain")]
+    df = spark.createDataFrame([("01_01_2024_00_00",) + r for r in rows],
+                               "minute string, author_id string, created_at string, text string")
+    write_minute_archive(df.coalesce(1), f"{workdir}/arch")
+    files = glob.glob(f"{workdir}/arch/minute=01_01_2024_00_00/*.csv")
+    assert len(files) == 1
+    got = open(files[0], newline="", encoding="utf-8").read()
+    buf = io.StringIO(newline="")
+    w = csv.writer(buf, lineterminator="\n")
+    w.writerow(["author_id", "created_at", "text"])
+    for r in rows:
+        w.writerow(r)
+    assert got == buf.getvalue()  # same bytes but for the row terminator
+    back = list(csv.reader(io.StringIO(got, newline="")))
+    assert back == [["author_id", "created_at", "text"]] + [list(r) for r in rows]
