@@ -34,9 +34,10 @@ def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
-    # Both joins are equi-joins on the dimension key; AQE turns the part join
-    # into a broadcast only when the measured part side is under the threshold.
-    joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+    # Orders grows with the line items (a quarter of them), so that join is a
+    # sort-merge join at every scale (AQE splits skewed order keys); the part
+    # side is broadcast only when its size is under the broadcast threshold.
+    joined = (li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey)
                 .join(part, li.l_partkey == part.p_partkey))
     stars = (F.lit(1) + F.col("l_quantity").cast("int") % 5).cast("string")
     return joined.select(
