@@ -17,10 +17,15 @@ def encode(*cols: str | Column, keep_nulls: bool = False) -> Column:
     return F.to_json(F.struct(*cols), opts)
 
 
-def decode(value: str | Column, schema: StructType) -> Column:
-    """Permissive parse: malformed text gives a struct of NULLs, never an error."""
+def decode(value: str | Column, schema: StructType, corrupt_field: str | None = None) -> Column:
+    """Permissive parse: malformed text gives a struct of NULLs, never an error.
+
+    ``corrupt_field`` (a string field of ``schema``) receives the raw text of
+    any record that is not a JSON object.
+    """
     v = F.col(value) if isinstance(value, str) else value
-    return F.from_json(v.cast("string"), schema)
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_field} if corrupt_field else {}
+    return F.from_json(v.cast("string"), schema, opts)
 
 
 def json_field(v: Column, path: str, type_: str, missing_default: Column | None = None,

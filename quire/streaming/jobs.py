@@ -121,9 +121,11 @@ def start_archive_job(spark: SparkSession, source: Endpoint, out_path: str,
 
     Minutes come from each message's own stamp, so a late message goes to its
     older minute; the file sink's commit log makes the output exactly-once.
+    Records that are not JSON objects are skipped; ``archive_in`` minus
+    ``archive_out`` in the progress reports counts them.
     """
-    records = read_records(spark, source, default_start="earliest")
-    rows = op.archive_rows(records, now).select("minute", *ARCHIVE_COLUMNS)
+    records = _count(read_records(spark, source, default_start="earliest"), "archive_in")
+    rows = _count(op.archive_rows(records, now).select("minute", *ARCHIVE_COLUMNS), "archive_out")
     w = (rows.writeStream.format("csv").partitionBy("minute").outputMode("append")
          .options(**CSV_WRITE).option("path", out_path))
     return _start(w, "tweet_archive", spark, checkpoint, trigger)

@@ -59,14 +59,15 @@ def test_filter_then_load_stream_equals_batch(spark, workdir):
 def test_archive_stream_minutes_and_late_row(spark, workdir):
     now = "2025-01-01T12:34:56+00:00"
     msgs = fixtures.tweet_messages(spark, SF)
-    late = spark.createDataFrame([('{"author_id":"x","created_at":"2023-05-06T07:08:09+00:00","text":"late"}',)],
-                                 "value string")
+    late = spark.createDataFrame([('{"author_id":"x","created_at":"2023-05-06T07:08:09+00:00","text":"late"}',),
+                                  ("{broken",), ("[1]",), ("",)], "value string")
     land_lines(msgs, f"{workdir}/tweets/a")
     _run(start_archive_job(spark, Endpoint(path=f"{workdir}/tweets/*"), f"{workdir}/archive",
                            checkpoint=f"{workdir}/ck", trigger=ONCE, now=now))
     land_lines(late, f"{workdir}/tweets/b")
-    _run(start_archive_job(spark, Endpoint(path=f"{workdir}/tweets/*"), f"{workdir}/archive",
-                           checkpoint=f"{workdir}/ck", trigger=ONCE, now=now))
+    q = _run(start_archive_job(spark, Endpoint(path=f"{workdir}/tweets/*"), f"{workdir}/archive",
+                               checkpoint=f"{workdir}/ck", trigger=ONCE, now=now))
+    assert observed_rows(q, "archive_in") == 4 and observed_rows(q, "archive_out") == 1
     back = spark.read.option("header", "true").option("escape", '"').csv(f"{workdir}/archive")
     expect = op.archive_rows(msgs.unionByName(late), now).select("minute", "author_id", "created_at", "text")
     assert _batch_set(back.select("minute", "author_id", "created_at", "text")) == _batch_set(expect)
