@@ -41,12 +41,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) do we create one and set it.
+    Only a local-mode session without one (tests, single-machine runs) gets a
+    temporary folder; a cluster session must name a shared folder, since a
+    machine-local one would not survive losing that machine.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
         or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) "
+                               "before running jobs that land intermediate data")
         root = tempfile.mkdtemp(prefix="quire-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
