@@ -30,16 +30,25 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="quire-bench")
     QUERIES["product_stats"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         t0 = time.perf_counter()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - one failure must not lose the others
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     spark.stop()
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}))
+    out = {"metric": "total_query_seconds",
+           "value": round(sum(t for t in times.values() if t is not None), 3),
+           "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
