@@ -21,8 +21,12 @@ a :class:`KeyedTable` is an append-only log of batch directories::
   them); :meth:`write_batch` returns how many and, given ``rejects_path``,
   writes them there (only when there are any, so the common case costs no
   second pass).
-* :meth:`compact` writes the collapsed table to a new path as batch 0;
-  readers switch paths, so no path is overwritten while being read.
+* :meth:`compact` bounds the log a reader must collapse: it writes the
+  collapsed table up to batch ``n`` into a new directory
+  ``_compacted/upto=<n>`` (never a path being read). Readers take the newest
+  completed snapshot plus only the batches after it, a partition filter, so
+  reads stay proportional to the table plus the recent log. Superseded
+  batch directories and snapshots can then be removed by retention.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ from quire.schemas import KeySpec
 
 BATCH_COL = "batch_id"
 BUCKET_COL = "b"
+COMPACTED_DIR = "_compacted"
+SNAPSHOT_PREFIX = "upto="
 
 
 def bucket_of(cols: list[Column], buckets: int) -> Column:
@@ -84,15 +90,60 @@ class KeyedTable:
                .partitionBy(BATCH_COL).parquet(self.rejects_path))
         return res
 
+    # -- directory metadata (driver-side listing only, no data) -----------------
+    def _fs(self, path: str):
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _children(self, path: str, prefix: str) -> list[tuple[int, str]]:
+        p, fs = self._fs(path)
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(prefix) and name[len(prefix):].isdigit():
+                out.append((int(name[len(prefix):]), st.getPath().toString()))
+        return sorted(out)
+
+    def batches(self) -> list[int]:
+        """Batch ids present in the log."""
+        return [n for n, _ in self._children(self.path, f"{BATCH_COL}=")]
+
+    def snapshot(self) -> tuple[int, str] | None:
+        """Newest completed compaction: (last batch it covers, its path)."""
+        done = []
+        for n, path in self._children(f"{self.path}/{COMPACTED_DIR}", SNAPSHOT_PREFIX):
+            p, fs = self._fs(f"{path}/_SUCCESS")
+            if fs.exists(p):
+                done.append((n, path))
+        return done[-1] if done else None
+
     # -- read ----------------------------------------------------------------
     def log(self) -> DataFrame:
         """Every stored version of every row (with batch and layout columns)."""
         return self.spark.read.parquet(self.path)
 
+    def _versions(self) -> DataFrame:
+        """Rows a reader must collapse: the newest snapshot (as its batch id)
+        and the log after it."""
+        spec = self.spec
+        cols = [*spec.columns, BUCKET_COL, BATCH_COL]
+        snap = self.snapshot()
+        if snap is None:
+            return self.log().select(*cols)
+        upto, snap_path = snap
+        base = self.spark.read.parquet(snap_path).withColumn(BATCH_COL, F.lit(upto))
+        if not any(n > upto for n in self.batches()):
+            return base.select(*cols)
+        recent = self.log().where(F.col(BATCH_COL) > F.lit(upto))
+        return base.select(*cols).unionByName(recent.select(*cols))
+
     def read(self, **equal_to) -> DataFrame:
         """Latest row per key; ``equal_to`` restricts to key values (a lookup)."""
         spec = self.spec
-        df = self.log()
+        df = self._versions()
         for c, v in equal_to.items():
             if c not in spec.key:
                 raise ValueError(f"{c} is not a key column of {spec.name}")
@@ -104,11 +155,28 @@ class KeyedTable:
                                 [BUCKET_COL, *spec.key], order=[BATCH_COL])
         return latest.select(*spec.columns)
 
-    def compact(self, new_path: str) -> "KeyedTable":
-        """Write the collapsed table to ``new_path`` (as batch 0) and return it."""
-        target = KeyedTable(self.spark, new_path, self.spec)
-        target.write_batch(self.read(), 0)
-        return target
+    def compact(self) -> int | None:
+        """Collapse the table up to its newest batch into ``_compacted/upto=<n>``.
+
+        Returns ``n`` (None when the log is empty). Safe to repeat: an
+        existing completed snapshot for ``n`` is kept as is.
+        """
+        batches = self.batches()
+        if not batches:
+            return None
+        upto = batches[-1]
+        snap = self.snapshot()
+        if snap is not None and snap[0] >= upto:
+            return snap[0]
+        rows = self._versions().where(F.col(BATCH_COL) <= F.lit(upto))
+        latest = latest_per_key(rows, [BUCKET_COL, *self.spec.key], order=[BATCH_COL])
+        out = (latest.drop(BATCH_COL).hint("rebalance", BUCKET_COL)
+                     .sortWithinPartitions(BUCKET_COL, *[F.col(c) for c in self.spec.partition_key],
+                                           *[F.col(c).desc() if d else F.col(c).asc()
+                                             for c, d in self.spec.clustering]))
+        target = f"{self.path}/{COMPACTED_DIR}/{SNAPSHOT_PREFIX}{upto}"
+        out.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(target)
+        return upto
 
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: list[str],

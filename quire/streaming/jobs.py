@@ -97,16 +97,20 @@ def start_filter_job(spark: SparkSession, source: Endpoint, sink: Endpoint,
 
 def start_load_job(spark: SparkSession, source: Endpoint, table: KeyedTable,
                    checkpoint: str | None = None, trigger: dict | None = None,
-                   metrics: list | None = None) -> StreamingQuery:
+                   metrics: list | None = None, compact_every: int | None = None) -> StreamingQuery:
     """J2 + B4: processed messages -> keyed table, one idempotent batch per
     micro-batch (a replayed batch id overwrites itself). Empty micro-batches
-    are skipped; per-batch counts are appended to ``metrics``."""
+    are skipped; per-batch counts are appended to ``metrics``. With
+    ``compact_every=k`` the table is compacted after every k-th batch, so
+    readers never collapse more than k recent batches on top of a snapshot."""
     parsed = op.decode_processed(read_records(spark, source))
 
     def load(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         res = table.write_batch(batch, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            res["compacted_upto"] = table.compact()
         if metrics is not None:
             metrics.append({"batch_id": batch_id, **res})
 

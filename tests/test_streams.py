@@ -42,7 +42,9 @@ def test_filter_then_load_stream_equals_batch(spark, workdir):
     table = KeyedTable(spark, f"{workdir}/pages", PAGE_CREATIONS)
     metrics = []
     _run(start_load_job(spark, Endpoint(path=f"{workdir}/processed", max_per_trigger=1), table,
-                        checkpoint=f"{workdir}/ck2", trigger=ONCE, metrics=metrics))
+                        checkpoint=f"{workdir}/ck2", trigger=ONCE, metrics=metrics, compact_every=2))
+    assert len(metrics) >= 2 and table.snapshot() is not None
+    assert any(m.get("compacted_upto") is not None for m in metrics)
     expect = op.latest_per_key(op.decode_processed(op.wiki_filter(msgs)).select(*PAGE_CREATIONS.columns),
                                PAGE_CREATIONS.key)
     assert _batch_set(table.read()) == _batch_set(expect)
