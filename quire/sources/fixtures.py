@@ -8,14 +8,23 @@ Only the columns each view needs are read, so the Parquet scans are pruned.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import encode, iso_utc
 
 
+@lru_cache(maxsize=128)
+def _open(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, opened once per session (file listing and footer read
+    happen once, like a catalog table handle; the tables are read-only)."""
+    return _open(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _prop_k() -> Column:
