@@ -17,14 +17,14 @@ from quire.functions import encode, iso_utc
 
 
 @lru_cache(maxsize=128)
-def _open(spark: SparkSession, path: str) -> DataFrame:
+def _open(spark: SparkSession, app_id: str, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table, opened once per session (file listing and footer read
     happen once, like a catalog table handle; the tables are read-only)."""
-    return _open(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _open(spark, spark.sparkContext.applicationId, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _prop_k() -> Column:
