@@ -84,33 +84,41 @@ def now_iso(now: datetime | str | None = None) -> Column:
     return iso_utc(utc_wall_clock(F.current_timestamp()))
 
 
-# An ISO date, optionally followed by a time of at least hours and minutes.
-_ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?$"
+# ISO-8601 extended date, then optionally any single separator character and a
+# time (HH, HH:MM[:SS[.f]] or HHMM[SS[.f]]) with an optional Z or +/-HH[[:]MM...]
+# offset: the shapes a Python ``datetime.fromisoformat`` reads with an
+# extended-format date. Calendar validity of the date is checked separately.
+_ISO_SHAPE = (r"^\d{4}-(0[1-9]|1[0-2])-\d{2}"
+              r"(.([01]\d|2[0-3])(:[0-5]\d(:[0-5]\d([.,]\d+)?)?|[0-5]\d([0-5]\d([.,]\d+)?)?)?"
+              r"(Z|[+-]([01]\d|2[0-3])(:?[0-5]\d(:?[0-5]\d([.,]\d+)?)?)?)?)?$")
 
 
 def is_iso_datetime(c: ColumnLike) -> Column:
-    """True where the text is an ISO date/datetime Spark can parse as a whole."""
+    """True where the text is an ISO date or date-time (extended date form)."""
     c = _col(c)
-    return F.coalesce(c.rlike(_ISO_SHAPE) & F.try_to_timestamp(c).isNotNull(), F.lit(False))
+    valid_day = strict_date(F.substring(c, 1, 10)).isNotNull()
+    return F.coalesce(c.rlike(_ISO_SHAPE) & valid_day, F.lit(False))
 
 
 def minute_key(created_at: ColumnLike, now: datetime | str | None = None) -> Column:
     """``dd_MM_yyyy_HH_mm`` of a message stamp, in the stamp's own offset.
 
     The digits are taken from the text itself, so a stamp written with any
-    offset names the minute it shows. Missing or unparsable stamps fall back
-    to the current (or injected) UTC minute.
+    offset names the minute it shows (hour-only times give minute 00). A
+    missing or unparsable stamp falls back to the current (or injected) UTC
+    minute.
     """
     c = _col(created_at)
     day = F.concat_ws("_", F.substring(c, 9, 2), F.substring(c, 6, 2), F.substring(c, 1, 4))
-    has_time = F.length(c) >= 16
-    hh_mm = F.when(has_time, F.concat_ws("_", F.substring(c, 12, 2), F.substring(c, 15, 2))) \
-        .otherwise(F.lit("00_00"))
+    hour = F.when(F.length(c) >= 13, F.substring(c, 12, 2)).otherwise(F.lit("00"))
+    minute = (F.when(F.substring(c, 14, 1) == ":", F.substring(c, 15, 2))
+               .when(F.substring(c, 14, 1).rlike(r"^\d$"), F.substring(c, 14, 2))
+               .otherwise(F.lit("00")))
     if now is not None:
         fallback = F.lit(datetime.fromisoformat(iso_text(now)).strftime("%d_%m_%Y_%H_%M"))
     else:
         fallback = F.date_format(utc_wall_clock(F.current_timestamp()), "dd_MM_yyyy_HH_mm")
-    return F.when(is_iso_datetime(c), F.concat_ws("_", day, hh_mm)).otherwise(fallback)
+    return F.when(is_iso_datetime(c), F.concat_ws("_", day, hour, minute)).otherwise(fallback)
 
 
 # Archive file naming, prefix and extension.

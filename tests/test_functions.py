@@ -96,6 +96,28 @@ def test_is_iso_datetime(spark):
         [True, False, False, False]
 
 
+def test_minute_key_matches_python_fromisoformat(spark):
+    """The archiver's rule, run by Python itself, is the oracle."""
+    now = "2025-01-01T12:34:56+00:00"
+    vals = ["2024-03-05T10", "2024-03-05 10", "2024-03-05T10:20", "2024-03-05T10:20Z",
+            "2024-03-05T10+02:00", "2024-03-05T10:20:30.5", "2024-03-05T10:20:30,5",
+            "2024-03-05T1020", "2024-03-05T102030", "2024-03-05T10:20:30.1234567",
+            "2024-03-05T10:20:30+0200", "2024-03-05T10:20:30 UTC", "2024-03-05T10:20:30-05:30",
+            "2024-03-05x10:20", "2024-02-29T23:59:59", "2023-02-29T10:00", "2024-13-01",
+            "2024-03-05T24:00", "2024-03-05T10:60", "2024-03-05T", "2024-03-05T10:20:30+24:00",
+            "2024-03-05T10:20:30.000000+00:00", "2024-03-05", "2024-3-5", " 2024-03-05",
+            "2024-03-05T10:20:30Z ", "", "x"]
+
+    def py_key(v):
+        try:
+            return dt.datetime.fromisoformat(v).strftime("%d_%m_%Y_%H_%M")
+        except ValueError:
+            return dt.datetime.fromisoformat(now).strftime("%d_%m_%Y_%H_%M")
+
+    got = _col(spark, vals, lambda c: minute_key(c, now))
+    assert [(v, k) for v, k in zip(vals, got) if k != py_key(v)] == []
+
+
 def test_sse_missing_vs_null(spark):
     from quire.operators import sse_to_messages
     lines = [
