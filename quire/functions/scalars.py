@@ -15,12 +15,28 @@ def _col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Text a non-ANSI string-to-int cast accepts: optional sign, ASCII digits and
+# an optional fraction that is discarded (an empty part counts as 0).
+_INT_TEXT = r"^[+-]?[0-9]*(\.[0-9]*)?$"
+# Characters the legacy cast ignores around a number (ASCII space and controls).
+_EDGE_CHARS = "".join(chr(i) for i in range(0x21))
+
+
 def lenient_int(c: ColumnLike) -> Column:
-    """String to int, NULL on junk, fractional text truncated ('5.9' -> 5).
+    """String to int as a non-ANSI ``cast('integer')`` does, NULL instead of
+    an error: surrounding whitespace ignored, fraction truncated ('5.9' -> 5,
+    '-5.9' -> -5), junk, exponents and overflow -> NULL.
 
-    Same result as a non-ANSI ``cast('integer')`` without raising under ANSI.
+    Plain integers take the strict cast (same value); only text it rejects
+    is shape-checked and cut at the decimal point.
     """
-    return F.trim(_col(c)).try_cast("decimal(20,4)").try_cast("int")
+    c = _col(c)
+    t = F.btrim(c, F.lit(_EDGE_CHARS))
+    whole = F.substring_index(t, ".", 1)
+    cut = F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("int"))
+    slow = F.when(t.rlike(_INT_TEXT) & ~t.isin("", "+", "-"), cut)
+    # the strict cast ignores the same surrounding characters itself
+    return F.coalesce(c.try_cast("int"), slow)
 
 
 # ISO calendar date text with a four-digit year.

@@ -26,6 +26,23 @@ def test_strict_date(spark):
     assert got == [dt.date(2015, 8, 31), None, None, None, None, None, None]
 
 
+def test_lenient_int_equals_non_ansi_cast(spark):
+    """The reference cast text to int with ANSI off; that cast is the oracle."""
+    vals = ["5", " 5 ", "5.0", "5.9", "x", "", None, "-2", "4.99999", "1e3", ".", ".5", "5.", "+5",
+            "-5.9", "+", "-", "+.", "-.", "007", "2147483647", "2147483648", "-2147483648",
+            "-2147483649", "1,000", "\t7\n", "5 5", "0x10", "\u0661\u0662", "  -0.5  ", "5..0",
+            "99999999999999999999.5", "\u00a05", "5\u3000", "--5", "5-", "3.0.0"]
+    df = spark.createDataFrame([(v,) for v in vals], "x string")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        legacy = [r[0] for r in df.select(F.col("x").cast("int")).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    ours = [r[0] for r in df.select(lenient_int("x")).collect()]
+    assert [(v, a, b) for v, a, b in zip(vals, legacy, ours) if a != b] == []
+
+
 def test_strict_date_equals_formatter_parse(spark):
     vals = ["2015-08-31", "2015-8-1", "2015-02-30", "2016-02-29", "2015-02-29", "0000-01-01",
             "0001-01-01", "9999-12-31", " 2015-08-31", "2015-08-31 ", "2015-08-31T00:00",
