@@ -20,3 +20,6 @@ def test_bench_prints_one_json_line():
     assert res["unit"] == "sec" and res["sf"] == 0.001 and "errors" not in res
     assert set(res["queries"]) == {"product_stats", "sse_events"}
     assert res["value"] == round(sum(res["queries"].values()), 3)
+    assert len(res["passes"]) == 2
+    for name, t in res["queries"].items():
+        assert t == min(p["queries"][name] for p in res["passes"])
