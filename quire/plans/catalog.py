@@ -244,6 +244,52 @@ def tweets_minute_files(spark, sf_dir):
     return _archive(spark, sf_dir).groupBy("file_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# -- the stream jobs, run to completion over file twins ----------------------
+# Each starts the real Structured Streaming job(s) with an ``availableNow``
+# trigger on records landed from the driver tables, waits for them, and
+# returns what the sink holds; the result must equal the batch twin above.
+# (The archive stream writes one directory per minute of the fixture's month
+# of stamps, tens of thousands of tiny files, so it is checked in the tests
+# against its batch twin instead.)
+
+_STREAM_TIMEOUT_S = 1800
+
+
+def _finish(query) -> None:
+    done = query.awaitTermination(_STREAM_TIMEOUT_S)
+    query.stop()
+    if not done:
+        raise TimeoutError(f"stream {query.name} did not finish in {_STREAM_TIMEOUT_S} s")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def stream_page_creations(spark, sf_dir):
+    """Generator topic -> filter stream -> processed topic -> load stream."""
+    from quire.sinks import KeyedTable
+    from quire.streaming.jobs import Endpoint, start_filter_job, start_load_job
+    once = {"availableNow": True}
+    src = land_lines(fixtures.page_messages(spark, sf_dir), scratch_path(spark, "stream-input"))
+    processed = scratch_path(spark, "stream-processed")
+    _finish(start_filter_job(spark, Endpoint(path=src), Endpoint(path=processed),
+                             checkpoint=scratch_path(spark, "ckpt-filter"), trigger=once))
+    table = KeyedTable(spark, scratch_path(spark, "stream-pages"), PAGE_CREATIONS)
+    _finish(start_load_job(spark, Endpoint(path=processed), table,
+                           checkpoint=scratch_path(spark, "ckpt-load"), trigger=once))
+    return table.read()
+
+
+def stream_event_messages(spark, sf_dir):
+    """Landed event lines -> normaliser stream -> message records."""
+    from quire.streaming.jobs import Endpoint, start_normalise_job
+    src = land_lines(fixtures.sse_lines(spark, sf_dir), scratch_path(spark, "stream-sse"))
+    out = scratch_path(spark, "stream-messages")
+    _finish(start_normalise_job(spark, Endpoint(path=src), Endpoint(path=out),
+                                checkpoint=scratch_path(spark, "ckpt-normalise"),
+                                trigger={"availableNow": True}, now=NOW))
+    return read_lines(spark, out)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     scan_reviews, profile_reviews, clean_reviews, clean_reviews_keep_bad_dates, stage_counts,
     product_stats, customer_stats, monthly_product_reviews, items_by_period,
@@ -253,4 +299,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     wiki_filter, wiki_roundtrip, page_creations, newest_pages, sse_events, publish_tweets,
     tweets_archive_rows, tweets_minute_files, sentiment_by_period_union,
     keyed_reviews_by_product, keyed_reviews_by_customer, event_messages,
+    stream_page_creations, stream_event_messages,
 ]}

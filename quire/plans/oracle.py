@@ -318,3 +318,7 @@ from sse_messages""",
     "tweets_minute_files": _with(TWEETS, ARCHIVE) + """
 select file_name, count(*) as n_rows from archive group by file_name""",
 }
+
+# The stream jobs must produce exactly what their batch twins produce.
+ORACLE_SQL["stream_page_creations"] = ORACLE_SQL["page_creations"]
+ORACLE_SQL["stream_event_messages"] = ORACLE_SQL["event_messages"]

@@ -120,16 +120,27 @@ def start_load_job(spark: SparkSession, source: Endpoint, table: KeyedTable,
 
 def start_archive_job(spark: SparkSession, source: Endpoint, out_path: str,
                       checkpoint: str | None = None, trigger: dict | None = None,
-                      now: datetime | str | None = None) -> StreamingQuery:
+                      now: datetime | str | None = None,
+                      writers_per_minute: int = 1) -> StreamingQuery:
     """P5: tweet messages -> per-minute CSV directories.
 
     Minutes come from each message's own stamp, so a late message goes to its
     older minute; the file sink's commit log makes the output exactly-once.
     Records that are not JSON objects are skipped; ``archive_in`` minus
     ``archive_out`` in the progress reports counts them.
+
+    Rows are shuffled by minute so the minutes of a micro-batch are written
+    in parallel, one file per minute and writer. Streams run without AQE,
+    so ``writers_per_minute > 1`` salts the minute to spread a hot minute
+    over that many writers (a micro-batch's size bounds it either way).
     """
     records = _count(read_records(spark, source, default_start="earliest"), "archive_in")
     rows = _count(op.archive_rows(records, now).select("minute", *ARCHIVE_COLUMNS), "archive_out")
+    if writers_per_minute > 1:
+        salt = F.pmod(F.xxhash64(*ARCHIVE_COLUMNS), F.lit(writers_per_minute))
+        rows = rows.repartition("minute", salt)
+    else:
+        rows = rows.repartition("minute")
     w = (rows.writeStream.format("csv").partitionBy("minute").outputMode("append")
          .options(**CSV_WRITE).option("path", out_path))
     return _start(w, "tweet_archive", spark, checkpoint, trigger)
