@@ -146,6 +146,12 @@ def archive_file_name(minute: ColumnLike) -> Column:
     return F.concat(F.lit(ARCHIVE_FILE_PREFIX), _col(minute), F.lit(ARCHIVE_FILE_SUFFIX))
 
 
+# Whitespace as Python's ``str.strip()`` sees it: Unicode white space plus the
+# ASCII file/group/record/unit separators.
+_PY_SPACE = r"[\s\x1c-\x1f]"
+
+
 def sse_payload(line: ColumnLike) -> Column:
     """Text after the ``data:`` field name, surrounding whitespace removed."""
-    return F.regexp_replace(F.substring(_col(line), 6, 1 << 30), r"^\s+|\s+$", "")
+    return F.regexp_replace(F.substring(_col(line), 6, 1 << 30),
+                            f"(?U)^{_PY_SPACE}+|{_PY_SPACE}+$", "")

@@ -188,3 +188,11 @@ def test_archive_skips_non_objects(spark):
     assert got == [("a", "2024-01-01T00:00:00+00:00", "t", "01_01_2024_00_00"),
                    ("", "", "", "01_01_2025_00_00"),
                    ("", "", "7", "01_01_2025_00_00")]
+
+
+def test_sse_payload_strips_like_python(spark):
+    from quire.functions import sse_payload
+    lines = ["data: {}", "data:{}", "data:\t {} \r", "data:\u00a0{}\u3000", "data:\x1c{}\x1f",
+             "data:\u2028{\"a\": 1}\u2029", "data:\u200b{}", "data:", "data:  ", "data: x y "]
+    got = _col(spark, lines, sse_payload)
+    assert got == [ln[len("data:"):].strip() for ln in lines]
