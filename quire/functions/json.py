@@ -29,15 +29,18 @@ def decode(value: str | Column, schema: StructType, corrupt_field: str | None =
 
 
 def json_field(v: Column, path: str, type_: str, missing_default: Column | None = None,
-               null_value: Column | None = None) -> Column:
+               null_value: Column | None = None, strict_type: str | None = None) -> Column:
     """Read ``path`` of a VARIANT, telling a missing field from an explicit null.
 
     ``missing_default`` is used when the path does not exist (Python's
     ``dict.get(k, default)``); ``null_value`` when it holds JSON ``null``
-    (defaults to SQL NULL).
+    (defaults to SQL NULL). With ``strict_type`` (e.g. ``"BOOLEAN"``) a value
+    of any other JSON type is NULL instead of being converted.
     """
     raw = F.try_variant_get(v, path, "variant")
     typed = F.try_variant_get(v, path, type_)
+    if strict_type is not None:
+        typed = F.when(F.schema_of_variant(raw) == F.lit(strict_type), typed)
     out = F.when(raw.isNull(), missing_default if missing_default is not None else F.lit(None))
     out = out.when(F.is_variant_null(raw), null_value if null_value is not None else F.lit(None))
     return out.otherwise(typed)

@@ -81,8 +81,9 @@ def sse_to_messages(lines: DataFrame, now: datetime | str | None = None,
 
     Keeps non-empty ``data:`` lines whose payload is a JSON object; other
     lines and broken JSON are skipped. Missing fields take the defaults
-    ("" for text, False for the bot flag); an explicit JSON null bot flag
-    stays NULL (and is later dropped by the filter stream).
+    ("" for text, False for the bot flag); an explicit JSON null bot flag, or
+    one that is not a JSON boolean (e.g. the text "false"), is NULL, so the
+    filter stream drops it, as it drops a non-boolean flag it cannot parse.
     """
     line = F.col(line_col)
     payload = sse_payload(line)
@@ -94,7 +95,8 @@ def sse_to_messages(lines: DataFrame, now: datetime | str | None = None,
     empty = F.lit("")
     return parsed.select(
         json_field(v, "$.performer.user_id", "string", empty, empty).alias("user_id"),
-        json_field(v, "$.performer.user_is_bot", "boolean", F.lit(False)).alias("user_is_bot"),
+        json_field(v, "$.performer.user_is_bot", "boolean", F.lit(False),
+                   strict_type="BOOLEAN").alias("user_is_bot"),
         json_field(v, "$.meta.domain", "string", empty).alias("domain"),
         json_field(v, "$.page_title", "string", empty).alias("page_title"),
         now_iso(now).alias("created_at"),

@@ -144,6 +144,8 @@ def test_sse_missing_vs_null(spark):
         'data: {"page_title":"x"}',
         'data:{"performer":{"user_id":12,"user_is_bot":true},"meta":{"domain":"d"},"page_title":"p"}',
         'data: {"performer":{"user_id":null}, "meta":{"domain":null}, "page_title":null}',
+        'data: {"performer":{"user_is_bot":"false","user_id":"u"},"page_title":7}',
+        'data: {"performer":{"user_is_bot":0}}',
         ':comment', 'event: message', '', 'data: {broken', 'data: [1,2]', 'data: 5',
         'id: data: {"page_title":"no"}',
     ]
@@ -157,6 +159,8 @@ def test_sse_missing_vs_null(spark):
         ("", False, "", "x", stamp),
         ("12", True, "d", "p", stamp),
         ("", False, None, None, stamp),
+        ("u", None, "", "7", stamp),
+        ("", None, "", "", stamp),
     ]
 
 
