@@ -164,8 +164,9 @@ SSE_MESSAGES = f"""
 sse_messages as (
   select {_field('$.performer.user_id', "''", "''")} as user_id,
          case when json_extract(p, '$.performer.user_is_bot') is null then false
-              else try_cast(json_extract_string(p, '$.performer.user_is_bot') as boolean) end
-           as user_is_bot,
+              when json_type(json_extract(p, '$.performer.user_is_bot')) = 'BOOLEAN'
+                then cast(json_extract_string(p, '$.performer.user_is_bot') as boolean)
+              else null end as user_is_bot,
          {_field('$.meta.domain', "''")} as domain,
          {_field('$.page_title', "''")} as page_title,
          '{_NOW_ISO}' as created_at
