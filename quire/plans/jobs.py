@@ -18,7 +18,9 @@ from quire.schemas import (
     TOP_SENTIMENT_SCHEMA,
 )
 from quire.session import scratch_path
-from quire.sinks import KeyedTable, read_partitioned, replace_partitions, write_documents
+from quire.sinks import (
+    ConnectorTable, KeyedTable, read_partitioned, replace_partitions, write_documents,
+)
 from quire.sources import read_reviews_csv
 
 
@@ -61,13 +63,24 @@ def document_store_job(spark: SparkSession, reviews_path: str, out_root: str,
 
 
 def keyed_tables_job(spark: SparkSession, reviews_path: str, root: str, batch_id: int = 0,
-                     work_path: str | None = None) -> dict:
+                     work_path: str | None = None, store_format: str | None = None,
+                     store_options: dict | None = None) -> dict:
     """Reviews CSV -> clean (bad dates dropped) -> 2 keyed review tables
-    (upsert) and 3 per-period leaderboards (periods replaced whole)."""
+    (upsert) and 3 per-period leaderboards (periods replaced whole).
+
+    Tables are Parquet under ``root``; with ``store_format`` (a keyed-store
+    connector) the two review tables go to that store instead, the table
+    name added to ``store_options``.
+    """
     root = root.rstrip("/")
     clean, counts = _land_clean(spark, reviews_path, False, work_path)
     for spec in (REVIEWS_BY_PRODUCT, REVIEWS_BY_CUSTOMER):
-        res = KeyedTable(spark, f"{root}/{spec.name}", spec).write_batch(clean, batch_id)
+        if store_format:
+            table = ConnectorTable(spark, spec, store_format,
+                                   {**(store_options or {}), "table": spec.name})
+        else:
+            table = KeyedTable(spark, f"{root}/{spec.name}", spec)
+        res = table.write_batch(clean, batch_id)
         counts[spec.name] = res["rows"]
         counts[f"{spec.name}_rejected"] = res["rejected"]
     boards = [
@@ -86,14 +99,21 @@ def keyed_tables_job(spark: SparkSession, reviews_path: str, root: str, batch_id
 
 
 class ReviewServing:
-    """The serving lookups (K1-K7) over tables written by :func:`keyed_tables_job`."""
+    """The serving lookups (K1-K7) over tables written by :func:`keyed_tables_job`
+    (review tables in ``store_format`` when given, as the job wrote them)."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, store_format: str | None = None,
+                 store_options: dict | None = None):
         self.spark, self.root = spark, root.rstrip("/")
-        self.by_product = KeyedTable(spark, f"{self.root}/{REVIEWS_BY_PRODUCT.name}",
-                                     REVIEWS_BY_PRODUCT)
-        self.by_customer = KeyedTable(spark, f"{self.root}/{REVIEWS_BY_CUSTOMER.name}",
-                                      REVIEWS_BY_CUSTOMER)
+
+        def table(spec):
+            if store_format:
+                return ConnectorTable(spark, spec, store_format,
+                                      {**(store_options or {}), "table": spec.name})
+            return KeyedTable(spark, f"{self.root}/{spec.name}", spec)
+
+        self.by_product = table(REVIEWS_BY_PRODUCT)
+        self.by_customer = table(REVIEWS_BY_CUSTOMER)
 
     def _board(self, name, schema):
         return read_partitioned(self.spark, f"{self.root}/{name}", schema)

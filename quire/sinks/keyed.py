@@ -197,3 +197,36 @@ def read_partitioned(spark: SparkSession, path: str, schema: StructType) -> Data
     """Read a partitioned table back with its declared schema and column order
     (no type inference of partition values: '1998-01' stays text)."""
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+class ConnectorTable:
+    """A keyed table kept in an external keyed store reached by a Spark
+    connector (e.g. ``format="org.apache.spark.sql.cassandra"`` with
+    ``options={"keyspace": ..., "table": ...}``). The store upserts on its
+    primary key itself, so a batch is a plain append and a replayed batch
+    rewrites the same rows. Same interface as :class:`KeyedTable`.
+    """
+
+    def __init__(self, spark: SparkSession, spec: KeySpec, format: str, options: dict):
+        self.spark, self.spec, self.format, self.options = spark, spec, format, dict(options)
+
+    def write_batch(self, df: DataFrame, batch_id: int) -> dict:
+        spec = self.spec
+        bad = null_key(spec.key)
+        obs = Observation(f"{spec.name}_batch_{batch_id}")
+        rows = df.select(*spec.columns).observe(
+            obs, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected"))
+        (rows.filter(~bad).write.format(self.format).mode("append")
+             .options(**self.options).save())
+        got = obs.get
+        return {"rows": int(got.get("rows") or 0), "rejected": int(got.get("rejected") or 0)}
+
+    def read(self, **equal_to) -> DataFrame:
+        """Rows of the store (already one per key); key equalities are pushed
+        to the connector."""
+        df = self.spark.read.format(self.format).options(**self.options).load()
+        for c, v in equal_to.items():
+            if c not in self.spec.key:
+                raise ValueError(f"{c} is not a key column of {self.spec.name}")
+            df = df.where(F.col(c) == F.lit(v))
+        return df.select(*self.spec.columns)

@@ -24,7 +24,7 @@ from quire import operators as op
 from quire.schemas import ALLOWED_DOMAINS
 from quire.session import scratch_path
 from quire.sinks.files import ARCHIVE_COLUMNS
-from quire.sinks.keyed import KeyedTable
+from quire.sinks.keyed import ConnectorTable, KeyedTable
 from quire.sources.files import CSV_DIALECT, CSV_WRITE
 
 
@@ -95,7 +95,7 @@ def start_filter_job(spark: SparkSession, source: Endpoint, sink: Endpoint,
     return write_records(kept, sink, "page_filter", checkpoint, trigger)
 
 
-def start_load_job(spark: SparkSession, source: Endpoint, table: KeyedTable,
+def start_load_job(spark: SparkSession, source: Endpoint, table: KeyedTable | ConnectorTable,
                    checkpoint: str | None = None, trigger: dict | None = None,
                    metrics: list | None = None, compact_every: int | None = None) -> StreamingQuery:
     """J2 + B4: processed messages -> keyed table, one idempotent batch per
@@ -109,7 +109,7 @@ def start_load_job(spark: SparkSession, source: Endpoint, table: KeyedTable,
         if batch.isEmpty():
             return
         res = table.write_batch(batch, batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
+        if compact_every and isinstance(table, KeyedTable) and (batch_id + 1) % compact_every == 0:
             res["compacted_upto"] = table.compact()
         if metrics is not None:
             metrics.append({"batch_id": batch_id, **res})
