@@ -100,13 +100,16 @@ def now_iso(now: datetime | str | None = None) -> Column:
     return iso_utc(utc_wall_clock(F.current_timestamp()))
 
 
-# ISO-8601 extended date, then optionally any single separator character and a
-# time (HH, HH:MM[:SS[.f]] or HHMM[SS[.f]]) with an optional Z or +/-HH[[:]MM...]
-# offset: the shapes a Python ``datetime.fromisoformat`` reads with an
-# extended-format date. Calendar validity of the date is checked separately.
-_ISO_SHAPE = (r"^\d{4}-(0[1-9]|1[0-2])-\d{2}"
-              r"(.([01]\d|2[0-3])(:[0-5]\d(:[0-5]\d([.,]\d+)?)?|[0-5]\d([0-5]\d([.,]\d+)?)?)?"
-              r"(Z|[+-]([01]\d|2[0-3])(:?[0-5]\d(:?[0-5]\d([.,]\d+)?)?)?)?)?$")
+# ISO-8601 extended date (years 0001-9999), then optionally any single
+# separator character and a time: HH[:MM[:SS]] or HH[MM[SS]], then either a
+# fraction ([.,] and digits) or, right before an offset, any one character,
+# and an offset Z or +/-HH[[:]MM[[:]SS]] with an optional fraction. These are
+# the strings Python's ``datetime.fromisoformat`` accepts with an extended
+# date. Calendar validity of the date is checked separately.
+_HMS = r"(:[0-5]\d(:[0-5]\d)?|[0-5]\d([0-5]\d)?)?"
+_ISO_SHAPE = (r"^(?!0000)\d{4}-(0[1-9]|1[0-2])-\d{2}"
+              r"(.([01]\d|2[0-3])" + _HMS + r"([.,]\d+|[^Z+-](?=[Z+-]))?"
+              r"(Z|[+-]([01]\d|2[0-3])" + _HMS + r"([.,]\d+)?)?)?$")
 
 
 def is_iso_datetime(c: ColumnLike) -> Column:
@@ -125,10 +128,13 @@ def minute_key(created_at: ColumnLike, now: datetime | str | None = None) -> Col
     minute.
     """
     c = _col(created_at)
-    day = F.concat_ws("_", F.substring(c, 9, 2), F.substring(c, 6, 2), F.substring(c, 1, 4))
+    # the archiver's strftime("%Y") (glibc) does not zero-pad years below 1000
+    year = F.regexp_replace(F.substring(c, 1, 4), "^0+", "")
+    day = F.concat_ws("_", F.substring(c, 9, 2), F.substring(c, 6, 2), year)
     hour = F.when(F.length(c) >= 13, F.substring(c, 12, 2)).otherwise(F.lit("00"))
-    minute = (F.when(F.substring(c, 14, 1) == ":", F.substring(c, 15, 2))
-               .when(F.substring(c, 14, 1).rlike(r"^\d$"), F.substring(c, 14, 2))
+    minute = (F.when((F.substring(c, 14, 1) == ":") & F.substring(c, 15, 2).rlike(r"^\d\d$"),
+                     F.substring(c, 15, 2))
+               .when(F.substring(c, 14, 2).rlike(r"^\d\d$"), F.substring(c, 14, 2))
                .otherwise(F.lit("00")))
     if now is not None:
         fallback = F.lit(datetime.fromisoformat(iso_text(now)).strftime("%d_%m_%Y_%H_%M"))

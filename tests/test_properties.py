@@ -51,3 +51,44 @@ def test_latest_per_key_is_the_brute_force_maximum(spark, rows):
         if k not in want or (seq, _rank(v)) > (want[k][0], _rank(want[k][1])):
             want[k] = (seq, v)
     assert got == want
+
+
+def _two(lo, hi):
+    return st.integers(lo, hi).map(lambda n: f"{n:02d}")
+
+
+_time = st.one_of(
+    st.just(""), _two(0, 25),
+    st.builds(lambda h, m: f"{h}:{m}", _two(0, 24), _two(0, 61)),
+    st.builds(lambda h, m, s: f"{h}:{m}:{s}", _two(0, 23), _two(0, 59), _two(0, 60)),
+    st.builds(lambda h, m: f"{h}{m}", _two(0, 23), _two(0, 59)),
+    st.builds(lambda h, m, s: f"{h}{m}{s}", _two(0, 23), _two(0, 59), _two(0, 60)))
+_frac = st.sampled_from(["", "", ".", ",", ".5", ",25", ".123456", ".1234567", ".5.", "..", ".1a",
+                         "x", ":", "xy", "+"])
+_offset = st.sampled_from(["", "", "Z", "+00:00", "-05:30", "+0200", "+02", "+24:00", "+05:30:15",
+                           "+02:00.", "+0200.5", "+02.5", "+02:0030", "Z5"])
+
+stamp_strategy = st.builds(
+    lambda y, mo, d, sep, time, frac, off, junk: f"{y}-{mo}-{d}{sep}{time}{frac}{off}{junk}",
+    st.integers(0, 9999).map(lambda n: f"{n:04d}"), _two(0, 13), _two(0, 32),
+    st.sampled_from(["", "T", " ", "x", "t"]), _time, _frac, _offset,
+    st.sampled_from(["", "", "", " ", "x"]))
+
+
+@SETTINGS
+@given(stamps=st.lists(stamp_strategy, min_size=20, max_size=120))
+def test_minute_key_is_pythons_rule(spark, stamps):
+    import datetime as dt
+
+    from quire.functions import minute_key
+    now = "2025-01-01T12:34:56+00:00"
+
+    def py_key(v):
+        try:
+            return dt.datetime.fromisoformat(v).strftime("%d_%m_%Y_%H_%M")
+        except ValueError:
+            return dt.datetime.fromisoformat(now).strftime("%d_%m_%Y_%H_%M")
+
+    df = spark.createDataFrame([(v,) for v in stamps], "x string")
+    got = [r[0] for r in df.select(minute_key("x", now)).collect()]
+    assert [(v, k) for v, k in zip(stamps, got) if k != py_key(v)] == []
