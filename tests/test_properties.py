@@ -92,3 +92,68 @@ def test_minute_key_is_pythons_rule(spark, stamps):
     df = spark.createDataFrame([(v,) for v in stamps], "x string")
     got = [r[0] for r in df.select(minute_key("x", now)).collect()]
     assert [(v, k) for v, k in zip(stamps, got) if k != py_key(v)] == []
+
+
+_scalar = st.one_of(st.none(), st.booleans(), st.integers(-99, 99),
+                    st.text(alphabet="abc xyz_", max_size=6))
+_maybe = st.one_of(st.just("<missing>"), _scalar)
+
+
+def _obj(**fields):
+    return {k: v for k, v in fields.items() if v != "<missing>"}
+
+
+_performer = st.one_of(st.just("<missing>"), st.none(), st.integers(0, 9),
+                       st.builds(lambda u, b: _obj(user_id=u, user_is_bot=b), _maybe, _maybe))
+_meta = st.one_of(st.just("<missing>"), st.none(), st.builds(lambda d: _obj(domain=d), _maybe))
+_event = st.builds(lambda t, p, m: _obj(page_title=t, performer=p, meta=m), _maybe, _performer, _meta)
+
+
+@SETTINGS
+@given(events=st.lists(st.one_of(_event, st.just("<broken>"), st.just("<comment>"), st.just("<array>")),
+                       min_size=10, max_size=80))
+def test_event_lines_follow_the_generator(spark, events):
+    import json
+
+    from quire.operators import sse_to_messages
+    now = "2025-01-01T00:00:00+00:00"
+    lines = []
+    for e in events:
+        if e == "<broken>":
+            lines.append("data: {broken")
+        elif e == "<comment>":
+            lines.append(": keep-alive")
+        elif e == "<array>":
+            lines.append("data: [1, 2]")
+        else:
+            lines.append("data: " + json.dumps(e))
+
+    def dict_or_empty(x):
+        return x if isinstance(x, dict) else {}
+
+    want = []
+    for line in lines:  # the generator's per-line rules, plus our documented decisions
+        if not line or not line.startswith("data:"):
+            continue
+        try:
+            ev = json.loads(line[len("data:"):].strip())
+        except json.JSONDecodeError:
+            continue
+        if not isinstance(ev, dict):
+            continue  # decision: non-object payloads are skipped
+        perf, meta = dict_or_empty(ev.get("performer", {})), dict_or_empty(ev.get("meta", {}))
+        uid = perf.get("user_id", "")
+        uid = "" if uid is None else ("true" if uid is True else "false" if uid is False else str(uid))
+        bot = perf.get("user_is_bot", False)
+        bot = bot if isinstance(bot, bool) else None  # decision: non-boolean flag -> NULL
+        want.append((uid, bot, meta.get("domain", ""), ev.get("page_title", "")))
+
+    def text(v):  # the message fields are text: JSON scalars as their text
+        if v is None or isinstance(v, str):
+            return v
+        return "true" if v is True else "false" if v is False else str(v)
+
+    want = [(u, b, text(d), text(t)) for u, b, d, t in want]
+    df = spark.createDataFrame([(ln,) for ln in lines], "value string")
+    got = [tuple(r)[:4] for r in sse_to_messages(df, now=now).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
