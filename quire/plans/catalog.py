@@ -19,9 +19,11 @@ from quire.schemas import (
     PAGE_CREATIONS, REVIEW_COLUMNS, REVIEWS_BY_CUSTOMER, REVIEWS_BY_PRODUCT,
 )
 from quire.session import scratch_path
+from quire.sinks import KeyedTable
 from quire.sources import (
     fixtures, land_csv, land_lines, read_csv_rows, read_lines, read_reviews_csv,
 )
+from quire.streaming.jobs import Endpoint, start_filter_job, start_load_job, start_normalise_job
 
 # Request parameters used by the registered serving queries.
 PERIOD = "1998-01"
@@ -266,8 +268,6 @@ def _finish(query) -> None:
 
 def stream_page_creations(spark, sf_dir):
     """Generator topic -> filter stream -> processed topic -> load stream."""
-    from quire.sinks import KeyedTable
-    from quire.streaming.jobs import Endpoint, start_filter_job, start_load_job
     once = {"availableNow": True}
     src = land_lines(fixtures.page_messages(spark, sf_dir), scratch_path(spark, "stream-input"))
     processed = scratch_path(spark, "stream-processed")
@@ -281,7 +281,6 @@ def stream_page_creations(spark, sf_dir):
 
 def stream_event_messages(spark, sf_dir):
     """Landed event lines -> normaliser stream -> message records."""
-    from quire.streaming.jobs import Endpoint, start_normalise_job
     src = land_lines(fixtures.sse_lines(spark, sf_dir), scratch_path(spark, "stream-sse"))
     out = scratch_path(spark, "stream-messages")
     _finish(start_normalise_job(spark, Endpoint(path=src), Endpoint(path=out),
