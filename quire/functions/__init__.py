@@ -3,5 +3,5 @@ from quire.functions.scalars import (  # noqa: F401
     now_iso, null_to_empty, period_of, sse_payload, strict_date, to_text, utc_wall_clock,
 )
 from quire.functions.json import (  # noqa: F401
-    decode, encode, json_field, parse_once,
+    decode, encode, json_field, parse_once, python_text,
 )

@@ -46,6 +46,16 @@ def json_field(v: Column, path: str, type_: str, missing_default: Column | None
     return out.otherwise(typed)
 
 
+def python_text(v: Column, path: str) -> Column:
+    """Text of the JSON value at ``path`` as Python's ``str()`` renders the
+    parsed value for scalars: booleans as ``True``/``False``, everything else
+    as its JSON text (strings unquoted)."""
+    raw = F.try_variant_get(v, path, "variant")
+    as_bool = F.when(F.try_variant_get(v, path, "boolean"), F.lit("True")).otherwise(F.lit("False"))
+    return F.when(F.schema_of_variant(raw) == F.lit("BOOLEAN"), as_bool) \
+        .otherwise(F.try_variant_get(v, path, "string"))
+
+
 def parse_once(parsed: Column) -> Column:
     """Wrap a parse expression so each row is parsed exactly once.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quire.functions import (
-    archive_file_name, decode, encode, json_field, minute_key, now_iso, parse_once,
+    archive_file_name, decode, encode, json_field, minute_key, now_iso, parse_once, python_text,
     null_to_empty, sse_payload,
 )
 from quire.schemas import (
@@ -94,7 +94,7 @@ def sse_to_messages(lines: DataFrame, now: datetime | str | None = None,
     v = F.col("v")
     empty = F.lit("")
     return parsed.select(
-        json_field(v, "$.performer.user_id", "string", empty, empty).alias("user_id"),
+        F.coalesce(python_text(v, "$.performer.user_id"), empty).alias("user_id"),
         json_field(v, "$.performer.user_is_bot", "boolean", F.lit(False),
                    strict_type="BOOLEAN").alias("user_is_bot"),
         json_field(v, "$.meta.domain", "string", empty).alias("domain"),

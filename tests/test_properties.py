@@ -143,7 +143,7 @@ def test_event_lines_follow_the_generator(spark, events):
             continue  # decision: non-object payloads are skipped
         perf, meta = dict_or_empty(ev.get("performer", {})), dict_or_empty(ev.get("meta", {}))
         uid = perf.get("user_id", "")
-        uid = "" if uid is None else ("true" if uid is True else "false" if uid is False else str(uid))
+        uid = "" if uid is None else str(uid)  # decision: JSON null -> ""
         bot = perf.get("user_is_bot", False)
         bot = bot if isinstance(bot, bool) else None  # decision: non-boolean flag -> NULL
         want.append((uid, bot, meta.get("domain", ""), ev.get("page_title", "")))
