@@ -45,11 +45,13 @@ def read_reviews_csv(spark: SparkSession, path: str,
     return _by_header(df, schema)
 
 
-def read_csv_rows(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_csv_rows(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """CSV rows as the publisher sees them (A2): every field a string and a
-    missing or empty field is ``""`` rather than NULL."""
-    schema = StructType([StructField(c, StringType(), True) for c in columns])
+    missing or empty field is ``""`` rather than NULL. ``columns`` defaults to
+    every column of the header, in header order."""
     df = spark.read.options(**CSV_DIALECT).option("inferSchema", "false").csv(path)
+    columns = list(columns) if columns is not None else df.columns
+    schema = StructType([StructField(c, StringType(), True) for c in columns])
     return _by_header(df, schema).fillna("", subset=columns)
 
 

@@ -44,6 +44,9 @@ def test_dict_reader_empty_is_empty_string(spark, workdir):
     path = _write(f"{workdir}/dict", 'x,y,z\n1,,"q"\n2\n')
     rows = sorted(read_csv_rows(spark, path, ["x", "y", "z"]).collect())
     assert [tuple(r) for r in rows] == [("1", "", "q"), ("2", "", "")]
+    every = read_csv_rows(spark, path)
+    assert every.columns == ["x", "y", "z"] and sorted(map(tuple, every.collect())) == \
+        [("1", "", "q"), ("2", "", "")]
 
 
 def test_multiline_roundtrip_conversations(spark, workdir):
