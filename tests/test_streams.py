@@ -90,3 +90,14 @@ def test_publish_and_normalise_streams(spark, workdir):
                              checkpoint=f"{workdir}/ck2", trigger=ONCE, now=now))
     got = spark.read.text(f"{workdir}/msgs")
     assert _batch_set(got) == _batch_set(op.encode_rows(op.sse_to_messages(lines, now)))
+
+
+def test_archive_stream_with_salted_writers(spark, workdir):
+    now = "2025-01-01T12:34:56+00:00"
+    msgs = fixtures.tweet_messages(spark, SF)
+    land_lines(msgs, f"{workdir}/tweets")
+    _run(start_archive_job(spark, Endpoint(path=f"{workdir}/tweets"), f"{workdir}/archive",
+                           checkpoint=f"{workdir}/ck", trigger=ONCE, now=now, writers_per_minute=3))
+    back = spark.read.option("header", "true").option("escape", '"').csv(f"{workdir}/archive")
+    expect = op.archive_rows(msgs, now).select("minute", "author_id", "created_at", "text")
+    assert _batch_set(back.select("minute", "author_id", "created_at", "text")) == _batch_set(expect)
