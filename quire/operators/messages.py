@@ -12,14 +12,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from quire.functions import (
     archive_file_name, decode, encode, json_field, minute_key, now_iso, parse_once, python_text,
     null_to_empty, sse_payload,
 )
 from quire.schemas import (
-    ALLOWED_DOMAINS, PAGE_MESSAGE_SCHEMA, PROCESSED_MESSAGE_SCHEMA, TWEET_ARCHIVE_SCHEMA,
+    ALLOWED_DOMAINS, PAGE_MESSAGE_SCHEMA, PROCESSED_MESSAGE_SCHEMA,
 )
 
 # The SSE field carrying the event, and the outgoing fields.
@@ -27,28 +26,12 @@ SSE_DATA_FIELD = "data:"
 PROCESSED_FIELDS = ["user_id", "domain", "page_title", "created_at"]
 
 
-# Marks a record that is not a JSON object (set by the permissive parser).
-_CORRUPT = "_corrupt_record"
-
-
 def decode_messages(records: DataFrame, schema=PAGE_MESSAGE_SCHEMA,
-                    value_col: str = "value", objects_only: bool = False) -> DataFrame:
+                    value_col: str = "value") -> DataFrame:
     """Topic records -> typed columns (H7 binary->string, H8 permissive parse,
-    C12 struct expansion).
-
-    By default a malformed record gives an all-NULL row (the stream jobs'
-    predicates and key checks then drop it). ``objects_only=True`` instead
-    drops every record that is not a JSON object (broken text, arrays,
-    scalars, empty), as a consumer reading fields off a parsed dict must.
-    """
-    if not objects_only:
-        return records.select(parse_once(decode(value_col, schema)).alias("data")).select("data.*")
-    with_corrupt = StructType(schema.fields + [StructField(_CORRUPT, StringType(), True)])
-    data = F.col("data")
-    return (records.select(parse_once(decode(value_col, with_corrupt, corrupt_field=_CORRUPT))
-                           .alias("data"))
-                   .filter(data.isNotNull() & data[_CORRUPT].isNull())
-                   .select(*[data[f.name].alias(f.name) for f in schema.fields]))
+    C12 struct expansion). A malformed record gives an all-NULL row, which
+    the stream jobs' predicates and key checks then drop."""
+    return records.select(parse_once(decode(value_col, schema)).alias("data")).select("data.*")
 
 
 def filter_pages(messages: DataFrame, allowed_domains: Sequence[str] = ALLOWED_DOMAINS) -> DataFrame:
@@ -119,16 +102,25 @@ def publish_rows(rows: DataFrame, now: datetime | str | None = None) -> DataFram
     return encode_rows(stamp_messages(rows, now))
 
 
-def archive_rows(records: DataFrame, now: datetime | str | None = None) -> DataFrame:
+def archive_rows(records: DataFrame, now: datetime | str | None = None,
+                 value_col: str = "value") -> DataFrame:
     """Archiver transform: message -> (file_name, minute, author_id, created_at, text).
 
-    Missing fields become "" (C19). The minute comes from the message's own
-    stamp, so a late message lands in its older minute; a missing or bad
-    stamp falls back to the current minute (H18, H19). A record that is not a
-    JSON object is skipped (the reference's consumer would stop on it).
+    Missing or null fields become "" and other values are written as the
+    consumer's ``str()`` renders them (C19). The minute comes from the
+    message's own stamp, so a late message lands in its older minute; a
+    missing or bad stamp falls back to the current minute (H18, H19). A
+    record that is not a JSON object is skipped (the reference's consumer
+    would stop on it).
     """
-    msg = decode_messages(records, TWEET_ARCHIVE_SCHEMA, objects_only=True)
-    out = msg.select(*[null_to_empty(c).alias(c) for c in ("author_id", "created_at", "text")])
-    out = out.withColumn("minute", minute_key("created_at", now))
+    text = F.col(value_col).cast("string")
+    is_object = F.regexp_replace(text, r"^[ \t\n\r]+", "").startswith("{")
+    v = F.col("v")
+    msg = (records.filter(is_object)
+                  .select(parse_once(F.try_parse_json(text)).alias("v"))
+                  .filter(v.isNotNull())
+                  .select(*[F.coalesce(python_text(v, f"$.{c}"), F.lit("")).alias(c)
+                            for c in ("author_id", "created_at", "text")]))
+    out = msg.withColumn("minute", minute_key("created_at", now))
     return out.select(archive_file_name("minute").alias("file_name"), "minute",
                       "author_id", "created_at", "text")

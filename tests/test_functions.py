@@ -185,13 +185,15 @@ def test_wiki_filter_drops_null_and_text_bot_flags(spark):
 def test_archive_skips_non_objects(spark):
     from quire.operators import archive_rows
     recs = ['{"author_id":"a","created_at":"2024-01-01T00:00:00+00:00","text":"t"}', '{}',
-            '{broken', '[]', 'null', '', '5', '[{"author_id":"b"}]', '{"author_id":null,"text":7}']
+            '{broken', '[]', 'null', '', '5', '[{"author_id":"b"}]', '{"author_id":null,"text":7}',
+            ' \n {"author_id":true,"text":false}']
     df = spark.createDataFrame([(v,) for v in recs], "value string")
     got = [tuple(r) for r in archive_rows(df, now="2025-01-01T00:00:00+00:00")
            .select("author_id", "created_at", "text", "minute").collect()]
     assert got == [("a", "2024-01-01T00:00:00+00:00", "t", "01_01_2024_00_00"),
                    ("", "", "", "01_01_2025_00_00"),
-                   ("", "", "7", "01_01_2025_00_00")]
+                   ("", "", "7", "01_01_2025_00_00"),
+                   ("True", "", "False", "01_01_2025_00_00")]  # as csv writes str(True)
 
 
 def test_sse_payload_strips_like_python(spark):
