@@ -157,3 +157,50 @@ def test_event_lines_follow_the_generator(spark, events):
     df = spark.createDataFrame([(ln,) for ln in lines], "value string")
     got = [tuple(r)[:4] for r in sse_to_messages(df, now=now).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+_tweet_field = st.one_of(st.just("<missing>"), st.none(), st.booleans(), st.integers(-99, 99),
+                         st.text(alphabet='ab ,"\n', max_size=5))
+_tweet_stamp = st.one_of(st.just("<missing>"), st.none(), stamp_strategy, st.just("not-a-date"))
+_tweet = st.builds(lambda a, c, t: _obj(author_id=a, created_at=c, text=t),
+                   _tweet_field, _tweet_stamp, _tweet_field)
+
+
+@SETTINGS
+@given(msgs=st.lists(st.one_of(_tweet, st.just("<broken>"), st.just("<array>"), st.just("<blank>")),
+                     min_size=10, max_size=80))
+def test_archive_follows_the_consumer(spark, msgs):
+    import datetime as dt
+    import json
+
+    from quire.operators import archive_rows
+    now = "2025-01-01T12:34:56+00:00"
+    values = []
+    for m in msgs:
+        values.append({"<broken>": "{broken", "<array>": "[1]", "<blank>": ""}.get(m)
+                      if isinstance(m, str) else json.dumps(m))
+
+    def minute(created_at):
+        try:
+            return dt.datetime.fromisoformat(created_at).strftime("%d_%m_%Y_%H_%M")
+        except (ValueError, TypeError):  # decision: a non-text stamp also takes "now"
+            return dt.datetime.fromisoformat(now).strftime("%d_%m_%Y_%H_%M")
+
+    def cell(x):  # what csv.writer writes for a value
+        return "" if x is None else str(x)
+
+    want = []
+    for raw in values:  # the consumer's per-message rules
+        try:
+            tweet = json.loads(raw)
+        except json.JSONDecodeError:
+            continue  # decision: the consumer would stop here; we skip
+        if not isinstance(tweet, dict):
+            continue
+        a, c, t = tweet.get("author_id", ""), tweet.get("created_at", ""), tweet.get("text", "")
+        want.append((cell(a), cell(c), cell(t), minute(c if c is not None else "")))
+
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    got = [tuple(r) for r in archive_rows(df, now).select("author_id", "created_at", "text", "minute")
+           .collect()]
+    assert sorted(got) == sorted(want)
