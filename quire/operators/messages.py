@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import (
     archive_file_name, decode, encode, json_field, minute_key, now_iso, parse_once, python_text,
-    null_to_empty, sse_payload,
+    sse_payload,
 )
 from quire.schemas import (
     ALLOWED_DOMAINS, PAGE_MESSAGE_SCHEMA, PROCESSED_MESSAGE_SCHEMA,
