@@ -132,6 +132,8 @@ class KeyedTable:
         cols = [*spec.columns, BUCKET_COL, BATCH_COL]
         snap = self.snapshot()
         if snap is None:
+            if not self.batches():
+                raise FileNotFoundError(f"keyed table {spec.name} at {self.path} has no batches yet")
             return self.log().select(*cols)
         upto, snap_path = snap
         base = self.spark.read.parquet(snap_path).withColumn(BATCH_COL, F.lit(upto))

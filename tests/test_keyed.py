@@ -83,3 +83,11 @@ def test_connector_table_appends_through_a_format(spark, workdir):
     rows = spark.createDataFrame([("d", "t1", "u1", "A"), (None, "t2", "u2", "B")], COLS)
     assert t.write_batch(rows, 0) == {"rows": 1, "rejected": 1}
     assert [tuple(r) for r in t.read(domain="d").collect()] == [("d", "t1", "u1", "A")]
+
+
+def test_reading_an_empty_keyed_table_says_so(spark, workdir):
+    import pytest
+    t = KeyedTable(spark, f"{workdir}/nothing", PAGE_CREATIONS)
+    with pytest.raises(FileNotFoundError):
+        t.read()
+    assert t.compact() is None
