@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from check_oracle import TABLES, digest  # noqa: E402
+from check_oracle import TABLES, digest, type_mismatches  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,6 +35,7 @@ def test_query_matches_oracle(spark, con, name):
     o_cols = [d[0] for d in cur.description]
     o_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(o_cols)
+    assert type_mismatches(df.schema, cur.description) == {}
     assert len(rows) == len(o_rows)
     assert digest(df.columns, rows) == digest(o_cols, o_rows)
 
