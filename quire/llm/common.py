@@ -27,6 +27,13 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` plus column ``name``, computed once a row: a one-element explode,
+    through which the optimizer copies no expression into later lambdas,
+    filters or joins."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def number_rows(df: DataFrame, order: list[Column], col: str = "row_no") -> DataFrame:
     """``df`` (landed) with a gapless global row number from 0 in ``order``.
 

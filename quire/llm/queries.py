@@ -6,24 +6,65 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quire.llm import sharding, toxicity
+from quire.llm import decontaminate, jaccard_join, licenses, mixing, secret_scan, sharding, spotsigs, toxicity
+
+# Shares of the expected tokens by domain: language and quality label.
+TARGETS = {"en_1": 0.52, "de_1": 0.15, "fr_1": 0.15, "es_1": 0.10,
+           "en_0": 0.05, "de_0": 0.01, "fr_0": 0.01, "es_0": 0.01}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, domain`` of the labelled documents: language and quality label."""
+    known = labels.where("quality in (0, 1)").select("doc_id", "quality")
+    return (docs.select("doc_id", "lang").join(known, "doc_id")
+                .select("doc_id", F.concat(F.col("lang"), F.lit("_"), F.col("quality").cast("string")).alias("domain")))
+
+
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(_table(spark, sf_dir, "documents"),
+                                        jaccard_join.Params(k=4, num=85, den=100))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprint_edits(_table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return mixing.document_rates(docs, labelled_domains(docs, _table(spark, sf_dir, "labels")), TARGETS)
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(_table(spark, sf_dir, "documents"),
+                                    repo=F.concat_ws("/", "source", "lang"), owner=F.col("source"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_benchmark_passages(_table(spark, sf_dir, "documents"),
+                                                 _table(spark, sf_dir, "benchmark"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in [
-    op5_sharding, op10_toxicity,
+    op1_jaccard_join, op2_license_scan, op4_fingerprints, op5_sharding, op6_mixing, op7_secret_scan,
+    op8_decontamination, op10_toxicity,
 ]}
 
 ORACLE_SQL: dict[str, str] = {}
