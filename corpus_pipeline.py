@@ -5,25 +5,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import sharding, toxicity
+from quire.llm import decontaminate, jaccard_join, mixing, sharding, toxicity
+from quire.llm.queries import TARGETS, labelled_domains
 from quire.session import scratch_path
 
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under one half."""
-    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    model = toxicity.train(docs, labels)
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where("score < 0.5").select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by five-word shingles (similarity 0.8 or more) the
+    document with the smallest id."""
+    return jaccard_join.one_per_group(docs)
+
+
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of a benchmark item."""
+    return decontaminate.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its rate says, so that the expected tokens of
+    the domains meet the targets."""
+    return mixing.mixed_documents(docs, labelled_domains(docs, _table(spark, sf_dir, "labels")), TARGETS)
+
+
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shard and slot of every row the mix kept."""
     return sharding.shard_documents(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("sharding", assign_shards)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_benchmark_passages),
+    ("mixing to target weights", mix_domains),
+    ("sharding", assign_shards),
+]
 
 # The classifiers and alignments have no SQL form; tests hold every stage
 # against a brute-force version instead.
@@ -32,7 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each landed as Parquet and reread."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if i == len(STAGES) - 1:

@@ -24,7 +24,8 @@ sets ``A`` and ``B`` link when ``den * |A & B| >= num * |A | B|``.
   the order, all others first by hash. Any order gives the same links; this
   one keeps shared passages out of the lists.
 * **Long lists** are never expanded into all pairs. First every member is
-  compared with a leader and its neighbour, streaming. Members that the
+  compared with one of a few leaders and its neighbour, streaming, in a few
+  shuffled orders. Members that the
   resulting links leave in different components are then paired with each
   other, list by list, so no link between components is lost; pairs inside a
   component would not change the result.
@@ -56,7 +57,9 @@ class Params:
     den: int = 5
     hot: int = 16                 # reported count that makes a shingle frequent
     max_hot: int = 1 << 17
-    short_list: int = 48          # lists up to this length are paired in full
+    short_list: int = 8           # lists up to this length are paired in full
+    leaders: int = 3              # of a longer list, and the times it is shuffled
+    turns: int = 4
     list_cost: float = 8.0        # a list entry with its share of checks, in subsets
     max_small: int = 64           # histogram range in which the boundary is sought
 
@@ -212,8 +215,9 @@ def _may_link(n1, i1, n2, i2, p: Params):
 
 
 class _Pairs:
-    """Meets the members of each run of equal keys (rows sorted by key, kind,
-    size, fingerprint), with a bounded number of rows kept between batches.
+    """Meets the members of each run of equal keys (rows sorted by key and kind;
+    subsets then by size, lists by fingerprint), with a bounded number of rows
+    kept between batches.
 
     Rows out: kind 0 a link, kind 1 a candidate pair, kind 2 an entry of a
     long list (key in ``a``, fingerprint in ``b``, size and position)."""
@@ -221,105 +225,98 @@ class _Pairs:
     def __init__(self, p: Params):
         self.p = p
         self.out: list[tuple] = []
-        self.carry = None
-        self.long = False   # the carried run is a long list whose leader and last row are kept
+        self.carry = None      # rows of the run that is still open
+        self.long = False      # it is a long list, of which the last row is kept
 
     def emit(self, kind, a, b, n=None, pos=None):
         z = np.zeros(len(a), np.int32)
         self.out.append((np.full(len(a), kind, np.int8), a, b, z if n is None else n, z if pos is None else pos))
 
-    def star(self, key, n, pos, fp, known: int):
-        """A long list: leader and neighbour pairs; the first ``known`` rows were
-        entered before (the leader and the last row)."""
-        p = self.p
-        lead = 0
-        heads = np.zeros(len(n), np.int64)
-        while lead < len(n):
-            ok = _may_link(np.full(len(n) - lead, n[lead]), np.full(len(n) - lead, pos[lead]),
-                           n[lead:], pos[lead:], p)
-            ok[0] = True
-            bad = np.flatnonzero(~ok)
-            # the leader serves while sizes fit; rows that fail by position only keep it
-            unfit = np.flatnonzero(p.den * int(n[lead]) < p.num * n[lead:].astype(np.int64))
-            stop = lead + (int(unfit[0]) if len(unfit) else len(n) - lead)
-            heads[lead:stop] = lead
-            if len(bad):
-                heads[lead + bad[bad < stop - lead]] = -1
-            lead = stop
-        rows = np.arange(len(n))
-        use = (heads >= 0) & (heads != rows) & (rows >= known)
-        self.emit(1, fp[heads[use]], fp[rows[use]])
-        prev = np.flatnonzero((rows[1:] >= known)) + 1
-        ok = _may_link(n[prev - 1], pos[prev - 1], n[prev], pos[prev], p)
-        self.emit(1, fp[prev[ok] - 1], fp[prev[ok]])
-        new = rows >= known
-        self.emit(2, key[new], fp[new], n[new], pos[new])
-        last = int(heads[-1]) if heads[-1] >= 0 else int(max(heads.max(), 0))
-        return last
-
     def run(self, batches):
-        names = ["kind", "a", "b", "n", "pos"]
         for batch in batches:
             rows = [np.asarray(batch.column(c)) for c in range(5)]
             if self.carry is not None:
                 rows = [np.concatenate((x, y)) for x, y in zip(self.carry, rows)]
-            yield from self.take(rows, False, names)
+            yield from self.take(rows, False)
         if self.carry is not None:
-            yield from self.take(self.carry, True, names)
+            yield from self.take(self.carry, True)
 
-    def take(self, rows, final, names):
+    def take(self, rows, final):
         key, kind, n, pos, fp = rows
         same_run = (key[1:] == key[:-1]) & (kind[1:] == kind[:-1])
         fresh = np.r_[True, ~(same_run & (fp[1:] == fp[:-1]) & (n[1:] == n[:-1]))]
-        kept = 2 if self.long else 0
-        fresh[:kept] = True  # the leader may also be the last row
         key, kind, n, pos, fp = (x[fresh] for x in (key, kind, n, pos, fp))
         cut = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (kind[1:] != kind[:-1])])
         end = np.r_[cut[1:], len(key)]
-        if self.long:
-            cut[0] = 0
-        for r in range(len(cut)):
+        alone = end - cut == 1
+        self.carry = None
+        for r in np.flatnonzero(~alone | (np.arange(len(cut)) == len(cut) - 1) | (cut == 0)).tolist():
             a, b = int(cut[r]), int(end[r])
             open_end = r == len(cut) - 1 and not final
-            known = kept if r == 0 else 0
-            long = kind[a] == 1 and (b - a > self.p.short_list or known)
-            if open_end:
-                if kind[a] == 0:
-                    # subsets: the leader alone decides, links of the rest are made now
-                    self.links(n[a:b], pos[a:b], fp[a:b])
+            if kind[a] == 1 and (self.long or b - a > self.p.short_list):
+                first = a + self.long  # the carried row was told before
+                self.emit(2, key[first:b], fp[first:b], n[first:b], pos[first:b])
+                self.long = open_end
+                if open_end:
+                    self.carry = [x[b - 1:b] for x in (key, kind, n, pos, fp)]
+            elif kind[a] == 0:
+                # sets meeting at a subset link when the smaller size of the pair
+                # of sizes is among them
+                if n[a] == pos[a] and b - a > 1:
+                    self.emit(0, np.full(b - a - 1, fp[a]), fp[a + 1:b])
+                if open_end:
                     self.carry = [x[a:a + 1] for x in (key, kind, n, pos, fp)]
-                    self.long = False
-                elif long:
-                    lead = self.star(key[a:b], n[a:b], pos[a:b], fp[a:b], known) + a
-                    pick = [lead, b - 1]
-                    self.carry, self.long = [x[pick] for x in (key, kind, n, pos, fp)], True
-                else:
-                    self.carry, self.long = [x[a:b] for x in (key, kind, n, pos, fp)], False
-                break
-            if b - a > 1:
-                if kind[a] == 0:
-                    self.links(n[a:b], pos[a:b], fp[a:b])
-                elif long:
-                    self.star(key[a:b], n[a:b], pos[a:b], fp[a:b], known)
-                else:
-                    i, j = np.triu_indices(b - a, 1)
-                    i, j = i + a, j + a
-                    ok = _may_link(n[i], pos[i], n[j], pos[j], self.p)
-                    self.emit(1, fp[i[ok]], fp[j[ok]])
-        else:
-            self.carry, self.long = None, False
+            elif open_end:
+                self.carry = [x[a:b] for x in (key, kind, n, pos, fp)]
+            elif b - a > 1:
+                i, j = np.triu_indices(b - a, 1)
+                i, j = i + a, j + a
+                ok = _may_link(n[i], pos[i], n[j], pos[j], self.p)
+                self.emit(1, fp[i[ok]], fp[j[ok]])
         if self.out:
             cols = [np.concatenate(c) for c in zip(*self.out)]
             self.out = []
             keep = (cols[0] == 2) | (cols[1] != cols[2])
             if keep.any():
-                yield pa.record_batch([pa.array(c[keep]) for c in cols], names)
+                yield pa.record_batch([pa.array(c[keep]) for c in cols], ["kind", "a", "b", "n", "pos"])
 
-    def links(self, n, pos, fp):
-        """Sets meeting at a subset link when the smaller size of the pair of
-        sizes is among them; the run is sorted by size."""
-        if n[0] == pos[0] and len(n) > 1:
-            self.emit(0, np.full(len(n) - 1, fp[0]), fp[1:])
+
+def _stars(p: Params):
+    """Candidate pairs of long lists (rows key, turn, fp, n, pos, sorted by key,
+    turn and a shuffle of the fingerprints that depends on the turn): a member
+    meets the first of a few leaders that it may link with, else becomes a
+    leader while there are few; and it meets its neighbour. The shuffle is the
+    same in every list, so lists of one group tend to give the same pairs."""
+    def run(batches):
+        key = turn = last = None
+        leaders: list[tuple] = []
+        for batch in batches:
+            keys, turns, fp, n, pos = (np.asarray(batch.column(c)) for c in range(5))
+            out = []
+            cut = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (turns[1:] != turns[:-1])])
+            for a, b in zip(cut.tolist(), np.r_[cut[1:], len(keys)].tolist()):
+                if (keys[a], turns[a]) != (key, turn):
+                    key, turn, last, leaders = keys[a], turns[a], None, []
+                free = np.arange(a, b)
+                for i in range(p.leaders):
+                    if not len(free):
+                        break
+                    if i == len(leaders):
+                        leaders.append((n[free[0]], pos[free[0]], fp[free[0]]))
+                        free = free[1:]
+                    ln, lp, lf = leaders[i]
+                    ok = _may_link(np.full(len(free), ln), np.full(len(free), lp), n[free], pos[free], p)
+                    out.append((np.full(int(ok.sum()), lf), fp[free[ok]]))
+                    free = free[~ok]
+                first = last or (n[a], pos[a], fp[a])
+                before = [np.r_[[x], y[a:b - 1]] for x, y in zip(first, (n, pos, fp))]
+                ok = _may_link(before[0], before[1], n[a:b], pos[a:b], p)
+                out.append((before[2][ok], fp[a:b][ok]))
+                last = (n[b - 1], pos[b - 1], fp[b - 1])
+            u, v = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 2
+            pair = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)])[:, u != v], axis=1)
+            yield pa.record_batch([pa.array(pair[0]), pa.array(pair[1])], ["u", "v"])
+    return run
 
 
 def _paired(p: Params):
@@ -328,24 +325,27 @@ def _paired(p: Params):
     return run
 
 
+RANGES = 64
+
+
 def _carriers(k: int):
-    """(fp, shingles as bytes) of texts, one row for each set and block."""
+    """(fp, s, counts): the set's shingles as bytes, and how many of them lie in
+    each of equal ranges of the hash space."""
     def run(batches):
         for batch in batches:
             for _, _, data, offs in text_slices(batch.column(0)):
-                got = {}
-                for s in shingle_sets(data, offs, k):
-                    if len(s):
-                        got.setdefault(fingerprint(s), s)
-                yield pa.record_batch([pa.array(list(got), pa.int64()),
-                                       pa.array([s.tobytes() for s in got.values()], pa.binary())], ["fp", "s"])
+                sets = [s for s in shingle_sets(data, offs, k) if len(s)]
+                counts = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES).astype(np.int32)
+                          for s in sets]
+                yield pa.record_batch([pa.array([fingerprint(s) for s in sets], pa.int64()),
+                                       pa.array([s.tobytes() for s in sets], pa.binary()),
+                                       pa.array(counts, pa.list_(pa.int32()))], ["fp", "s", "counts"])
     return run
 
 
 def _verified(p: Params):
     def run(batches):
         for batch in batches:
-            a, b = batch.column(0), batch.column(1)
             keep = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
@@ -353,20 +353,27 @@ def _verified(p: Params):
                 both = n - len(np.unique(np.concatenate((x, y))))
                 keep[i] = (p.num + p.den) * both >= p.num * n
             keep = pa.array(keep)
-            yield pa.record_batch([a.filter(keep), b.filter(keep)], ["u", "v"])
+            yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["u", "v"])
     return run
 
 
-def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, p: Params) -> DataFrame:
-    """The pairs ``(u, v)`` of fingerprints that link, by their full sets."""
-    need = pairs.select(F.col("u").alias("fp")).union(pairs.select(F.col("v").alias("fp"))).distinct()
-    wanted = land(classes.join(need, "fp", "left_semi").select("th"), "jaccard-need")
-    texts = docs.join(wanted, F.xxhash64("text") == F.col("th"), "left_semi").select("text")
-    sets = land(texts.mapInArrow(_carriers(p.k), "fp long, s binary")
-                     .groupBy("fp").agg(F.first("s").alias("s")), "jaccard-sets")
-    first = pairs.join(sets.select(F.col("fp").alias("u"), F.col("s").alias("su")), "u")
-    both = first.join(sets.select(F.col("fp").alias("v"), F.col("s").alias("sv")), "v")
-    return both.select("u", "v", "su", "sv").mapInArrow(_verified(p), "u long, v long")
+def _alike(n1, n2, shared, p: Params):
+    """Whether sizes and a bound of the shared shingles allow a link."""
+    return F.lit(p.num + p.den) * shared >= F.lit(p.num) * (n1 + n2)
+
+
+def _counted(x, y):
+    """At most so many shingles are shared: the smaller count in each range."""
+    return F.aggregate(F.zip_with(x, y, lambda a, b: F.least(a, b)), F.lit(0), lambda t, c: t + c)
+
+
+def _verify(near: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """The pairs ``(u, v)`` of ``near`` that link by their full sets."""
+    need = near.select(F.explode(F.array("u", "v")).alias("fp")).distinct()
+    full = sets.select("fp", "s").join(need, "fp", "left_semi")
+    return (near.join(full.select(F.col("fp").alias("u"), F.col("s").alias("x")), "u")
+                .join(full.select(F.col("fp").alias("v"), F.col("s").alias("y")), "v")
+                .select("u", "v", "x", "y").mapInArrow(_verified(p), "u long, v long"))
 
 
 def link_components(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
@@ -397,32 +404,51 @@ def link_components(docs: DataFrame, params: Params = Params(), id_col: str = "d
         yield from _entries(*known.value, x, p)(batches)
 
     rows = src.select("text").mapInArrow(entries, ENTRY)
-    met = land(rows.repartition("key").sortWithinPartitions("key", "kind", "n", "fp")
+    met = land(rows.repartition("key")
+                   .sortWithinPartitions("key", "kind", F.when(F.col("kind") == 0, F.col("n")), "fp")
                    .mapInArrow(_paired(p), "kind byte, a long, b long, n int, pos int"), "jaccard-pairs")
-    ordered = [F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")]
-    sure = met.where("kind = 0").select(*ordered).distinct()
-    pairs = land(met.where("kind = 1").select(*ordered).distinct(), "jaccard-candidates")
-    links = land(sure.union(_verify(src, classes, pairs, p)), "jaccard-links")
-
-    long_lists = met.where("kind = 2").select(F.col("a").alias("key"), F.col("b").alias("fp"), "n", "pos")
-    if not long_lists.isEmpty():
-        found = connected_components(links)
-        member = (long_lists.join(found, F.col("fp") == F.col("node"), "left")
-                            .select("key", "fp", "n", "pos", F.coalesce("component", "fp").alias("c")))
-        member = land(member, "jaccard-long")
-        split = (member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-                       .where("lo != hi").select("key"))
-        member = member.join(split, "key")
-        one = member.select("key", *[F.col(c).alias(f"{c}1") for c in ("fp", "n", "pos", "c")])
-        two = member.select("key", *[F.col(c).alias(f"{c}2") for c in ("fp", "n", "pos", "c")])
-        left = F.least(F.expr("n1 - pos1"), F.expr("n2 - pos2"))
-        across = (one.join(two, "key").where("c1 < c2")
-                     .where(F.lit(p.den) * F.least("n1", "n2") >= F.lit(p.num) * F.greatest("n1", "n2"))
-                     .where(F.lit(p.num + p.den) * left >= F.lit(p.num) * (F.col("n1") + F.col("n2")))
-                     .select(F.least("fp1", "fp2").alias("u"), F.greatest("fp1", "fp2").alias("v")).distinct())
-        across = land(across.join(pairs, ["u", "v"], "left_anti"), "jaccard-across")
-        more = _verify(src, classes, across, p)
-        links = land(links.union(more), "jaccard-all-links")
+    sure = met.where("kind = 0").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    entry = met.where("kind = 2").select(F.col("a").alias("key"), F.col("b").alias("fp"), "n", "pos")
+    turns = F.explode(F.array(*[F.lit(t) for t in range(p.turns)]))
+    stars = (entry.withColumn("turn", turns).repartition("key", "turn")
+                  .sortWithinPartitions("key", "turn", F.when(F.col("turn") == 0, F.col("pos")),
+                                        F.xxhash64("fp", "turn"))
+                  .select("key", "turn", "fp", "n", "pos").mapInArrow(_stars(p), "u long, v long"))
+    short = met.where("kind = 1").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+    pairs = land(short.union(stars).distinct(), "jaccard-candidates")
+
+    # the sets of everything that may be compared, each fetched from one text
+    need = (pairs.select(F.explode(F.array("u", "v")).alias("fp")).union(entry.select("fp"))).distinct()
+    wanted = land(classes.join(need, "fp", "left_semi").select("th"), "jaccard-need")
+    texts = (src.withColumn("th", F.xxhash64("text")).join(wanted, "th", "left_semi")
+                .groupBy("th").agg(F.first("text").alias("text")).select("text"))
+    sets = land(texts.mapInArrow(_carriers(p.k), "fp long, s binary, counts array<int>"), "jaccard-sets")
+    size = F.aggregate("counts", F.lit(0), lambda t, c: t + c)
+    counts = sets.select("fp", "counts", size.alias("size"))
+    u, v = (counts.select(*[F.col(c).alias(f"{c}_{t}") for c in counts.columns]) for t in "uv")
+    near = (pairs.join(u, F.col("u") == F.col("fp_u"))
+                 .join(v, (F.col("v") == F.col("fp_v")) & _alike(
+                     F.col("size_u"), F.col("size_v"), _counted(F.col("counts_u"), F.col("counts_v")), p))
+                 .select("u", "v"))
+    links = land(sure.union(_verify(land(near, "jaccard-near"), sets, p)), "jaccard-links")
+
+    # members of long lists that are still in different components
+    found = connected_components(links)
+    member = land(entry.join(found, F.col("fp") == F.col("node"), "left")
+                       .select("key", "fp", "n", "pos", F.coalesce("component", "fp").alias("c")), "jaccard-long")
+    split = member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
+    member = land(member.join(split.select("key"), "key").join(sets.select("fp", "counts"), "fp"), "jaccard-split")
+    one, two = (member.select("key", *[F.col(c).alias(f"{c}{t}") for c in ("fp", "n", "pos", "c", "counts")])
+                for t in (1, 2))
+    left = F.least(F.expr("n1 - pos1"), F.expr("n2 - pos2"))
+    across = (one.join(two, (one["key"] == two["key"]) & (F.col("c1") < F.col("c2"))
+                       & (F.lit(p.den) * F.least("n1", "n2") >= F.lit(p.num) * F.greatest("n1", "n2"))
+                       & _alike(F.col("n1"), F.col("n2"), left, p)
+                       & _alike(F.col("n1"), F.col("n2"), _counted(F.col("counts1"), F.col("counts2")), p))
+                 .select(F.least("fp1", "fp2").alias("u"), F.greatest("fp1", "fp2").alias("v")).distinct())
+    across = land(across.join(pairs, ["u", "v"], "left_anti"), "jaccard-across")
+    links = land(found.select(F.col("node").alias("u"), F.col("component").alias("v"))
+                      .union(_verify(across, sets, p)), "jaccard-all-links")
 
     found = connected_components(links)
     text_set = survey.where("kind = 0").select(F.col("a").alias("th"), F.col("b").alias("fp"),

@@ -36,9 +36,8 @@ from quire.llm.common import land, once
 @dataclass(frozen=True)
 class Params:
     pull: float = 0.1             # weight of staying at rate 1
-    steps: int = 40
-    tolerance: float = 1e-3       # largest relative residual change that ends the steps
-    land_every: int = 8
+    steps: int = 24
+    tolerance: float = 5e-3       # largest relative residual change that ends the steps
     seed: int = 11
 
 
@@ -151,27 +150,27 @@ class Mix:
     reached: list[float]
     pull: float
 
-    def step(self, rate: Column, p: list[Column], residual: list[float]) -> Column:
-        eta = 1 / (1 + self.pull)
-        g = sum((x * F.lit(e) for x, e in zip(p, residual)), F.lit(0.0))
-        return F.greatest(F.lit(0.0), rate * F.lit(1 - eta * self.pull) - (g - F.lit(self.pull)) * F.lit(eta))
-
-    def rate(self, p: Column) -> Column:
-        """Rate of a document with posteriors ``p`` (array)."""
+    def rate(self, p: list[Column]) -> Column:
+        """Rate of a document with posteriors ``p``: all steps taken from 1."""
         if not self.residuals:
             return F.lit(1.0)
         eta = 1 / (1 + self.pull)
         history = F.array(*[F.lit([float(x) for x in e]) for e in self.residuals])
-        dot = lambda e: F.aggregate(F.zip_with(p, e, lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-        return F.aggregate(history, F.lit(1.0), lambda r, e: F.greatest(
-            F.lit(0.0), r * F.lit(1 - eta * self.pull) - (dot(e) - F.lit(self.pull)) * F.lit(eta)))
+
+        def step(r, e):
+            g = F.lit(-self.pull)
+            for d, x in enumerate(p):
+                g = g + x * e[d]
+            return F.greatest(F.lit(0.0), r * F.lit(1 - eta * self.pull) - g * F.lit(eta))
+
+        return F.aggregate(history, F.lit(1.0), step)
 
 
 def solve(members: DataFrame, posterior: Posterior, targets: dict[str, float], params: Params) -> Mix:
     """Projected-gradient rates for ``members`` (``_tokens``, ``_p``)."""
     dims = range(len(posterior.domains))
     flat = land(members.select(F.col("_tokens").cast("double").alias("w"),
-                               *[F.col("_p")[d].alias(f"p{d}") for d in dims], F.lit(1.0).alias("r")), "mix")
+                               *[F.col("_p")[d].alias(f"p{d}") for d in dims]), "mix")
     ps = [F.col(f"p{d}") for d in dims]
     total = flat.agg(F.sum("w")).first()[0] or 0.0
     if not total:
@@ -183,16 +182,15 @@ def solve(members: DataFrame, posterior: Posterior, targets: dict[str, float], p
         wanted = natural
     wanted = [x / sum(wanted) for x in wanted]
     mix = Mix(posterior, natural, wanted, [], natural, params.pull)
-    rate, since, last = F.col("r"), 0, None
+    last = None
     for _ in range(params.steps):
         residual = [(x - t) / max(s, 1e-6) for x, t, s in zip(mix.reached, wanted, natural)]
         if last is not None and max(abs(a - b) for a, b in zip(residual, last)) < params.tolerance:
             break
         mix.residuals.append(residual)
-        last, since, rate = residual, since + 1, mix.step(rate, ps, residual)
-        if since == params.land_every:
-            flat, rate, since = land(flat.withColumn("r", rate), "mix"), F.col("r"), 0
-        row = flat.agg(*[F.sum(F.col("w") * rate * p).alias(f"s{d}") for d, p in enumerate(ps)]).first()
+        last = residual
+        moved = once(flat, "r", mix.rate(ps))
+        row = moved.agg(*[F.sum(F.col("w") * F.col("r") * p).alias(f"s{d}") for d, p in enumerate(ps)]).first()
         mix.reached = [x / total for x in row]
     return mix
 
@@ -222,7 +220,8 @@ def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
     members, mix = domain_mix(docs, labelled, targets, params)
     names = F.array(*[F.lit(d) for d in mix.posterior.domains])
     top = F.element_at(names, F.array_position("_p", F.array_max("_p")).cast("int"))
-    return (members.withColumn("rate", mix.rate(F.col("_p")))
+    p = [F.col("_p")[d] for d in range(len(mix.posterior.domains))]
+    return (once(members, "rate", mix.rate(p))
                    .select("doc_id", F.col("_tokens").alias("n_tokens"), top.alias("domain"),
                            F.col("_p").alias("posterior"), "rate",
                            copies(F.col("rate"), [F.col("doc_id"), F.col("_h")], params.seed).alias("copies")))
@@ -233,7 +232,8 @@ def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, flo
     """The documents (all columns as they are), each as often as its copies.
     Rates are a function of a row's own text, so rows pass through in place."""
     _, mix = domain_mix(docs, labelled, targets, params, id_col, text_col)
-    rated = once(mix.posterior.added(with_bins(docs, text_col)), "_r", mix.rate(F.col("_p")))
+    p = [F.col("_p")[d] for d in range(len(mix.posterior.domains))]
+    rated = once(mix.posterior.added(with_bins(docs, text_col)), "_r", mix.rate(p))
     n = copies(F.col("_r"), [F.col(f"`{id_col}`"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))],
                params.seed)
     return (once(rated, "_n", n).where("_n > 0")

@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import decontaminate, jaccard_join, licenses, mixing, secret_scan, sharding, spotsigs, toxicity
+from quire.llm import (
+    decontaminate, jaccard_join, licenses, line_dedup, mixing, secret_scan, sharding, spotsigs, substring_dedup, toxicity,
+)
 
 # Shares of the expected tokens by domain: language and quality label.
 TARGETS = {"en_1": 0.52, "de_1": 0.15, "fr_1": 0.15, "es_1": 0.10,
@@ -35,6 +37,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
@@ -58,13 +64,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  _table(spark, sf_dir, "benchmark"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in [
-    op1_jaccard_join, op2_license_scan, op4_fingerprints, op5_sharding, op6_mixing, op7_secret_scan,
-    op8_decontamination, op10_toxicity,
+    op1_jaccard_join, op2_license_scan, op3_line_dedup, op4_fingerprints, op5_sharding, op6_mixing, op7_secret_scan,
+    op8_decontamination, op9_substring_dedup, op10_toxicity,
 ]}
 
 ORACLE_SQL: dict[str, str] = {}
