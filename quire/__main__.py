@@ -35,17 +35,30 @@ def _options(pairs: list[str] | None) -> dict:
 def _endpoint(args, role: str) -> Endpoint:
     topic, path = getattr(args, f"{role}_topic"), getattr(args, f"{role}_path")
     if topic:
-        return Endpoint("kafka", topic=topic,
-                        options={"kafka.bootstrap.servers": args.broker, **_options(args.option)})
-    if not path:
+        end = Endpoint("kafka", topic=topic,
+                       options={"kafka.bootstrap.servers": args.broker, **_options(args.option)})
+    elif path:
+        end = Endpoint(path=path)
+    else:
         raise SystemExit(f"give --{role}-topic or --{role}-path")
-    return Endpoint(path=path)
+    if role == "source":
+        end.starting_offsets, end.max_per_trigger = args.starting_offsets, args.max_per_trigger
+    return end
+
+
+class _Printed(list):
+    """Batch counts, printed as they come and not kept."""
+
+    def append(self, counts):
+        print(json.dumps(counts), flush=True)
 
 
 def _stream_args(p: argparse.ArgumentParser, source: bool = True, sink: bool = True) -> None:
     if source:
         p.add_argument("--source-topic")
         p.add_argument("--source-path")
+        p.add_argument("--starting-offsets", help="earliest, latest or a JSON of offsets")
+        p.add_argument("--max-per-trigger", type=int, help="offsets or files a micro-batch takes at most")
     if sink:
         p.add_argument("--sink-topic")
         p.add_argument("--sink-path")
@@ -61,15 +74,15 @@ def main(argv: list[str] | None = None) -> int:
     sub = ap.add_subparsers(dest="job", required=True)
 
     p = sub.add_parser("document-store", help="reviews CSV -> 3 marts, replaced whole")
-    p.add_argument("csv")
+    p.add_argument("csv", nargs="+", help="files or patterns with the same header")
     p.add_argument("out")
     p.add_argument("--format", default="parquet")
     p.add_argument("--option", action="append")
 
     p = sub.add_parser("keyed-tables", help="reviews CSV -> keyed review tables + leaderboards")
-    p.add_argument("csv")
+    p.add_argument("csv", nargs="+", help="files or patterns with the same header")
     p.add_argument("root")
-    p.add_argument("--batch-id", type=int, default=0)
+    p.add_argument("--batch-id", type=int, help="replay this batch (default: add a new one)")
     p.add_argument("--store-format")
     p.add_argument("--store-option", action="append")
 
@@ -85,9 +98,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--store-format")
     p.add_argument("--store-option", action="append")
     p.add_argument("--compact-every", type=int)
+    p.add_argument("--rejects-path", help="where rows with a null key column are kept")
     p = sub.add_parser("archive", help="tweet messages -> per-minute CSV files")
     _stream_args(p, sink=False)
     p.add_argument("out")
+    p.add_argument("--writers-per-minute", type=int, default=1)
 
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"quire-{args.job}").getOrCreate()
@@ -117,14 +132,14 @@ def main(argv: list[str] | None = None) -> int:
             table = ConnectorTable(spark, PAGE_CREATIONS, args.store_format,
                                    {"table": PAGE_CREATIONS.name, **_options(args.store_option)})
         elif args.table_path:
-            table = KeyedTable(spark, args.table_path, PAGE_CREATIONS)
+            table = KeyedTable(spark, args.table_path, PAGE_CREATIONS, args.rejects_path)
         else:
             raise SystemExit("give --table-path or --store-format")
         q = start_load_job(spark, _endpoint(args, "source"), table, args.checkpoint, trigger,
-                           compact_every=args.compact_every)
+                           metrics=_Printed(), compact_every=args.compact_every)
     else:
         q = start_archive_job(spark, _endpoint(args, "source"), args.out, args.checkpoint,
-                              trigger)
+                              trigger, writers_per_minute=args.writers_per_minute)
     q.awaitTermination()
     return 0
 

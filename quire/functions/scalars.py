@@ -40,7 +40,7 @@ def lenient_int(c: ColumnLike) -> Column:
 
 
 # ISO calendar date text with a four-digit year.
-_ISO_DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
+_ISO_DATE_TEXT = r"^\d{4}-\d{2}-\d{2}\z"
 
 
 def strict_date(c: ColumnLike, fmt: str = "yyyy-MM-dd") -> Column:
@@ -68,8 +68,7 @@ def to_text(c: ColumnLike) -> Column:
     return _col(c).cast("string")
 
 
-# ISO-8601 text of a UTC instant with microseconds and an explicit offset.
-_ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# ISO-8601 text of a UTC instant has microseconds and an explicit offset.
 _ISO_UTC_SUFFIX = "+00:00"
 
 
@@ -89,8 +88,13 @@ def utc_wall_clock(ts: Column) -> Column:
 
 
 def iso_utc(ts: Column) -> Column:
-    """TIMESTAMP_NTZ (UTC wall clock) -> ISO text with ``+00:00``."""
-    return F.concat(F.date_format(ts, _ISO_PATTERN), F.lit(_ISO_UTC_SUFFIX))
+    """TIMESTAMP_NTZ (UTC wall clock) -> ISO text with ``+00:00``.
+
+    Taken from the stamp's own text, which knows no zone (a formatter would
+    shift wall clocks that the session's zone skips)."""
+    text = ts.cast("string")
+    return F.concat(F.replace(F.substring(text, 1, 19), F.lit(" "), F.lit("T")), F.lit("."),
+                    F.rpad(F.substring(text, 21, 6), 6, "0"), F.lit(_ISO_UTC_SUFFIX))
 
 
 def now_iso(now: datetime | str | None = None) -> Column:
@@ -109,7 +113,7 @@ def now_iso(now: datetime | str | None = None) -> Column:
 _HMS = r"(:[0-5]\d(:[0-5]\d)?|[0-5]\d([0-5]\d)?)?"
 _ISO_SHAPE = (r"^(?!0000)\d{4}-(0[1-9]|1[0-2])-\d{2}"
               r"(.([01]\d|2[0-3])" + _HMS + r"([.,]\d+|[^Z+-](?=[Z+-]))?"
-              r"(Z|[+-]([01]\d|2[0-3])" + _HMS + r"([.,]\d+)?)?)?$")
+              r"(Z|[+-]([01]\d|2[0-3])" + _HMS + r"([.,]\d+)?)?)?\z")
 
 
 def is_iso_datetime(c: ColumnLike) -> Column:
@@ -159,5 +163,5 @@ _PY_SPACE = r"[\s\x1c-\x1f]"
 
 def sse_payload(line: ColumnLike) -> Column:
     """Text after the ``data:`` field name, surrounding whitespace removed."""
-    return F.regexp_replace(F.substring(_col(line), 6, 1 << 30),
+    return F.regexp_replace(F.substr(_col(line), F.lit(6)),
                             f"(?U)^{_PY_SPACE}+|{_PY_SPACE}+$", "")

@@ -2,7 +2,7 @@
 
 Appending to a keyed store replaces the row with the same primary key: last
 write wins. Here that is a group-by on the key keeping, per key, the row with
-the greatest ``(order..., rest...)`` struct via ``max_by``. ``max_by`` is a
+the greatest ``(order..., rest...)`` struct via ``max``, one payload a row. ``max`` is a
 declarative aggregate with a partial (map-side) step, so a key holding a
 third of all rows is reduced to one row per map task before the shuffle; no
 task ever sorts or holds a whole key group.
@@ -23,12 +23,6 @@ def null_key(key: Sequence[str]) -> Column:
     return cond
 
 
-def split_null_keys(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with a complete key, rows a keyed store would reject)."""
-    bad = null_key(key)
-    return df.filter(~bad), df.filter(bad)
-
-
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column] = (),
                    drop_null_keys: bool = True) -> DataFrame:
     """One row per ``key``: the last write.
@@ -43,10 +37,13 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Colu
     rest = [c for c in df.columns if c not in key]
     if not rest:
         return df.dropDuplicates(key)
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    payload = F.struct(*[F.col(c) for c in rest])
-    rank = F.struct(*order_cols, payload) if order_cols else payload
+    # order columns first; one that is also a payload column stands once
+    named = [c for c in order if isinstance(c, str) and c in rest]
+    ranks = [F.col(c) if isinstance(c, str) else c for c in order if not (isinstance(c, str) and c in key)]
+    ranks = [r if n in named else r.alias(f"__order{i}")
+             for i, (r, n) in enumerate(zip(ranks, [c for c in order if not (isinstance(c, str) and c in key)]))]
+    row = F.struct(*ranks, *[F.col(c) for c in rest if c not in named])
     return (df.groupBy(*key)
-              .agg(F.max_by(payload, rank).alias("__latest"))
+              .agg(F.max(row).alias("__latest"))
               .select(*key, *[F.col(f"__latest.{c}").alias(c) for c in rest])
               .select(*df.columns))

@@ -58,6 +58,19 @@ def decode_processed(records: DataFrame) -> DataFrame:
     return decode_messages(records, PROCESSED_MESSAGE_SCHEMA)
 
 
+# Python's json.loads takes repeated names (the last counts) and NaN, and has no
+# size limit; the variant parser refuses these. Such a record is parsed again by
+# name, with the fields as variants, then (fields over the variant limit) as text.
+_LENIENT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": "_bad"}
+
+
+def _again(text, fields: str):
+    """The named fields of a JSON object; NULL for malformed text."""
+    got = F.from_json(text, f"{fields}, _bad string", _LENIENT)
+    whole = F.regexp_replace(text, r"[ \t\n\r]+\z", "").endswith("}")
+    return F.when(whole & got.isNotNull() & got["_bad"].isNull(), got)
+
+
 def sse_to_messages(lines: DataFrame, now: datetime | str | None = None,
                     line_col: str = "value") -> DataFrame:
     """Server-sent-event lines -> flat page messages.
@@ -71,17 +84,28 @@ def sse_to_messages(lines: DataFrame, now: datetime | str | None = None,
     line = F.col(line_col)
     payload = sse_payload(line)
     # valid JSON that starts with "{" is an object: no need to inspect its schema
+    v = F.try_parse_json(payload)
+    by_name = ("performer struct<user_id: {0}, user_is_bot: {1}>, meta struct<domain: {0}>, page_title {0}")
     parsed = (lines.filter(line.startswith(SSE_DATA_FIELD) & payload.startswith("{"))
-                   .select(parse_once(F.try_parse_json(payload)).alias("v"))
-                   .filter(F.col("v").isNotNull()))
-    v = F.col("v")
+                   .select(parse_once(F.struct(
+                       v.alias("v"), F.when(v.isNull(), _again(payload, by_name.format("variant", "variant"))).alias("g"),
+                       F.when(v.isNull(), _again(payload, by_name.format("string", "boolean"))).alias("s"))).alias("r"))
+                   .select("r.*").filter("v is not null or g is not null or s is not null"))
+    v, g, s = F.col("v"), F.col("g"), F.col("s")
     empty = F.lit("")
+
+    def pick(of_variant, path, of_text):
+        """The field from whichever parse has the record."""
+        return (F.when(v.isNotNull(), of_variant(v, "$." + path)).when(g.isNotNull(), of_variant(g[path] if "." not in path
+                else g[path.split(".")[0]][path.split(".")[1]], "$")).otherwise(of_text))
+
+    flag = lambda x, p: json_field(x, p, "boolean", F.lit(False), strict_type="BOOLEAN")
+    field = lambda x, p: json_field(x, p, "string", empty)
     return parsed.select(
-        F.coalesce(python_text(v, "$.performer.user_id"), empty).alias("user_id"),
-        json_field(v, "$.performer.user_is_bot", "boolean", F.lit(False),
-                   strict_type="BOOLEAN").alias("user_is_bot"),
-        json_field(v, "$.meta.domain", "string", empty).alias("domain"),
-        json_field(v, "$.page_title", "string", empty).alias("page_title"),
+        F.coalesce(pick(python_text, "performer.user_id", s["performer"]["user_id"]), empty).alias("user_id"),
+        pick(flag, "performer.user_is_bot", F.coalesce(s["performer"]["user_is_bot"], F.lit(False))).alias("user_is_bot"),
+        pick(field, "meta.domain", F.coalesce(s["meta"]["domain"], empty)).alias("domain"),
+        pick(field, "page_title", F.coalesce(s["page_title"], empty)).alias("page_title"),
         now_iso(now).alias("created_at"),
     )
 
@@ -115,12 +139,16 @@ def archive_rows(records: DataFrame, now: datetime | str | None = None,
     """
     text = F.col(value_col).cast("string")
     is_object = F.regexp_replace(text, r"^[ \t\n\r]+", "").startswith("{")
-    v = F.col("v")
-    msg = (records.filter(is_object)
-                  .select(parse_once(F.try_parse_json(text)).alias("v"))
-                  .filter(v.isNotNull())
-                  .select(*[F.coalesce(python_text(v, f"$.{c}"), F.lit("")).alias(c)
-                            for c in ("author_id", "created_at", "text")]))
+    names = ("author_id", "created_at", "text")
+    v = F.try_parse_json(text)
+    again = [F.when(v.isNull(), _again(text, ", ".join(f"{c} {t}" for c in names))).alias(a)
+             for a, t in (("g", "variant"), ("s", "string"))]
+    parsed = (records.filter(is_object).select(parse_once(F.struct(v.alias("v"), *again)).alias("r")).select("r.*")
+                     .filter("v is not null or g is not null or s is not null"))
+    v, g, s = F.col("v"), F.col("g"), F.col("s")
+    msg = parsed.select(*[F.coalesce(
+        F.when(v.isNotNull(), python_text(v, f"$.{c}")).when(g.isNotNull(), python_text(g[c], "$")).otherwise(s[c]),
+        F.lit("")).alias(c) for c in names])
     out = msg.withColumn("minute", minute_key("created_at", now))
     return out.select(archive_file_name("minute").alias("file_name"), "minute",
                       "author_id", "created_at", "text")

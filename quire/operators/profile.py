@@ -3,14 +3,11 @@
 The reference counts every stage with an extra action (a full re-scan each).
 Here a running job attaches an :class:`Observation` to the write it does
 anyway, and the counts arrive with that single pass. For a query that must
-return the counts as a table, :func:`stage_counts` unions one-row aggregates;
-the shared input subplans are planned once (exchange reuse).
+return the counts as a table, :func:`review_stage_counts` takes them all in one pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -26,16 +23,6 @@ def profile(df: DataFrame) -> DataFrame:
         F.lit(df.schema.simpleString()).alias("schema"))
 
 
-def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """(stage, n_rows) for each named DataFrame."""
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
-             for name, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that is filled by whatever action runs ``df``."""
     obs = Observation(name)

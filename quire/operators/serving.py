@@ -62,7 +62,7 @@ def reviews_of_customer(reviews_by_customer: DataFrame, customer_id: str) -> Dat
 def _top(df: DataFrame, order: list[Column], columns: list[str], n: int) -> DataFrame:
     # orderBy + limit plans as TakeOrderedAndProject: each task keeps its own
     # top n, only n rows per task reach the final merge.
-    return df.orderBy(*order).limit(check_n(n)).select(*columns)
+    return df.orderBy(*order).limit(n).select(*columns)
 
 
 def top_products(items_by_period: DataFrame, period: str, n: int = TOP_N_DEFAULT) -> DataFrame:
@@ -70,14 +70,14 @@ def top_products(items_by_period: DataFrame, period: str, n: int = TOP_N_DEFAULT
     df = items_by_period.where(F.col("period") == F.lit(period))
     return _top(df, [F.col("review_count").desc(), F.col("product_id").asc(),
                      F.col("product_title").asc()],
-                ["product_id", "product_title", "review_count"], n)
+                ["product_id", "product_title", "review_count"], check_n(n))
 
 
 def top_customers(customers_by_period: DataFrame, period: str, n: int = TOP_N_DEFAULT) -> DataFrame:
     """Most active customers of a period: count DESC, id ASC."""
     df = customers_by_period.where(F.col("period") == F.lit(period))
     return _top(df, [F.col("review_count").desc(), F.col("customer_id").asc()],
-                ["customer_id", "review_count"], n)
+                ["customer_id", "review_count"], check_n(n))
 
 
 def top_by_sentiment(sentiment_by_period: DataFrame, period: str, sentiment: str,
@@ -85,7 +85,7 @@ def top_by_sentiment(sentiment_by_period: DataFrame, period: str, sentiment: str
     df = sentiment_by_period.where((F.col("period") == F.lit(period))
                                    & (F.col("sentiment") == F.lit(sentiment)))
     return _top(df, [F.col("review_count").desc(), F.col("customer_id").asc()],
-                ["customer_id", "review_count"], n)
+                ["customer_id", "review_count"], check_n(n))
 
 
 def top_haters(sentiment_by_period: DataFrame, period: str, n: int = TOP_N_DEFAULT) -> DataFrame:
@@ -106,7 +106,7 @@ def top_n_per_group(df: DataFrame, group: list[str], order: list[Column], n: int
     """
     w = Window.partitionBy(*group).orderBy(*order)
     return (df.withColumn(rank_col, F.row_number().over(w))
-              .where(F.col(rank_col) <= F.lit(check_n(n))))
+              .where(F.col(rank_col) <= F.lit(n)))
 
 
 def top_products_all_periods(items_by_period: DataFrame, n: int = TOP_N_DEFAULT) -> DataFrame:

@@ -14,28 +14,30 @@ from pyspark.sql import functions as F
 
 from quire import operators as op
 from quire.schemas import (
-    REVIEWS_BY_CUSTOMER, REVIEWS_BY_PRODUCT, TOP_CUSTOMERS_SCHEMA, TOP_ITEMS_SCHEMA,
-    TOP_SENTIMENT_SCHEMA,
+    REVIEWS_BY_CUSTOMER, REVIEWS_BY_PRODUCT, TOP_CUSTOMERS_BY_PERIOD, TOP_CUSTOMERS_SCHEMA,
+    TOP_ITEMS_BY_PERIOD, TOP_ITEMS_SCHEMA, TOP_SENTIMENT_BY_PERIOD, TOP_SENTIMENT_SCHEMA,
 )
-from quire.session import scratch_path
+from quire.functions import period_of
+from quire.session import discard, scratch_path
 from quire.sinks import (
     ConnectorTable, KeyedTable, read_partitioned, replace_partitions, write_documents,
 )
 from quire.sources import read_reviews_csv
 
 
-def _land_clean(spark: SparkSession, reviews_path: str, keep_unparsed_dates: bool,
-                work_path: str | None) -> tuple[DataFrame, dict]:
+FILE_FORMATS = ("parquet", "orc", "json", "csv")
+
+
+def _land_clean(spark: SparkSession, reviews_path: str, keep_unparsed_dates: bool, path: str) -> tuple[DataFrame, dict]:
     raw, raw_obs = op.observed(read_reviews_csv(spark, reviews_path), "raw_rows")
     clean, clean_obs = op.observed(op.clean_reviews(raw, keep_unparsed_dates=keep_unparsed_dates),
                                    "clean_rows")
-    path = work_path or scratch_path(spark, "clean-reviews")
     clean.write.mode("overwrite").parquet(path)
     counts = {"raw": raw_obs.get["rows"], "clean": clean_obs.get["rows"]}
     return spark.read.parquet(path), counts
 
 
-def document_store_job(spark: SparkSession, reviews_path: str, out_root: str,
+def document_store_job(spark: SparkSession, reviews_path: str | list[str], out_root: str,
                        format: str = "parquet", options: dict | None = None,
                        work_path: str | None = None) -> dict:
     """Reviews CSV -> clean (bad dates kept) -> 3 marts, each replaced whole.
@@ -43,7 +45,8 @@ def document_store_job(spark: SparkSession, reviews_path: str, out_root: str,
     With a connector ``format`` the collection name is added to ``options``.
     Returns the stage row counts.
     """
-    clean, counts = _land_clean(spark, reviews_path, True, work_path)
+    landed = work_path or scratch_path(spark, "clean-reviews")
+    clean, counts = _land_clean(spark, reviews_path, True, landed)
     marts = {
         "product_stats": op.product_stats(clean),
         "customer_stats": op.customer_stats(clean),
@@ -55,46 +58,65 @@ def document_store_job(spark: SparkSession, reviews_path: str, out_root: str,
     for name, df in marts.items():
         df, obs = op.observed(df, name)
         opts = dict(options or {})
-        if format not in ("parquet", "orc", "json", "csv"):
+        if format not in FILE_FORMATS:
             opts.setdefault("collection", name)
-        write_documents(df, f"{out_root.rstrip('/')}/{name}", format, opts)
+        target = f"{out_root.rstrip('/')}/{name}" if format in FILE_FORMATS else None
+        write_documents(df, target, format, opts)
         counts[name] = obs.get["rows"]
+    if not work_path:
+        discard(spark, landed)
     return counts
 
 
-def keyed_tables_job(spark: SparkSession, reviews_path: str, root: str, batch_id: int = 0,
+def keyed_tables_job(spark: SparkSession, reviews_path: str | list[str], root: str, batch_id: int | None = None,
                      work_path: str | None = None, store_format: str | None = None,
                      store_options: dict | None = None) -> dict:
     """Reviews CSV -> clean (bad dates dropped) -> 2 keyed review tables
     (upsert) and 3 per-period leaderboards (periods replaced whole).
 
+    Every run adds a batch of its own, so a second feed adds to the first;
+    giving the ``batch_id`` of an earlier run replays it. The boards of the
+    periods in the feed are recomputed from the whole review tables (collapsed
+    to one row a key), so they count all feeds and follow corrections.
+
     Tables are Parquet under ``root``; with ``store_format`` (a keyed-store
-    connector) the two review tables go to that store instead, the table
-    name added to ``store_options``.
+    connector) all five go to that store instead, the table name added to
+    ``store_options``. Such a store keeps board rows of counts that have
+    changed; serving takes the largest count of an id.
     """
     root = root.rstrip("/")
-    clean, counts = _land_clean(spark, reviews_path, False, work_path)
-    for spec in (REVIEWS_BY_PRODUCT, REVIEWS_BY_CUSTOMER):
+    landed = work_path or scratch_path(spark, "clean-reviews")
+    clean, counts = _land_clean(spark, reviews_path, False, landed)
+
+    def table(spec):
         if store_format:
-            table = ConnectorTable(spark, spec, store_format,
-                                   {**(store_options or {}), "table": spec.name})
-        else:
-            table = KeyedTable(spark, f"{root}/{spec.name}", spec)
-        res = table.write_batch(clean, batch_id)
+            return ConnectorTable(spark, spec, store_format, {**(store_options or {}), "table": spec.name})
+        return KeyedTable(spark, f"{root}/{spec.name}", spec)
+
+    stored = {}
+    for spec in (REVIEWS_BY_PRODUCT, REVIEWS_BY_CUSTOMER):
+        res = table(spec).write_batch(clean, batch_id, replay=batch_id is not None)
         counts[spec.name] = res["rows"]
         counts[f"{spec.name}_rejected"] = res["rejected"]
+        stored[spec.name] = table(spec).read().withColumn("period", period_of("review_date"))
+    touched = clean.select("period").distinct()
+    items, people = (stored[spec.name].join(touched, "period", "left_semi")
+                     for spec in (REVIEWS_BY_PRODUCT, REVIEWS_BY_CUSTOMER))
     boards = [
-        ("top_reviewed_items_by_period", op.items_by_period(clean), ["period"],
-         [F.col("review_count").desc(), F.col("product_id")]),
-        ("top_customers_by_period", op.customers_by_period(clean), ["period"],
-         [F.col("review_count").desc(), F.col("customer_id")]),
-        ("top_sentiment_by_period", op.sentiment_by_period(clean), ["period", "sentiment"],
-         [F.col("review_count").desc(), F.col("customer_id")]),
+        (TOP_ITEMS_BY_PERIOD, op.items_by_period(items), [F.col("product_id")]),
+        (TOP_CUSTOMERS_BY_PERIOD, op.customers_by_period(people), [F.col("customer_id")]),
+        (TOP_SENTIMENT_BY_PERIOD, op.sentiment_by_period(people), [F.col("sentiment"), F.col("customer_id")]),
     ]
-    for name, df, parts, order in boards:
-        df, obs = op.observed(df, name)
-        replace_partitions(df, f"{root}/{name}", parts, order)
-        counts[name] = obs.get["rows"]
+    for spec, df, order in boards:
+        if store_format:
+            counts[spec.name] = table(spec).write_batch(df)["rows"]
+            continue
+        df, obs = op.observed(df, spec.name)
+        # by period alone, so a sentiment that has lost all its rows goes too
+        replace_partitions(df, f"{root}/{spec.name}", ["period"], [F.col("review_count").desc(), *order])
+        counts[spec.name] = obs.get["rows"]
+    if not work_path:
+        discard(spark, landed)
     return counts
 
 
@@ -115,8 +137,17 @@ class ReviewServing:
         self.by_product = table(REVIEWS_BY_PRODUCT)
         self.by_customer = table(REVIEWS_BY_CUSTOMER)
 
+        self._store = (store_format, store_options)
+
     def _board(self, name, schema):
-        return read_partitioned(self.spark, f"{self.root}/{name}", schema)
+        store_format, options = self._store
+        if not store_format:
+            return read_partitioned(self.spark, f"{self.root}/{name}", schema)
+        rows = (self.spark.read.format(store_format).options(**{**(options or {}), "table": name})
+                    .load().select(*schema.fieldNames()))
+        # counts only grow by feeds: an earlier board row of an id has a smaller count
+        ids = [c for c in schema.fieldNames() if c != "review_count"]
+        return rows.groupBy(*ids).agg(F.max("review_count").alias("review_count")).select(*schema.fieldNames())
 
     def reviews_by_product(self, product_id: str, star_rating: int | None = None) -> DataFrame:
         if star_rating is not None:

@@ -323,3 +323,11 @@ select file_name, count(*) as n_rows from archive group by file_name""",
 # The stream jobs must produce exactly what their batch twins produce.
 ORACLE_SQL["stream_page_creations"] = ORACLE_SQL["page_creations"]
 ORACLE_SQL["stream_event_messages"] = ORACLE_SQL["event_messages"]
+ORACLE_SQL["stream_load_restart"] = ORACLE_SQL["page_creations"]
+# What was written in parts or through a sink must read back as one.
+ORACLE_SQL["keyed_two_feeds"] = ORACLE_SQL["keyed_reviews_by_product"]
+ORACLE_SQL["document_marts"] = ORACLE_SQL["product_stats"]
+ORACLE_SQL["publish_records"] = ORACLE_SQL["publish_tweets"]
+ORACLE_SQL["boards_two_feeds"] = _with(*_C, BY_CUSTOMER) + """
+select strftime(review_date, '%Y-%m') as period, customer_id, count(*) as review_count
+from by_customer group by all"""

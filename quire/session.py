@@ -8,6 +8,7 @@ owner's session (and its ``spark.checkpoint.dir``) is used as is.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,7 +50,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
         or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store) "
                                "before running jobs that land intermediate data")
         root = tempfile.mkdtemp(prefix="quire-ckpt-")
@@ -58,6 +59,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def stream_checkpoint(spark: SparkSession, name: str, beside: str | None) -> str:
+    """Where a stream without a given checkpoint keeps it: a fixed folder beside
+    its output, or under ``spark.checkpoint.dir``, so that a restarted job
+    resumes."""
+    if beside:
+        return f"{beside.rstrip('/')}/_checkpoint"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        raise ValueError(f"stream {name}: give a checkpoint, or set spark.checkpoint.dir")
+    return f"{root.rstrip('/')}/streams/{name}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a landed intermediate table."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

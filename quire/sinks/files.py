@@ -15,15 +15,16 @@ from quire.sources.files import CSV_WRITE
 ARCHIVE_COLUMNS = ["author_id", "created_at", "text"]
 
 
-def write_documents(df: DataFrame, target: str, format: str = "parquet",
+def write_documents(df: DataFrame, target: str | None, format: str = "parquet",
                     options: dict | None = None) -> None:
     """Replace a whole result set (B1: one collection per mart, overwritten).
 
     ``format="mongodb"`` with ``options={"database": ..., "collection": ...}``
-    targets the document store; the default writes Parquet at ``target``.
+    and no ``target`` goes to the document store; a path-based format (default
+    Parquet) writes at ``target``.
     """
     w = df.write.format(format).mode("overwrite").options(**(options or {}))
-    if format in ("parquet", "orc", "json", "csv", "text"):
+    if target is not None:
         w.save(target)
     else:
         w.save()

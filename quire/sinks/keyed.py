@@ -5,11 +5,19 @@ a :class:`KeyedTable` is an append-only log of batch directories::
 
     <path>/batch_id=<n>/b=<bucket>/part-*.parquet
 
-* Writing batch ``n`` overwrites only ``batch_id=n`` (dynamic partition
-  overwrite), so replaying a micro-batch after a failure leaves the table as
-  it was: writes are idempotent.
+* A write gets the next free batch number, above every batch and snapshot, so
+  a second feed never touches an earlier one. Naming an existing batch is an
+  error unless it is a declared replay, which overwrites only that batch
+  (dynamic partition overwrite); a number at or below the newest snapshot is
+  always refused, since readers no longer look there.
+* A stream writes by (run, epoch): the batch number given to an epoch is kept
+  as an empty directory under ``_epochs``, so a micro-batch replayed after a
+  failure rewrites its own batch, and a job started anew (another run) gets
+  new batches.
+* The bucket count is kept with the table (``_layout/buckets=<n>``): changing
+  the default later does not misplace lookups.
 * Reading collapses the log to the latest row per primary key with a
-  partial-aggregating ``max_by`` (later batch wins; inside a batch the
+  partial-aggregating ``max`` (later batch wins; inside a batch the
   table's order columns, then the row's values, break ties).
 * Layout follows the lookup pattern: rows go to a hash bucket ``b`` of the
   partition key (a directory per bucket, never a directory per product or
@@ -41,6 +49,8 @@ from quire.schemas import KeySpec
 BATCH_COL = "batch_id"
 BUCKET_COL = "b"
 COMPACTED_DIR = "_compacted"
+EPOCHS_DIR = "_epochs"
+LAYOUT_DIR = "_layout"
 SNAPSHOT_PREFIX = "upto="
 
 
@@ -59,14 +69,54 @@ class KeyedTable:
     # -- write ---------------------------------------------------------------
     def _with_bucket(self, df: DataFrame) -> DataFrame:
         return df.withColumn(BUCKET_COL, bucket_of([F.col(c) for c in self.spec.partition_key],
-                                                   self.spec.buckets))
-
-    def write_batch(self, df: DataFrame, batch_id: int) -> dict:
-        """Upsert ``df`` as batch ``batch_id``; returns written/rejected counts.
+                                                   self.buckets(create=True)))
+
+    def buckets(self, create: bool = False) -> int:
+        """The table's bucket count: what it was written with, else the spec's."""
+        kept = self._children(f"{self.path}/{LAYOUT_DIR}", "buckets=")
+        if kept:
+            return kept[0][0]
+        if create:
+            p, fs = self._fs(f"{self.path}/{LAYOUT_DIR}/buckets={self.spec.buckets}")
+            fs.mkdirs(p)
+        return self.spec.buckets
+
+    def next_batch(self) -> int:
+        """The first batch number above every batch and snapshot."""
+        snap = self.snapshot()
+        return max([-1, *self.batches(), *([snap[0]] if snap else [])]) + 1
+
+    def write_epoch(self, df: DataFrame, run: str, epoch: int) -> dict:
+        """Upsert micro-batch ``epoch`` of stream ``run``; a replay of an epoch
+        rewrites the batch it was given, or does nothing once that batch is
+        part of a snapshot."""
+        root = f"{self.path}/{EPOCHS_DIR}/{run}"
+        given = self._children(root, f"{epoch}=")
+        if given:
+            batch_id, snap = given[-1][0], self.snapshot()
+            if snap is not None and batch_id <= snap[0]:
+                return {"rows": 0, "rejected": 0, "batch": batch_id}
+        else:
+            batch_id = self.next_batch()
+            p, fs = self._fs(f"{root}/{epoch}={batch_id}")
+            fs.mkdirs(p)
+        return {**self.write_batch(df, batch_id, replay=True), "batch": batch_id}
+
+    def write_batch(self, df: DataFrame, batch_id: int | None = None, replay: bool = False) -> dict:
+        """Upsert ``df`` as a new batch (or as ``batch_id``, again with
+        ``replay``); returns written/rejected counts.
 
         Both counts come from one observation on the single write pass.
         """
         spec = self.spec
+        if batch_id is None:
+            batch_id = self.next_batch()
+        else:
+            snap = self.snapshot()
+            if snap is not None and batch_id <= snap[0]:
+                raise ValueError(f"batch {batch_id} of {spec.name} is part of the snapshot up to {snap[0]}")
+            if not replay and batch_id in self.batches():
+                raise ValueError(f"batch {batch_id} of {spec.name} exists; give replay=True to rewrite it")
         bad = null_key(spec.key)
         obs = Observation(f"{spec.name}_batch_{batch_id}")
         rows = df.select(*spec.columns).observe(
@@ -152,7 +202,7 @@ class KeyedTable:
             df = df.where(F.col(c) == F.lit(v))
         if all(c in equal_to for c in spec.partition_key):
             lit_key = [F.lit(equal_to[c]).cast(df.schema[c].dataType) for c in spec.partition_key]
-            df = df.where(F.col(BUCKET_COL) == bucket_of(lit_key, spec.buckets))
+            df = df.where(F.col(BUCKET_COL) == bucket_of(lit_key, self.buckets()))
         latest = latest_per_key(df.select(*spec.columns, BUCKET_COL, BATCH_COL),
                                 [BUCKET_COL, *spec.key], order=[BATCH_COL])
         return latest.select(*spec.columns)
@@ -212,7 +262,10 @@ class ConnectorTable:
     def __init__(self, spark: SparkSession, spec: KeySpec, format: str, options: dict):
         self.spark, self.spec, self.format, self.options = spark, spec, format, dict(options)
 
-    def write_batch(self, df: DataFrame, batch_id: int) -> dict:
+    def write_epoch(self, df: DataFrame, run: str, epoch: int) -> dict:
+        return self.write_batch(df, epoch)
+
+    def write_batch(self, df: DataFrame, batch_id: int | None = None, replay: bool = False) -> dict:
         spec = self.spec
         bad = null_key(spec.key)
         obs = Observation(f"{spec.name}_batch_{batch_id}")

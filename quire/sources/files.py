@@ -17,6 +17,10 @@ from quire.schemas import REVIEWS_RAW_SCHEMA
 # doubled quote as escape, fields may span lines).
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 
+# Columns are taken by header name: a file whose header differs from the first
+# file's (or from the given columns) is an error, never read by position.
+BY_NAME = {"enforceSchema": "false"}
+
 # Writer options: keep values verbatim (Spark trims by default) and write an
 # empty string as an empty field, like a Python ``csv.writer``.
 CSV_WRITE = {"header": "true", "quote": '"', "escape": '"', "emptyValue": "",
@@ -30,16 +34,17 @@ def _by_header(df: DataFrame, schema: StructType) -> DataFrame:
                        else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_reviews_csv(spark: SparkSession, path: str,
+def read_reviews_csv(spark: SparkSession, path: str | list[str],
                      schema: StructType = REVIEWS_RAW_SCHEMA) -> DataFrame:
     """All-string review scan (A1).
 
     Empty and quoted-empty fields read as NULL, short rows are null-padded,
     long rows cut, blank lines skipped, spaces kept. Column names come from
     the header (nothing is inferred: every column is a string) and the
-    expected columns are picked by name, whatever their order in the file.
+    expected columns are picked by name, whatever their order; all files of
+    one read must have the same header, else the read fails.
     """
-    df = (spark.read.options(**CSV_DIALECT)
+    df = (spark.read.options(**CSV_DIALECT).options(**BY_NAME)
           .option("inferSchema", "false").option("mode", "PERMISSIVE")
           .csv(path))
     return _by_header(df, schema)
@@ -49,7 +54,7 @@ def read_csv_rows(spark: SparkSession, path: str, columns: list[str] | None = No
     """CSV rows as the publisher sees them (A2): every field a string and a
     missing or empty field is ``""`` rather than NULL. ``columns`` defaults to
     every column of the header, in header order."""
-    df = spark.read.options(**CSV_DIALECT).option("inferSchema", "false").csv(path)
+    df = spark.read.options(**CSV_DIALECT).options(**BY_NAME).option("inferSchema", "false").csv(path)
     columns = list(columns) if columns is not None else df.columns
     schema = StructType([StructField(c, StringType(), True) for c in columns])
     return _by_header(df, schema).fillna("", subset=columns)

@@ -6,26 +6,29 @@ sinks are an :class:`Endpoint`: ``format="kafka"`` for a broker topic (needs
 the Kafka connector on the classpath), or a file twin (``text`` records, one
 JSON message per line) used by the tests.
 
-Every query writes its progress to a checkpoint under the session's shared
-checkpoint folder unless one is given; a restarted query resumes there.
+Unless a checkpoint is given, a query keeps it at a fixed place (beside its
+output, or under ``spark.checkpoint.dir``), so a restarted query resumes.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quire import operators as op
 from quire.schemas import ALLOWED_DOMAINS
-from quire.session import scratch_path
+from quire.session import stream_checkpoint
 from quire.sinks.files import ARCHIVE_COLUMNS
 from quire.sinks.keyed import ConnectorTable, KeyedTable
-from quire.sources.files import CSV_DIALECT, CSV_WRITE
+from quire.sources.files import BY_NAME, CSV_DIALECT, CSV_WRITE
 
 
 @dataclass
@@ -64,8 +67,9 @@ def read_records(spark: SparkSession, src: Endpoint, default_start: str = "lates
 
 
 def _start(writer, name: str, spark: SparkSession, checkpoint: str | None,
-           trigger: dict | None) -> StreamingQuery:
-    writer = writer.option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{name}"))
+           trigger: dict | None, beside: str | None = None) -> StreamingQuery:
+    _listen(spark)
+    writer = writer.option("checkpointLocation", checkpoint or stream_checkpoint(spark, name, beside))
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.queryName(name).start()
@@ -79,7 +83,8 @@ def write_records(records: DataFrame, sink: Endpoint, name: str, checkpoint: str
         w = w.format("kafka").options(**sink.options).option("topic", sink.topic)
     else:
         w = w.format(sink.format).options(**sink.options).option("path", sink.path)
-    return _start(w, name, records.sparkSession, checkpoint, trigger)
+    return _start(w, name, records.sparkSession, checkpoint, trigger,
+                  None if sink.format == "kafka" else sink.path)
 
 
 def start_filter_job(spark: SparkSession, source: Endpoint, sink: Endpoint,
@@ -99,17 +104,22 @@ def start_load_job(spark: SparkSession, source: Endpoint, table: KeyedTable | Co
                    checkpoint: str | None = None, trigger: dict | None = None,
                    metrics: list | None = None, compact_every: int | None = None) -> StreamingQuery:
     """J2 + B4: processed messages -> keyed table, one idempotent batch per
-    micro-batch (a replayed batch id overwrites itself). Empty micro-batches
-    are skipped; per-batch counts are appended to ``metrics``. With
-    ``compact_every=k`` the table is compacted after every k-th batch, so
-    readers never collapse more than k recent batches on top of a snapshot."""
+    micro-batch: a replayed micro-batch rewrites its own batch, and a job with
+    a new checkpoint adds new batches. Empty micro-batches are skipped;
+    per-batch counts are appended to ``metrics``. With ``compact_every=k`` the
+    table is compacted after every k-th batch, so readers never collapse more
+    than k recent batches on top of a snapshot."""
     parsed = op.decode_processed(read_records(spark, source))
+    keyed = isinstance(table, KeyedTable)
+    checkpoint = checkpoint or stream_checkpoint(spark, f"page_load-{table.spec.name}",
+                                                 table.path if keyed else None)
+    run = _run_of(spark, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        res = table.write_batch(batch, batch_id)
-        if compact_every and isinstance(table, KeyedTable) and (batch_id + 1) % compact_every == 0:
+        res = table.write_epoch(batch, run, batch_id)
+        if compact_every and keyed and (batch_id + 1) % compact_every == 0:
             res["compacted_upto"] = table.compact()
         if metrics is not None:
             metrics.append({"batch_id": batch_id, **res})
@@ -143,15 +153,17 @@ def start_archive_job(spark: SparkSession, source: Endpoint, out_path: str,
         rows = rows.repartition("minute")
     w = (rows.writeStream.format("csv").partitionBy("minute").outputMode("append")
          .options(**CSV_WRITE).option("path", out_path))
-    return _start(w, "tweet_archive", spark, checkpoint, trigger)
+    return _start(w, "tweet_archive", spark, checkpoint, trigger, out_path)
 
 
 def start_publish_job(spark: SparkSession, csv_dir: str, columns: list[str], sink: Endpoint,
                       checkpoint: str | None = None, trigger: dict | None = None,
                       now: datetime | str | None = None) -> StreamingQuery:
-    """CSV rows (as strings, missing -> "") -> stamped JSON messages."""
+    """CSV rows (as strings, missing -> "") -> stamped JSON messages.
+    ``columns`` is the header, in file order; a file with another header stops
+    the stream."""
     schema = StructType([StructField(c, StringType(), True) for c in columns])
-    rows = (spark.readStream.schema(schema).options(**CSV_DIALECT)
+    rows = (spark.readStream.schema(schema).options(**CSV_DIALECT).options(**BY_NAME)
             .csv(csv_dir).fillna("", subset=columns))
     return write_records(op.publish_rows(rows, now), sink, "tweet_publish", checkpoint, trigger)
 
@@ -168,16 +180,65 @@ def _count(df: DataFrame, name: str) -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("rows"))
 
 
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of a stream: a name kept in its checkpoint folder, new when
+    the folder is new."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/_run")
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(root) and fs.listStatus(root):
+        return fs.listStatus(root)[0].getPath().getName()
+    run = uuid.uuid4().hex
+    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(root, run))
+    return run
+
+
+# Progress of every micro-batch by run: (input rows, observed row counts). A
+# query itself keeps its latest hundred reports only.
+_progress: dict[str, dict[int, tuple[int, dict]]] = {}
+_listening: set[str] = set()
+
+
+class _Counters(StreamingQueryListener):
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        _note(str(event.progress.runId), json.loads(event.progress.json))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def _note(run: str, p: dict) -> None:
+    seen = {k: int(v["rows"]) for k, v in (p.get("observedMetrics") or {}).items() if v and "rows" in v}
+    old = _progress.setdefault(run, {}).get(p["batchId"])
+    rows = int(p.get("numInputRows", 0))
+    if old is None or rows >= old[0]:
+        _progress[run][p["batchId"]] = (rows, seen or (old[1] if old else {}))
+
+
+def _listen(spark: SparkSession) -> None:
+    app = spark.sparkContext.applicationId
+    if app not in _listening:
+        spark.streams.addListener(_Counters())
+        _listening.add(app)
+
+
+def _all_progress(query: StreamingQuery) -> dict[int, tuple[int, dict]]:
+    run = str(query.runId)
+    for p in query.recentProgress:
+        _note(run, p if isinstance(p, dict) else json.loads(p.json))
+    return _progress.get(run, {})
+
+
 def rows_processed(query: StreamingQuery) -> int:
-    """Running input-row counter of a query (D9), from its progress reports."""
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    """Running input-row counter of a query (D9) over all its micro-batches."""
+    return sum(rows for rows, _ in _all_progress(query).values())
 
 
 def observed_rows(query: StreamingQuery, name: str) -> int:
-    """Running total of an ``observe`` counter over the retained progress reports."""
-    total = 0
-    for p in query.recentProgress:
-        m = (p.get("observedMetrics") or {}).get(name)
-        if m is not None:
-            total += int(m["rows"])
-    return total
+    """Running total of an ``observe`` counter over all micro-batches."""
+    return sum(seen.get(name, 0) for _, seen in _all_progress(query).values())

@@ -34,5 +34,5 @@ def test_entry_contract_in_a_fresh_process():
     assert res["rows"] > 0
     assert res["cols"] == ["product_id", "product_title", "product_category", "total_reviews",
                            "avg_star_rating"]
-    assert res["queries"] == res["oracles"] and len(res["queries"]) >= 30
+    assert set(res["oracles"]) <= set(res["queries"]) and len(res["oracles"]) >= 40
     assert 0 < res["top"] <= 10

@@ -57,3 +57,67 @@ def test_keyed_tables_job_and_serving(spark, workdir):
     keyed_tables_job(spark, csv, f"{workdir}/keyed", batch_id=0)
     assert srv.by_product.read().count() == before
     assert srv.top_products("1900-01").isEmpty()
+
+
+def test_second_feed_and_corrections(spark, workdir):
+    """Feeds add up in tables and boards; a corrected rating moves a customer
+    to the other sentiment and leaves nothing behind."""
+    cols = ", ".join(f"{c} string" for c in REVIEW_COLUMNS)
+
+    def feed(name, *rows):
+        df = spark.createDataFrame([{c: "1" for c in REVIEW_COLUMNS} | {"review_date": "2015-08-31"} | r
+                                    for r in rows], cols)
+        return land_csv(df, f"{workdir}/{name}")
+
+    a = [{"review_id": f"a{i}", "product_id": "p1", "customer_id": "c1", "star_rating": "5"} for i in range(9)]
+    b = [{"review_id": f"b{i}", "product_id": "p2", "customer_id": "c1", "star_rating": "5"} for i in range(2)]
+    root = f"{workdir}/keyed"
+    keyed_tables_job(spark, feed("fa", *a), root)
+    keyed_tables_job(spark, feed("fb", *b), root)
+    srv = ReviewServing(spark, root)
+    assert [tuple(r) for r in srv.top_customers("2015-08").collect()] == [("c1", 11)]
+    assert [(r.product_id, r.review_count) for r in srv.top_products("2015-08").collect()] == [("p1", 9), ("p2", 2)]
+    assert [tuple(r) for r in srv.top_backers("2015-08").collect()] == [("c1", 11)]
+    keyed_tables_job(spark, feed("fc", *[r | {"star_rating": "1"} for r in a + b]), root)
+    assert [tuple(r) for r in srv.top_haters("2015-08").collect()] == [("c1", 11)]
+    assert srv.top_backers("2015-08").isEmpty()
+
+
+def test_files_with_different_headers_are_refused(spark, workdir):
+    import pytest
+    one = spark.createDataFrame([("r1", "p1")], "review_id string, product_id string")
+    land_csv(one, f"{workdir}/h/a")
+    land_csv(one.select("product_id", "review_id"), f"{workdir}/h/b")
+    from quire.sources import read_reviews_csv
+    with pytest.raises(Exception, match="header"):
+        read_reviews_csv(spark, f"{workdir}/h/*").collect()
+    got = read_reviews_csv(spark, f"{workdir}/h/b").first()
+    assert (got.review_id, got.product_id) == ("r1", "p1")
+
+
+def test_json_the_variant_parser_refuses(spark):
+    big = "x" * 17_000_000
+    recs = ['{"author_id":"a","author_id":"b","created_at":"t","text":true}',
+            '{"author_id":NaN,"text":"n","other":NaN}', '{"author_id":"c","text":"' + big + '"}',
+            "{broken", '{"author_id":"d"']
+    df = spark.createDataFrame([(r,) for r in recs], "value string")
+    got = {r.author_id: r.text for r in op.archive_rows(df, now="2025-01-01T00:00:00+00:00")
+           .select("author_id", F.when(F.length("text") > 100, F.length("text").cast("string"))
+                   .otherwise(F.col("text")).alias("text")).collect()}
+    assert got["b"] == "True" and got["c"] == str(len(big)) and len(got) == 3
+    lines = spark.createDataFrame([('data: {"page_title":"x","page_title":"y","meta":{"domain":"d"}}',)], "value string")
+    assert op.sse_to_messages(lines).first().page_title == "y"
+
+
+def test_small_wrong_answers(spark):
+    from quire.functions import is_iso_datetime, iso_utc, strict_date
+    df = spark.createDataFrame([("2015-08-31\n",)], "d string")
+    assert df.select(strict_date("d")).first()[0] is None
+    assert df.select(is_iso_datetime("d")).first()[0] is False
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = spark.sql("select timestamp_ntz'2025-03-09 02:30:00' as t").select(iso_utc(F.col("t"))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == "2025-03-09T02:30:00.000000+00:00"

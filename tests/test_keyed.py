@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import latest_per_key
@@ -43,7 +44,9 @@ def test_keyed_table_upsert_replay_and_rejects(spark, workdir):
     assert second == {("2024-01-01", "u1"): "A2", ("2024-01-02", "u2"): "C"}
     # replaying batch 1 (same id) leaves the table and its log unchanged
     n_log = t.log().count()
-    t.write_batch(b1, 1)
+    with pytest.raises(ValueError):
+        t.write_batch(b1, 1)
+    t.write_batch(b1, 1, replay=True)
     assert t.log().count() == n_log
     assert {(r.created_at, r.user_id): r.page_title for r in t.read().collect()} == second
     # compaction keeps the content; later batches still win over the snapshot
@@ -55,8 +58,15 @@ def test_keyed_table_upsert_replay_and_rejects(spark, workdir):
     after = {(r.created_at, r.user_id): r.page_title for r in t.read().collect()}
     assert after == {("2024-01-01", "u1"): "A2", ("2024-01-02", "u2"): "C2"}
     # readers skip the compacted part of the log by a partition filter
+    with pytest.raises(ValueError):  # readers no longer look at batches of the snapshot
+        t.write_batch(b1, 1, replay=True)
+    # a write without a number goes above log and snapshot and is seen
+    t.compact()
+    assert t.next_batch() == 3
+    t.write_batch(spark.createDataFrame([("e", "2024-01-02", "u2", "E")], COLS))
+    assert t.read().count() == 3 and t.batches()[-1] == 3
     plan = t.read()._jdf.queryExecution().executedPlan().toString()
-    assert "_compacted/upto=1" in plan and "(batch_id" in plan and "> 1)" in plan
+    assert "_compacted/upto=2" in plan and "(batch_id" in plan and "> 2)" in plan
 
 
 def test_lookup_prunes_buckets_and_pushes_key(spark, workdir):
@@ -86,8 +96,28 @@ def test_connector_table_appends_through_a_format(spark, workdir):
 
 
 def test_reading_an_empty_keyed_table_says_so(spark, workdir):
-    import pytest
     t = KeyedTable(spark, f"{workdir}/nothing", PAGE_CREATIONS)
     with pytest.raises(FileNotFoundError):
         t.read()
     assert t.compact() is None
+
+
+def test_bucket_count_stays_with_the_table(spark, workdir):
+    from dataclasses import replace
+    t = KeyedTable(spark, f"{workdir}/b", PAGE_CREATIONS)
+    t.write_batch(spark.createDataFrame([(f"d{i}", "t", "u", "p") for i in range(30)], COLS))
+    other = KeyedTable(spark, f"{workdir}/b", replace(PAGE_CREATIONS, buckets=7))
+    assert other.buckets() == PAGE_CREATIONS.buckets
+    assert all(other.read(domain=f"d{i}").count() == 1 for i in range(3))
+
+
+def test_stream_epochs_of_two_runs(spark, workdir):
+    t = KeyedTable(spark, f"{workdir}/e", PAGE_CREATIONS)
+    rows = lambda *names: spark.createDataFrame([("d", n, "u", "p") for n in names], COLS)
+    t.write_epoch(rows("1", "2"), "run-a", 0)
+    t.write_epoch(rows("1", "2"), "run-a", 0)  # a replay
+    t.write_epoch(rows("3"), "run-b", 0)       # a job with a new checkpoint
+    assert t.batches() == [0, 1] and t.read().count() == 3
+    t.compact()
+    t.write_epoch(rows("1", "2"), "run-a", 0)  # already part of the snapshot
+    assert t.batches() == [0, 1] and t.read().count() == 3

@@ -53,7 +53,7 @@ def test_filter_then_load_stream_equals_batch(spark, workdir):
     last = metrics[-1]["batch_id"]
     n_log = table.log().count()
     replay = table.log().filter(f"batch_id = {last}").select(*PAGE_CREATIONS.columns)
-    table.write_batch(spark.createDataFrame(replay.collect(), replay.schema), last)
+    table.write_batch(spark.createDataFrame(replay.collect(), replay.schema), last, replay=True)
     assert table.log().count() == n_log
     assert _batch_set(table.read()) == _batch_set(expect)
 
@@ -101,3 +101,36 @@ def test_archive_stream_with_salted_writers(spark, workdir):
     back = spark.read.option("header", "true").option("escape", '"').csv(f"{workdir}/archive")
     expect = op.archive_rows(msgs, now).select("minute", "author_id", "created_at", "text")
     assert _batch_set(back.select("minute", "author_id", "created_at", "text")) == _batch_set(expect)
+
+
+def test_counters_over_more_than_a_hundred_batches(spark, workdir):
+    rows = spark.createDataFrame([('{"author_id":"x","text":"t"}',)], "value string")
+    land_lines(rows.repartition(1), f"{workdir}/one/0")
+    import shutil
+    from glob import glob
+    os.makedirs(f"{workdir}/many")
+    part = glob(f"{workdir}/one/0/part-*")[0]
+    for i in range(110):
+        shutil.copy(part, f"{workdir}/many/f{i:03d}.txt")
+    q = _run(start_publish_or_filter(spark, workdir))
+    import time
+    for _ in range(50):  # progress events arrive a moment after the query ends
+        if rows_processed(q) == 110:
+            break
+        time.sleep(0.2)
+    assert len(q.recentProgress) <= 101 and rows_processed(q) == 110 == observed_rows(q, "filter_in")
+
+
+def start_publish_or_filter(spark, workdir):
+    return start_filter_job(spark, Endpoint(path=f"{workdir}/many", max_per_trigger=1),
+                            Endpoint(path=f"{workdir}/out"), trigger=ONCE)
+
+
+def test_publish_refuses_another_header(spark, workdir):
+    import pytest
+    from quire.sources import land_csv
+    tw = spark.createDataFrame([("t", "a", "c")], "text string, author_id string, created_at string")
+    land_csv(tw, f"{workdir}/tw")
+    with pytest.raises(Exception):
+        _run(start_publish_job(spark, f"{workdir}/tw", ["author_id", "created_at", "text"],
+                               Endpoint(path=f"{workdir}/pub"), checkpoint=f"{workdir}/ck", trigger=ONCE))
