@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under one half."""
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("score < 0.5").select(*docs.columns)
+    return toxicity.score(docs, model, out="_toxicity").where("_toxicity < 0.5").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -246,8 +246,9 @@ def train(docs: DataFrame, labels: DataFrame, params: Params = Params(),
     return Model(bias, features, weights)
 
 
-def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns (default all) and ``score``, 0 to 1."""
+def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None,
+          out: str = "score") -> DataFrame:
+    """The ``keep`` columns (default all) and the score ``out``, 0 to 1."""
     keep = df.columns if keep is None else keep
     # the closure carries the model: at most max_features numbers
     src = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text"))
@@ -259,10 +260,10 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] |
             for i, j, data, offs in text_slices(low):
                 z[i:j] = model.logits(data, offs)
             p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-            yield pa.record_batch([*batch.columns[:len(keep)], pa.array(p)], names=[*keep, "score"])
+            yield pa.record_batch([*batch.columns[:len(keep)], pa.array(p)], names=[*keep, out])
 
     from pyspark.sql.types import DoubleType, StructType
-    schema = StructType([src.schema[i] for i in range(len(keep))]).add("score", DoubleType())
+    schema = StructType([src.schema[i] for i in range(len(keep))]).add(out, DoubleType())
     return src.mapInArrow(run, schema)
 
 
