@@ -120,10 +120,10 @@ def _sample(p: Params):
                 continue
             h, ctx, d, k, pos = (np.concatenate(x) for x in zip(*parts))
             order = np.lexsort((d, ctx, h))
-            h, ctx, d, k, pos = (x[order] for x in (h, ctx, d, k, pos))
-            first = np.r_[True, (h[1:] != h[:-1]) | (ctx[1:] != ctx[:-1])]
-            least = d[np.flatnonzero(first)][np.cumsum(first) - 1]
-            again = d > least
+            first = np.r_[True, (h[order][1:] != h[order][:-1]) | (ctx[order][1:] != ctx[order][:-1])]
+            least = np.empty_like(d)
+            least[order] = d[order][np.flatnonzero(first)][np.cumsum(first) - 1]
+            again = d > least  # rows stay in document order, in which ids compress well
             yield pa.record_batch([pa.array(h, mask=again), pa.array(ctx, mask=again), pa.array(d), pa.array(k),
                                    pa.array(pos.astype(np.int32))], ["h", "ctx", "doc", "key", "pos"])
     return run
