@@ -71,7 +71,7 @@ def probe_keys(p: Params) -> Column:
                 fits = (at >= 1) & (at + size - 1 <= F.col("len"))
                 out.append(F.when(fits, F.struct(
                     _key(other, i, F.substring(F.col("line"), at, size)).alias("key"), F.lit(less).alias("less"))))
-    return F.array_compact(F.array(*out))
+    return F.array(*out)
 
 
 def parities(line: Column) -> Column:
@@ -89,8 +89,8 @@ def near_lines(lines: DataFrame, p: Params = Params()) -> DataFrame:
     """Pairs ``a, b`` (``no``) of distinct lines (``no, line, len, w``, the last
     their :func:`parities`) within ``p.edits`` edits, each once."""
     index = lines.select(F.explode(segment_keys(p)).alias("key"), F.col("no").alias("a"), F.col("w").alias("wa"))
-    probe = lines.select(F.explode(F.array_distinct(probe_keys(p))).alias("k"), F.col("no").alias("b"),
-                          F.col("w").alias("wb")).select("k.key", "k.less", "b", "wb")
+    probe = lines.select(F.explode(probe_keys(p)).alias("k"), F.col("no").alias("b"),
+                         F.col("w").alias("wb")).where("k is not null").select("k.key", "k.less", "b", "wb")
     met = (index.join(probe, (index["key"] == probe["key"]) & ((F.col("less") > 0) | (F.col("a") < F.col("b")))
                       & (F.bit_count(F.col("wa").bitwiseXOR(F.col("wb"))) <= 2 * p.edits))
                 .select("a", "b").distinct())
@@ -124,16 +124,17 @@ def repeated_lines(docs: DataFrame, params: Params = Params(), id_col: str = "do
     pairs = near_lines(lines, p)
     known = lines.select("no", "lid", "first", "n")
     both = land(pairs.union(pairs.select("b", "a")).toDF("no", "other"), "line-links")
-    earlier = (both.join(known.select(F.col("no").alias("other"), F.col("first").alias("f")), "other")
-                   .groupBy("no").agg(F.min("f").alias("f")))
+    linked = land(known.join(both.select("no").distinct(), "no", "left_semi"), "line-linked")
+    earlier = land(both.join(linked.select(F.col("no").alias("other"), F.col("first").alias("f")), "other")
+                       .groupBy("no").agg(F.min("f").alias("f")), "line-earlier")
     affected = (known.join(earlier, "no", "left")
                      .withColumn("near", F.coalesce(F.col("f") < F.col("first"), F.lit(False)))
                      .where("near or n > 1").select("lid", "first", "near"))
     affected = land(affected, "line-repeats")
-    seen = long.select("key", "doc", "pos", F.xxhash64("line").alias("lid")).distinct()
+    seen = long.select("key", "doc", "pos", F.xxhash64("line").alias("lid"))
     return (seen.join(affected, "lid").where(F.col("near") | (F.struct("doc", "pos") != F.col("first")))
                 .groupBy("key", "doc").agg(F.array_sort(F.collect_list("pos")).alias("dropped"),
-                                           F.count_if((F.struct("doc", "pos") == F.col("first"))).alias("near")))
+                                           F.count_distinct(F.when(F.struct("doc", "pos") == F.col("first"), F.col("pos"))).alias("near")))
 
 
 def line_report(docs: DataFrame, params: Params = Params()) -> DataFrame:
