@@ -98,8 +98,11 @@ def sampled(sums: Sums, offs: np.ndarray, p: Params) -> tuple[np.ndarray, np.nda
 
 
 def _sample(p: Params):
-    """(seed, context, doc, key, pos) of the sample of the texts; contexts met
-    again in a larger document of the block come as (null, null, doc, key, pos)."""
+    """(seed, context, pos, doc, key) of the sample of the texts; contexts met
+    again in a larger document of the block come as (null, null, pos, doc, key).
+    Seeds are named by 48 bits: two seeds of one name have several contexts, so
+    their strings are compared. What repeats along a document comes last, where
+    it compresses to nothing."""
     reach = p.length - p.seed
 
     def run(batches):
@@ -115,7 +118,7 @@ def _sample(p: Params):
                 begin, end = offs[own], offs[own + 1]
                 left, right = np.maximum(begin, pos - reach), np.minimum(end, pos + p.seed + reach)
                 ctx = sums.hashes(left, right, (pos - left) * 4096 + (right - pos))
-                parts.append((signed(h), signed(ctx), doc[i + own], key[i + own], pos - begin))
+                parts.append((signed(h >> np.uint64(16)), signed(ctx), doc[i + own], key[i + own], pos - begin))
             if not parts:
                 continue
             h, ctx, d, k, pos = (np.concatenate(x) for x in zip(*parts))
@@ -124,8 +127,8 @@ def _sample(p: Params):
             least = np.empty_like(d)
             least[order] = d[order][np.flatnonzero(first)][np.cumsum(first) - 1]
             again = d > least  # rows stay in document order, in which ids compress well
-            yield pa.record_batch([pa.array(h, mask=again), pa.array(ctx, mask=again), pa.array(d), pa.array(k),
-                                   pa.array(pos.astype(np.int32))], ["h", "ctx", "doc", "key", "pos"])
+            yield pa.record_batch([pa.array(h, mask=again), pa.array(ctx, mask=again), pa.array(pos.astype(np.int32)),
+                                   pa.array(d), pa.array(k)], ["h", "ctx", "pos", "doc", "key"])
     return run
 
 
@@ -137,7 +140,7 @@ def _repeats(batches):
     several = False             # the open run has several contexts
     held: list = []             # its first entries, while it has one context
     for batch in batches:
-        h, ctx, doc, key, pos = (np.asarray(batch.column(c)) for c in range(5))
+        h, ctx, pos, doc, key = (np.asarray(batch.column(c)) for c in range(5))
         n = len(h)
         if not n:
             continue
@@ -197,56 +200,37 @@ def _result(doc, raw: bytes, spans: np.ndarray):
     return (doc, len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept)
 
 
-def _first_cut(p: Params, with_text: bool):
-    """Documents whose strings need no comparison are finished; the others
-    come with their text, covered spans and the positions to compare."""
-    reach = p.length - p.seed
-
-    def run(batches):
-        for batch in batches:
-            out = []
-            for doc, key, text, ats in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                           batch.column(2).to_pylist(), batch.column(3)):
-                raw = text.encode()
-                at = np.asarray(ats.values) if ats.is_valid else np.zeros(0, np.int64)
-                ask, sure = at[at % 2 == 1] // 2, at[at % 2 == 0] // 2
-                spans = _spans([(sure - reach, sure + p.length)], len(raw))
-                if len(ask):
-                    out.append((doc, key, raw, spans.ravel().tolist(), np.unique(ask).tolist()) + (None,) * 5)
-                else:
-                    r = _result(doc, raw, spans)
-                    out.append((doc, key, None, None, None, *r[1:5], r[5] if with_text else None))
-            cols = list(zip(*out)) if out else [()] * 10
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(),
-                     pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                  [x.split()[0] for x in FIRST.split(", ")])
-    return run
-
-
-FIRST = ("doc_id long, key long, raw binary, spans array<long>, ask array<long>, n_bytes long, n_removed long, "
-         "n_spans long, kept_sha256 string, kept binary")
-
-
 def _strings(p: Params):
-    """(name, doc, key, start) of every string around the positions to compare."""
+    """(name, start, doc, key) of every string around the positions to compare."""
     reach = p.length - p.seed
 
+    def rows(parts):
+        names, docs, keys, starts = zip(*parts)
+        sizes = [len(x) for x in starts]
+        return pa.record_batch([pa.array(signed(np.concatenate(names))),
+                                pa.array(np.concatenate(starts).astype(np.int32)),
+                                pa.array(np.repeat(docs, sizes)), pa.array(np.repeat(keys, sizes))],
+                               ["name", "start", "doc", "key"])
+
     def run(batches):
         for batch in batches:
-            for doc, key, raw, ask in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                          batch.column(2), batch.column(3)):
-                data = np.frombuffer(raw.as_buffer(), np.uint8)
+            parts, held = [], 0
+            for doc, key, text, ask in zip(np.asarray(batch.column(0)), np.asarray(batch.column(1)),
+                                           batch.column(2), batch.column(3)):
+                data = np.frombuffer(text.as_buffer(), np.uint8)
                 ask = np.asarray(ask.values)
                 n = len(data) - p.length + 1
                 mark = np.zeros(n + 1, np.int64)
                 np.add.at(mark, np.clip(ask - reach, 0, n), 1)
                 np.add.at(mark, np.clip(ask + 1, 0, n), -1)
                 start = np.flatnonzero(np.cumsum(mark[:n]) > 0)
-                names = Sums(data).hashes(start, start + p.length)
-                yield pa.record_batch([pa.array(signed(names)), pa.array(np.full(len(start), NO_ID if doc is None else doc)),
-                                       pa.array(np.full(len(start), key)), pa.array(start)],
-                                      ["name", "doc", "key", "start"])
+                parts.append((Sums(data).hashes(start, start + p.length), doc, key, start))
+                held += len(start)
+                if held > 1 << 17:
+                    yield rows(parts)
+                    parts, held = [], 0
+            if parts:
+                yield rows(parts)
     return run
 
 
@@ -254,7 +238,7 @@ def _again(batches):
     """(key, start) of strings that a smaller document has (sorted by name, document)."""
     name = least = None
     for batch in batches:
-        h, doc, key, start = (np.asarray(batch.column(c)) for c in range(4))
+        h, start, doc, key = (np.asarray(batch.column(c)) for c in range(4))
         if not len(h):
             continue
         new = np.r_[name is None or h[0] != name, h[1:] != h[:-1]]
@@ -264,18 +248,22 @@ def _again(batches):
         yield pa.record_batch([pa.array(key[rep]), pa.array(start[rep])], ["key", "start"])
 
 
-def _last_cut(p: Params, with_text: bool):
+def _cut(p: Params, with_text: bool):
+    """Texts without their covered bytes: an even mark is twice a position all
+    of whose strings are repeats, an odd one follows twice a string's start."""
+    reach = p.length - p.seed
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+
     def run(batches):
         for batch in batches:
             out = []
-            for doc, raw, spans, starts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                               batch.column(2), batch.column(3)):
-                old = np.asarray(spans.values).reshape(-1, 2)
-                more = np.asarray(starts.values) if starts.is_valid else np.zeros(0, np.int64)
-                r = _result(doc, raw, _spans([(old[:, 0], old[:, 1]), (more, more + p.length)], len(raw)))
+            for doc, text, ats in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                raw = text.as_py().encode()
+                at = np.asarray(ats.values) if ats.is_valid else np.zeros(0, np.int64)
+                sure, start = at[at % 2 == 0] // 2, at[at % 2 == 1] // 2
+                r = _result(doc, raw, _spans([(sure - reach, sure + p.length), (start, start + p.length)], len(raw)))
                 out.append(r if with_text else r[:5] + (None,))
             cols = list(zip(*out)) if out else [()] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, kinds)],
                                   [x.split()[0] for x in RESULT.split(", ")])
     return run
@@ -286,27 +274,23 @@ def remove_repeats(docs: DataFrame, params: Params = Params(), id_col: str = "do
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` of every
     document; ``kept`` holds the remaining bytes (null unless ``with_text``)."""
     p = params
-    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    key = F.xxhash64("doc_id", "text")
-    order = F.coalesce("doc_id", F.lit(NO_ID))
-    sample = land(src.select(order.alias("doc"), key.alias("key"), "text")
-                     .mapInArrow(_sample(p), "h long, ctx long, doc long, key long, pos int")
-                     .repartition(F.coalesce("h", "key")).sortWithinPartitions("h", "ctx", "doc")
-                     .mapInArrow(_sorted_or_known, "key long, at long"), "repeat-marks")
-    marks = sample.groupBy("key").agg(F.collect_list("at").alias("at"))  # bounded by the document
-    first = land(src.withColumn("key", key).join(marks, "key", "left").select("doc_id", "key", "text", "at")
-                    .mapInArrow(_first_cut(p, with_text), FIRST), "repeat-first")
-    done = first.where("raw is null").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
-    asked = first.where("raw is not null")
-    strings = (asked.select("doc_id", "key", "raw", "ask")
-                    .mapInArrow(_strings(p), "name long, doc long, key long, start long")
+    src = (docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+               .withColumn("key", F.xxhash64("doc_id", "text")))
+    order = F.coalesce("doc_id", F.lit(NO_ID)).alias("doc")
+    marks = land(src.select(order, "key", "text")
+                    .mapInArrow(_sample(p), "h long, ctx long, pos int, doc long, key long")
+                    .repartition(F.coalesce("h", "key")).sortWithinPartitions("h", "ctx", "doc")
+                    .mapInArrow(_sorted_or_known, "key long, at long"), "repeat-marks")
+    # lists by key are bounded by their document
+    asks = marks.where("at % 2 = 1").groupBy("key").agg(F.collect_list(F.shiftright("at", 1)).alias("ask"))
+    again = land(src.join(asks, "key").select(order, "key", "text", "ask")
+                    .mapInArrow(_strings(p), "name long, start int, doc long, key long")
                     .repartition("name").sortWithinPartitions("name", "doc")
-                    .mapInArrow(_again, "key long, start long"))
-    more = strings.groupBy("key").agg(F.collect_list("start").alias("starts"))
-    rest = (asked.select("doc_id", "key", "raw", "spans").join(more, "key", "left")
-                 .select("doc_id", "raw", "spans", "starts").mapInArrow(_last_cut(p, with_text), RESULT))
-    return done.union(rest)
+                    .mapInArrow(_again, "key long, start int"), "repeat-strings")
+    cover = (marks.where("at % 2 = 0").union(again.select("key", (F.col("start").cast("long") * 2 + 1).alias("at")))
+                  .groupBy("key").agg(F.collect_list("at").alias("at")))
+    return src.join(cover, "key", "left").select("doc_id", "text", "at").mapInArrow(_cut(p, with_text), RESULT)
 
 
 def _sorted_or_known(batches):
@@ -317,8 +301,8 @@ def _sorted_or_known(batches):
             known = np.asarray(batch.column(0).is_null())
             if known.any():
                 k = pa.array(known)
-                yield None, pa.record_batch([batch.column(3).filter(k), pa.array(
-                    np.asarray(batch.column(4).filter(k)).astype(np.int64) * 2)], ["key", "at"])
+                yield None, pa.record_batch([batch.column(4).filter(k), pa.array(
+                    np.asarray(batch.column(2).filter(k)).astype(np.int64) * 2)], ["key", "at"])
                 batch = batch.filter(pa.array(~known))
             if batch.num_rows:
                 yield batch, None
