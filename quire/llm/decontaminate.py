@@ -1,14 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then local alignment.
+"""Benchmark decontamination: n-gram seeds, then local alignment.
 
 1. The benchmark items are split into blocks of bounded size by a hash of
    their text; the steps below run once a block over all documents.
-2. Every ``k``-word sequence of the items is looked up in all documents, and
-   Spark counts in how many documents each stands (its frequency).
-3. An item's seeds are its sequences that are rare: found in at most
-   ``rare_df`` documents, or no more often than the item's median sequence,
-   so every item keeps at least half of its sequences as seeds however often
-   it was copied.
-4. Where a document holds a seed, the passage around it (the item's length
+2. Every ``k``-word sequence of an item is a seed, however often it stands in
+   the documents: copies of an item never cost an edited copy its seeds.
+3. Around a seed, a cheap bound comes first: the alignment cannot score more
+   than the words that item and passage share, nor than the words of the item
+   in any stretch as long as an alignment of ``min_score`` can be. Passages
+   met only by a common sequence end here; no match is lost.
+4. Where the bound allows a match, the passage around the seeds (the item's length
    and a half to both sides) is aligned with the item by Smith-Waterman over
    words. Score: the best local alignment (match 1, mismatch and gap -1)
    divided by the item's words, so 1 is a verbatim copy. Overlapping passages
@@ -37,7 +37,6 @@ from quire.llm.common import ALNUM, Words, signed, text_slices, word_grams
 @dataclass(frozen=True)
 class Params:
     k: int = 4                    # words of a seed
-    rare_df: int = 3
     min_score: float = 0.5
     block_bytes: int = 8 << 20    # item text that is sent to every task at once
 
@@ -63,9 +62,7 @@ class Items:
         order = np.argsort(gram, kind="stable")
         self.gram, self.owner, self.at = gram[order], owner[order], at[order]
         self.sizes = sorted({min(k, len(h)) for h in self.words if len(h)})
-
-    def keep(self, seed: np.ndarray) -> None:
-        self.gram, self.owner, self.at = self.gram[seed], self.owner[seed], self.at[seed]
+        self.bags = [np.unique(h, return_counts=True) for h in self.words]
 
 
 _BITS = 20
@@ -116,49 +113,37 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best
 
 
-def _frequencies(items: Items):
-    grams = np.unique(items.gram)
-    sieve = _sieve(grams)
-    sizes = items.sizes
-
-    def run(batches):
-        for batch in batches:
-            for _, _, data, offs in text_slices(batch.column(0)):
-                w = Words(data, offs, ALNUM)
-                doc = np.repeat(np.arange(len(offs) - 1), np.diff(w.first))
-                found = [(doc[p], g) for p, g in _found(w, sizes, grams, sieve)]
-                if not found:
-                    continue
-                d = np.concatenate([x[0] for x in found])
-                g = np.concatenate([x[1] for x in found])
-                if not len(g):
-                    continue
-                order = np.lexsort((d, g))
-                d, g = d[order], g[order]
-                new = np.ones(len(g), bool)
-                new[1:] = (g[1:] != g[:-1]) | (d[1:] != d[:-1])
-                g, n = np.unique(g[new], return_counts=True)
-                yield pa.record_batch([pa.array(signed(g)), pa.array(n.astype(np.int64))], ["g", "n"])
-    return run
-
-
-def _rare(items: Items, df: dict[int, int], rare_df: int) -> np.ndarray:
-    n = np.array([df.get(int(g), 0) for g in signed(items.gram)], np.int64)
-    keep = np.zeros(len(n), bool)
-    order = np.lexsort((n, items.owner))
-    first = np.searchsorted(items.owner[order], np.arange(len(items.ids) + 1))
-    for i in range(len(items.ids)):
-        own = order[first[i]:first[i + 1]]
-        if len(own):
-            keep[own] = n[own] <= max(rare_df, np.median(n[own]))
-    return keep
+def _may_score(bag, passage: np.ndarray, least: float, span: int) -> bool:
+    """Whether an alignment of ``span`` passage words at most may score ``least``:
+    it matches no more words than both sides hold, and no more than the
+    stretch has words of the item."""
+    word, count = bag
+    at = np.searchsorted(word, passage)
+    at[at == len(word)] = 0
+    known = word[at] == passage
+    if np.minimum(np.bincount(at[known], minlength=len(word)), count).sum() < least:
+        return False
+    total = np.concatenate(([0], np.cumsum(known)))
+    return int((total[span:] - total[:-span]).max(initial=0) if len(passage) > span else total[-1]) >= least
+
+
+def _runs(doc: np.ndarray, owners: np.ndarray, limit: int = 1 << 20):
+    """Bounds of runs of hits (sorted by document) that point to about ``limit``
+    seeds of items; a document is never split."""
+    total = np.cumsum(owners)
+    ends = np.flatnonzero(np.r_[doc[1:] != doc[:-1], True]) + 1
+    a = done = 0
+    for b, following in zip(ends, np.r_[ends[1:], 0]):
+        if not following or total[following - 1] - done > limit:
+            yield a, b
+            a, done = b, total[b - 1]
 
 
 def _matcher(items: Items, min_score: float):
     """A function giving (row, item id, score, first word, past word) of the
     matches in a column of texts."""
     grams, owner, words, sizes = items.gram, items.owner, items.words, items.sizes
-    sieve, ids = _sieve(grams), items.ids
+    sieve, ids, bags = _sieve(grams), items.ids, items.bags
 
     def find(texts: pa.Array):
         for i, _, data, offs in text_slices(texts):
@@ -168,28 +153,39 @@ def _matcher(items: Items, min_score: float):
                 continue
             pos = np.concatenate([x[0] for x in hits])
             g = np.concatenate([x[1] for x in hits])
+            order = np.argsort(pos, kind="stable")
+            pos, g = pos[order], g[order]
             lo, hi = np.searchsorted(grams, g), np.searchsorted(grams, g, "right")
-            item = np.concatenate([owner[a:b] for a, b in zip(lo, hi)])
-            pos = np.repeat(pos, hi - lo)
-            doc = np.searchsorted(w.first, pos, "right") - 1
-            order = np.lexsort((pos, item, doc))
-            pos, item, doc = pos[order], item[order], doc[order]
-            cut = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])])
-            for a, b in zip(cut, np.r_[cut[1:], len(pos)]):
-                d, it = int(doc[a]), int(item[a])
-                reach = len(words[it]) * 3 // 2 + 2
-                begin, end = int(w.first[d]), int(w.first[d + 1])
-                best, at = (0.0, 0, 0), 0
-                p = pos[a:b]
-                for part in np.split(p, np.flatnonzero(np.diff(p) > 2 * reach) + 1):
-                    left = max(begin, int(part[0]) - reach)
-                    right = min(end, int(part[-1]) + reach)
-                    got = align(words[it], w.hash[left:right])
-                    if got[0] > best[0]:
-                        best, at = got, left - begin
-                score = best[0] / len(words[it])
-                if score >= min_score:
-                    yield i + d, ids[it], score, at + best[1], at + best[2]
+            for a, b in _runs(np.searchsorted(w.first, pos, "right"), hi - lo):
+                yield from ((i + d, *rest) for d, *rest in passages(w, pos[a:b], lo[a:b], hi[a:b]))
+
+    def passages(w: Words, pos: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+        item = np.concatenate([owner[a:b] for a, b in zip(lo, hi)])
+        pos = np.repeat(pos, hi - lo)
+        doc = np.searchsorted(w.first, pos, "right") - 1
+        order = np.lexsort((pos, item, doc))
+        pos, item, doc = pos[order], item[order], doc[order]
+        cut = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])])
+        for a, b in zip(cut, np.r_[cut[1:], len(pos)]):
+            d, it = int(doc[a]), int(item[a])
+            size = len(words[it])
+            reach = size * 3 // 2 + 2
+            begin, end = int(w.first[d]), int(w.first[d + 1])
+            # an alignment of this score has no more gaps than the rest of the item
+            least, span = min_score * size - 1e-9, max(1, int(size * (2 - min_score)) + 1)
+            best, at = (0.0, 0, 0), 0
+            p = pos[a:b]
+            for part in np.split(p, np.flatnonzero(np.diff(p) > 2 * reach) + 1):
+                left = max(begin, int(part[0]) - reach)
+                right = min(end, int(part[-1]) + reach)
+                if not _may_score(bags[it], w.hash[left:right], least, span):
+                    continue
+                got = align(words[it], w.hash[left:right])
+                if got[0] > best[0]:
+                    best, at = got, left - begin
+            score = best[0] / size
+            if score >= min_score:
+                yield d, ids[it], score, at + best[1], at + best[2]
     return find
 
 
@@ -214,8 +210,8 @@ def _clean(find, text_at: int):
     return run
 
 
-def _blocks(docs: DataFrame, benchmark: DataFrame, params: Params, text_col: str):
-    """Matchers of the item blocks, seeds chosen by their frequency in ``docs``."""
+def _blocks(benchmark: DataFrame, params: Params):
+    """Matchers of the item blocks."""
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     blocks = max(1, -(-2 * total // params.block_bytes))
@@ -226,11 +222,6 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, params: Params, text_col: str
         block = Items([r["item_id"] for r in rows], [r["text"] for r in rows], params.k)
         if not len(block.gram):
             continue
-        counts = (docs.select(F.col(f"`{text_col}`").alias("text"))
-                      .mapInArrow(_frequencies(block), "g long, n long")
-                      .groupBy("g").agg(F.sum("n").alias("n")))
-        # a row a gram of the block at most, so bounded like the block
-        block.keep(_rare(block, {r["g"]: r["n"] for r in counts.collect()}, params.rare_df))
         yield _matcher(block, params.min_score)
 
 
@@ -246,7 +237,7 @@ def find_benchmark_passages(docs: DataFrame, benchmark: DataFrame, params: Param
                          StructField("first_word", LongType()), StructField("past_word", LongType())])
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     out = docs.sparkSession.createDataFrame([], schema)
-    for find in _blocks(docs, benchmark, params, text_col):
+    for find in _blocks(benchmark, params):
         out = out.union(src.mapInArrow(_report(find), schema))
     return out
 
@@ -257,6 +248,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, params: Params = Pa
     benchmark passage. Rows pass through; nothing is shuffled."""
     at = docs.columns.index(text_col)
     out = docs
-    for find in _blocks(docs, benchmark, params, text_col):
+    for find in _blocks(benchmark, params):
         out = out.mapInArrow(_clean(find, at), docs.schema)
     return out

@@ -239,6 +239,30 @@ def test_decontamination(spark, docs, rows, empty):
     assert decontaminate.drop_contaminated(docs, bench.where("false")).count() == len(rows)
 
 
+@pytest.mark.parametrize("copies", [2, 3, 1000])
+def test_decontamination_edited_beside_copies(spark, copies):
+    words = [f"w{i}" for i in range(40)]
+    edited = " ".join("x" if i % 5 == 4 else w for i, w in enumerate(words))
+    rows = [(i, " ".join(words)) for i in range(copies)] + [(-1, f"lead {edited} end"), (-2, "w0 w1 w2 w3 alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontaminate.find_benchmark_passages(df, bench).collect()}
+    assert got == {i: 1.0 for i in range(copies)} | {-1: 0.625}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(df, bench).collect()] == [-2]
+
+
+def test_decontamination_bound_loses_nothing():
+    import numpy as np
+    rnd = random.Random(5)
+    for _ in range(300):
+        item = np.array([rnd.randint(0, 6) for _ in range(rnd.randint(1, 12))], np.uint64)
+        passage = np.array([rnd.randint(0, 9) for _ in range(rnd.randint(1, 30))], np.uint64)
+        for least in (0.3, 0.5, 1.0):
+            if decontaminate.align(item, passage)[0] >= least * len(item):
+                assert decontaminate._may_score(np.unique(item, return_counts=True), passage,
+                                                least * len(item) - 1e-9, max(1, int(len(item) * (2 - least)) + 1))
+
+
 def test_alignment_matches_plain_smith_waterman():
     import numpy as np
     rnd = random.Random(2)
