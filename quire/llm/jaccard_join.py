@@ -28,7 +28,11 @@ sets ``A`` and ``B`` link when ``den * |A & B| >= num * |A | B|``.
   shuffled orders. Members that the
   resulting links leave in different components are then paired with each
   other, list by list, so no link between components is lost; pairs inside a
-  component would not change the result.
+  component would not change the components.
+* **Links.** Every link lies inside a component. To count them all, each
+  component is dealt into blocks, every two blocks of it meet once, and the
+  shared shingles of all their pairs are counted exactly; only sums per class
+  leave a pair of blocks.
 
 Null texts are empty; null ids are allowed (a component without any id gets a
 null ``component_id``); repeated rows are members of the same class.
@@ -62,6 +66,7 @@ class Params:
     turns: int = 4
     list_cost: float = 8.0        # a list entry with its share of checks, in subsets
     max_small: int = 64           # histogram range in which the boundary is sought
+    block: int = 64               # classes of a component that are met at once, at least
 
     def overlap(self, a: int, b: int) -> int:
         """Shared shingles that sizes ``a`` and ``b`` need to link."""
@@ -376,10 +381,87 @@ def _verify(near: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
                 .select("u", "v", "x", "y").mapInArrow(_verified(p), "u long, v long"))
 
 
+COLUMNS = 1 << 12
+
+
+def _shared(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Shared shingles of each set of ``x`` with each of ``y``, by products of
+    0/1 matrices of a bounded number of shingles."""
+    known = np.intersect1d(np.concatenate(x), np.concatenate(y))
+
+    def places(sets):
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        every = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(known, every), max(0, len(known) - 1))
+        hit = known[at] == every if len(known) else np.zeros(len(every), bool)
+        return row[hit], at[hit]
+
+    (xr, xc), (yr, yc) = places(x), places(y)
+    total = np.zeros((len(x), len(y)), np.int64)
+    for c in range(0, len(known), COLUMNS):
+        parts = []
+        for rows, r, col in ((len(x), xr, xc), (len(y), yr, yc)):
+            own = (col >= c) & (col < c + COLUMNS)
+            part = np.zeros((rows, min(COLUMNS, len(known) - c)), np.float32)
+            part[r[own], col[own] - c] = 1
+            parts.append(part)
+        total += (parts[0] @ parts[1].T).astype(np.int64)
+    return total
+
+
+def _met_blocks(p: Params):
+    """(fp, n): the rows of other classes that a class links with in a pair of
+    blocks (rows c, i, j, second, fp, rows, s). A block that meets itself has
+    first rows only."""
+    def run(table: pa.Table) -> pa.Table:
+        second = np.array(table.column("second"))
+        fp, weight = np.array(table.column("fp")), np.array(table.column("rows"))
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("s")]
+        one, two = np.flatnonzero(~second), np.flatnonzero(second)
+        same = table.column("i")[0] == table.column("j")[0]
+        if same:
+            two = one
+        if not len(one) or not len(two):
+            return pa.table({"fp": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+        both = _shared([sets[r] for r in one], [sets[r] for r in two])
+        size = np.array([len(x) for x in sets], np.int64)
+        link = (p.num + p.den) * both >= p.num * (size[one][:, None] + size[two][None, :])
+        if same:
+            np.fill_diagonal(link, False)
+        n = [link @ weight[two]] + ([] if same else [link.T @ weight[one]])
+        fps = [fp[one]] + ([] if same else [fp[two]])
+        n, fps = np.concatenate(n), np.concatenate(fps)
+        return pa.table({"fp": fps[n > 0], "n": n[n > 0].astype(np.int64)})
+    return run
+
+
+def _count_links(found: DataFrame, classes: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """``fp, links``: the rows of other classes that each class links with."""
+    member = found.select(F.col("node").alias("fp"), F.col("component").alias("c")).distinct()
+    member = land(member.join(classes.select("fp", "rows"), "fp").join(sets.select("fp", "s"), "fp"),
+                  "jaccard-members")
+    # larger components only; a block grows with the root of the component, so
+    # that both the copies of a set and the sets of a task stay bounded by it
+    dealt = (member.groupBy("c").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > p.block)
+                   .select("c", F.ceil(F.col("m") / F.greatest(F.lit(float(p.block)), 2 * F.sqrt("m")))
+                           .cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    met = (member.join(land(dealt, "jaccard-blocks"), "c", "left")
+                 .select("c", "fp", "rows", "s", F.coalesce("blocks", F.lit(1)).alias("blocks"))
+                 .withColumn("own", own)
+                 .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+                 .select("c", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                         (F.col("own") > F.col("other")).alias("second"), "fp", "rows", "s"))
+    return (met.groupBy("c", "i", "j").applyInArrow(_met_blocks(p), "fp long, n long")
+               .groupBy("fp").agg(F.sum("n").alias("links")))
+
+
 def link_components(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", links: bool = False) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``: its set's
-    size and the smallest id reachable by links (its own for an empty set)."""
+    size and the smallest id reachable by links (its own for an empty set).
+    With ``links`` also ``n_links``, the number of other rows it links with."""
+    count = links
     p = params
     spark = docs.sparkSession
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
@@ -389,7 +471,7 @@ def link_components(docs: DataFrame, params: Params = Params(), id_col: str = "d
                      .mapInArrow(_survey(p.k), "kind byte, a long, b long, n int")
                      .groupBy("kind", "a", "b", "n").agg(F.count(F.lit(1)).alias("c")), "jaccard-survey")
     classes = land(survey.where("kind = 0 and n > 0").groupBy(F.col("b").alias("fp"), "n")
-                         .agg(F.min("a").alias("th")), "jaccard-classes")
+                         .agg(F.min("a").alias("th"), F.sum("c").alias("rows")), "jaccard-classes")
     hist = {r["n"]: r["count"] for r in classes.where(F.col("n") <= p.max_small).groupBy("n").count().collect()}
     x = boundary(hist, p)
     top = (survey.where("kind = 1").groupBy("a").agg(F.sum(F.col("b") * F.col("c")).alias("c"))
@@ -419,6 +501,8 @@ def link_components(docs: DataFrame, params: Params = Params(), id_col: str = "d
 
     # the sets of everything that may be compared, each fetched from one text
     need = (pairs.select(F.explode(F.array("u", "v")).alias("fp")).union(entry.select("fp"))).distinct()
+    if count:
+        need = need.union(sure.select(F.explode(F.array("u", "v")))).distinct()
     wanted = land(classes.join(need, "fp", "left_semi").select("th"), "jaccard-need")
     texts = (src.withColumn("th", F.xxhash64("text")).join(wanted, "th", "left_semi")
                 .groupBy("th").agg(F.first("text").alias("text")).select("text"))
@@ -454,12 +538,19 @@ def link_components(docs: DataFrame, params: Params = Params(), id_col: str = "d
     text_set = survey.where("kind = 0").select(F.col("a").alias("th"), F.col("b").alias("fp"),
                                                F.col("n").cast("long").alias("n_shingles"))
     label = (text_set.join(found, F.col("fp") == F.col("node"), "left")
-                     .select("th", "n_shingles", F.coalesce("component", "fp").alias("c")))
+                     .select("th", "fp", "n_shingles", F.coalesce("component", "fp").alias("c")))
+    extra = []
+    if count:
+        extra = ["n_links"]
+        others = land(_count_links(found, classes, sets, p), "jaccard-counts")
+        label = (label.join(classes.select("fp", "rows"), "fp", "left").join(others, "fp", "left")
+                      .withColumn("n_links", F.coalesce(F.col("rows") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))))
     rows = src.select("doc_id", F.xxhash64("text").alias("th")).join(label, "th")
-    rows = land(rows.select("doc_id", "n_shingles", "c"), "jaccard-rows")
+    rows = land(rows.select("doc_id", "n_shingles", "c", *extra), "jaccard-rows")
     least = rows.where("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    linked = rows.where("n_shingles > 0").join(least, "c").select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    linked = rows.where("n_shingles > 0").join(least, "c").select("doc_id", "n_shingles", "component_id", *extra)
+    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"),
+                                                   *extra)
     return linked.union(alone)
 
 

@@ -30,7 +30,7 @@ def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(_table(spark, sf_dir, "documents"),
-                                        jaccard_join.Params(k=4, num=85, den=100))
+                                        jaccard_join.Params(k=4, num=85, den=100), links=True)
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,26 @@ def test_jaccard_join(docs, rows, p):
     assert counted(jaccard_join.link_components(docs, p), "doc_id", "n_shingles", "component_id") == want
 
 
+@pytest.mark.parametrize("p", [jaccard_join.Params(k=4, num=85, den=100),
+                               jaccard_join.Params(k=2, num=1, den=2, short_list=2, hot=2, leaders=1, turns=1, block=3)])
+def test_jaccard_links(spark, docs, rows, p):
+    rnd = random.Random(3)
+    base = [f"v{i}" for i in range(60)]
+    near = [" ".join(f"x{rnd.randrange(99)}" if rnd.random() < 0.03 else w for w in base) for _ in range(150)]
+    short = [" ".join(rnd.sample(["a", "b", "c", "d", "e"], 4)) for _ in range(20)]
+    rows = rows + [(1000 + i, t) for i, t in enumerate(near + short)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = []
+    for _, t in rows:
+        w = re.findall("[^\x20\x09-\x0d]+", lowered(t or ""))
+        sets.append({tuple(w[j:j + p.k]) for j in range(len(w) - p.k + 1)} or ({tuple(w)} if w else set()))
+    linked = lambda x, y: x and p.den * len(x & y) >= p.num * len(x | y)
+    want = collections.Counter((i, len(s), sum(bool(linked(s, o)) for n, o in enumerate(sets) if n != m))
+                               for m, ((i, _), s) in enumerate(zip(rows, sets)))
+    assert counted(jaccard_join.link_components(df, p, links=True), "doc_id", "n_shingles", "n_links") == want
+    assert max(n for *_, n in want) > 20
+
+
 def test_one_per_group(docs, rows, empty):
     got = jaccard_join.one_per_group(docs)
     assert got.columns == docs.columns
