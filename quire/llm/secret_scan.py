@@ -4,7 +4,8 @@ Candidates are found in every whole text by fixed patterns. Each candidate's
 value is hashed, and the corpus tells in how many distinct repositories and
 under how many owners that hash stands: a value copied widely is an example
 from some documentation, one that keeps to a single owner and looks random is
-a credential that may be live. Base spans are reported whatever the verdict.
+a credential that may be live. A private key's value is its body, so keys of
+one type are not taken for copies of each other. Base spans are reported whatever the verdict.
 
 Built-in functions only. Positions count code points, the end is exclusive.
 Null or empty texts have no spans; a null repository or owner counts as one
@@ -28,12 +29,27 @@ BASE_KINDS = (
     ("access", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]{32,}", 0, 32),
 )
+# A private key: its header lines and everything up to the END line, or without
+# one the base64 lines that follow (line breaks may be written as \n). Possessive,
+# so that long keys need neither stack nor a second try.
+_BREAK = r"(?:\s|\\[nrt])"
+_FIELDS = _BREAK + r"*+(?:[A-Za-z0-9-]++:[^\r\n\\]*+" + _BREAK + "*+)*+"
+_PEM = (r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----(?:" + _FIELDS
+        + r"""[A-Za-z0-9+/=\s\\"',]*+-----END [A-Z0-9 ]*PRIVATE KEY-----|""" + _FIELDS
+        + r"(?:[A-Za-z0-9+/=]{16,}+" + _BREAK + r"*+)++(?:(?:[A-Za-z0-9+/=]{4})++(?![^\s\\\x22\x27]))?+)?+")
 MORE_KINDS = (
-    ("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
-    ("url", r"://[^\s/:@]{1,80}:([^\s/@]{3,80})@", 1, 3),
+    ("pem", _PEM, 0, 1),
+    ("url", r"://[^\s/:@]++:([^\s/@]{3,}+)@", 1, 3),
 )
 
 
+def _key_body(match: Column) -> Column:
+    """A private key without header, END line, line breaks and quotes, so that
+    wrapping does not matter; of a header alone the header."""
+    body = F.regexp_replace(match, F.lit(r"""-----(?:BEGIN|END) [A-Z0-9 ]*PRIVATE KEY-----|\s|\\[nrt]|["',\\]"""), F.lit(""))
+    return F.when(body == "", match).otherwise(body)
+
+
 @dataclass(frozen=True)
 class Params:
     copied_repos: int = 3         # repositories from which a value counts as copied
@@ -59,6 +75,8 @@ def _spans(text: Column, number: int, kind: str, pattern: str, group: int, least
     the matches add up to the positions."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    if kind == "pem":
+        value = F.transform(whole, _key_body)
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("m"), value.alias("v"))
     empty = F.expr("struct(0 as at, cast(array() as array<struct<start:int,no:int,kind:string,end:int,value:string>>) as s)")
 
