@@ -6,12 +6,13 @@
    a naive Bayes model over the bins; every document gets its probability of
    each domain, not a hard label.
 3. **Rates.** Document ``i`` with ``n_i`` tokens gets a rate ``r_i >= 0`` so
-   that the expected domain totals ``sum r_i n_i p_id`` come to the targets:
-   least squares on the shares, each domain weighted by one over its natural
-   share, with a small pull of the rates to 1. Solved by projected gradient
-   steps; a step needs the few domain totals only, which Spark sums over all
-   documents, and the rate is a function of a document's own posteriors and
-   the sequence of residuals, so no state moves.
+   that the expected domain totals ``sum r_i n_i p_id`` are the targets; of all
+   such rates those nearest to 1. They are ``max(0, 1 + sum_d m_d p_id)`` with a
+   multiplier ``m_d`` for each total, found by damped Newton steps; a step
+   needs sums over pairs of the few domains only, which Spark sums over all
+   documents. The damping (``pull``) goes to zero, so it leaves no gap; the steps
+   end when the totals meet the targets. Targets that no rates can meet leave
+   the best step's gap, which ``Mix.reached`` tells.
 4. **Copies.** A rate is realised as its whole part plus one more copy with
    the probability of its fraction, drawn from a hash of the document.
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,9 +37,9 @@ from quire.llm.common import land, once
 
 @dataclass(frozen=True)
 class Params:
-    pull: float = 0.1             # weight of staying at rate 1
+    pull: float = 0.1             # weight of staying at the last rates, at first
     steps: int = 24
-    tolerance: float = 5e-3       # largest relative residual change that ends the steps
+    tolerance: float = 5e-3       # largest residual, as a part of the target, that ends the steps
     seed: int = 11
 
 
@@ -141,58 +143,71 @@ def fit_posterior(binned: DataFrame, labelled: DataFrame) -> Posterior:
 
 @dataclass
 class Mix:
-    """What the rates follow from: the domains, the residual of every step,
-    and the domain shares the rates reach."""
+    """What the rates follow from: the domains and their multipliers; and the
+    domain shares the rates reach."""
     posterior: Posterior
     natural: list[float]
     targets: list[float]
-    residuals: list[list[float]]
+    multipliers: list[float]
     reached: list[float]
-    pull: float
 
     def rate(self, p: list[Column]) -> Column:
-        """Rate of a document with posteriors ``p``: all steps taken from 1."""
-        if not self.residuals:
-            return F.lit(1.0)
-        eta = 1 / (1 + self.pull)
-        history = F.array(*[F.lit([float(x) for x in e]) for e in self.residuals])
-
-        def step(r, e):
-            g = F.lit(-self.pull)
-            for d, x in enumerate(p):
-                g = g + x * e[d]
-            return F.greatest(F.lit(0.0), r * F.lit(1 - eta * self.pull) - g * F.lit(eta))
-
-        return F.aggregate(history, F.lit(1.0), step)
+        """Rate of a document with posteriors ``p``."""
+        r = F.lit(1.0)
+        for m, x in zip(self.multipliers, p):
+            r = r + F.lit(float(m)) * x
+        return F.greatest(F.lit(0.0), r)
 
 
 def solve(members: DataFrame, posterior: Posterior, targets: dict[str, float], params: Params) -> Mix:
-    """Projected-gradient rates for ``members`` (``_tokens``, ``_p``)."""
+    """Multipliers of the totals for ``members`` (``_tokens``, ``_p``)."""
     dims = range(len(posterior.domains))
     flat = land(members.select(F.col("_tokens").cast("double").alias("w"),
                                *[F.col("_p")[d].alias(f"p{d}") for d in dims]), "mix")
     ps = [F.col(f"p{d}") for d in dims]
     total = flat.agg(F.sum("w")).first()[0] or 0.0
     if not total:
-        return Mix(posterior, [0.0] * len(dims), [0.0] * len(dims), [], [0.0] * len(dims), params.pull)
+        return Mix(posterior, [0.0] * len(dims), [0.0] * len(dims), [0.0] * len(dims), [0.0] * len(dims))
     row = flat.agg(*[F.sum(F.col("w") * p).alias(f"s{d}") for d, p in enumerate(ps)]).first()
     natural = [x / total for x in row]
     wanted = [targets.get(d, 0.0) for d in posterior.domains]
     if posterior.domains == ["all"] or not sum(wanted):
         wanted = natural
     wanted = [x / sum(wanted) for x in wanted]
-    mix = Mix(posterior, natural, wanted, [], natural, params.pull)
-    last = None
+    pairs = [(a, b) for a in dims for b in dims if a <= b]
+
+    def measure(m):
+        """Mix, the dual's value (convex; its slope is reached less target) and its curvature."""
+        mix = Mix(posterior, natural, wanted, m, natural)
+        moved = once(flat, "r", mix.rate(ps))
+        got = moved.agg(F.sum(F.col("w") * F.col("r") * F.col("r")),
+                        *[F.sum(F.col("w") * F.col("r") * p) for p in ps],
+                        *[F.sum(F.when(F.col("r") > 0, F.col("w") * ps[a] * ps[b]).otherwise(0.0)) for a, b in pairs]).first()
+        mix.reached = [x / total for x in got[1:1 + len(ps)]]
+        curve = np.zeros((len(ps), len(ps)))
+        for (a, b), x in zip(pairs, got[1 + len(ps):]):
+            curve[a, b] = curve[b, a] = x / total
+        return mix, got[0] / total / 2 - sum(x * t for x, t in zip(m, wanted)), curve
+
+    def gap(mix):
+        return max(abs(x - t) / max(t, 1e-3) for x, t in zip(mix.reached, wanted))
+
+    mix, value, curve = measure([0.0] * len(dims))
+    best, pull = mix, params.pull
     for _ in range(params.steps):
-        residual = [(x - t) / max(s, 1e-6) for x, t, s in zip(mix.reached, wanted, natural)]
-        if last is not None and max(abs(a - b) for a, b in zip(residual, last)) < params.tolerance:
+        if gap(best) <= params.tolerance:
             break
-        mix.residuals.append(residual)
-        last = residual
-        moved = once(flat, "r", mix.rate(ps))
-        row = moved.agg(*[F.sum(F.col("w") * F.col("r") * p).alias(f"s{d}") for d, p in enumerate(ps)]).first()
-        mix.reached = [x / total for x in row]
-    return mix
+        slope = np.array(mix.reached) - np.array(wanted)
+        damp = np.diag(pull * np.maximum(natural, 1e-9))
+        step = np.linalg.lstsq(curve + damp, -slope, rcond=1e-14)[0]
+        new, at, bend = measure([float(x) for x in np.array(mix.multipliers) + step])
+        if gap(new) < gap(best):
+            best = new
+        if at <= value + 1e-12 * max(1.0, abs(value)):
+            mix, value, curve, pull = new, at, bend, pull / 10
+        else:  # too far: more damping from the same place
+            pull = max(pull, 1e-9) * 30
+    return best
 
 
 def copies(rate: Column, key: list[Column], seed: int) -> Column:
@@ -215,16 +230,20 @@ def domain_mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
 
 def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
                    params: Params = Params()) -> DataFrame:
-    """``doc_id, n_tokens, domain`` (the likeliest), ``posterior, rate, copies``
-    of every document."""
+    """``doc_id, n_tokens, domain`` (the likeliest), ``posterior, rate, copies,
+    target_share, reached_share`` of every document; the last two are the shares
+    of its domain in the expected tokens, aimed at and reached."""
     members, mix = domain_mix(docs, labelled, targets, params)
     names = F.array(*[F.lit(d) for d in mix.posterior.domains])
     top = F.element_at(names, F.array_position("_p", F.array_max("_p")).cast("int"))
     p = [F.col("_p")[d] for d in range(len(mix.posterior.domains))]
+    at = F.array_position("_p", F.array_max("_p")).cast("int")
+    share = lambda xs: F.element_at(F.array(*[F.lit(float(x)) for x in xs]), at)
     return (once(members, "rate", mix.rate(p))
                    .select("doc_id", F.col("_tokens").alias("n_tokens"), top.alias("domain"),
                            F.col("_p").alias("posterior"), "rate",
-                           copies(F.col("rate"), [F.col("doc_id"), F.col("_h")], params.seed).alias("copies")))
+                           copies(F.col("rate"), [F.col("doc_id"), F.col("_h")], params.seed).alias("copies"),
+                           share(mix.targets).alias("target_share"), share(mix.reached).alias("reached_share")))
 
 
 def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],

@@ -213,6 +213,28 @@ def test_mixing(spark, empty):
     assert {r.rate for r in none.collect()} == {1.0} and mixing.mixed_documents(empty, labelled, targets).count() == 0
 
 
+def test_mixing_meets_targets(spark):
+    text = {"a": "plain words in a row and some more of them\n", "b": "*** $$$ ||| &&& %%%\n", "c": "été forêt garçon\n"}
+    # every third document carries another domain's label, so posteriors overlap
+    rows = [(i, text["aaabc"[i % 5]] * (1 + i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "aaabc"[(i + (i % 9 == 0)) % 5]) for i in range(300)], "doc_id long, domain string")
+    targets = {"a": 0.35, "b": 0.4, "c": 0.25}
+    members, mix = mixing.domain_mix(df, labelled, targets)
+    assert all(abs(x - targets[d]) <= 0.005 * targets[d] for d, x in zip(mix.posterior.domains, mix.reached))
+    got = mixing.document_rates(df, labelled, targets).collect()
+    total = sum(r.n_tokens for r in got)
+    for d, name in enumerate(mix.posterior.domains):
+        share = sum(r.rate * r.n_tokens * r.posterior[d] for r in got) / total
+        assert abs(share - targets[name]) <= 0.005 * targets[name]
+        assert {(r.target_share, round(r.reached_share, 9)) for r in got if r.domain == name} <= {
+            (targets[name], round(mix.reached[d], 9))}
+    assert all(r.rate >= 0 for r in got)
+    # no rates give a domain that only shows in traces nearly everything: the best step is told
+    _, far = mixing.domain_mix(df, labelled, {"a": 0.001, "b": 0.0, "c": 0.999})
+    assert abs(sum(far.reached) - 1) < 0.5 and max(far.reached) == far.reached[2]
+
+
 def test_secret_scan(docs, rows, empty):
     assign = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                         re.A)
