@@ -3,7 +3,9 @@
 Lines are split at line feeds. A line is dropped when the same line stood
 earlier (smaller document id, then smaller line number), or when a line within
 ``edits`` edits of it has an earlier first place. Lines under ``min_chars``
-characters (blank lines, lone brackets) always stay.
+characters have no near lines; exact repeats of them are dropped from
+``exact_chars`` characters on (``None``: as ``min_chars``). Shorter and blank
+lines always stay.
 
 Near lines: each distinct line is cut into ``edits + 1`` even segments; two
 lines within ``edits`` edits share one of the shorter one's segments exactly,
@@ -32,7 +34,8 @@ NO_ID = (1 << 63) - 1
 @dataclass(frozen=True)
 class Params:
     edits: int = 2
-    min_chars: int = 20
+    min_chars: int = 20           # of lines that may have near lines
+    exact_chars: int | None = None
 
 
 def _segment(n: Column, i: int, parts: int) -> tuple[Column, Column]:
@@ -115,13 +118,15 @@ def repeated_lines(docs: DataFrame, params: Params = Params(), id_col: str = "do
     numbers (from 0, sorted), and how many of them only a near line precedes.
     ``key`` is the hash of id and text, ``doc`` the id."""
     p = params
-    long = _lines(docs, id_col, text_col).where(F.length("line") >= p.min_chars)
+    size, least = F.length("line"), p.min_chars if p.exact_chars is None else p.exact_chars
+    long = _lines(docs, id_col, text_col).where(
+        (size >= p.min_chars) | ((size >= least) & F.col("line").rlike(r"\S")))
     place = F.struct("doc", "pos")
     lines = land(long.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                      .select(F.monotonically_increasing_id().alias("no"), F.xxhash64("line").alias("lid"), "line",
                              F.length("line").alias("len"), parities(F.col("line")).alias("w"), "first", "n"),
                  "lines")
-    pairs = near_lines(lines, p)
+    pairs = near_lines(lines.where(F.col("len") >= p.min_chars), p)
     known = lines.select("no", "lid", "first", "n")
     both = land(pairs.union(pairs.select("b", "a")).toDF("no", "other"), "line-links")
     linked = land(known.join(both.select("no").distinct(), "no", "left_semi"), "line-linked")

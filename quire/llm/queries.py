@@ -38,7 +38,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"), line_dedup.Params(exact_chars=1))
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

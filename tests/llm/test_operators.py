@@ -158,6 +158,15 @@ def test_line_dedup(docs, rows, empty, p):
     assert cut.where("doc_id = 200").first().text is None and line_dedup.line_report(empty).count() == 0
 
 
+def test_line_dedup_short_lines(spark, tmp_path):
+    from quire.llm import queries
+    long = "one line that is long enough to be near another"
+    rows = [(1, f"Read more\n{{\n\n  \n{long}"), (2, f"Read more\n{{\n\n  \nRead mare\n{long}!"), (3, "x\nRead more\nx")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.dropped, r.n_near) for r in queries.op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: ([], 0), 2: ([0, 1, 5], 1), 3: ([1, 2], 0)}
+
+
 def test_fingerprints(docs, rows, empty):
     got = spotsigs.fingerprint_edits(docs).collect()
     assert len(got) == len(rows) and spotsigs.fingerprint_edits(empty).count() == 0
