@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from quire.session import scratch_path
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
+def land(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
     """Write ``df`` to a fresh folder in the shared scratch space and read it back."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -225,3 +225,27 @@ def text_slices(col: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int,
 def signed(h: np.ndarray) -> np.ndarray:
     """64-bit hashes as Spark longs."""
     return h.view(np.int64)
+
+
+def cut_strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The slices ``data[start:end]`` of UTF-8 bytes (they may overlap) as strings."""
+    size = (end - start).astype(np.int64)
+    offs = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=offs[1:])
+    at = np.repeat(start - offs[:-1], size) + np.arange(offs[-1])
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offs), pa.py_buffer(data[at].tobytes()))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], limit: int, size) -> Iterator[pa.RecordBatch]:
+    """Runs of record batches joined until ``size`` of them reaches ``limit``."""
+    held, total = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        total += size(batch)
+        if total >= limit:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, total = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
