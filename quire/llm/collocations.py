@@ -55,6 +55,7 @@ class Params:
     sieve_bits: int = 27
     block: int = 8 << 20       # bytes of chunks counted at once
     bucket: int = 1 << 25      # bytes of dictionary per bucket of hashes
+    parts: int = 64            # shares in which a language's phrases are ranked first
 
 
 # Bytes that end a piece, and blanks between words.
@@ -304,9 +305,14 @@ def mine_collocations(docs: DataFrame, params: Params = Params(), text_col: str
                   .groupBy("lang", "gram").agg(F.max("a").alias("longer")))
     kept = (best.join(inside, ["lang", "gram"], "left")
                 .where(F.col("longer").isNull() | (100 * F.col("longer") < p.contained * F.col("a"))))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
+    # the best of each of ``parts`` shares of a language first, so that the last
+    # ranking of a language takes a bounded number of rows
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(p.parts))).orderBy(*order)
     ranked = (kept.select("lang", F.col("gram").alias("phrase"), "a", "cut.l", "cut.r", "cut.score")
-                  .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= p.top))
+                  .withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= p.top)
+                  .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+                  .where(F.col("rank") <= p.top))
     return (ranked.join(words, "lang")
                   .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r",
                           F.col("total").alias("n"), "score"))
