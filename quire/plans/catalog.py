@@ -10,17 +10,16 @@ exist in the test data. ``now`` is injected so stamped outputs are repeatable.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire import operators as op
-from quire.plans.jobs import keyed_tables_job
-from quire.schemas import (
-    PAGE_CREATIONS, REVIEW_COLUMNS, REVIEWS_BY_CUSTOMER, REVIEWS_BY_PRODUCT, TOP_CUSTOMERS_SCHEMA,
-)
+from quire.plans.jobs import ReviewServing, keyed_tables_job
+from quire.schemas import PAGE_CREATIONS, REVIEW_COLUMNS, REVIEWS_BY_CUSTOMER, REVIEWS_BY_PRODUCT
 from quire.session import scratch_path
-from quire.sinks import KeyedTable, read_partitioned, write_documents, write_records
+from quire.sinks import KeyedTable, write_documents, write_records
 from quire.sources import (
     fixtures, land_csv, land_lines, read_csv_rows, read_lines, read_reviews_csv,
 )
@@ -169,42 +168,46 @@ def keyed_reviews_by_customer(spark, sf_dir):
     return _reviews_by_customer_table(spark, sf_dir)
 
 
-def _written(spark, sf_dir, spec) -> KeyedTable:
-    """The keyed review table as the job writes it, for a lookup to read."""
-    table = KeyedTable(spark, scratch_path(spark, spec.name), spec)
-    table.write_batch(_clean(spark, sf_dir))
-    return table
+@lru_cache(maxsize=16)
+def _stored(spark: SparkSession, app_id: str, sf_dir: str) -> ReviewServing:
+    """The tables and boards as the keyed-tables job writes them, once a session:
+    the serving queries below are lookups in this store."""
+    root = scratch_path(spark, "review-store")
+    csv = land_csv(fixtures.reviews_raw(spark, sf_dir).select(*REVIEW_COLUMNS), f"{root}/feed")
+    keyed_tables_job(spark, csv, f"{root}/tables")
+    return ReviewServing(spark, f"{root}/tables")
+
+
+def _serving(spark: SparkSession, sf_dir: str) -> ReviewServing:
+    return _stored(spark, spark.sparkContext.applicationId, sf_dir)
 
 
 def reviews_of_product(spark, sf_dir):
-    rows = _written(spark, sf_dir, REVIEWS_BY_PRODUCT).read(product_id=PRODUCT_ID)
-    return op.reviews_of_product(rows, PRODUCT_ID)
+    return _serving(spark, sf_dir).reviews_by_product(PRODUCT_ID)
 
 
 def reviews_of_product_rating(spark, sf_dir):
-    rows = _written(spark, sf_dir, REVIEWS_BY_PRODUCT).read(product_id=PRODUCT_ID, star_rating=STAR_RATING)
-    return op.reviews_of_product(rows, PRODUCT_ID, STAR_RATING)
+    return _serving(spark, sf_dir).reviews_by_product(PRODUCT_ID, STAR_RATING)
 
 
 def reviews_of_customer(spark, sf_dir):
-    rows = _written(spark, sf_dir, REVIEWS_BY_CUSTOMER).read(customer_id=CUSTOMER_ID)
-    return op.reviews_of_customer(rows, CUSTOMER_ID)
+    return _serving(spark, sf_dir).reviews_by_customer(CUSTOMER_ID)
 
 
 def top_products(spark, sf_dir):
-    return op.top_products(op.items_by_period(_clean(spark, sf_dir)), PERIOD, TOP_N)
+    return _serving(spark, sf_dir).top_products(PERIOD, TOP_N)
 
 
 def top_customers(spark, sf_dir):
-    return op.top_customers(op.customers_by_period(_clean(spark, sf_dir)), PERIOD, TOP_N)
+    return _serving(spark, sf_dir).top_customers(PERIOD, TOP_N)
 
 
 def top_haters(spark, sf_dir):
-    return op.top_haters(op.sentiment_by_period(_clean(spark, sf_dir)), PERIOD, TOP_N)
+    return _serving(spark, sf_dir).top_haters(PERIOD, TOP_N)
 
 
 def top_backers(spark, sf_dir):
-    return op.top_backers(op.sentiment_by_period(_clean(spark, sf_dir)), PERIOD, TOP_N)
+    return _serving(spark, sf_dir).top_backers(PERIOD, TOP_N)
 
 
 def top_products_all_periods(spark, sf_dir):
@@ -230,7 +233,10 @@ def page_creations(spark, sf_dir):
 
 
 def newest_pages(spark, sf_dir):
-    return op.newest_pages(_page_creations(spark, sf_dir), DOMAIN, TOP_N)
+    """Newest pages of one domain, from the table the load job writes."""
+    table = KeyedTable(spark, scratch_path(spark, "pages"), PAGE_CREATIONS)
+    table.write_batch(_processed_pages(spark, sf_dir))
+    return op.newest_pages(table.read(domain=DOMAIN), DOMAIN, TOP_N)
 
 
 def sse_events(spark, sf_dir):
@@ -297,24 +303,68 @@ def stream_event_messages(spark, sf_dir):
 
 # -- a second feed, a restart, and the batch sinks --------------------------------
 
+def _landed_clean(spark, sf_dir):
+    path = scratch_path(spark, "clean")
+    _clean(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def keyed_two_feeds(spark, sf_dir):
     """The review table after two feeds (odd and even product ids)."""
     table = KeyedTable(spark, scratch_path(spark, "two-feeds"), REVIEWS_BY_PRODUCT)
-    clean = _clean(spark, sf_dir)
+    clean = _landed_clean(spark, sf_dir)
     odd = F.col("product_id").cast("long") % 2 == 1
     table.write_batch(clean.where(odd))
     table.write_batch(clean.where(~odd))
     return table.read()
 
 
+def keyed_replay(spark, sf_dir):
+    """The review table after a batch of everything was replayed with fewer and
+    corrected rows: odd products only, the headline replaced."""
+    table = KeyedTable(spark, scratch_path(spark, "replayed"), REVIEWS_BY_PRODUCT)
+    clean = _landed_clean(spark, sf_dir)
+    table.write_batch(clean)
+    corrected = (clean.where(F.col("product_id").cast("long") % 2 == 1)
+                      .withColumn("review_headline", F.concat(F.lit("corrected "), F.col("review_headline"))))
+    table.write_batch(corrected, 0, replay=True)
+    return table.read()
+
+
+def _feeds(spark, name, *feeds):
+    """Serving over the keyed-tables job's store after feeds of raw reviews."""
+    root = scratch_path(spark, name)
+    for i, rows in enumerate(feeds):
+        keyed_tables_job(spark, land_csv(rows.select(*REVIEW_COLUMNS), f"{root}/feed-{i}"), f"{root}/tables")
+    return ReviewServing(spark, f"{root}/tables")
+
+
 def boards_two_feeds(spark, sf_dir):
     """The customer board after two runs of the job over two feeds of the same
-    periods: every customer counted over both."""
-    root, raw = scratch_path(spark, "boards"), fixtures.reviews_raw(spark, sf_dir).select(*REVIEW_COLUMNS)
+    periods: every customer counted over both, a review in both as the second has it."""
+    raw = fixtures.reviews_raw(spark, sf_dir)
     odd = F.col("product_id").cast("long") % 2 == 1
-    for part, rows in (("a", raw.where(odd)), ("b", raw.where(~odd))):
-        keyed_tables_job(spark, land_csv(rows, f"{root}/feed-{part}"), f"{root}/tables")
-    return read_partitioned(spark, f"{root}/tables/top_customers_by_period", TOP_CUSTOMERS_SCHEMA)
+    return _feeds(spark, "boards", raw.where(odd), raw.where(~odd)).board("top_customers_by_period")
+
+
+def boards_after_correction(spark, sf_dir):
+    """All three boards after a second feed that corrects every review of one
+    period: products with an even id get one star, and all move to the next year,
+    so the period is emptied."""
+    raw = fixtures.reviews_raw(spark, sf_dir)
+    even = F.col("product_id").cast("long") % 2 == 0
+    fixed = (raw.where(F.col("review_date").startswith(f"{PERIOD}-"))
+                .withColumn("star_rating", F.when(even, F.lit("1")).otherwise(F.col("star_rating")))
+                .withColumn("review_date", F.concat((F.substring("review_date", 1, 4).cast("int") + 1).cast("string"),
+                                                    F.lit("-"), F.lit(PERIOD[5:]), F.lit("-15"))))
+    store = _feeds(spark, "corrected", raw, fixed)
+    none = F.lit(None).cast("string")
+    items, people, tagged = (store.board(b) for b in (
+        "top_reviewed_items_by_period", "top_customers_by_period", "top_sentiment_by_period"))
+    return (items.select(F.lit("items").alias("board"), "period", F.col("product_id").alias("id"),
+                         F.col("product_title").alias("label"), "review_count")
+            .union(people.select(F.lit("customers"), "period", "customer_id", none, "review_count"))
+            .union(tagged.select(F.lit("sentiment"), "period", "customer_id", "sentiment", "review_count")))
 
 
 def stream_load_restart(spark, sf_dir):
@@ -357,5 +407,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     tweets_archive_rows, tweets_minute_files, sentiment_by_period_union,
     keyed_reviews_by_product, keyed_reviews_by_customer, event_messages,
     stream_page_creations, stream_event_messages, keyed_two_feeds, boards_two_feeds,
-    stream_load_restart, document_marts, publish_records,
+    stream_load_restart, document_marts, publish_records, keyed_replay, boards_after_correction,
 ]}

@@ -18,16 +18,22 @@ from quire.schemas import (
     TOP_ITEMS_BY_PERIOD, TOP_ITEMS_SCHEMA, TOP_SENTIMENT_BY_PERIOD, TOP_SENTIMENT_SCHEMA,
 )
 from quire.functions import period_of
+from quire.operators.keyed import latest_per_key
 from quire.session import discard, scratch_path
-from quire.sinks import (
-    ConnectorTable, KeyedTable, read_partitioned, replace_partitions, write_documents,
-)
+from quire.sinks import ConnectorTable, CountTable, KeyedTable, write_documents
+from quire.sinks.keyed import BATCH_COL, BUCKET_COL
 from quire.sources import read_reviews_csv
 
 
 FILE_FORMATS = ("parquet", "orc", "json", "csv")
 
 
+def _landed(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _land_clean(spark: SparkSession, reviews_path: str, keep_unparsed_dates: bool, path: str) -> tuple[DataFrame, dict]:
     raw, raw_obs = op.observed(read_reviews_csv(spark, reviews_path), "raw_rows")
     clean, clean_obs = op.observed(op.clean_reviews(raw, keep_unparsed_dates=keep_unparsed_dates),
@@ -50,9 +56,9 @@ def document_store_job(spark: SparkSession, reviews_path: str | list[str], out_r
     marts = {
         "product_stats": op.product_stats(clean),
         "customer_stats": op.customer_stats(clean),
-        # the store is unordered: cluster per task by the lookup key instead
-        # of a global sort
+        # files of disjoint key ranges, in order: the mart's order is the stored order
         "monthly_product_reviews": op.monthly_product_reviews(clean, ordered=False)
+                                     .repartitionByRange("product_id", "year", "month")
                                      .sortWithinPartitions("product_id", "year", "month"),
     }
     for name, df in marts.items():
@@ -68,53 +74,111 @@ def document_store_job(spark: SparkSession, reviews_path: str | list[str], out_r
     return counts
 
 
+# A review is told by these columns on either side of the store; a later feed that
+# brings it again replaces all of its rows in the boards.
+_PRODUCT_SIDE, _CUSTOMER_SIDE = ["product_id", "review_id"], ["customer_id", "review_id"]
+# The leaderboards, with their stored columns.
+BOARDS = {"top_reviewed_items_by_period": (TOP_ITEMS_BY_PERIOD, TOP_ITEMS_SCHEMA),
+          "top_customers_by_period": (TOP_CUSTOMERS_BY_PERIOD, TOP_CUSTOMERS_SCHEMA),
+          "top_sentiment_by_period": (TOP_SENTIMENT_BY_PERIOD, TOP_SENTIMENT_SCHEMA)}
+
+
+def _board(spark: SparkSession, root: str, name: str) -> CountTable:
+    return CountTable(spark, f"{root}/{name}", BOARDS[name][1], "period")
+
+
+def _changed_reviews(table: KeyedTable, batch: int, review: list[str], columns: list[str]) -> DataFrame:
+    """``columns`` and ``sign`` of the review rows that ``batch`` brought (1) and of
+    those they replace (-1): the rows of these reviews in the last earlier batch
+    that had them. Only the buckets that the batch touches are read."""
+    cols = list(dict.fromkeys([*table.spec.key, *review, *columns]))
+
+    def stored(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows.select(*cols, BATCH_COL, BUCKET_COL), [BUCKET_COL, *table.spec.key], order=[BATCH_COL])
+
+    mine = table.log([batch])
+    new = stored(mine).select(*columns, F.lit(1).cast("long").alias("sign"))
+    if table.snapshot() is None and min(table.batches()) == batch:
+        return new
+    touched = [r[BUCKET_COL] for r in mine.select(BUCKET_COL).distinct().collect()]  # at most the bucket count
+    asked = mine.select(BUCKET_COL, *review).distinct()
+    before = stored(table.versions(below=batch).where(F.col(BUCKET_COL).isin(touched))
+                         .join(asked, [BUCKET_COL, *review], "left_semi"))
+    last = before.groupBy(*review).agg(F.max(BATCH_COL).alias("_last"))
+    old = before.join(last, review).where(F.col(BATCH_COL) == F.col("_last"))
+    return new.union(old.select(*columns, F.lit(-1).cast("long")))
+
+
+def _net(changes: DataFrame, *key: str) -> DataFrame:
+    return (changes.groupBy(*key).agg(F.sum("sign").alias("review_count")).where("review_count != 0"))
+
+
+def board_changes(by_product: KeyedTable, by_customer: KeyedTable, batch: int) -> dict[str, DataFrame]:
+    """What ``batch`` changes in each leaderboard: signed counts by its key."""
+    stars = F.col("star_rating")
+    items = _changed_reviews(by_product, batch, _PRODUCT_SIDE, ["product_id", "review_date", "product_title"])
+    # both customer boards come from one read of the changes
+    people = _landed(_changed_reviews(by_customer, batch, _CUSTOMER_SIDE,
+                                   ["customer_id", "review_date", "product_id", "product_title", "star_rating"])
+                  .withColumn("period", period_of("review_date")), "changed-reviews")
+    tag = (F.when(stars <= op.marts.HATER_MAX_STARS, F.lit(op.marts.HATER))
+            .when(stars >= op.marts.BACKER_MIN_STARS, F.lit(op.marts.BACKER)))
+    return {
+        "top_reviewed_items_by_period": _net(items.withColumn("period", period_of("review_date")),
+                                             "period", "product_id", "product_title"),
+        "top_customers_by_period": _net(people, "period", "customer_id"),
+        "top_sentiment_by_period": _net(people.withColumn("sentiment", tag).where("sentiment is not null"),
+                                        "period", "customer_id", "sentiment"),
+    }
+
+
 def keyed_tables_job(spark: SparkSession, reviews_path: str | list[str], root: str, batch_id: int | None = None,
                      work_path: str | None = None, store_format: str | None = None,
                      store_options: dict | None = None) -> dict:
     """Reviews CSV -> clean (bad dates dropped) -> 2 keyed review tables
-    (upsert) and 3 per-period leaderboards (periods replaced whole).
+    (upsert) and 3 per-period leaderboards.
 
     Every run adds a batch of its own, so a second feed adds to the first;
-    giving the ``batch_id`` of an earlier run replays it. The boards of the
-    periods in the feed are recomputed from the whole review tables (collapsed
-    to one row a key), so they count all feeds and follow corrections.
+    giving the ``batch_id`` of an earlier run replays it, whole. The boards
+    count the stored rows of each review as its last feed had it: a corrected
+    rating or date moves it and an emptied period goes. They are kept as each
+    batch's signed changes, computed from the reviews in the feed and what the
+    tables held of them before, and summed on reading.
 
     Tables are Parquet under ``root``; with ``store_format`` (a keyed-store
-    connector) all five go to that store instead, the table name added to
-    ``store_options``. Such a store keeps board rows of counts that have
-    changed; serving takes the largest count of an id.
+    connector) all five go to that store too, the table name added to
+    ``store_options``. The tables under ``root`` are still kept then: the
+    changes need the earlier versions, which such a store does not have.
     """
     root = root.rstrip("/")
     landed = work_path or scratch_path(spark, "clean-reviews")
     clean, counts = _land_clean(spark, reviews_path, False, landed)
 
-    def table(spec):
-        if store_format:
-            return ConnectorTable(spark, spec, store_format, {**(store_options or {}), "table": spec.name})
-        return KeyedTable(spark, f"{root}/{spec.name}", spec)
+    def store(spec):
+        return ConnectorTable(spark, spec, store_format, {**(store_options or {}), "table": spec.name})
 
-    stored = {}
+    tables = []
     for spec in (REVIEWS_BY_PRODUCT, REVIEWS_BY_CUSTOMER):
-        res = table(spec).write_batch(clean, batch_id, replay=batch_id is not None)
+        table = KeyedTable(spark, f"{root}/{spec.name}", spec)
+        res = table.write_batch(clean, batch_id, replay=batch_id is not None)
+        batch_id = table.last_batch if batch_id is None and not tables else batch_id
         counts[spec.name] = res["rows"]
         counts[f"{spec.name}_rejected"] = res["rejected"]
-        stored[spec.name] = table(spec).read().withColumn("period", period_of("review_date"))
-    touched = clean.select("period").distinct()
-    items, people = (stored[spec.name].join(touched, "period", "left_semi")
-                     for spec in (REVIEWS_BY_PRODUCT, REVIEWS_BY_CUSTOMER))
-    boards = [
-        (TOP_ITEMS_BY_PERIOD, op.items_by_period(items), [F.col("product_id")]),
-        (TOP_CUSTOMERS_BY_PERIOD, op.customers_by_period(people), [F.col("customer_id")]),
-        (TOP_SENTIMENT_BY_PERIOD, op.sentiment_by_period(people), [F.col("sentiment"), F.col("customer_id")]),
-    ]
-    for spec, df, order in boards:
+        tables.append(table)
         if store_format:
-            counts[spec.name] = table(spec).write_batch(df)["rows"]
-            continue
-        df, obs = op.observed(df, spec.name)
-        # by period alone, so a sentiment that has lost all its rows goes too
-        replace_partitions(df, f"{root}/{spec.name}", ["period"], [F.col("review_count").desc(), *order])
-        counts[spec.name] = obs.get["rows"]
+            store(spec).write_batch(clean, batch_id)
+    # a replayed batch, or one that another run overtook, changes what later ones did;
+    # a run that stopped before its boards left them to the next one
+    told = set.intersection(*[set(_board(spark, root, name).batches()) for name in BOARDS])
+    for batch in [n for n in tables[1].batches() if n >= batch_id or n not in told]:
+        for name, changes in board_changes(*tables, batch).items():
+            board = _board(spark, root, name)
+            written = board.write_batch(changes, batch, replay=True)
+            if batch == batch_id:
+                counts[name] = written
+            if store_format:
+                rows = board.log([batch]).withColumn("batch_id", F.lit(batch).cast("long"))
+                store(BOARDS[name][0]).write_batch(rows, batch)
     if not work_path:
         discard(spark, landed)
     return counts
@@ -122,7 +186,7 @@ def keyed_tables_job(spark: SparkSession, reviews_path: str | list[str], root: s
 
 class ReviewServing:
     """The serving lookups (K1-K7) over tables written by :func:`keyed_tables_job`
-    (review tables in ``store_format`` when given, as the job wrote them)."""
+    (in ``store_format`` when given, as the job wrote them)."""
 
     def __init__(self, spark: SparkSession, root: str, store_format: str | None = None,
                  store_options: dict | None = None):
@@ -136,18 +200,17 @@ class ReviewServing:
 
         self.by_product = table(REVIEWS_BY_PRODUCT)
         self.by_customer = table(REVIEWS_BY_CUSTOMER)
-
-        self._store = (store_format, store_options)
-
-    def _board(self, name, schema):
-        store_format, options = self._store
-        if not store_format:
-            return read_partitioned(self.spark, f"{self.root}/{name}", schema)
-        rows = (self.spark.read.format(store_format).options(**{**(options or {}), "table": name})
-                    .load().select(*schema.fieldNames()))
-        # counts only grow by feeds: an earlier board row of an id has a smaller count
-        ids = [c for c in schema.fieldNames() if c != "review_count"]
-        return rows.groupBy(*ids).agg(F.max("review_count").alias("review_count")).select(*schema.fieldNames())
+        self._table, self._store = table, store_format
+
+    def board(self, name: str, period: str | None = None) -> DataFrame:
+        """A leaderboard (of one period): the changes of all feeds, summed."""
+        spec, schema = BOARDS[name]
+        if not self._store:
+            table = _board(self.spark, self.root, name)
+            return table.read(period=period) if period is not None else table.read()
+        rows = self._table(spec).read(**({} if period is None else {"period": period}))
+        return (_net(rows.withColumnRenamed("review_count", "sign"), *[c for c in schema.fieldNames() if c != "review_count"])
+                .select(*schema.fieldNames()))
 
     def reviews_by_product(self, product_id: str, star_rating: int | None = None) -> DataFrame:
         if star_rating is not None:
@@ -160,17 +223,13 @@ class ReviewServing:
                                       customer_id)
 
     def top_products(self, period: str, n: int = 10) -> DataFrame:
-        return op.top_products(self._board("top_reviewed_items_by_period", TOP_ITEMS_SCHEMA),
-                               period, n)
+        return op.top_products(self.board("top_reviewed_items_by_period", period), period, n)
 
     def top_customers(self, period: str, n: int = 10) -> DataFrame:
-        return op.top_customers(self._board("top_customers_by_period", TOP_CUSTOMERS_SCHEMA),
-                                period, n)
+        return op.top_customers(self.board("top_customers_by_period", period), period, n)
 
     def top_haters(self, period: str, n: int = 10) -> DataFrame:
-        return op.top_haters(self._board("top_sentiment_by_period", TOP_SENTIMENT_SCHEMA),
-                             period, n)
+        return op.top_haters(self.board("top_sentiment_by_period", period), period, n)
 
     def top_backers(self, period: str, n: int = 10) -> DataFrame:
-        return op.top_backers(self._board("top_sentiment_by_period", TOP_SENTIMENT_SCHEMA),
-                              period, n)
+        return op.top_backers(self.board("top_sentiment_by_period", period), period, n)

@@ -328,6 +328,54 @@ ORACLE_SQL["stream_load_restart"] = ORACLE_SQL["page_creations"]
 ORACLE_SQL["keyed_two_feeds"] = ORACLE_SQL["keyed_reviews_by_product"]
 ORACLE_SQL["document_marts"] = ORACLE_SQL["product_stats"]
 ORACLE_SQL["publish_records"] = ORACLE_SQL["publish_tweets"]
-ORACLE_SQL["boards_two_feeds"] = _with(*_C, BY_CUSTOMER) + """
-select strftime(review_date, '%Y-%m') as period, customer_id, count(*) as review_count
-from by_customer group by all"""
+# The stored boards count stored rows (one a key), of each review as its last feed had it.
+STORED_ITEMS = BY_PRODUCT + """,
+items as (select strftime(review_date, '%Y-%m') as period, product_id, product_title, count(*) as review_count
+          from by_product group by all)"""
+STORED_PEOPLE = BY_CUSTOMER + """,
+customers as (select strftime(review_date, '%Y-%m') as period, customer_id, count(*) as review_count
+              from by_customer group by all),
+sentiment as (
+  select strftime(review_date, '%Y-%m') as period, customer_id, count(*) as review_count,
+         case when star_rating <= 2 then 'hater' else 'backer' end as sentiment
+  from by_customer where star_rating <> 3 group by all)"""
+
+
+def _fed(second: str) -> str:
+    """``clean`` after two feeds, for a side of the store that tells a review by
+    ``{key}``: rows of the last feed that had the review."""
+    return f"""
+fed as ({second}),
+clean_of as (select * from fed qualify feed = max(feed) over (partition by {{key}}, review_id))"""
+
+
+def _side(key: str, second: str, table: str, *ctes: str) -> str:
+    """Tables of one side, computed from its own current rows."""
+    own = _fed(second).format(key=key).replace("clean_of", f"clean_{key}")
+    return own + "," + table.replace("from clean", f"from clean_{key}")
+
+
+_HALVES = "select *, case when cast(product_id as bigint) % 2 = 1 then 0 else 1 end as feed from clean"
+ORACLE_SQL["boards_two_feeds"] = _with(*_C, _side("customer_id", _HALVES, STORED_PEOPLE)) + "select * from customers"
+_CORRECTED = f"""
+select *, 0 as feed from clean
+union all
+select review_id, customer_id, product_id, product_title, product_category,
+       case when cast(product_id as bigint) % 2 = 0 then 1 else star_rating end as star_rating,
+       verified_purchase, helpful_votes, total_votes, review_headline, review_body,
+       make_date({int(PERIOD[:4]) + 1}, {int(PERIOD[5:])}, 15) as review_date,
+       '{int(PERIOD[:4]) + 1}-{PERIOD[5:]}' as period, 1 as feed
+from typed where strftime(review_date, '%Y-%m') = '{PERIOD}' and verified_purchase = 1
+  and (star_rating is not null or cast(product_id as bigint) % 2 = 0)"""
+ORACLE_SQL["boards_after_correction"] = _with(
+    *_C, _side("customer_id", _CORRECTED, STORED_PEOPLE),
+    _side("product_id", _CORRECTED, STORED_ITEMS).replace("fed", "fed_items")) + """
+select 'items' as board, period, product_id as id, product_title as label, review_count from items
+union all select 'customers', period, customer_id, null, review_count from customers
+union all select 'sentiment', period, customer_id, sentiment, review_count from sentiment"""
+ORACLE_SQL["keyed_replay"] = _with(*_C, BY_PRODUCT) + """
+select * replace ('corrected ' || review_headline as review_headline) from by_product
+where cast(product_id as bigint) % 2 = 1"""
+for _name, _cte, _stored in (("top_products", ITEMS, STORED_ITEMS), ("top_customers", CUSTOMERS, STORED_PEOPLE),
+                             ("top_haters", SENTIMENT, STORED_PEOPLE), ("top_backers", SENTIMENT, STORED_PEOPLE)):
+    ORACLE_SQL[_name] = ORACLE_SQL[_name].replace(_cte, _stored)

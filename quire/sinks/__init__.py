@@ -1,4 +1,2 @@
 from quire.sinks.files import write_documents, write_minute_archive, write_records  # noqa: F401
-from quire.sinks.keyed import (  # noqa: F401
-    ConnectorTable, KeyedTable, read_partitioned, replace_partitions,
-)
+from quire.sinks.keyed import ConnectorTable, CountTable, KeyedTable  # noqa: F401

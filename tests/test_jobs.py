@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from quire import operators as op
-from quire.plans.jobs import ReviewServing, document_store_job, keyed_tables_job
+from quire.plans.jobs import BOARDS, ReviewServing, board_changes, document_store_job, keyed_tables_job
 from quire.schemas import REVIEW_COLUMNS
-from quire.sources import fixtures, land_csv
+from quire.sources import fixtures, land_csv, read_reviews_csv
 
 SF = "/root/testdata/sf0.001"
 
@@ -81,6 +81,121 @@ def test_second_feed_and_corrections(spark, workdir):
     keyed_tables_job(spark, feed("fc", *[r | {"star_rating": "1"} for r in a + b]), root)
     assert [tuple(r) for r in srv.top_haters("2015-08").collect()] == [("c1", 11)]
     assert srv.top_backers("2015-08").isEmpty()
+    # the product board counts a re-rated review once, as the customer board does
+    assert [(r.product_id, r.review_count) for r in srv.top_products("2015-08").collect()] == [("p1", 9), ("p2", 2)]
+    assert [tuple(r) for r in srv.top_customers("2015-08").collect()] == [("c1", 11)]
+    # a corrected date moves a review; the emptied period goes from every board
+    keyed_tables_job(spark, feed("fd", *[r | {"star_rating": "5", "review_date": "2016-01-02"} for r in a + b]), root)
+    for name in BOARDS:
+        assert srv.board(name, "2015-08").isEmpty()
+    assert [tuple(r) for r in srv.top_backers("2016-01").collect()] == [("c1", 11)]
+    # also from snapshots of tables and boards
+    for t in (srv.by_product, srv.by_customer):
+        t.compact()
+    keyed_tables_job(spark, feed("fe", a[0] | {"star_rating": "1", "review_date": "2016-01-02"}), root)
+    assert [tuple(r) for r in srv.top_backers("2016-01").collect()] == [("c1", 10)]
+    assert [tuple(r) for r in srv.top_haters("2016-01").collect()] == [("c1", 1)]
+
+
+def test_a_replayed_feed_corrects_later_boards(spark, workdir):
+    """Replaying an earlier feed with other content changes what later feeds did
+    to the boards; a run that stopped before its boards is made good."""
+    cols = ", ".join(f"{c} string" for c in REVIEW_COLUMNS)
+
+    def feed(name, *rows):
+        df = spark.createDataFrame([{c: "1" for c in REVIEW_COLUMNS} | {"review_date": "2015-08-31", "star_rating": "5"} | r
+                                    for r in rows], cols)
+        return land_csv(df, f"{workdir}/{name}")
+
+    root = f"{workdir}/keyed"
+    r = [{"review_id": f"r{i}", "product_id": "p", "customer_id": "c"} for i in range(4)]
+    keyed_tables_job(spark, feed("f0", *r), root)                                     # 4 reviews
+    keyed_tables_job(spark, feed("f1", r[0] | {"star_rating": "1"}), root)            # r0 corrected
+    srv = ReviewServing(spark, root)
+    assert [tuple(x) for x in srv.top_backers("2015-08").collect()] == [("c", 3)]
+    keyed_tables_job(spark, feed("f0b", *r[1:3]), root, batch_id=0)                   # r0 and r3 never came
+    assert [tuple(x) for x in srv.top_backers("2015-08").collect()] == [("c", 2)]
+    assert [tuple(x) for x in srv.top_haters("2015-08").collect()] == [("c", 1)]
+    assert [tuple(x) for x in srv.top_customers("2015-08").collect()] == [("c", 3)]
+    # tables written, boards not: the next run does both
+    clean = op.clean_reviews(read_reviews_csv(spark, feed("f2", r[3])))
+    for t in (srv.by_product, srv.by_customer):
+        t.write_batch(clean)
+    keyed_tables_job(spark, feed("f3", {"review_id": "x", "product_id": "q", "customer_id": "c"}), root)
+    assert [tuple(x) for x in srv.top_customers("2015-08").collect()] == [("c", 5)]
+    assert [(x.product_id, x.review_count) for x in srv.top_products("2015-08").collect()] == [("p", 4), ("q", 1)]
+
+
+def test_change_sets_read_touched_buckets_only(spark, workdir):
+    root = f"{workdir}/keyed"
+    csv = _csv(spark, workdir)
+    keyed_tables_job(spark, csv, root)
+    one = read_reviews_csv(spark, csv).where("product_id = '7'")
+    keyed_tables_job(spark, land_csv(one, f"{workdir}/one"), root)
+    srv = ReviewServing(spark, root)
+    changes = board_changes(srv.by_product, srv.by_customer, 1)["top_reviewed_items_by_period"]
+    assert changes.isEmpty()  # the same reviews again
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    bucket = srv.by_product.log([1]).first()["b"]
+    assert f"(b#" in plan and f"= {bucket})" in plan.split("PartitionFilters", 1)[1]
+
+
+def test_boards_in_an_external_store_can_fall(spark, workdir):
+    """A store that upserts by key, here the Parquet source of one folder per table."""
+    cols = ", ".join(f"{c} string" for c in REVIEW_COLUMNS)
+
+    def feed(name, *rows):
+        df = spark.createDataFrame([{c: "1" for c in REVIEW_COLUMNS} | {"review_date": "2015-08-31"} | r
+                                    for r in rows], cols)
+        return land_csv(df, f"{workdir}/{name}")
+
+    sent = {}
+
+    class Store:
+        def __init__(self, spark, spec, format, options):
+            self.spec = spec
+
+        def write_batch(self, df, batch_id=None, replay=False):
+            for row in df.select(*self.spec.columns).collect():
+                sent.setdefault(self.spec.name, {})[tuple(row[c] for c in self.spec.key)] = tuple(row)
+            return {"rows": 0, "rejected": 0}
+
+        def read(self, **equal_to):
+            df = spark.createDataFrame(list(sent[self.spec.name].values()), self.spec.schema)
+            for c, v in equal_to.items():
+                df = df.where(F.col(c) == v)
+            return df
+
+    from quire.plans import jobs
+    real, jobs.ConnectorTable = jobs.ConnectorTable, Store
+    try:
+        r = [{"review_id": f"r{i}", "product_id": "p", "customer_id": "c", "star_rating": "5"} for i in range(3)]
+        for i, rows in enumerate((r, [x | {"star_rating": "2"} for x in r[:2]])):
+            keyed_tables_job(spark, feed(f"f{i}", *rows), f"{workdir}/k", store_format="any", store_options={})
+        srv = ReviewServing(spark, f"{workdir}/k", "any", {})
+        assert [tuple(x) for x in srv.top_backers("2015-08").collect()] == [("c", 1)]
+        assert [tuple(x) for x in srv.top_haters("2015-08").collect()] == [("c", 2)]
+    finally:
+        jobs.ConnectorTable = real
+
+
+def test_monthly_mart_files_hold_disjoint_ranges_in_order(spark, workdir):
+    old = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        document_store_job(spark, _csv(spark, workdir), f"{workdir}/docs")
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    key = ["product_id", "year", "month"]
+    df = spark.read.parquet(f"{workdir}/docs/monthly_product_reviews").withColumn("f", F.input_file_name())
+    lowest = F.struct(*[F.col(c) for c in key])
+    spans = sorted((r.f, tuple(r.lo), tuple(r.hi)) for r in df.groupBy("f").agg(
+        F.min(lowest).alias("lo"), F.max(lowest).alias("hi")).collect())
+    order = lambda t: tuple((x is not None, x) for x in t)  # noqa: E731  (nulls first, as stored)
+    assert len(spans) == 5
+    assert all(order(a[2]) <= order(b[1]) for a, b in zip(spans, spans[1:]))
 
 
 def test_files_with_different_headers_are_refused(spark, workdir):
