@@ -9,6 +9,9 @@ unsplittable multi-line CSV), and every mart is derived from the landed copy.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +37,13 @@ def _landed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _together(*jobs) -> None:
+    """Run small Spark jobs side by side."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
+
+
 def _land_clean(spark: SparkSession, reviews_path: str, keep_unparsed_dates: bool, path: str) -> tuple[DataFrame, dict]:
     raw, raw_obs = op.observed(read_reviews_csv(spark, reviews_path), "raw_rows")
     clean, clean_obs = op.observed(op.clean_reviews(raw, keep_unparsed_dates=keep_unparsed_dates),
@@ -157,28 +167,35 @@ def keyed_tables_job(spark: SparkSession, reviews_path: str | list[str], root: s
     def store(spec):
         return ConnectorTable(spark, spec, store_format, {**(store_options or {}), "table": spec.name})
 
-    tables = []
-    for spec in (REVIEWS_BY_PRODUCT, REVIEWS_BY_CUSTOMER):
-        table = KeyedTable(spark, f"{root}/{spec.name}", spec)
-        res = table.write_batch(clean, batch_id, replay=batch_id is not None)
-        batch_id = table.last_batch if batch_id is None and not tables else batch_id
-        counts[spec.name] = res["rows"]
-        counts[f"{spec.name}_rejected"] = res["rejected"]
-        tables.append(table)
+    tables = [KeyedTable(spark, f"{root}/{spec.name}", spec) for spec in (REVIEWS_BY_PRODUCT, REVIEWS_BY_CUSTOMER)]
+
+    # the number that is free in the first table is this run's in all of them
+    replay = batch_id is not None
+    batch_id, attempt = tables[0].claim(batch_id, replay)
+
+    def write(table: KeyedTable) -> None:
+        res = table.write_claimed(clean, *((batch_id, attempt) if table is tables[0] else table.claim(batch_id, True)))
+        counts[table.spec.name] = res["rows"]
+        counts[f"{table.spec.name}_rejected"] = res["rejected"]
         if store_format:
-            store(spec).write_batch(clean, batch_id)
+            store(table.spec).write_batch(clean, batch_id)
+
+    _together(*[partial(write, t) for t in tables])
+
+    def tell(batch: int, name: str, changes: DataFrame) -> None:
+        board = _board(spark, root, name)
+        written = board.write_batch(changes, batch, replay=True)
+        if batch == batch_id:
+            counts[name] = written
+        if store_format:
+            rows = board.log([batch]).withColumn("batch_id", F.lit(batch).cast("long"))
+            store(BOARDS[name][0]).write_batch(rows, batch)
+
     # a replayed batch, or one that another run overtook, changes what later ones did;
     # a run that stopped before its boards left them to the next one
     told = set.intersection(*[set(_board(spark, root, name).batches()) for name in BOARDS])
     for batch in [n for n in tables[1].batches() if n >= batch_id or n not in told]:
-        for name, changes in board_changes(*tables, batch).items():
-            board = _board(spark, root, name)
-            written = board.write_batch(changes, batch, replay=True)
-            if batch == batch_id:
-                counts[name] = written
-            if store_format:
-                rows = board.log([batch]).withColumn("batch_id", F.lit(batch).cast("long"))
-                store(BOARDS[name][0]).write_batch(rows, batch)
+        _together(*[partial(tell, batch, name, changes) for name, changes in board_changes(*tables, batch).items()])
     if not work_path:
         discard(spark, landed)
     return counts

@@ -148,8 +148,8 @@ class BatchLog:
 
     # -- rows ------------------------------------------------------------------------
     def _publish(self, rows: DataFrame, kind: str, folder: str, n: int, k: int) -> None:
-        (rows.write.mode("overwrite").partitionBy(*self.dirs)
-             .parquet(f"{self.path}/{folder}={n}/{ATTEMPT_COL}={k}"))
+        w = rows.write.mode("overwrite")
+        (w.partitionBy(*self.dirs) if self.dirs else w).parquet(f"{self.path}/{folder}={n}/{ATTEMPT_COL}={k}")
         self._mark(f"done-{kind}", n, k)
 
     def _clustered(self, rows: DataFrame) -> DataFrame:
@@ -238,7 +238,6 @@ class KeyedTable(BatchLog):
         super().__init__(spark, path, spec.schema, list(spec.partition_key) if spec.by_value else [BUCKET_COL], order)
         self.spec = spec
         self.rejects_path = rejects_path.rstrip("/") if rejects_path else None
-        self.last_batch: int | None = None  # of this writer
 
     def buckets(self, create: bool = False) -> int:
         """The table's bucket count: what it was written with, else the spec's."""
@@ -257,14 +256,15 @@ class KeyedTable(BatchLog):
         given = self.claim_epoch(run, epoch)
         if given is None:
             return {"rows": 0, "rejected": 0}
-        return {**self._write(df, *given), "batch": given[0]}
+        return {**self.write_claimed(df, *given), "batch": given[0]}
 
     def write_batch(self, df: DataFrame, batch_id: int | None = None, replay: bool = False) -> dict:
         """Upsert ``df`` as a new batch (or as ``batch_id``, again with
         ``replay``, which replaces all of it); returns written/rejected counts."""
-        return self._write(df, *self.claim(batch_id, replay))
+        return self.write_claimed(df, *self.claim(batch_id, replay))
 
-    def _write(self, df: DataFrame, n: int, k: int) -> dict:
+    def write_claimed(self, df: DataFrame, n: int, k: int) -> dict:
+        """Write ``df`` as a claimed attempt."""
         spec = self.spec
         bad = null_key(spec.key)
         if spec.by_value:  # a directory has no empty name, nor a keyed store an empty partition key
@@ -278,7 +278,6 @@ class KeyedTable(BatchLog):
         obs = Observation(f"{spec.name}_batch_{n}_{k}")
         out = self._clustered(out).observe(obs, F.count_if(~bad).alias("rows"), F.count_if(bad).alias("rejected"))
         self._publish(out.filter(~bad), BATCH_COL, BATCH_COL, n, k)
-        self.last_batch = n
         res = {c: int(obs.get.get(c) or 0) for c in ("rows", "rejected")}
         if self.rejects_path:
             # rows with a NULL key column, kept per batch for inspection; a replay replaces them
@@ -311,15 +310,16 @@ class KeyedTable(BatchLog):
 
 
 class CountTable(BatchLog):
-    """Signed counts by key, in a directory per value of ``by``; reading sums
-    them and leaves out what has come to zero. A batch holds the changes that
-    one feed made, so a replay replaces them and a count can fall."""
+    """Signed counts by key, in files of key ranges from ``by`` on (its pushed
+    equality skips all others); reading sums them and leaves out what has come
+    to zero. A batch holds the changes that one feed made, so a replay replaces
+    them and a count can fall."""
 
     COUNT = "review_count"
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, by: str):
         self.key = [c for c in schema.fieldNames() if c != self.COUNT]
-        super().__init__(spark, path, schema, [by], [F.col(c) for c in self.key if c != by])
+        super().__init__(spark, path, schema, [], [F.col(by), *[F.col(c) for c in self.key if c != by]])
 
     def write_batch(self, changes: DataFrame, batch_id: int | None = None, replay: bool = False) -> int:
         n, k = self.claim(batch_id, replay)

@@ -141,9 +141,9 @@ def test_two_writers_get_their_own_batches(spark, workdir):
     one, two = a.claim(), b.claim()
     assert (one, two) == ((0, 0), (1, 0))
     rows = lambda n: spark.createDataFrame([("d", n, "u", n)], COLS)
-    b._write(rows("b"), *two)
+    b.write_claimed(rows("b"), *two)
     assert [r.page_title for r in a.read().collect()] == ["b"]  # the unfinished batch is not seen
-    a._write(rows("a"), *one)
+    a.write_claimed(rows("a"), *one)
     assert sorted(r.page_title for r in b.read().collect()) == ["a", "b"]
     # whoever loses the race for a number takes the next one
     real, seen = a.next_batch, []
