@@ -71,6 +71,18 @@ def _again(text, fields: str):
     return F.when(whole & got.isNotNull() & got["_bad"].isNull(), got)
 
 
+def _parsed_objects(records: DataFrame, text, by_variant: str, by_text: str) -> DataFrame:
+    """``v``, ``g``, ``s`` of records whose ``text`` (a column that starts with a
+    brace) is a JSON object: the variant, or for what its parser refuses the
+    named fields as variants and as text. Two barriers: every record is parsed
+    once, and only refused ones again, behind the second."""
+    once = records.select(text.alias("_text")).select("_text", parse_once(F.try_parse_json("_text")).alias("v"))
+    refused, t = F.col("v").isNull(), F.col("_text")
+    again = F.when(refused, F.struct(_again(t, by_variant).alias("g"), _again(t, by_text).alias("s")))
+    return (once.select("v", parse_once(again).alias("r")).select("v", "r.g", "r.s")
+                .filter("v is not null or g is not null or s is not null"))
+
+
 def sse_to_messages(lines: DataFrame, now: datetime | str | None = None,
                     line_col: str = "value") -> DataFrame:
     """Server-sent-event lines -> flat page messages.
@@ -84,13 +96,9 @@ def sse_to_messages(lines: DataFrame, now: datetime | str | None = None,
     line = F.col(line_col)
     payload = sse_payload(line)
     # valid JSON that starts with "{" is an object: no need to inspect its schema
-    v = F.try_parse_json(payload)
     by_name = ("performer struct<user_id: {0}, user_is_bot: {1}>, meta struct<domain: {0}>, page_title {0}")
-    parsed = (lines.filter(line.startswith(SSE_DATA_FIELD) & payload.startswith("{"))
-                   .select(parse_once(F.struct(
-                       v.alias("v"), F.when(v.isNull(), _again(payload, by_name.format("variant", "variant"))).alias("g"),
-                       F.when(v.isNull(), _again(payload, by_name.format("string", "boolean"))).alias("s"))).alias("r"))
-                   .select("r.*").filter("v is not null or g is not null or s is not null"))
+    parsed = _parsed_objects(lines.filter(line.startswith(SSE_DATA_FIELD) & payload.startswith("{")), payload,
+                             by_name.format("variant", "variant"), by_name.format("string", "boolean"))
     v, g, s = F.col("v"), F.col("g"), F.col("s")
     empty = F.lit("")
 
@@ -140,11 +148,8 @@ def archive_rows(records: DataFrame, now: datetime | str | None = None,
     text = F.col(value_col).cast("string")
     is_object = F.regexp_replace(text, r"^[ \t\n\r]+", "").startswith("{")
     names = ("author_id", "created_at", "text")
-    v = F.try_parse_json(text)
-    again = [F.when(v.isNull(), _again(text, ", ".join(f"{c} {t}" for c in names))).alias(a)
-             for a, t in (("g", "variant"), ("s", "string"))]
-    parsed = (records.filter(is_object).select(parse_once(F.struct(v.alias("v"), *again)).alias("r")).select("r.*")
-                     .filter("v is not null or g is not null or s is not null"))
+    parsed = _parsed_objects(records.filter(is_object), text,
+                             *[", ".join(f"{c} {t}" for c in names) for t in ("variant", "string")])
     v, g, s = F.col("v"), F.col("g"), F.col("s")
     msg = parsed.select(*[F.coalesce(
         F.when(v.isNotNull(), python_text(v, f"$.{c}")).when(g.isNotNull(), python_text(g[c], "$")).otherwise(s[c]),
