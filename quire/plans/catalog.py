@@ -19,11 +19,15 @@ from quire import operators as op
 from quire.plans.jobs import ReviewServing, keyed_tables_job
 from quire.schemas import PAGE_CREATIONS, REVIEW_COLUMNS, REVIEWS_BY_CUSTOMER, REVIEWS_BY_PRODUCT
 from quire.session import scratch_path
-from quire.sinks import KeyedTable, write_documents, write_records
+from quire.sinks import (
+    KeyedTable, read_minute_archive, write_documents, write_minute_archive, write_records,
+)
 from quire.sources import (
     fixtures, land_csv, land_lines, read_csv_rows, read_lines, read_reviews_csv,
 )
-from quire.streaming.jobs import Endpoint, start_filter_job, start_load_job, start_normalise_job
+from quire.streaming.jobs import (
+    Endpoint, read_counters, read_rejects, start_archive_job, start_filter_job, start_load_job, start_normalise_job,
+)
 
 # Request parameters used by the registered serving queries.
 PERIOD = "1998-01"
@@ -267,9 +271,8 @@ def tweets_minute_files(spark, sf_dir):
 # Each starts the real Structured Streaming job(s) with an ``availableNow``
 # trigger on records landed from the driver tables, waits for them, and
 # returns what the sink holds; the result must equal the batch twin above.
-# (The archive stream writes one directory per minute of the fixture's month
-# of stamps, tens of thousands of tiny files, so it is checked in the tests
-# against its batch twin instead.)
+# (The archive queries take the busy-minute messages: one directory per minute
+# of the plain tweets' month of stamps would be tens of thousands of tiny files.)
 
 def _finish(query) -> None:
     query.awaitTermination()
@@ -381,6 +384,51 @@ def stream_load_restart(spark, sf_dir):
     return table.read()
 
 
+def archive_files(spark, sf_dir):
+    """The batch archive of the busy minutes, written and read back."""
+    path = scratch_path(spark, "archive")
+    for late in (False, True):
+        write_minute_archive(op.archive_rows(fixtures.busy_minutes(spark, sf_dir, late), now=NOW), path)
+    return read_minute_archive(spark, path)
+
+
+def stream_archive(spark, sf_dir):
+    """The archive stream over the same messages: run, stopped, and run again
+    when the late half had come; read through the sink's commit log."""
+    src, out = scratch_path(spark, "busy-topic"), scratch_path(spark, "stream-archive")
+    for late in (False, True):
+        land_lines(fixtures.busy_minutes(spark, sf_dir, late), f"{src}/late-{late}")
+        _finish(start_archive_job(spark, Endpoint(path=f"{src}/*"), out, trigger={"availableNow": True}, now=NOW,
+                                  writers_per_minute=4))
+    return read_minute_archive(spark, out)
+
+
+def _load_all_messages(spark, sf_dir, name):
+    """The load stream over unfiltered messages with broken ones among them, run
+    and, when the second half had come, run again: (rejects, counters) paths."""
+    ev = fixtures.page_messages(spark, sf_dir)
+    domain, half = F.get_json_object("value", "$.domain"), F.pmod(F.xxhash64("value"), F.lit(2))
+    bad = (F.when(domain == "de.wikipedia.org", F.concat(F.lit("{broken "), F.col("value")))
+            .when(domain == "commons.wikimedia.org", F.to_json(F.array("value"))).otherwise(F.col("value")))
+    root = scratch_path(spark, name)
+    table = KeyedTable(spark, f"{root}/pages", PAGE_CREATIONS)
+    for i in (0, 1):
+        land_lines(ev.where(half == i).select(bad.alias("value")), f"{root}/topic/part-{i}")
+        _finish(start_load_job(spark, Endpoint(path=f"{root}/topic/*"), table, trigger={"availableNow": True},
+                               rejects_path=f"{root}/rejects", counters_path=f"{root}/counters"))
+    return f"{root}/rejects", f"{root}/counters"
+
+
+def stream_rejects(spark, sf_dir):
+    """Messages that the load stream rejected, as they came, and why."""
+    return read_rejects(spark, _load_all_messages(spark, sf_dir, "stream-rejects")[0])
+
+
+def stream_counters(spark, sf_dir):
+    """The load stream's counters over both of its runs."""
+    return read_counters(spark, _load_all_messages(spark, sf_dir, "stream-counters")[1])
+
+
 def document_marts(spark, sf_dir):
     """The document-store job's product mart, written twice (replaced whole) and read back."""
     root = scratch_path(spark, "documents")
@@ -408,4 +456,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     keyed_reviews_by_product, keyed_reviews_by_customer, event_messages,
     stream_page_creations, stream_event_messages, keyed_two_feeds, boards_two_feeds,
     stream_load_restart, document_marts, publish_records, keyed_replay, boards_after_correction,
+    archive_files, stream_archive, stream_rejects, stream_counters,
 ]}

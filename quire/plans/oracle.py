@@ -379,3 +379,27 @@ where cast(product_id as bigint) % 2 = 1"""
 for _name, _cte, _stored in (("top_products", ITEMS, STORED_ITEMS), ("top_customers", CUSTOMERS, STORED_PEOPLE),
                              ("top_haters", SENTIMENT, STORED_PEOPLE), ("top_backers", SENTIMENT, STORED_PEOPLE)):
     ORACLE_SQL[_name] = ORACLE_SQL[_name].replace(_cte, _stored)
+
+# The busy minutes: all stamps of a day in its first minute.
+BUSY = TWEETS.replace("strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')", "strftime(ts, '%Y-%m-%dT00:00:%S.%f')")
+for _name in ("archive_files", "stream_archive"):
+    ORACLE_SQL[_name] = _with(BUSY, ARCHIVE) + "select minute, author_id, created_at, text from archive"
+
+# Unfiltered page messages, those of two domains broken: one not JSON, one an array.
+MESSAGES = """
+messages as (
+  select domain, to_json({'user_id': user_id, 'user_is_bot': user_is_bot, 'domain': domain,
+                          'page_title': page_title, 'created_at': created_at}) as m
+  from wiki),
+rejects as (
+  select case domain when 'de.wikipedia.org' then '{broken ' || cast(m as varchar)
+                     when 'commons.wikimedia.org' then cast(to_json([cast(m as varchar)]) as varchar)
+                     else cast(m as varchar) end as value,
+         case domain when 'de.wikipedia.org' then 'not JSON' when 'commons.wikimedia.org' then 'not an object'
+                     else 'missing domain' end as reason
+  from messages
+  where domain is null or domain in ('de.wikipedia.org', 'commons.wikimedia.org'))"""
+ORACLE_SQL["stream_rejects"] = _with(WIKI, MESSAGES) + "select value, reason from rejects"
+ORACLE_SQL["stream_counters"] = _with(WIKI, MESSAGES) + f"""
+select 'page_load-page_creations' as job, cast(2 as bigint) as epochs, n as rows_in, n - r as rows_out, r as rejected
+from (select count(*) as n from messages), (select count(*) as r from rejects)"""

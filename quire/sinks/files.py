@@ -7,10 +7,10 @@ file-backed twins (Parquet for documents, text lines for topic records).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.sources.files import CSV_WRITE
+from quire.sources.files import CSV_DIALECT, CSV_WRITE
 
 ARCHIVE_COLUMNS = ["author_id", "created_at", "text"]
 
@@ -59,3 +59,11 @@ def write_minute_archive(rows: DataFrame, path: str) -> None:
          .select("minute", *ARCHIVE_COLUMNS)
          .write.mode("append").partitionBy("minute")
          .options(**CSV_WRITE).csv(path))
+
+
+def read_minute_archive(spark: SparkSession, path: str) -> DataFrame:
+    """``minute, author_id, created_at, text`` of an archive; of one that a
+    stream writes, the files that its commit log has. Empty fields are ``""``."""
+    schema = ", ".join(f"{c} string" for c in [*ARCHIVE_COLUMNS, "minute"])
+    return (spark.read.schema(schema).options(**CSV_DIALECT).csv(path)
+                 .select("minute", *[F.coalesce(c, F.lit("")).alias(c) for c in ARCHIVE_COLUMNS]))

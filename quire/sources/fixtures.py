@@ -127,7 +127,20 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _as_messages(t: DataFrame) -> DataFrame:
+    return t.select(encode(*t.columns, keep_nulls=True).alias("value"))
+
+
 def tweet_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tweets as topic records (JSON of every column, nulls kept)."""
+    return _as_messages(tweets(spark, sf_dir))
+
+
+def busy_minutes(spark: SparkSession, sf_dir: str, late: bool) -> DataFrame:
+    """The tweets as messages of a busy topic: the stamps of a day all fall into
+    its first minute. One half of them (odd tweet ids) comes late."""
     t = tweets(spark, sf_dir)
-    return t.select(encode(*t.columns, keep_nulls=True).alias("value"))
+    odd = F.col("tweet_id").cast("long") % 2 == 1
+    day = F.concat(F.substring("created_at", 1, 10), F.lit("T00:00:"), F.substring("created_at", 18, 20))
+    return _as_messages(t.where(odd if late else ~odd).withColumn(
+        "created_at", F.when(F.col("created_at") == "not-a-date", F.col("created_at")).otherwise(day)))

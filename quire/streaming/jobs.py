@@ -13,7 +13,9 @@ output, or under ``spark.checkpoint.dir``), so a restarted query resumes.
 from __future__ import annotations
 
 import json
+import time
 import uuid
+from collections import Counter
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -24,7 +26,8 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quire import operators as op
-from quire.schemas import ALLOWED_DOMAINS
+from quire.functions import decode, parse_once
+from quire.schemas import ALLOWED_DOMAINS, PROCESSED_MESSAGE_SCHEMA
 from quire.session import stream_checkpoint
 from quire.sinks.files import ARCHIVE_COLUMNS
 from quire.sinks.keyed import ConnectorTable, KeyedTable
@@ -51,8 +54,10 @@ class Endpoint:
     max_per_trigger: int | None = None
 
 
-def read_records(spark: SparkSession, src: Endpoint, default_start: str = "latest") -> DataFrame:
-    """Streaming records with one string column ``value``."""
+def read_records(spark: SparkSession, src: Endpoint, default_start: str = "latest",
+                 checkpoint: str | None = None) -> DataFrame:
+    """Streaming records with one string column ``value``. ``checkpoint`` is the
+    query's, for a file source that starts at the latest."""
     if src.format == "kafka":
         r = (spark.readStream.format("kafka").options(**src.options)
              .option("subscribe", src.topic)
@@ -63,7 +68,14 @@ def read_records(spark: SparkSession, src: Endpoint, default_start: str = "lates
     r = spark.readStream.format(src.format).options(**src.options)
     if src.max_per_trigger:
         r = r.option("maxFilesPerTrigger", src.max_per_trigger)
-    return r.load(src.path)
+    rows = r.load(src.path)
+    if src.starting_offsets == "latest":
+        if not checkpoint:
+            raise ValueError("a file source that starts at the latest needs the query's checkpoint")
+        millis = int(_kept(spark, checkpoint, "_start", lambda: str(int(time.time() * 1000))))
+        # a stream takes no modifiedAfter; the files' own times prune them before they are opened
+        rows = rows.where(F.col("_metadata.file_modification_time") >= F.timestamp_millis(F.lit(millis)))
+    return rows
 
 
 def _start(writer, name: str, spark: SparkSession, checkpoint: str | None,
@@ -95,30 +107,57 @@ def start_filter_job(spark: SparkSession, source: Endpoint, sink: Endpoint,
     Each micro-batch reports ``filter_in`` / ``filter_out`` row counts in its
     progress (``observedMetrics``), computed in the same pass.
     """
-    records = _count(read_records(spark, source), "filter_in")
+    checkpoint = checkpoint or stream_checkpoint(spark, "page_filter", None if sink.format == "kafka" else sink.path)
+    records = _count(read_records(spark, source, checkpoint=checkpoint), "filter_in")
     kept = _count(op.wiki_filter(records, allowed_domains), "filter_out")
     return write_records(kept, sink, "page_filter", checkpoint, trigger)
 
 
 def start_load_job(spark: SparkSession, source: Endpoint, table: KeyedTable | ConnectorTable,
                    checkpoint: str | None = None, trigger: dict | None = None,
-                   metrics: list | None = None, compact_every: int | None = None) -> StreamingQuery:
+                   metrics: list | None = None, compact_every: int | None = None,
+                   rejects_path: str | None = None, counters_path: str | None = None) -> StreamingQuery:
     """J2 + B4: processed messages -> keyed table, one idempotent batch per
     micro-batch: a replayed micro-batch rewrites its own batch, and a job with
     a new checkpoint adds new batches. Empty micro-batches are skipped;
     per-batch counts are appended to ``metrics``. With ``compact_every=k`` the
     table is compacted after every k-th batch, so readers never collapse more
-    than k recent batches on top of a snapshot."""
-    parsed = op.decode_processed(read_records(spark, source))
-    keyed = isinstance(table, KeyedTable)
-    checkpoint = checkpoint or stream_checkpoint(spark, f"page_load-{table.spec.name}",
-                                                 table.path if keyed else None)
+    than k recent batches on top of a snapshot.
+
+    A message without a whole key (malformed ones have none) is a reject. One
+    parse serves both ways: the good rows go to the table, and with
+    ``rejects_path`` the rejected messages go there as they came, with the
+    reason (J7). ``counters_path`` gets a row of counts per run and epoch (D9,
+    :func:`read_counters`). Both are written under the epoch's own folder, so a
+    replay rewrites them."""
+    keyed, spec = isinstance(table, KeyedTable), table.spec
+    checkpoint = checkpoint or stream_checkpoint(spark, f"page_load-{spec.name}", table.path if keyed else None)
     run = _run_of(spark, checkpoint)
+    records = read_records(spark, source, checkpoint=checkpoint)
+    parsed = records.select("value", parse_once(decode("value", PROCESSED_MESSAGE_SCHEMA)).alias("data"))
+    missing = F.concat_ws(", ", *[F.when(F.coalesce(F.col(f"data.{c}"), F.lit("")) == "", F.lit(c)) for c in spec.key])
+    reason = (F.when(F.try_parse_json("value").isNull(), F.lit("not JSON"))
+               .when(~F.ltrim("value").startswith("{"), F.lit("not an object"))
+               .otherwise(F.concat(F.lit("missing "), F.col("missing"))))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        res = table.write_epoch(batch, run, batch_id)
+        batch = batch.withColumn("missing", missing).persist()  # parsed once for table, rejects and counts
+        try:
+            seen = batch.agg(F.count(F.lit(1)), F.count_if(F.col("missing") != "")).first()
+            if not seen[0]:
+                return
+            res = table.write_epoch(batch.where("missing = ''").select("data.*"), run, batch_id)
+            res["rejected"] = int(seen[1])
+            epoch = f"run={run}/epoch={batch_id}"
+            if rejects_path:
+                (batch.where("missing != ''").select("value", reason.alias("reason"))
+                      .write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/{epoch}"))
+            if counters_path:
+                (spark.createDataFrame([(f"page_load-{spec.name}", int(seen[0]), int(seen[0] - seen[1]), int(seen[1]))],
+                                       COUNTERS).coalesce(1)
+                      .write.mode("overwrite").parquet(f"{counters_path.rstrip('/')}/{epoch}"))
+        finally:
+            batch.unpersist()
         if compact_every and keyed and (batch_id + 1) % compact_every == 0:
             res["compacted_upto"] = table.compact()
         if metrics is not None:
@@ -128,6 +167,22 @@ def start_load_job(spark: SparkSession, source: Endpoint, table: KeyedTable | Co
     return _start(w, "page_load", spark, checkpoint, trigger)
 
 
+COUNTERS = "job string, rows_in long, rows_out long, rejected long"
+
+
+def read_counters(spark: SparkSession, path: str) -> DataFrame:
+    """``job, epochs, rows_in, rows_out, rejected`` over all runs of the jobs
+    that write counters at ``path``."""
+    rows = spark.read.schema(f"{COUNTERS}, run string, epoch long").parquet(path)
+    return rows.groupBy("job").agg(F.count(F.lit(1)).alias("epochs"),
+                                   *[F.sum(c).alias(c) for c in ("rows_in", "rows_out", "rejected")])
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``value, reason`` of the rejected messages of all runs."""
+    return spark.read.schema("value string, reason string, run string, epoch long").parquet(path).select("value", "reason")
+
+
 def start_archive_job(spark: SparkSession, source: Endpoint, out_path: str,
                       checkpoint: str | None = None, trigger: dict | None = None,
                       now: datetime | str | None = None,
@@ -144,7 +199,8 @@ def start_archive_job(spark: SparkSession, source: Endpoint, out_path: str,
     so ``writers_per_minute > 1`` salts the minute to spread a hot minute
     over that many writers (a micro-batch's size bounds it either way).
     """
-    records = _count(read_records(spark, source, default_start="earliest"), "archive_in")
+    checkpoint = checkpoint or stream_checkpoint(spark, "tweet_archive", out_path)
+    records = _count(read_records(spark, source, "earliest", checkpoint), "archive_in")
     rows = _count(op.archive_rows(records, now).select("minute", *ARCHIVE_COLUMNS), "archive_out")
     if writers_per_minute > 1:
         salt = F.pmod(F.xxhash64(*ARCHIVE_COLUMNS), F.lit(writers_per_minute))
@@ -172,7 +228,8 @@ def start_normalise_job(spark: SparkSession, lines: Endpoint, sink: Endpoint,
                         checkpoint: str | None = None, trigger: dict | None = None,
                         now: datetime | str | None = None) -> StreamingQuery:
     """Event-stream lines -> flat page messages (JSON, nulls kept)."""
-    msgs = op.sse_to_messages(read_records(spark, lines), now)
+    checkpoint = checkpoint or stream_checkpoint(spark, "event_normalise", None if sink.format == "kafka" else sink.path)
+    msgs = op.sse_to_messages(read_records(spark, lines, checkpoint=checkpoint), now)
     return write_records(op.encode_rows(msgs), sink, "event_normalise", checkpoint, trigger)
 
 
@@ -180,21 +237,43 @@ def _count(df: DataFrame, name: str) -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("rows"))
 
 
-def _run_of(spark: SparkSession, checkpoint: str) -> str:
-    """The identity of a stream: a name kept in its checkpoint folder, new when
-    the folder is new."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/_run")
+def _kept(spark: SparkSession, checkpoint: str, name: str, new) -> str:
+    """A word kept in a checkpoint folder: ``new()`` when the folder has none."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/{name}")
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(root) and fs.listStatus(root):
         return fs.listStatus(root)[0].getPath().getName()
-    run = uuid.uuid4().hex
-    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(root, run))
-    return run
+    word = new()
+    fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(root, word))
+    return word
+
 
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of a stream: new when its checkpoint folder is new."""
+    return _kept(spark, checkpoint, "_run", lambda: uuid.uuid4().hex)
 
-# Progress of every micro-batch by run: (input rows, observed row counts). A
-# query itself keeps its latest hundred reports only.
-_progress: dict[str, dict[int, tuple[int, dict]]] = {}
+
+@dataclass
+class _Totals:
+    """Row counts of a run: sums over finished micro-batches, and the latest one
+    apart, since it may be reported again. One of these a run, however long."""
+
+    batch: int = -1
+    rows: int = 0
+    seen: dict = field(default_factory=dict)
+    rows_before: int = 0
+    seen_before: Counter = field(default_factory=Counter)
+
+    def note(self, batch: int, rows: int, seen: dict) -> None:
+        if batch > self.batch:
+            self.rows_before += self.rows
+            self.seen_before.update(self.seen)
+            self.batch, self.rows, self.seen = batch, rows, seen
+        elif batch == self.batch and rows >= self.rows:
+            self.rows, self.seen = rows, seen or self.seen
+
+
+_totals: dict[str, _Totals] = {}
 _listening: set[str] = set()
 
 
@@ -214,10 +293,7 @@ class _Counters(StreamingQueryListener):
 
 def _note(run: str, p: dict) -> None:
     seen = {k: int(v["rows"]) for k, v in (p.get("observedMetrics") or {}).items() if v and "rows" in v}
-    old = _progress.setdefault(run, {}).get(p["batchId"])
-    rows = int(p.get("numInputRows", 0))
-    if old is None or rows >= old[0]:
-        _progress[run][p["batchId"]] = (rows, seen or (old[1] if old else {}))
+    _totals.setdefault(run, _Totals()).note(p["batchId"], int(p.get("numInputRows", 0)), seen)
 
 
 def _listen(spark: SparkSession) -> None:
@@ -227,18 +303,20 @@ def _listen(spark: SparkSession) -> None:
         _listening.add(app)
 
 
-def _all_progress(query: StreamingQuery) -> dict[int, tuple[int, dict]]:
+def _told(query: StreamingQuery) -> _Totals:
     run = str(query.runId)
     for p in query.recentProgress:
         _note(run, p if isinstance(p, dict) else json.loads(p.json))
-    return _progress.get(run, {})
+    return _totals.get(run, _Totals())
 
 
 def rows_processed(query: StreamingQuery) -> int:
     """Running input-row counter of a query (D9) over all its micro-batches."""
-    return sum(rows for rows, _ in _all_progress(query).values())
+    told = _told(query)
+    return told.rows_before + told.rows
 
 
 def observed_rows(query: StreamingQuery, name: str) -> int:
     """Running total of an ``observe`` counter over all micro-batches."""
-    return sum(seen.get(name, 0) for _, seen in _all_progress(query).values())
+    told = _told(query)
+    return told.seen_before[name] + told.seen.get(name, 0)

@@ -57,7 +57,7 @@ def test_hot_bucket_of_keyed_table(small_partitions, workdir):
     assert t.write_batch(rows, 0) == {"rows": N, "rejected": 0}
     hot = t.read(domain="hot.example")
     assert hot.count() == len(range(0, N, 3))
-    bucket_dirs = glob.glob(f"{workdir}/k/batch_id=0/b=*")
+    bucket_dirs = glob.glob(f"{workdir}/k/batch_id=0/attempt=0/domain=*")
     hot_dir = max(bucket_dirs, key=lambda d: len(glob.glob(f"{d}/*.parquet")))
     assert len(glob.glob(f"{hot_dir}/*.parquet")) > 1
 

@@ -7,7 +7,7 @@ from quire.schemas import PAGE_CREATIONS
 from quire.sinks import KeyedTable
 from quire.sources import fixtures, land_lines
 from quire.streaming.jobs import (
-    Endpoint, observed_rows, rows_processed, start_archive_job, start_filter_job, start_load_job,
+    Endpoint, _Totals, observed_rows, read_counters, read_rejects, rows_processed, start_archive_job, start_filter_job, start_load_job,
     start_normalise_job, start_publish_job,
 )
 
@@ -134,3 +134,67 @@ def test_publish_refuses_another_header(spark, workdir):
     with pytest.raises(Exception):
         _run(start_publish_job(spark, f"{workdir}/tw", ["author_id", "created_at", "text"],
                                Endpoint(path=f"{workdir}/pub"), checkpoint=f"{workdir}/ck", trigger=ONCE))
+
+
+def test_a_file_source_can_start_at_the_latest(spark, workdir):
+    """Files from before the first start stay out, also after a restart; files
+    that came while the query was down are taken."""
+    rows = lambda *users: spark.createDataFrame(
+        [(f'{{"user_id":"{u}","domain":"d","page_title":"p","created_at":"t"}}',) for u in users], "value string")
+    src = f"{workdir}/topic"
+    land_lines(rows("old"), f"{src}/a")
+    for d, _, names in os.walk(src):
+        for n in names:
+            os.utime(os.path.join(d, n), (1_600_000_000, 1_600_000_000))
+    got = {}
+    for start in ("latest", None):
+        table = KeyedTable(spark, f"{workdir}/pages-{start}", PAGE_CREATIONS)
+
+        def run():
+            return _run(start_load_job(spark, Endpoint(path=f"{src}/*", starting_offsets=start), table, trigger=ONCE))
+        run()
+        land_lines(rows(f"new-{start}"), f"{src}/b-{start}")
+        run()
+        got[start] = {r.user_id for r in table.read().collect()}
+    assert got["latest"] == {"new-latest"} and got[None] == {"old", "new-latest", "new-None"}
+
+
+def test_rejects_and_counters_are_replaced_by_a_replay(spark, workdir):
+    import shutil
+    src, root = f"{workdir}/topic", f"{workdir}/out"
+    land_lines(spark.createDataFrame([('{"user_id":"u","domain":"d","created_at":"t"}',), ("{broken",), ("[1]",), ("",),
+                                      ('{"user_id":"u","domain":""}',)], "value string"), f"{src}/a")
+    table = KeyedTable(spark, f"{workdir}/pages", PAGE_CREATIONS)
+    for turn in range(2):
+        _run(start_load_job(spark, Endpoint(path=f"{src}/*"), table, checkpoint=f"{workdir}/ck", trigger=ONCE,
+                            rejects_path=f"{root}/rejects", counters_path=f"{root}/counters"))
+        # as if the query had died before it committed the micro-batch
+        shutil.rmtree(f"{workdir}/ck/commits", ignore_errors=True)
+    assert table.read().count() == 1 and table.batches() == [0]
+    assert sorted((r.reason, r.value) for r in read_rejects(spark, f"{root}/rejects").collect()) == [
+        ("missing domain, created_at", '{"user_id":"u","domain":""}'), ("not JSON", ""), ("not JSON", "{broken"),
+        ("not an object", "[1]")]
+    assert [tuple(r) for r in read_counters(spark, f"{root}/counters").collect()] == [
+        ("page_load-page_creations", 1, 5, 1, 4)]
+
+
+def test_run_totals_stay_small():
+    t = _Totals()
+    for b in range(1000):
+        t.note(b, 10, {"x": 3})
+        t.note(b, 10, {})      # reported again without its counts
+    t.note(5, 10, {"x": 3})    # an old report
+    assert (t.rows_before + t.rows, t.seen_before["x"] + t.seen["x"]) == (10000, 3000)
+
+
+def test_the_archive_reads_what_the_commit_log_has(spark, workdir):
+    """A file that a failed micro-batch left beside the sink's own is not read."""
+    from quire.sinks import read_minute_archive
+    land_lines(fixtures.busy_minutes(spark, SF, False), f"{workdir}/topic")
+    _run(start_archive_job(spark, Endpoint(path=f"{workdir}/topic"), f"{workdir}/archive", trigger=ONCE,
+                           now="2025-01-01T12:34:56+00:00", writers_per_minute=3))
+    n = read_minute_archive(spark, f"{workdir}/archive").count()
+    some = next(d for d in os.listdir(f"{workdir}/archive") if d.startswith("minute="))
+    with open(f"{workdir}/archive/{some}/part-left-over.csv", "w") as f:
+        f.write("author_id,created_at,text\nx,y,z\n")
+    assert read_minute_archive(spark, f"{workdir}/archive").count() == n > 0
