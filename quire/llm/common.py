@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import scratch_path
+from quire.session import discard, scratch_path
 
 
 def land(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
@@ -27,6 +27,43 @@ def land(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Landed tables of one operator run, removed when their readers are done."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple] = []
+
+    def land(self, df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
+        path = scratch_path(df.sparkSession, name)
+        df.write.options(**(options or {})).parquet(path)
+        self.held.append((df.sparkSession, path))
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Remove all of it: after this only what was landed elsewhere can be read."""
+        for spark, path in self.held:
+            discard(spark, path)
+        self.held = []
+
+
+def sieve(hashes: DataFrame, bits: int) -> bytes:
+    """A bit set of ``2 ** bits`` bits (15 or more) with the first ``bits`` bits of each
+    long of a one-column table; its size depends on ``bits`` alone."""
+    at = F.shiftrightunsigned(hashes.columns[0], 64 - bits) + 1  # bitmap buckets of 32768 bits begin at 1
+    rows = (hashes.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket"))
+                  .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")))
+    out = bytearray(1 << (bits - 3))
+    for row in rows.toLocalIterator():
+        out[(row["bucket"] - 1) << 12:row["bucket"] << 12] = row["bits"]
+    return bytes(out)
+
+
+def sieved(held: bytes, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Which hashes may be among those of :func:`sieve`."""
+    at = (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+    return ((np.frombuffer(held, np.uint8)[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` plus column ``name``, computed once a row: a one-element explode,
     through which the optimizer copies no expression into later lambdas,
@@ -52,14 +89,15 @@ def number_rows(df: DataFrame, order: list[Column], col: str = "row_no") -> Data
                 .withColumn(col, F.col("_offset") + within).drop(at, "_part", "_offset"))
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``(u, v)`` long pairs -> ``(node, component)``: the smallest node reachable.
 
     Alternating large-star and small-star steps: neighbour minima are
     aggregates (combined map-side) joined back to the edges, so no group is
     gathered; a node with very many edges is split by the skew join. Each
-    round is landed. Nodes without an edge do not appear.
+    round is landed (in ``scratch``, if given). Nodes without an edge do not appear.
     """
+    land = (scratch or Scratch()).land
     cur = land(edges.where("u is not null and v is not null and u != v")
                     .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                     .distinct(), "cc")

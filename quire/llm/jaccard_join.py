@@ -46,14 +46,17 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import (
-    NOT_SPACE, Words, connected_components, land, mix, signed, text_slices, word_grams,
+    NOT_SPACE, Scratch, Words, connected_components, land, mix, sieve, sieved, signed, text_slices, word_grams,
 )
 
 
+RANGES = 64
+
+
 @dataclass(frozen=True)
 class Params:
     k: int = 5
@@ -67,6 +70,8 @@ class Params:
     list_cost: float = 8.0        # a list entry with its share of checks, in subsets
     max_small: int = 64           # histogram range in which the boundary is sought
     block: int = 64               # classes of a component that are met at once, at least
+    part: int = 1 << 14           # members of a list that are starred in one task, about
+    sieve_bits: int = 24          # of the filter of texts whose sets are wanted
 
     def overlap(self, a: int, b: int) -> int:
         """Shared shingles that sizes ``a`` and ``b`` need to link."""
@@ -102,9 +107,38 @@ def fingerprint(s: np.ndarray) -> int:
         return int(mix(np.array([np.add.reduce(s) + np.uint64(len(s) * 2 + 1)], np.uint64)).view(np.int64)[0])
 
 
+def fine_counts(s: np.ndarray) -> bytes:
+    """Shingles in each of a power of two of ranges, about four in a range: sets
+    that have little in common differ in most of them, whatever their size.
+    Empty, which bounds nothing, if a count does not fit a byte."""
+    bits = min(16, max(6, int(len(s) / 4).bit_length()))
+    counts = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+
+
+def _fits(p: Params):
+    """The pairs (rows u, v, n_u, n_v, fine_u, fine_v) that may link: at most the
+    smaller count of each range is shared."""
+    def run(batches):
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            n = (np.asarray(batch.column(2)).astype(np.int64) + np.asarray(batch.column(3)))
+            for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
+                x, y = (np.frombuffer(c.as_buffer(), np.uint8) for c in (x, y))
+                if len(x) and len(y):
+                    least = min(len(x), len(y))
+                    x, y = (c.reshape(least, -1).sum(axis=1) for c in (x, y))
+                    keep[i] = (p.num + p.den) * int(np.minimum(x, y).sum()) >= p.num * n[i]
+            keep = pa.array(keep)
+            yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["u", "v"])
+    return run
+
+
 def _survey(k: int):
-    """Rows (kind, a, b, n): kind 0 a document (key, fingerprint, size), kind 1
-    a shingle held more than once in a block of documents (hash, count)."""
+    """Rows (kind, a, b, n, counts, fine): kind 0 a document (key, fingerprint,
+    size, and how many shingles lie in each of equal ranges of the hash space,
+    twice, see :func:`fine_counts`), kind 1 a shingle held more than once in a
+    block of documents (hash, count)."""
     def run(batches):
         for batch in batches:
             keys = np.array(batch.column(0))
@@ -114,10 +148,17 @@ def _survey(k: int):
                 sizes = np.array([len(s) for s in sets], np.int32)
                 t, c = np.unique(np.concatenate(sets), return_counts=True)
                 t, c = t[c > 1], c[c > 1]
+                owner = np.repeat(np.arange(len(sets)), sizes)
+                place = (np.concatenate(sets) >> np.uint64(58)).astype(np.int64)
+                counts = np.bincount(owner * RANGES + place, minlength=len(sets) * RANGES).astype(np.int32)
+                to = np.r_[np.arange(len(sets) + 1) * RANGES, np.full(len(t), len(counts))]
                 yield pa.record_batch(
                     [pa.array(np.r_[np.zeros(len(sets), np.int8), np.ones(len(t), np.int8)]),
                      pa.array(np.r_[keys[i:j], signed(t)]), pa.array(np.r_[prints, c]),
-                     pa.array(np.r_[sizes, np.zeros(len(t), np.int32)])], ["kind", "a", "b", "n"])
+                     pa.array(np.r_[sizes, np.zeros(len(t), np.int32)]),
+                     pa.ListArray.from_arrays(pa.array(to.astype(np.int32)), pa.array(counts)),
+                     pa.array([fine_counts(s) for s in sets] + [b""] * len(t), pa.binary())],
+                    ["kind", "a", "b", "n", "counts", "fine"])
     return run
 
 
@@ -288,7 +329,7 @@ class _Pairs:
 
 def _stars(p: Params):
     """Candidate pairs of long lists (rows key, turn, fp, n, pos, sorted by key,
-    turn and a shuffle of the fingerprints that depends on the turn): a member
+    turn and part, and a shuffle of the fingerprints that depends on the turn): a member
     meets the first of a few leaders that it may link with, else becomes a
     leader while there are few; and it meets its neighbour. The shuffle is the
     same in every list, so lists of one group tend to give the same pairs."""
@@ -330,21 +371,19 @@ def _paired(p: Params):
     return run
 
 
-RANGES = 64
-
-
-def _carriers(k: int):
-    """(fp, s, counts): the set's shingles as bytes, and how many of them lie in
-    each of equal ranges of the hash space."""
+def _carriers(k: int, known, bits: int):
+    """(th, fp, s): a set's shingles as bytes, of the texts (rows th, text) that
+    may be among the wanted ones."""
     def run(batches):
         for batch in batches:
-            for _, _, data, offs in text_slices(batch.column(0)):
-                sets = [s for s in shingle_sets(data, offs, k) if len(s)]
-                counts = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=RANGES).astype(np.int32)
-                          for s in sets]
-                yield pa.record_batch([pa.array([fingerprint(s) for s in sets], pa.int64()),
-                                       pa.array([s.tobytes() for s in sets], pa.binary()),
-                                       pa.array(counts, pa.list_(pa.int32()))], ["fp", "s", "counts"])
+            keep = pa.array(sieved(known.value, np.array(batch.column(0)), bits))
+            some = batch.filter(keep)
+            th = np.array(some.column(0))
+            for i, _, data, offs in text_slices(some.column(1)):
+                sets = shingle_sets(data, offs, k)
+                yield pa.record_batch([pa.array(th[i:i + len(sets)]),
+                                       pa.array([fingerprint(s) for s in sets], pa.int64()),
+                                       pa.array([s.tobytes() for s in sets], pa.binary())], ["th", "fp", "s"])
     return run
 
 
@@ -374,10 +413,8 @@ def _counted(x, y):
 
 def _verify(near: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     """The pairs ``(u, v)`` of ``near`` that link by their full sets."""
-    need = near.select(F.explode(F.array("u", "v")).alias("fp")).distinct()
-    full = sets.select("fp", "s").join(need, "fp", "left_semi")
-    return (near.join(full.select(F.col("fp").alias("u"), F.col("s").alias("x")), "u")
-                .join(full.select(F.col("fp").alias("v"), F.col("s").alias("y")), "v")
+    return (near.join(sets.select(F.col("fp").alias("u"), F.col("s").alias("x")), "u")
+                .join(sets.select(F.col("fp").alias("v"), F.col("s").alias("y")), "v")
                 .select("u", "v", "x", "y").mapInArrow(_verified(p), "u long, v long"))
 
 
@@ -435,7 +472,7 @@ def _met_blocks(p: Params):
     return run
 
 
-def _count_links(found: DataFrame, classes: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+def _count_links(found: DataFrame, classes: DataFrame, sets: DataFrame, p: Params, land) -> DataFrame:
     """``fp, links``: the rows of other classes that each class links with."""
     member = found.select(F.col("node").alias("fp"), F.col("component").alias("c")).distinct()
     member = land(member.join(classes.select("fp", "rows"), "fp").join(sets.select("fp", "s"), "fp"),
@@ -456,21 +493,16 @@ def _count_links(found: DataFrame, classes: DataFrame, sets: DataFrame, p: Param
                .groupBy("fp").agg(F.sum("n").alias("links")))
 
 
-def link_components(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
-                    text_col: str = "text", links: bool = False) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs``: its set's
-    size and the smallest id reachable by links (its own for an empty set).
-    With ``links`` also ``n_links``, the number of other rows it links with."""
-    count = links
-    p = params
-    spark = docs.sparkSession
-    src = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
-                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+def _labelled(src: DataFrame, p: Params, links: bool, scratch: Scratch) -> DataFrame:
+    """``doc_id, th, n_shingles, c`` (and ``n_links``) of the rows ``doc_id, text`` of
+    ``src``: the text's hash, its set's size and the component's class."""
+    land = scratch.land
+    spark = src.sparkSession
     # the key of a row is its text's hash, so repeated and null ids do not matter
     survey = land(src.select(F.xxhash64("text").alias("th"), "text")
-                     .mapInArrow(_survey(p.k), "kind byte, a long, b long, n int")
-                     .groupBy("kind", "a", "b", "n").agg(F.count(F.lit(1)).alias("c")), "jaccard-survey")
-    classes = land(survey.where("kind = 0 and n > 0").groupBy(F.col("b").alias("fp"), "n")
+                     .mapInArrow(_survey(p.k), "kind byte, a long, b long, n int, counts array<int>, fine binary")
+                     .groupBy("kind", "a", "b", "n", "counts", "fine").agg(F.count(F.lit(1)).alias("c")), "jaccard-survey")
+    classes = land(survey.where("kind = 0 and n > 0").groupBy(F.col("b").alias("fp"), "n", "counts", "fine")
                          .agg(F.min("a").alias("th"), F.sum("c").alias("rows")), "jaccard-classes")
     hist = {r["n"]: r["count"] for r in classes.where(F.col("n") <= p.max_small).groupBy("n").count().collect()}
     x = boundary(hist, p)
@@ -491,37 +523,49 @@ def link_components(docs: DataFrame, params: Params = Params(), id_col: str = "d
                    .mapInArrow(_paired(p), "kind byte, a long, b long, n int, pos int"), "jaccard-pairs")
     sure = met.where("kind = 0").select(F.col("a").alias("u"), F.col("b").alias("v"))
     entry = met.where("kind = 2").select(F.col("a").alias("key"), F.col("b").alias("fp"), "n", "pos")
+    # a list of any length is starred in parts, dealt anew in every turn
+    parts = entry.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / p.part).cast("int").alias("parts"))
     turns = F.explode(F.array(*[F.lit(t) for t in range(p.turns)]))
-    stars = (entry.withColumn("turn", turns).repartition("key", "turn")
-                  .sortWithinPartitions("key", "turn", F.when(F.col("turn") == 0, F.col("pos")),
-                                        F.xxhash64("fp", "turn"))
+    stars = (entry.join(parts, "key").withColumn("turn", turns)
+                  .withColumn("turn", F.col("turn") + p.turns * F.pmod(F.xxhash64("fp", "turn"), F.col("parts")).cast("int"))
+                  .repartition("key", "turn")
+                  .sortWithinPartitions("key", "turn", F.when(F.col("turn") % p.turns == 0, F.col("pos")),
+                                        F.xxhash64("fp", F.col("turn") % p.turns))
                   .select("key", "turn", "fp", "n", "pos").mapInArrow(_stars(p), "u long, v long"))
     short = met.where("kind = 1").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
     pairs = land(short.union(stars).distinct(), "jaccard-candidates")
 
-    # the sets of everything that may be compared, each fetched from one text
-    need = (pairs.select(F.explode(F.array("u", "v")).alias("fp")).union(entry.select("fp"))).distinct()
-    if count:
-        need = need.union(sure.select(F.explode(F.array("u", "v")))).distinct()
-    wanted = land(classes.join(need, "fp", "left_semi").select("th"), "jaccard-need")
-    texts = (src.withColumn("th", F.xxhash64("text")).join(wanted, "th", "left_semi")
-                .groupBy("th").agg(F.first("text").alias("text")).select("text"))
-    sets = land(texts.mapInArrow(_carriers(p.k), "fp long, s binary, counts array<int>"), "jaccard-sets")
-    size = F.aggregate("counts", F.lit(0), lambda t, c: t + c)
-    counts = sets.select("fp", "counts", size.alias("size"))
-    u, v = (counts.select(*[F.col(c).alias(f"{c}_{t}") for c in counts.columns]) for t in "uv")
-    near = (pairs.join(u, F.col("u") == F.col("fp_u"))
-                 .join(v, (F.col("v") == F.col("fp_v")) & _alike(
-                     F.col("size_u"), F.col("size_v"), _counted(F.col("counts_u"), F.col("counts_v")), p))
-                 .select("u", "v"))
-    links = land(sure.union(_verify(land(near, "jaccard-near"), sets, p)), "jaccard-links")
+    def fit(some: DataFrame, name: str) -> DataFrame:
+        """The pairs that may link by sizes and range counts, which came with the survey."""
+        counts = classes.select("fp", "counts", "fine", F.col("n").alias("size"))
+        u, v = (counts.select(*[F.col(c).alias(f"{c}_{t}") for c in counts.columns]) for t in "uv")
+        return land(some.join(u, F.col("u") == F.col("fp_u"))
+                        .join(v, (F.col("v") == F.col("fp_v")) & _alike(
+                            F.col("size_u"), F.col("size_v"), _counted(F.col("counts_u"), F.col("counts_v")), p))
+                        .select("u", "v", "size_u", "size_v", "fine_u", "fine_v")
+                        .mapInArrow(_fits(p), "u long, v long"), name)
+
+    near = fit(pairs, "jaccard-near")
+
+    def fetch(fps: DataFrame) -> DataFrame:
+        """``fp, s`` of classes: full sets, made from one text each. Of the texts
+        only those move whose hash may be wanted."""
+        wanted = land(classes.join(fps.distinct(), "fp", "left_semi").select("th"), "jaccard-need")
+        held = spark.sparkContext.broadcast(sieve(wanted, p.sieve_bits))
+        return land(src.select(F.xxhash64("text").alias("th"), "text")
+                       .mapInArrow(_carriers(p.k, held, p.sieve_bits), "th long, fp long, s binary")
+                       .join(wanted, "th", "left_semi").groupBy("fp").agg(F.first("s").alias("s")), "jaccard-sets")
+
+    either = F.explode(F.array("u", "v")).alias("fp")
+    sets = fetch(near.select(either).union(sure.select(either)) if links else near.select(either))
+    linked = land(sure.union(_verify(near, sets, p)), "jaccard-links")
 
     # members of long lists that are still in different components
-    found = connected_components(links)
+    found = connected_components(linked, scratch)
     member = land(entry.join(found, F.col("fp") == F.col("node"), "left")
                        .select("key", "fp", "n", "pos", F.coalesce("component", "fp").alias("c")), "jaccard-long")
     split = member.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi")
-    member = land(member.join(split.select("key"), "key").join(sets.select("fp", "counts"), "fp"), "jaccard-split")
+    member = land(member.join(split.select("key"), "key").join(classes.select("fp", "counts"), "fp"), "jaccard-split")
     one, two = (member.select("key", *[F.col(c).alias(f"{c}{t}") for c in ("fp", "n", "pos", "c", "counts")])
                 for t in (1, 2))
     left = F.least(F.expr("n1 - pos1"), F.expr("n2 - pos2"))
@@ -530,35 +574,77 @@ def link_components(docs: DataFrame, params: Params = Params(), id_col: str = "d
                        & _alike(F.col("n1"), F.col("n2"), left, p)
                        & _alike(F.col("n1"), F.col("n2"), _counted(F.col("counts1"), F.col("counts2")), p))
                  .select(F.least("fp1", "fp2").alias("u"), F.greatest("fp1", "fp2").alias("v")).distinct())
-    across = land(across.join(pairs, ["u", "v"], "left_anti"), "jaccard-across")
-    links = land(found.select(F.col("node").alias("u"), F.col("component").alias("v"))
-                      .union(_verify(across, sets, p)), "jaccard-all-links")
+    across = fit(land(across.join(pairs, ["u", "v"], "left_anti"), "jaccard-across"), "jaccard-across-near")
+    if not across.isEmpty():
+        more = fetch(across.select(either))
+        sets = land(sets.union(more.join(sets.select("fp"), "fp", "left_anti")), "jaccard-all-sets")
+        linked = land(found.select(F.col("node").alias("u"), F.col("component").alias("v"))
+                           .union(_verify(across, sets, p)), "jaccard-all-links")
+        found = connected_components(linked, scratch)
 
-    found = connected_components(links)
     text_set = survey.where("kind = 0").select(F.col("a").alias("th"), F.col("b").alias("fp"),
                                                F.col("n").cast("long").alias("n_shingles"))
     label = (text_set.join(found, F.col("fp") == F.col("node"), "left")
                      .select("th", "fp", "n_shingles", F.coalesce("component", "fp").alias("c")))
     extra = []
-    if count:
+    if links:
         extra = ["n_links"]
-        others = land(_count_links(found, classes, sets, p), "jaccard-counts")
+        others = land(_count_links(found, classes, sets, p, land), "jaccard-counts")
         label = (label.join(classes.select("fp", "rows"), "fp", "left").join(others, "fp", "left")
                       .withColumn("n_links", F.coalesce(F.col("rows") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))))
-    rows = src.select("doc_id", F.xxhash64("text").alias("th")).join(label, "th")
-    rows = land(rows.select("doc_id", "n_shingles", "c", *extra), "jaccard-rows")
+    return (src.select("doc_id", F.xxhash64("text").alias("th")).join(label, "th")
+               .select("doc_id", "th", "n_shingles", "c", *extra))
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+
+
+def link_components(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
+                    text_col: str = "text", links: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``docs``: its set's
+    size and the smallest id reachable by links (its own for an empty set).
+    With ``links`` also ``n_links``, the number of other rows it links with."""
+    scratch = Scratch()
+    rows = land(_labelled(_source(docs, id_col, text_col), params, links, scratch).drop("th"), "jaccard-rows")
+    scratch.clear()
+    extra = ["n_links"] if links else []
     least = rows.where("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
     linked = rows.where("n_shingles > 0").join(least, "c").select("doc_id", "n_shingles", "component_id", *extra)
-    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"),
-                                                   *extra)
+    alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *extra)
     return linked.union(alone)
 
 
 def one_per_group(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """The document with the smallest id of every component, all columns as
-    they are; rows repeating that id all stay, and so do rows without an id."""
-    keep = (link_components(docs, params, id_col, text_col)
-            .where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct())
-    kept = docs.join(keep, F.col(f"`{id_col}`") == F.col("_keep"), "left_semi")
-    return kept.union(docs.where(F.col(f"`{id_col}`").isNull()))
+    """One row of every component, all columns as they are: the one with the
+    smallest id (null ids last, then the text's hash). Rows that repeat both id
+    and text are one document and leave one row, the first by its other columns'
+    hash. Rows without words link with nothing; of those only such repeats go."""
+    scratch = Scratch()
+    rows = _labelled(_source(docs, id_col, text_col), params, False, scratch)
+    # an empty set is a component of its own for every id and text
+    none = F.col("n_shingles") == 0
+    own = F.struct(F.when(~none, F.col("c")).alias("c"), F.when(none, F.col("doc_id")).alias("id"),
+                   F.when(none, F.col("th")).alias("th"))
+    first = (rows.groupBy(own.alias("own"), "doc_id", "th").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("own").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "n")).alias("k")))
+    keep = land(first.select(F.col("k.doc_id").alias("id"), F.col("k.th").alias("th"), F.col("k.n").alias("n")), "jaccard-keep")
+    scratch.clear()
+    taken = set(docs.columns)
+    free = []
+    for c in ("id", "th", "n", "order"):  # names that the table does not have
+        while c in taken:
+            c += "_"
+        taken.add(c)
+        free.append(c)
+    fid, fth, fn, order = free
+    keep = keep.toDF(fid, fth, fn)
+    text_hash = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    kept = docs.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col(fid)) & (text_hash == F.col(fth)))
+    single = kept.where(F.col(fn) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    seen = Window.partitionBy(fid, fth).orderBy(F.xxhash64(*others) if others else F.lit(0))
+    repeated = (kept.where(F.col(fn) > 1).withColumn(order, F.row_number().over(seen)).where(F.col(order) == 1)
+                    .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return single.union(repeated)
