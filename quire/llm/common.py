@@ -71,6 +71,18 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def fresh_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names that ``df`` does not have (case aside), one for each wanted name."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        name = f"_{name}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def number_rows(df: DataFrame, order: list[Column], col: str = "row_no") -> DataFrame:
     """``df`` (landed) with a gapless global row number from 0 in ``order``.
 

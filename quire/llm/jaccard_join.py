@@ -50,7 +50,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import (
-    NOT_SPACE, Scratch, Words, connected_components, land, mix, sieve, sieved, signed, text_slices, word_grams,
+    NOT_SPACE, Scratch, Words, connected_components, fresh_names, land, mix, sieve, sieved, signed, text_slices,
+    word_grams,
 )
 
 
@@ -631,14 +632,7 @@ def one_per_group(docs: DataFrame, params: Params = Params(), id_col: str = "doc
                  .groupBy("own").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "n")).alias("k")))
     keep = land(first.select(F.col("k.doc_id").alias("id"), F.col("k.th").alias("th"), F.col("k.n").alias("n")), "jaccard-keep")
     scratch.clear()
-    taken = set(docs.columns)
-    free = []
-    for c in ("id", "th", "n", "order"):  # names that the table does not have
-        while c in taken:
-            c += "_"
-        taken.add(c)
-        free.append(c)
-    fid, fth, fn, order = free
+    fid, fth, fn, order = fresh_names(docs, "id", "th", "n", "order")
     keep = keep.toDF(fid, fth, fn)
     text_hash = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     kept = docs.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col(fid)) & (text_hash == F.col(fth)))

@@ -12,7 +12,10 @@ lines within ``edits`` edits share one of the shorter one's segments exactly,
 at a place that the lengths and the segment's number leave few choices for.
 Segments are indexed by (length, number, text) and the longer line probes the
 lengths it may match at those places only; what meets and agrees in a small
-character signature is checked with a banded edit distance.
+character signature is checked with a banded edit distance (the built-in one,
+which is not bit-parallel). Whether a line has an earlier near line is found
+without pairing up whole groups, see :func:`later_lines`. Lines are told apart
+by 96 bits of hashes where their texts do not travel.
 
 Built-in functions only. Null texts have no lines; rows without an id come
 last in the order; rows that repeat id and text are one document (their lines
@@ -26,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import land, once
+from quire.llm.common import Scratch, fresh_names, land, once
 
 NO_ID = (1 << 63) - 1
 
@@ -35,6 +38,7 @@ NO_ID = (1 << 63) - 1
 class Params:
     edits: int = 2
     min_chars: int = 20           # of lines that may have near lines
+    few: int = 8                  # indexed lines under a key that all probes meet
     exact_chars: int | None = None
 
 
@@ -78,31 +82,80 @@ def probe_keys(p: Params) -> Column:
 
 
 def parities(line: Column) -> Column:
-    """26 bits, the parity of how often each letter a-z stands in a line. An
-    edit changes the counts of two letters at most, so lines within ``e`` edits
-    differ in at most ``2 * e`` bits; other lines mostly in more."""
-    size, out = F.octet_length(line), F.lit(0)
-    for i in range(26):
-        n = size - F.octet_length(F.replace(line, F.lit(chr(0x61 + i)), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(1)), i))
-    return out
-
-
-def near_lines(lines: DataFrame, p: Params = Params()) -> DataFrame:
-    """Pairs ``a, b`` (``no``) of distinct lines (``no, line, len, w``, the last
-    their :func:`parities`) within ``p.edits`` edits, each once."""
-    index = lines.select(F.explode(segment_keys(p)).alias("key"), F.col("no").alias("a"), F.col("w").alias("wa"))
-    probe = lines.select(F.explode(probe_keys(p)).alias("k"), F.col("no").alias("b"),
-                         F.col("w").alias("wb")).where("k is not null").select("k.key", "k.less", "b", "wb")
-    met = (index.join(probe, (index["key"] == probe["key"]) & ((F.col("less") > 0) | (F.col("a") < F.col("b")))
-                      & (F.bit_count(F.col("wa").bitwiseXOR(F.col("wb"))) <= 2 * p.edits))
-                .select("a", "b").distinct())
-    met = land(met, "line-pairs")
-    need = met.select(F.explode(F.array("a", "b")).alias("no")).distinct()
-    text = lines.select("no", "line").join(need, "no", "left_semi")
-    return (met.join(text.select(F.col("no").alias("a"), F.col("line").alias("x")), "a")
-               .join(text.select(F.col("no").alias("b"), F.col("line").alias("y")), "b")
-               .where(F.levenshtein("x", "y", p.edits) >= 0).select("a", "b"))
+    """36 bits, the parity of how often each letter a-z and digit stands in a
+    line. An edit changes the counts of two characters at most, so lines within
+    ``e`` edits differ in at most ``2 * e`` bits; other lines mostly in more."""
+    def bits(chars: str, at: int) -> Column:
+        size, out = F.octet_length(line), F.lit(0).cast("long")
+        for i, c in enumerate(chars):
+            n = size - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+            out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(1)).cast("long"), at + i))
+        return out
+
+    digits = F.when(line.rlike("[0-9]"), bits("0123456789", 26)).otherwise(F.lit(0).cast("long"))
+    return bits("abcdefghijklmnopqrstuvwxyz", 0).bitwiseOR(digits)
+
+
+CELLS = 1 << 17
+
+
+def _near(pairs: DataFrame, lines: DataFrame, p: Params, land) -> DataFrame:
+    """The pairs ``later, earlier`` within ``p.edits`` edits."""
+    pairs = land(pairs.distinct(), "line-pairs")
+    need = pairs.select(F.explode(F.array("later", "earlier")).alias("no")).distinct()
+    # most texts stay where they are: a filter of at most CELLS rows goes to them
+    cell = F.pmod(F.xxhash64("no"), F.lit(CELLS))
+    some = F.broadcast(need.select(cell.alias("cell")).distinct())
+    text = land(lines.select("no", "line", cell.alias("cell")).join(some, "cell", "left_semi")
+                     .join(need, "no", "left_semi").select("no", "line"), "line-texts")
+    return (pairs.join(text.select(F.col("no").alias("later"), F.col("line").alias("x")), "later")
+                 .join(text.select(F.col("no").alias("earlier"), F.col("line").alias("y")), "earlier")
+                 .where(F.levenshtein("x", "y", p.edits) >= 0).select("later", "earlier"))
+
+
+def later_lines(lines: DataFrame, p: Params, land) -> DataFrame:
+    """``no`` of the lines (``no, line, len, w, first``, distinct) that have a near
+    line of an earlier first place.
+
+    Under a key of few indexed lines every probe meets all of them. Under the
+    others lines first meet the earliest one on either side, which settles
+    groups of near copies in one check a line; only lines that are then still
+    open meet all the rest."""
+    index = lines.select(F.explode(segment_keys(p)).alias("key"), F.col("no").alias("a"), F.col("w").alias("wa"),
+                         F.col("first").alias("fa"))
+    probe = (lines.select(F.explode(probe_keys(p)).alias("k"), F.col("no").alias("b"), F.col("w").alias("wb"),
+                          F.col("first").alias("fb")).where("k is not null").select("k.key", "k.less", "b", "wb", "fb"))
+    heavy = land(index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fa").alias("f1"),
+                                          F.min_by("a", "fa").alias("a1"), F.min_by("wa", "fa").alias("w1"))
+                      .where(F.col("n") > p.few), "line-heavy").drop("n")
+
+    def alike(x, y):
+        return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= 2 * p.edits
+
+    def pair(later, earlier):
+        return [F.col(later).alias("later"), F.col(earlier).alias("earlier")]
+
+    few = (index.join(heavy, "key", "left_anti")
+                .join(probe, "key").where(((F.col("less") > 0) | (F.col("a") < F.col("b")))
+                                          & alike("wa", "wb") & (F.col("fa") != F.col("fb")))
+                .select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("later"),
+                        F.when(F.col("fa") < F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("earlier")))
+    if heavy.isEmpty():
+        return _near(few, lines, p, land).select(F.col("later").alias("no")).distinct()
+    indexed = land(index.join(heavy.select("key"), "key", "left_semi"), "line-indexed")
+    probing = land(probe.join(heavy.select("key"), "key", "left_semi"), "line-probing")
+    first = probing.groupBy("key").agg(F.min("fb").alias("f2"), F.min_by("b", "fb").alias("b2"),
+                                       F.min_by("wb", "fb").alias("w2"))
+    led = (probing.join(heavy, "key").where((F.col("f1") < F.col("fb")) & alike("w1", "wb")).select(*pair("b", "a1"))
+           .union(indexed.join(first, "key").where((F.col("f2") < F.col("fa")) & alike("w2", "wa"))
+                         .select(*pair("a", "b2"))))
+    done = land(_near(few.union(led), lines, p, land).select("later").distinct(), "line-done")
+    open_probes = probing.join(done.select(F.col("later").alias("b")), "b", "left_anti")
+    open_lines = indexed.join(done.select(F.col("later").alias("a")), "a", "left_anti")
+    rest = (indexed.join(open_probes, "key").where((F.col("fa") < F.col("fb")) & alike("wa", "wb")).select(*pair("b", "a"))
+            .union(open_lines.join(probing, "key").where((F.col("fb") < F.col("fa")) & alike("wa", "wb"))
+                             .select(*pair("a", "b"))))
+    return done.union(_near(rest, lines, p, land).select("later")).distinct().select(F.col("later").alias("no"))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -118,28 +171,26 @@ def repeated_lines(docs: DataFrame, params: Params = Params(), id_col: str = "do
     numbers (from 0, sorted), and how many of them only a near line precedes.
     ``key`` is the hash of id and text, ``doc`` the id."""
     p = params
+    scratch = Scratch()
     size, least = F.length("line"), p.min_chars if p.exact_chars is None else p.exact_chars
     long = _lines(docs, id_col, text_col).where(
         (size >= p.min_chars) | ((size >= least) & F.col("line").rlike(r"\S")))
-    place = F.struct("doc", "pos")
-    lines = land(long.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-                     .select(F.monotonically_increasing_id().alias("no"), F.xxhash64("line").alias("lid"), "line",
-                             F.length("line").alias("len"), parities(F.col("line")).alias("w"), "first", "n"),
-                 "lines")
-    pairs = near_lines(lines.where(F.col("len") >= p.min_chars), p)
-    known = lines.select("no", "lid", "first", "n")
-    both = land(pairs.union(pairs.select("b", "a")).toDF("no", "other"), "line-links")
-    linked = land(known.join(both.select("no").distinct(), "no", "left_semi"), "line-linked")
-    earlier = land(both.join(linked.select(F.col("no").alias("other"), F.col("first").alias("f")), "other")
-                       .groupBy("no").agg(F.min("f").alias("f")), "line-earlier")
-    affected = (known.join(earlier, "no", "left")
-                     .withColumn("near", F.coalesce(F.col("f") < F.col("first"), F.lit(False)))
-                     .where("near or n > 1").select("lid", "first", "near"))
-    affected = land(affected, "line-repeats")
-    seen = long.select("key", "doc", "pos", F.xxhash64("line").alias("lid"))
-    return (seen.join(affected, "lid").where(F.col("near") | (F.struct("doc", "pos") != F.col("first")))
-                .groupBy("key", "doc").agg(F.array_sort(F.collect_list("pos")).alias("dropped"),
-                                           F.count_distinct(F.when(F.struct("doc", "pos") == F.col("first"), F.col("pos"))).alias("near")))
+    # (doc, pos) as one number: its minimum stays in a hash aggregate
+    place = F.col("doc").cast("decimal(19,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
+    lines = scratch.land(long.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+                             .select(F.monotonically_increasing_id().alias("no"), "line", F.length("line").alias("len"),
+                                     parities(F.col("line")).alias("w"), "first", "n"), "lines")
+    near = later_lines(lines.where(F.col("len") >= p.min_chars), p, scratch.land)
+    lid = [F.xxhash64("line").alias("lid"), F.hash("line").alias("lid2")]
+    affected = land(lines.select("no", *lid, "first", "n").join(near.withColumn("near", F.lit(True)), "no", "left")
+                         .select("lid", "lid2", "first", "n", F.coalesce("near", F.lit(False)).alias("near"))
+                         .where("near or n > 1").drop("n"), "line-repeats")
+    scratch.clear()
+    seen = long.select("key", "doc", "pos", place.alias("at"), *lid)
+    # a set: rows that repeat id and text bring every place as often as they stand
+    return (seen.join(affected, ["lid", "lid2"]).where(F.col("near") | (F.col("at") != F.col("first")))
+                .groupBy("key", "doc").agg(F.array_sort(F.collect_set("pos")).alias("dropped"),
+                                           F.count_distinct(F.when(F.col("at") == F.col("first"), F.col("pos"))).alias("near")))
 
 
 def line_report(docs: DataFrame, params: Params = Params()) -> DataFrame:
@@ -159,12 +210,11 @@ def dedup_lines(docs: DataFrame, params: Params = Params(), id_col: str = "doc_i
                 text_col: str = "text") -> DataFrame:
     """The documents (all columns) with the repeated lines cut from the text.
     A null text stays null; a text that loses all lines is empty."""
-    found = repeated_lines(docs, params, id_col, text_col).select(F.col("key").alias("_key"), "dropped")
-    found = found.withColumnRenamed("dropped", "_dropped")
+    key, lost, lines = fresh_names(docs, "key", "dropped", "lines")
+    found = repeated_lines(docs, params, id_col, text_col).select(F.col("key").alias(key), F.col("dropped").alias(lost))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    key = F.xxhash64(F.col(f"`{id_col}`").cast("long"), text)
-    joined = docs.withColumn("_key", key).join(found, "_key", "left")
-    lines = once(joined, "_lines", F.split(text, "\n"))
-    kept = F.array_join(F.filter("_lines", lambda x, i: ~F.array_contains("_dropped", i)), "\n")
-    cut = lines.withColumn(text_col, F.when(F.col("_dropped").isNull(), F.col(f"`{text_col}`")).otherwise(kept))
-    return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
+    joined = docs.withColumn(key, F.xxhash64(F.col(f"`{id_col}`").cast("long"), text)).join(found, key, "left")
+    split = once(joined, lines, F.split(text, "\n"))
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col(lost), i)), "\n")
+    cut = F.when(F.col(lost).isNull(), F.col(f"`{text_col}`")).otherwise(kept).alias(text_col)
+    return split.select(*[cut if c == text_col else F.col(f"`{c}`") for c in docs.columns])

@@ -212,6 +212,47 @@ def test_line_dedup(docs, rows, empty, p):
     assert cut.where("doc_id = 200").first().text is None and line_dedup.line_report(empty).count() == 0
 
 
+def test_line_dedup_of_repeated_rows(spark):
+    """Rows that repeat id and text are one document: each place counts once."""
+    line = "a line that is long enough to be told"
+    rows = [(1, line), (2, line), (2, line), (None, line), (None, line), (None, line)]
+    df = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows],
+                               "doc_id long, text string, _key int, _dropped int, _lines int")
+    got = collections.Counter((r.doc_id, r.n_lines, r.n_dropped, tuple(r.dropped))
+                              for r in line_dedup.line_report(df).collect())
+    assert got == {(1, 1, 0, ()): 1, (2, 1, 1, (0,)): 2, (None, 1, 1, (0,)): 3}
+    cut = line_dedup.dedup_lines(df)
+    assert cut.columns == df.columns
+    assert collections.Counter((r.doc_id, r.text, r._key) for r in cut.collect()) == {
+        (1, line, 1): 1, (2, "", 1): 2, (None, "", 1): 3}
+
+
+def test_line_dedup_of_large_groups(spark):
+    """Groups far larger than ``few``: near copies of one line, and lines of one
+    template that are not near; each line's fate as by brute force."""
+    rnd = random.Random(11)
+    base = "shared words of one common boilerplate line 00000"
+    lines = [base[:k] + "xyz"[i % 3] + base[k + 1:] for i, k in enumerate([rnd.randrange(40) for _ in range(70)])]
+    lines += [f"{base[:44]}{rnd.randrange(100000):05d}" for _ in range(70)]
+    rnd.shuffle(lines)
+    rows = [(i, x) for i, x in enumerate(lines)]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    want = {i for i, x in rows if any(distance(x, y) <= 2 for _, y in rows[:i])}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for few in (1, 8, 1000):
+        got = {r.doc_id for r in line_dedup.line_report(df, line_dedup.Params(few=few)).collect() if r.n_dropped}
+        assert got == want
+
+
 def test_line_dedup_short_lines(spark, tmp_path):
     from quire.llm import queries
     long = "one line that is long enough to be near another"
