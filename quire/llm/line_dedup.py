@@ -76,24 +76,27 @@ def probe_keys(p: Params) -> Column:
             for shift in range(low, high + 1):
                 at = start + shift
                 fits = (at >= 1) & (at + size - 1 <= F.col("len"))
+                # the line's own index keys are told apart, as shift none of its own length
+                kind = less if less or shift else -1
                 out.append(F.when(fits, F.struct(
-                    _key(other, i, F.substring(F.col("line"), at, size)).alias("key"), F.lit(less).alias("less"))))
+                    _key(other, i, F.substring(F.col("line"), at, size)).alias("key"), F.lit(kind).alias("less"))))
     return F.array(*out)
 
 
 def parities(line: Column) -> Column:
-    """36 bits, the parity of how often each letter a-z and digit stands in a
-    line. An edit changes the counts of two characters at most, so lines within
-    ``e`` edits differ in at most ``2 * e`` bits; other lines mostly in more."""
+    """The parity of how often each letter a-z and digit stands in a line, two of
+    these 36 to a bit. An edit changes the counts of two characters at most, so
+    lines within ``e`` edits differ in at most ``2 * e`` bits; other lines mostly
+    in more."""
     def bits(chars: str, at: int) -> Column:
-        size, out = F.octet_length(line), F.lit(0).cast("long")
+        size, out = F.octet_length(line), F.lit(0)
         for i, c in enumerate(chars):
             n = size - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
-            out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(1)).cast("long"), at + i))
+            out = out.bitwiseXOR(F.shiftleft(n.bitwiseAND(F.lit(1)), (at + i) % 18))
         return out
 
-    digits = F.when(line.rlike("[0-9]"), bits("0123456789", 26)).otherwise(F.lit(0).cast("long"))
-    return bits("abcdefghijklmnopqrstuvwxyz", 0).bitwiseOR(digits)
+    digits = F.when(line.rlike("[0-9]"), bits("0123456789", 26)).otherwise(F.lit(0))
+    return bits("abcdefghijklmnopqrstuvwxyz", 0).bitwiseXOR(digits)
 
 
 CELLS = 1 << 17
@@ -113,6 +116,13 @@ def _near(pairs: DataFrame, lines: DataFrame, p: Params, land) -> DataFrame:
                  .where(F.levenshtein("x", "y", p.edits) >= 0).select("later", "earlier"))
 
 
+def _firsts(need: DataFrame, lines: DataFrame) -> DataFrame:
+    """``no, first`` of some lines."""
+    cell = F.pmod(F.xxhash64("no"), F.lit(CELLS))
+    some = F.broadcast(need.select(cell.alias("cell")).distinct())
+    return lines.select("no", "first", cell.alias("cell")).join(some, "cell", "left_semi").select("no", "first")
+
+
 def later_lines(lines: DataFrame, p: Params, land) -> DataFrame:
     """``no`` of the lines (``no, line, len, w, first``, distinct) that have a near
     line of an earlier first place.
@@ -121,13 +131,11 @@ def later_lines(lines: DataFrame, p: Params, land) -> DataFrame:
     others lines first meet the earliest one on either side, which settles
     groups of near copies in one check a line; only lines that are then still
     open meet all the rest."""
-    index = lines.select(F.explode(segment_keys(p)).alias("key"), F.col("no").alias("a"), F.col("w").alias("wa"),
-                         F.col("first").alias("fa"))
-    probe = (lines.select(F.explode(probe_keys(p)).alias("k"), F.col("no").alias("b"), F.col("w").alias("wb"),
-                          F.col("first").alias("fb")).where("k is not null").select("k.key", "k.less", "b", "wb", "fb"))
-    heavy = land(index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fa").alias("f1"),
-                                          F.min_by("a", "fa").alias("a1"), F.min_by("wa", "fa").alias("w1"))
-                      .where(F.col("n") > p.few), "line-heavy").drop("n")
+    index = lines.select(F.explode(segment_keys(p)).alias("key"), F.col("no").alias("a"), F.col("w").alias("wa"))
+    probe = (lines.select(F.explode(probe_keys(p)).alias("k"), F.col("no").alias("b"), F.col("w").alias("wb"))
+                  .where("k is not null").select("k.key", "k.less", "b", "wb"))
+    heavy = land(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > p.few).select("key"),
+                 "line-heavy")
 
     def alike(x, y):
         return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= 2 * p.edits
@@ -135,20 +143,31 @@ def later_lines(lines: DataFrame, p: Params, land) -> DataFrame:
     def pair(later, earlier):
         return [F.col(later).alias("later"), F.col(earlier).alias("earlier")]
 
-    few = (index.join(heavy, "key", "left_anti")
-                .join(probe, "key").where(((F.col("less") > 0) | (F.col("a") < F.col("b")))
-                                          & alike("wa", "wb") & (F.col("fa") != F.col("fb")))
-                .select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("later"),
-                        F.when(F.col("fa") < F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("earlier")))
+    # one pass of the probes: all pairs under light keys, and under heavy ones the probes alone
+    none = F.lit(None).cast("long")
+    held = (index.join(heavy, "key", "left_anti").withColumn("heavy", F.lit(False))
+                 .union(heavy.select("key", none, none, F.lit(True))))
+    ordered = (F.col("less") > 0) | (F.col("a") < F.col("b"))
+    met = land(held.join(probe, "key").where(F.col("heavy") | (ordered & alike("wa", "wb")))
+                   .select(F.when(F.col("heavy"), F.col("key")).alias("key"), "heavy", "a", "b", "less", "wb"), "line-met")
+    few = met.where("not heavy").select("a", "b").distinct()
+    first = land(_firsts(few.select(F.explode(F.array("a", "b")).alias("no")).union(met.where("heavy").select("b")), lines),
+                 "line-firsts")
+    fa, fb = (first.select(F.col("no").alias(c), F.col("first").alias(f"f{c}")) for c in "ab")
+    few = (few.join(fa, "a").join(fb, "b").where(F.col("fa") != F.col("fb"))
+              .select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("later"),
+                      F.when(F.col("fa") < F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("earlier")))
     if heavy.isEmpty():
         return _near(few, lines, p, land).select(F.col("later").alias("no")).distinct()
-    indexed = land(index.join(heavy.select("key"), "key", "left_semi"), "line-indexed")
-    probing = land(probe.join(heavy.select("key"), "key", "left_semi"), "line-probing")
-    first = probing.groupBy("key").agg(F.min("fb").alias("f2"), F.min_by("b", "fb").alias("b2"),
-                                       F.min_by("wb", "fb").alias("w2"))
-    led = (probing.join(heavy, "key").where((F.col("f1") < F.col("fb")) & alike("w1", "wb")).select(*pair("b", "a1"))
-           .union(indexed.join(first, "key").where((F.col("f2") < F.col("fa")) & alike("w2", "wa"))
-                         .select(*pair("a", "b2"))))
+    probing = land(met.where("heavy").select("key", "less", "b", "wb").join(fb, "b"), "line-probing")
+    indexed = probing.where("less = -1").select("key", F.col("b").alias("a"), F.col("wb").alias("wa"),
+                                                F.col("fb").alias("fa"))
+    led_by = lambda rows, no, w, f: rows.groupBy("key").agg(
+        F.min(f).alias("f1"), F.min_by(no, f).alias("no1"), F.min_by(w, f).alias("w1"))
+    led = (probing.join(led_by(indexed, "a", "wa", "fa"), "key").where((F.col("f1") < F.col("fb")) & alike("w1", "wb"))
+                  .select(*pair("b", "no1"))
+           .union(indexed.join(led_by(probing, "b", "wb", "fb"), "key").where((F.col("f1") < F.col("fa")) & alike("w1", "wa"))
+                         .select(*pair("a", "no1"))))
     done = land(_near(few.union(led), lines, p, land).select("later").distinct(), "line-done")
     open_probes = probing.join(done.select(F.col("later").alias("b")), "b", "left_anti")
     open_lines = indexed.join(done.select(F.col("later").alias("a")), "a", "left_anti")
@@ -179,7 +198,7 @@ def repeated_lines(docs: DataFrame, params: Params = Params(), id_col: str = "do
     place = F.col("doc").cast("decimal(19,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
     lines = scratch.land(long.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                              .select(F.monotonically_increasing_id().alias("no"), "line", F.length("line").alias("len"),
-                                     parities(F.col("line")).alias("w"), "first", "n"), "lines")
+                                     parities(F.col("line")).alias("w"), "first", "n"), "lines", {"compression": "zstd"})
     near = later_lines(lines.where(F.col("len") >= p.min_chars), p, scratch.land)
     lid = [F.xxhash64("line").alias("lid"), F.hash("line").alias("lid2")]
     affected = land(lines.select("no", *lid, "first", "n").join(near.withColumn("near", F.lit(True)), "no", "left")
