@@ -69,16 +69,22 @@ def _worth_it(kind: str, text: Column, low: Column) -> Column:
             "pem": text.contains("PRIVATE KEY-----"), "url": text.contains("://")}[kind]
 
 
+PIECE = 256
+
+
 def _spans(text: Column, number: int, kind: str, pattern: str, group: int, least: int) -> Column:
     """Array of (start, kind number, kind, end, value) of a pattern's leftmost
     non-overlapping matches: the lengths of what lies between the matches and of
-    the matches add up to the positions."""
+    the matches add up to the positions, in pieces of ``PIECE`` matches."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     if kind == "pem":
         value = F.transform(whole, _key_body)
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("m"), value.alias("v"))
-    empty = F.expr("struct(0 as at, cast(array() as array<struct<start:int,no:int,kind:string,end:int,value:string>>) as s)")
+    none = F.expr("cast(array() as array<struct<start:int,no:int,kind:string,end:int,value:string>>)")
+
+    def length(x):
+        return F.length(x["gap"]) + F.coalesce(F.length(x["m"]), F.lit(0))
 
     def step(acc, x):
         begin = acc["at"] + F.length(x["gap"])
@@ -88,7 +94,20 @@ def _spans(text: Column, number: int, kind: str, pattern: str, group: int, least
         keep = x["m"].isNotNull() & (F.length(x["v"]) >= least)
         return F.struct(end.alias("at"), F.when(keep, F.concat(acc["s"], F.array(span))).otherwise(acc["s"]).alias("s"))
 
-    return F.aggregate(parts, empty, step, lambda a: a["s"])
+    def bound(value, use):
+        """``use`` of a value that is computed once, as the variable of a lambda."""
+        return F.transform(F.array(value), use)[0]
+
+    def spread(all_):
+        # an array grows by copying, so it is built in pieces of bounded length
+        pieces = F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / PIECE).cast("int"))
+        piece = lambda c: F.slice(all_, c * PIECE + 1, PIECE)
+        sizes = F.transform(pieces, lambda c: F.aggregate(piece(c), F.lit(0), lambda t, x: t + length(x)))
+        begins = F.aggregate(sizes, F.array(F.lit(0)), lambda t, n: F.concat(t, F.array(F.element_at(t, -1) + n)))
+        return bound(begins, lambda at: F.flatten(F.transform(pieces, lambda c: F.aggregate(
+            piece(c), F.struct(F.get(at, c).alias("at"), none.alias("s")), step, lambda done: done["s"]))))
+
+    return bound(parts, spread)
 
 
 def find_spans(text: Column, low: Column, kinds) -> Column:
