@@ -282,14 +282,14 @@ def remove_repeats(docs: DataFrame, params: Params = Params(), id_col: str = "do
                     .mapInArrow(_sample(p), "h long, ctx long, pos int, doc long, key long")
                     .repartition(F.coalesce("h", "key")).sortWithinPartitions("h", "ctx", "doc")
                     .mapInArrow(_sorted_or_known, "key long, at long"), "repeat-marks")
-    # lists by key are bounded by their document
-    asks = marks.where("at % 2 = 1").groupBy("key").agg(F.collect_list(F.shiftright("at", 1)).alias("ask"))
+    # sets by key are bounded by their document, however many rows repeat it
+    asks = marks.where("at % 2 = 1").groupBy("key").agg(F.collect_set(F.shiftright("at", 1)).alias("ask"))
     again = land(src.join(asks, "key").select(order, "key", "text", "ask")
                     .mapInArrow(_strings(p), "name long, start int, doc long, key long")
                     .repartition("name").sortWithinPartitions("name", "doc")
                     .mapInArrow(_again, "key long, start int"), "repeat-strings")
     cover = (marks.where("at % 2 = 0").union(again.select("key", (F.col("start").cast("long") * 2 + 1).alias("at")))
-                  .groupBy("key").agg(F.collect_list("at").alias("at")))
+                  .groupBy("key").agg(F.collect_set("at").alias("at")))
     return src.join(cover, "key", "left").select("doc_id", "text", "at").mapInArrow(_cut(p, with_text), RESULT)
 
 
