@@ -251,10 +251,11 @@ def mixed_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, flo
     """The documents (all columns as they are), each as often as its copies.
     Rates are a function of a row's own text, so rows pass through in place."""
     _, mix = domain_mix(docs, labelled, targets, params, id_col, text_col)
+    # the row itself stands aside as one column, so its names meet none of these
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
+                      F.col(f"`{text_col}`").alias("text"))
     p = [F.col("_p")[d] for d in range(len(mix.posterior.domains))]
-    rated = once(mix.posterior.added(with_bins(docs, text_col)), "_r", mix.rate(p))
-    n = copies(F.col("_r"), [F.col(f"`{id_col}`"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))],
-               params.seed)
+    rated = once(mix.posterior.added(with_bins(row)), "_r", mix.rate(p))
+    n = copies(F.col("_r"), [F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))], params.seed)
     return (once(rated, "_n", n).where("_n > 0")
-                 .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-                 .select(*[F.col(f"`{c}`") for c in docs.columns]))
+                 .select("row", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")).select("row.*"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import ALNUM, Words, land, signed, text_slices
+from quire.llm.common import ALNUM, Words, fresh_names, land, signed, text_slices
 
 # Identity terms by set; a term is swapped within its set.
 IDENTITY_TERMS = (
@@ -251,7 +251,8 @@ def score(df: DataFrame, model: Model, text_col: str = "text", keep: list[str] |
     """The ``keep`` columns (default all) and the score ``out``, 0 to 1."""
     keep = df.columns if keep is None else keep
     # the closure carries the model: at most max_features numbers
-    src = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text"))
+    own, = fresh_names(df, "text")
+    src = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias(own))
 
     def run(batches):
         for batch in batches:

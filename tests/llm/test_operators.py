@@ -500,3 +500,39 @@ def test_toxicity_counterfactual(spark, empty):
     assert toxicity.score_documents(empty, labels).count() == 0
     assert {r.score for r in toxicity.score_documents(docs, labels.where("false")).collect()} == {
         r.score for r in toxicity.score_documents(docs, labels.where("toxic = 0")).collect()}
+
+
+def test_many_secrets_in_one_text_in_linear_time(spark):
+    """Positions run on over the pieces in which a text's matches are counted."""
+    n = 3000
+    text = "é x ".join(f'token="{i:08d}abc" AKIA{i:016d} ' for i in range(n))
+    want = collections.Counter(len(m.group(0)) for m in re.finditer("AKIA[0-9]{16}", text))
+    df = spark.createDataFrame([(1, text), (2, "nothing"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in secret_scan.scan_secrets(df, repo=F.lit("r"), owner=F.lit("o")).collect()}
+    assert (got[1].n_assign, got[1].n_access, sum(want.values())) == (n, n, n)
+    spans = sorted([("assign", m.start(), m.end()) for m in re.finditer(r'token="[0-9a-z]+', text)]
+                   + [("access", m.start(), m.end()) for m in re.finditer("AKIA[0-9]{16}", text)], key=lambda s: s[1])
+    text_of = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+    assert got[1].base_sha256 == hashlib.sha256(text_of.encode()).hexdigest()
+    assert got[2].spans == "" and got[3].n_hex == 0
+
+
+def test_repeats_of_rows_that_repeat(spark):
+    """Rows that repeat id and text bring each mark once, not once for each other."""
+    text = " ".join(f"word{i}" for i in range(60))
+    df = spark.createDataFrame([(None, text)] * 40 + [(1, "x " + text)], "doc_id long, text string").repartition(3)
+    got = substring_dedup.remove_repeats(df).collect()
+    assert {r.doc_id: (r.n_removed, r.n_spans) for r in got} == {None: (len(text), 1), 1: (0, 0)} and len(got) == 41
+
+
+def test_clashing_underscore_names(spark):
+    names = ["_tokens", "_copy", "_n", "_bins", "_r", "_p", "_fig", "_text", "row", "_id", "_key"]
+    rows = [(i, "plain words in a row " * (1 + i % 3), "en" if i % 2 else "de") for i in range(40)]
+    df = spark.createDataFrame([(*r, *range(len(names))) for r in rows],
+                               "doc_id long, text string, lang string, " + ", ".join(f"{c} int" for c in names))
+    labelled = df.select("doc_id", F.col("lang").alias("domain"))
+    mixed = mixing.mixed_documents(df, labelled, {"en": .5, "de": .5})
+    assert mixed.columns == df.columns and {tuple(r[c] for c in names) for r in mixed.collect()} == {tuple(range(len(names)))}
+    model = toxicity.Model(0.0, __import__("numpy").zeros(0, "uint64"), __import__("numpy").zeros(0))
+    scored = toxicity.score(df, model, out="s")
+    assert scored.columns == [*df.columns, "s"] and {r["_text"] for r in scored.collect()} == {names.index("_text")}
