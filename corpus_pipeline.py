@@ -4,10 +4,12 @@ decontamination, mixing, sharding. Each stage reads what the one before wrote.""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quire.llm import decontaminate, jaccard_join, mixing, sharding, toxicity
+from quire.llm.common import fresh_names
 from quire.llm.queries import TARGETS, labelled_domains
-from quire.session import scratch_path
+from quire.session import discard, scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,12 +19,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under one half."""
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, out="_toxicity").where("_toxicity < 0.5").select(*docs.columns)
+    out, = fresh_names(docs, "toxicity")
+    return toxicity.score(docs, model, out=out).where(F.col(out) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles (similarity 0.8 or more) the
-    document with the smallest id."""
+    document with the smallest id (null ids last), once."""
     return jaccard_join.one_per_group(docs)
 
 
@@ -56,13 +59,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each landed as Parquet and reread."""
-    docs = _table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each landed as Parquet and reread; a
+    stage's table is removed when the next one's is written."""
+    docs, read = _table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if i == len(STAGES) - 1:
             return out
         path = scratch_path(spark, f"pipeline-{name.replace(' ', '-')}")
         out.write.parquet(path)
-        docs = spark.read.parquet(path)
+        if read:
+            discard(spark, read)
+        docs, read = spark.read.schema(out.schema).parquet(path), path
     return docs
