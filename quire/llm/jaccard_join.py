@@ -525,10 +525,12 @@ def _labelled(src: DataFrame, p: Params, links: bool, scratch: Scratch) -> DataF
     sure = met.where("kind = 0").select(F.col("a").alias("u"), F.col("b").alias("v"))
     entry = met.where("kind = 2").select(F.col("a").alias("key"), F.col("b").alias("fp"), "n", "pos")
     # a list of any length is starred in parts, dealt anew in every turn
-    parts = entry.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / p.part).cast("int").alias("parts"))
+    parts = (entry.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / p.part).cast("int").alias("parts"))
+                  .where("parts > 1"))
     turns = F.explode(F.array(*[F.lit(t) for t in range(p.turns)]))
-    stars = (entry.join(parts, "key").withColumn("turn", turns)
-                  .withColumn("turn", F.col("turn") + p.turns * F.pmod(F.xxhash64("fp", "turn"), F.col("parts")).cast("int"))
+    stars = (entry.join(parts, "key", "left").withColumn("turn", turns)
+                  .withColumn("turn", F.col("turn") + p.turns * F.pmod(
+                      F.xxhash64("fp", "turn"), F.coalesce("parts", F.lit(1))).cast("int"))
                   .repartition("key", "turn")
                   .sortWithinPartitions("key", "turn", F.when(F.col("turn") % p.turns == 0, F.col("pos")),
                                         F.xxhash64("fp", F.col("turn") % p.turns))
@@ -538,11 +540,9 @@ def _labelled(src: DataFrame, p: Params, links: bool, scratch: Scratch) -> DataF
 
     def fit(some: DataFrame, name: str) -> DataFrame:
         """The pairs that may link by sizes and range counts, which came with the survey."""
-        counts = classes.select("fp", "counts", "fine", F.col("n").alias("size"))
+        counts = classes.select("fp", "fine", F.col("n").alias("size"))
         u, v = (counts.select(*[F.col(c).alias(f"{c}_{t}") for c in counts.columns]) for t in "uv")
-        return land(some.join(u, F.col("u") == F.col("fp_u"))
-                        .join(v, (F.col("v") == F.col("fp_v")) & _alike(
-                            F.col("size_u"), F.col("size_v"), _counted(F.col("counts_u"), F.col("counts_v")), p))
+        return land(some.join(u, F.col("u") == F.col("fp_u")).join(v, F.col("v") == F.col("fp_v"))
                         .select("u", "v", "size_u", "size_v", "fine_u", "fine_v")
                         .mapInArrow(_fits(p), "u long, v long"), name)
 
@@ -578,10 +578,12 @@ def _labelled(src: DataFrame, p: Params, links: bool, scratch: Scratch) -> DataF
     across = fit(land(across.join(pairs, ["u", "v"], "left_anti"), "jaccard-across"), "jaccard-across-near")
     if not across.isEmpty():
         more = fetch(across.select(either))
-        sets = land(sets.union(more.join(sets.select("fp"), "fp", "left_anti")), "jaccard-all-sets")
-        linked = land(found.select(F.col("node").alias("u"), F.col("component").alias("v"))
-                           .union(_verify(across, sets, p)), "jaccard-all-links")
-        found = connected_components(linked, scratch)
+        new = land(_verify(across, more, p), "jaccard-across-links")
+        if not new.isEmpty():
+            found = connected_components(found.select(F.col("node").alias("u"), F.col("component").alias("v")).union(new),
+                                         scratch)
+            if links:
+                sets = sets.union(more.join(sets.select("fp"), "fp", "left_anti"))
 
     text_set = survey.where("kind = 0").select(F.col("a").alias("th"), F.col("b").alias("fp"),
                                                F.col("n").cast("long").alias("n_shingles"))
