@@ -1,4 +1,4 @@
-"""Benchmark: run every registered query over ``$BENCH_SF_DIR`` on
+"""Benchmark: run every registered query of the review and event side over ``$BENCH_SF_DIR`` on
 ``local[$BENCH_CPUS]`` and print one JSON line.
 
 Each query is executed in full with the ``noop`` sink (every row computed,
