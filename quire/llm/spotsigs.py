@@ -8,17 +8,34 @@ a chain has one signature, its whole word sequence; a text without words has
 none. Likeness is the Jaccard similarity of two fingerprints (1 for two empty
 ones).
 
+:func:`near_documents` finds the documents whose fingerprints are alike
+(Jaccard of ``num / den`` or more):
+
+1. Equal fingerprints are one class; all that follows is between classes.
+2. Classes are partitioned by set length so that like sets lie in one
+   partition or in neighbours. Each class posts the rarest signatures of its
+   set, as many as two like sets cannot both miss, in its own partition and as
+   a visitor in the next.
+3. In each list every member is compared with one of them; candidates must
+   pass the bounds on set lengths and on positions, then the exact Jaccard.
+4. Lists whose members now lie in several components are compared again, but
+   only members of different components, dealt over salts. So no link between
+   components is lost, and no group's pairs are all formed.
+
 Built-in functions only. Null texts are empty. Equal texts have equal
 fingerprints. Rows are identified by id and text, so null ids work, and rows
-that repeat id and text are each returned, all alike.
+that repeat id and text are each returned, all alike. Documents without words
+are like no other.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import land, number_rows, once
+from quire.llm.common import Scratch, connected_components, land, number_rows, once
 from quire.llm.licenses import WORD_BREAK
 
 # Common words of English, German, French and Spanish.
@@ -30,6 +47,15 @@ ANCHORS = (
     "el", "los", "las", "una", "y", "es", "en", "por", "con", "del",
 )
 
+
+@dataclass(frozen=True)
+class Params:
+    num: int = 80                 # like: num / den of the joint signatures
+    den: int = 100
+    bins: int = 1 << 16           # counters of signatures' frequencies (by hash)
+    deal: int = 256               # components of a list that one salt compares
+
+
 CHAIN = 3     # content words of a signature
 REACH = 3     # stretches between anchors a chain may run over
 
@@ -67,21 +93,164 @@ def likeness(a: Column, b: Column) -> Column:
             .otherwise(both / F.greatest(F.size(a) + F.size(b) - both, F.lit(1)))
 
 
-def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next`` of every document; the edited text has the last
-    half of its characters replaced by the first as many of the next document
-    (descending id; after the last the first)."""
+# -- documents with like fingerprints ----------------------------------------------
+
+def _set_key() -> list[Column]:
+    """128 bits that name a fingerprint."""
+    return [F.xxhash64("prints").alias("s1"), F.xxhash64(F.lit(1), "prints").alias("s2")]
+
+
+def _edges(p: Params) -> list[int]:
+    """Least set lengths of the partitions: a set is at most one partition away
+    from any it may be like."""
+    out = [1]
+    while out[-1] < 1 << 31:
+        out.append(out[-1] * p.den // p.num + 1)
+    return out
+
+
+def _frequencies(classes: DataFrame, p: Params) -> Column:
+    """Array of ``bins`` counts: how many signatures fall into each bin. It only
+    orders signatures (rare ones first), so its size need not grow with them."""
+    got = (classes.select(F.explode("prints").alias("s")).groupBy(F.pmod("s", F.lit(p.bins)).alias("b"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect())  # at most `bins` rows
+    counts = [0] * p.bins
+    for r in got:
+        counts[r["b"]] = r["n"]
+    return F.split(F.lit(",".join(map(str, counts))), ",").cast("array<long>")
+
+
+def _postings(classes: DataFrame, p: Params) -> DataFrame:
+    """``part, sig, home, cls, n, pos``: the prefix of every class, in the
+    partition of its length and as a visitor in the next, if that can hold
+    sets like it."""
+    often = _frequencies(classes, p)
+    ranked = F.array_sort(F.transform("prints", lambda s: F.struct(
+        F.element_at(often, F.pmod(s, F.lit(p.bins)) + 1).alias("often"), s.alias("sig"))))
+    edges = F.lit(_edges(p))
+    df = classes.select("cls", F.size("prints").alias("n"), ranked.alias("ranked"))
+    least = F.floor((F.col("n").cast("long") * p.num + (p.den - 1)) / F.lit(p.den)).cast("int")
+    df = once(df.select("cls", "n", F.slice("ranked", F.lit(1), F.col("n") - least + 1).alias("ranked")),
+              "part", F.size(F.filter(edges, lambda e: e <= F.col("n"))))
+    visits = F.col("n").cast("long") * p.den >= F.element_at(edges, F.col("part") + 1) * F.lit(p.num)
+    home = F.struct(F.col("part"), F.lit(True).alias("home"))
+    away = F.struct((F.col("part") + 1).alias("part"), F.lit(False).alias("home"))
+    df = df.select("cls", "n", F.when(visits, F.array(home, away)).otherwise(F.array(home)).alias("at"),
+                   F.posexplode("ranked").alias("pos", "x"))
+    return df.select(F.explode("at").alias("at"), "cls", "n", "pos", F.col("x.sig").alias("sig")) \
+             .select("at.part", "sig", "at.home", "cls", "n", "pos")
+
+
+def _fits(n1: Column, i1: Column, n2: Column, i2: Column, p: Params) -> Column:
+    """Whether sets of these lengths with one signature at these positions in
+    common may be alike: their lengths allow it, and so does what follows."""
+    a, b = n1.cast("long"), n2.cast("long")
+    rest = F.least(n1 - i1, n2 - i2).cast("long") + F.least(i1, i2)  # before: at most the shorter part
+    return ((F.least(a, b) * p.den >= F.greatest(a, b) * p.num)
+            & (rest * (p.num + p.den) >= (a + b) * p.num))
+
+
+def _alike(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
+    """The pairs ``u, v`` whose fingerprints are alike."""
+    a = classes.select(F.col("cls").alias("u"), F.col("prints").alias("a"))
+    b = classes.select(F.col("cls").alias("v"), F.col("prints").alias("b"))
+    both = F.size(F.array_intersect("a", "b"))
+    return (pairs.distinct().join(a, "u").join(b, "v")
+                 .where(both * (p.num + p.den) >= (F.size("a") + F.size("b")) * p.num).select("u", "v"))
+
+
+def _across(posts: DataFrame, comps: DataFrame, p: Params) -> DataFrame:
+    """Candidate pairs of classes in one list but in different components."""
+    key = ["part", "sig"]
+    comp = F.coalesce("component", "cls")
+    rows = (posts.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+                 .select(*key, "home", "cls", "n", "pos", comp.alias("comp")))
+    groups = rows.groupBy(*key, "comp").agg(F.min("n").alias("n1"), F.max("n").alias("n2"))
+    lists = groups.groupBy(*key).agg(F.count(F.lit(1)).alias("m")).where("m > 1") \
+                  .withColumn("salts", F.ceil(F.col("m") / p.deal).cast("int"))
+    groups = groups.join(lists, key)
+    left = groups.select(*key, F.col("comp").alias("c1"), F.col("n1").alias("a1"), F.col("n2").alias("a2"),
+                         F.pmod(F.xxhash64("comp"), F.col("salts")).cast("int").alias("salt"))
+    right = groups.select(*key, F.col("comp").alias("c2"), F.col("n1").alias("b1"), F.col("n2").alias("b2"),
+                          F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    met = left.join(right, [*key, "salt"]).where(
+        (F.col("c1") < F.col("c2")) & (F.col("a2").cast("long") * p.den >= F.col("b1").cast("long") * p.num)
+        & (F.col("b2").cast("long") * p.den >= F.col("a1").cast("long") * p.num)).select(*key, "c1", "c2")
+    side = lambda x: rows.select(*key, F.col("comp").alias(f"c{x}"), F.col("cls").alias(f"cls{x}"),
+                                 F.col("home").alias(f"h{x}"), F.col("n").alias(f"m{x}"), F.col("pos").alias(f"i{x}"))
+    return (met.join(side(1), [*key, "c1"]).join(side(2), [*key, "c2"])
+               .where((F.col("h1") | F.col("h2")) & _fits(F.col("m1"), F.col("i1"), F.col("m2"), F.col("i2"), p))
+               .select(F.least("cls1", "cls2").alias("u"), F.greatest("cls1", "cls2").alias("v")))
+
+
+def _near_classes(prints: DataFrame, p: Params) -> DataFrame:
+    """``s1, s2, near_class`` (landed) of every fingerprint that is not empty,
+    from ``doc_id, prints``: the smallest id of its component."""
+    scratch = Scratch()
+    classes = scratch.land(prints.where(F.size("prints") > 0).groupBy("prints").agg(F.min("doc_id").alias("least"))
+                                 .withColumn("cls", F.monotonically_increasing_id()), "spot-classes")
+    posts = scratch.land(_postings(classes, p), "spot-postings")
+    first = F.min(F.when(F.col("home"), F.struct(F.col("cls").alias("u"), F.col("n").alias("nu"),
+                                                 F.col("pos").alias("iu"))))
+    lists = (posts.groupBy("part", "sig").agg(F.count(F.lit(1)).alias("m"), first.alias("x"))
+                  .where("m > 1 and x is not null").select("part", "sig", "x.*"))
+    stars = (posts.join(lists, ["part", "sig"])
+                  .where((F.col("cls") != F.col("u")) & _fits(F.col("n"), F.col("pos"), F.col("nu"), F.col("iu"), p))
+                  .select(F.least("cls", "u").alias("u"), F.greatest("cls", "u").alias("v")))
+    links = scratch.land(_alike(stars, classes, p), "spot-links")
+    comps = connected_components(links, scratch)
+    more = scratch.land(_alike(_across(posts, comps, p), classes, p), "spot-links")
+    if not more.isEmpty():
+        comps = connected_components(more.union(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))),
+                                     scratch)
+    named = (classes.select("cls", "least", *_set_key())
+                    .join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+                    .withColumn("component", F.coalesce("component", "cls")))
+    least = named.groupBy("component").agg(F.min("least").alias("near_class"))
+    out = land(named.join(least, "component").select("s1", "s2", "near_class"), "spot-near")
+    scratch.clear()
+    return out
+
+
+def _sources(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
+
+
+def near_documents(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """``doc_id, n_signatures, near_class`` of every document: the smallest id
+    reachable over like fingerprints (its own id if it has no words; null if
+    none of the component has an id)."""
+    prints = with_fingerprint(_sources(docs, id_col, text_col), "text", "prints").select("doc_id", "prints")
+    near = _near_classes(prints, params)
+    return (prints.select("doc_id", F.size("prints").alias("n_signatures"), *_set_key())
+                  .join(near.withColumn("known", F.lit(True)), ["s1", "s2"], "left")
+                  .select("doc_id", "n_signatures",
+                          F.when(F.col("known"), F.col("near_class")).otherwise(F.col("doc_id")).alias("near_class")))
+
+
+def fingerprint_edits(docs: DataFrame, params: Params = Params(), id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    near_edited, near_next, near_class`` of every document; the edited text has
+    the last half of its characters replaced by the first as many of the next
+    document (descending id; after the last the first); ``near_class`` as
+    :func:`near_documents` gives it."""
+    src = _sources(docs, id_col, text_col)
     key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.xxhash64("doc_id", "text").alias("h")]
-    narrow = src.select("doc_id", *key, F.length("text").cast("long").alias("n_chars"))
+    prints = with_fingerprint(src, "text", "prints")
+    near = _near_classes(prints.select("doc_id", "prints"), params)
+    narrow = prints.select("doc_id", *key, F.length("text").cast("long").alias("n_chars"), *_set_key())
+    named = land(narrow.join(near.withColumn("known", F.lit(True)), ["s1", "s2"], "left")
+                       .select("doc_id", "k", "h", "n_chars", F.when(F.col("known"), F.col("near_class"))
+                               .otherwise(F.col("doc_id")).alias("near_class")), "spot-named")
     order = [F.col("doc_id").desc_nulls_last(), F.col("h")]
-    rows = land(number_rows(narrow, order), "spot-rows")
+    rows = land(number_rows(named, order), "spot-rows")
     n = rows.count()
     ahead = rows.select(F.pmod(F.col("row_no") - 1, F.lit(max(n, 1))).alias("row_no"),
                         F.col("k").alias("nk"), F.col("h").alias("nh"))
-    pairs = rows.join(ahead, "row_no").select("row_no", "doc_id", "k", "h", "n_chars", "nk", "nh")
+    pairs = rows.join(ahead, "row_no").select("row_no", "doc_id", "k", "h", "n_chars", "near_class", "nk", "nh")
 
     # one row an id and text; both joins read the same exchange of it
     texts = (with_fingerprint(src.select(*key, "text"), "text", "prints")
@@ -90,7 +259,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     after = texts.select(F.col("k").alias("nk"), F.col("h").alias("nh"), F.col("text").alias("next_text"),
                          F.col("prints").alias("next_prints"))
     given = (pairs.join(after, ["nk", "nh"])
-                  .select("doc_id", "k", "h", "n_chars", F.substring(F.col("next_text"), F.lit(1), half).alias("tail"),
+                  .select("doc_id", "k", "h", "n_chars", "near_class", F.substring(F.col("next_text"), F.lit(1), half).alias("tail"),
                           "next_prints"))
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), "tail")
     both = once(given.join(texts, ["k", "h"]), "edited", edited).drop("text", "tail")
@@ -99,4 +268,4 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       written(F.col("prints")).alias("fingerprint"),
                       written(F.col("edited_prints")).alias("edited_fingerprint"),
                       likeness(F.col("prints"), F.col("edited_prints")).alias("near_edited"),
-                      likeness(F.col("prints"), F.col("next_prints")).alias("near_next"))
+                      likeness(F.col("prints"), F.col("next_prints")).alias("near_next"), "near_class")

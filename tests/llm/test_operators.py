@@ -278,6 +278,98 @@ def test_fingerprints(docs, rows, empty):
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
 
 
+def chains_of(t):
+    """The signatures of a text as tuples of words; for none, its whole words."""
+    words = [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower()) if w]
+    stretches, out = [[]], set()
+    for w in words:
+        if w in spotsigs.ANCHORS:
+            stretches.append([])
+        else:
+            stretches[-1].append(w)
+    for i in range(1, len(stretches)):
+        chain = [w for s in stretches[i:i + spotsigs.REACH] for w in s][:spotsigs.CHAIN]
+        if chain:
+            out.add(tuple(chain))
+    return frozenset(out or ([tuple(words)] if [w for w in words if w not in spotsigs.ANCHORS] else []))
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def near_classes(rows, sets):
+    """Smallest id reachable over fingerprints of a likeness of 0.8 or more."""
+    group = list(range(len(rows)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                group[root(i)] = root(j)
+    return [min((rows[j][0] for j in range(len(rows)) if root(j) == root(i) and rows[j][0] is not None), default=None)
+            for i in range(len(rows))]
+
+
+@pytest.fixture(scope="module")
+def prose():
+    rnd = random.Random(3)
+    content = [a + b + c for a in "bdklmprst" for b in "aiou" for c in ("n", "rk", "st", "lé")]
+    sentence = lambda: " ".join(rnd.choice(["the", "a", "of"]) + " " + " ".join(rnd.choices(content, k=rnd.randint(1, 4)))
+                                for _ in range(rnd.randint(2, 5)))
+    footer = "The " + " ".join(content[:8]) + " of the " + " ".join(content[8:14])
+    base = [[sentence() for _ in range(rnd.choice((2, 5, 9, 16)))] for _ in range(25)]
+    out = []
+    for i in range(140):
+        parts = list(base[int(rnd.random() ** 3 * 25)])  # the first base has many variants
+        for _ in range(rnd.randint(0, 3)):
+            if rnd.random() < .5:
+                parts[rnd.randrange(len(parts))] = sentence()
+            else:
+                parts.insert(rnd.randrange(len(parts)), sentence())
+        out.append((1000 + i, ". ".join(parts) + (". " + footer if i % 2 else "")))
+    return out + [(7, None), (8, ""), (9, "the of"), (10, "word"), (11, "Word!"), (None, out[3][1]), (None, "alone of all"),
+                  (None, "alone of all"), out[5], (12, footer), (13, (out[0][1] + "\n") * 200)]
+
+
+def test_near_documents(spark, prose, empty):
+    schema = "doc_id long, text string, prints string, cls int, part int, near_class string"
+    df = spark.createDataFrame([(i, t, "p", 1, 2, "n") for i, t in prose], schema).repartition(4)
+    sets = [chains_of(t) for _, t in prose]
+    want = collections.Counter(zip([r[0] for r in prose], map(len, sets), near_classes(prose, sets)))
+    # ids of documents without words are their own class
+    want = collections.Counter((i, n, c if n else i) for i, n, c in want.elements())
+    assert max(collections.Counter(c for _, _, c in want.elements()).values()) > 10
+    cols = ("doc_id", "n_signatures", "near_class")
+    assert counted(spotsigs.near_documents(df), *cols) == want
+    # lists cut into salts, few counters: the same
+    assert counted(spotsigs.near_documents(df, spotsigs.Params(deal=2, bins=3)), *cols) == want
+    assert spotsigs.near_documents(empty).count() == 0
+    got = counted(spotsigs.fingerprint_edits(df), "doc_id", "near_class")
+    assert got == collections.Counter((i, c) for i, _, c in want.elements())
+
+
+def test_fingerprint_likeness(spark, prose):
+    rows = sorted({i: t for i, t in prose if i is not None}.items(), reverse=True)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in spotsigs.fingerprint_edits(df).collect()}
+    prints = {}
+    for at, (i, t) in enumerate(rows):
+        following, t = rows[(at + 1) % len(rows)][1] or "", t or ""
+        edited = t[:len(t) - len(t) // 2] + following[:len(t) // 2]
+        r = got[i]
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert r.near_edited == pytest.approx(jaccard(chains_of(t), chains_of(edited)))
+        assert r.near_next == pytest.approx(jaccard(chains_of(t), chains_of(following)))
+        for text, fingerprint in ((t, r.fingerprint), (edited, r.edited_fingerprint)):
+            assert len(fingerprint) == 8 * len(chains_of(text))
+            assert prints.setdefault(chains_of(text), fingerprint) == fingerprint
+    assert len(set(prints.values())) == len(prints)
+
+
 def test_sharding(spark, docs, rows, empty):
     got = sharding.shard_documents(docs, shards=7).collect()
     sizes = collections.Counter(r.shard for r in got)
