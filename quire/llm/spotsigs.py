@@ -122,8 +122,8 @@ def _frequencies(classes: DataFrame, p: Params) -> Column:
 
 def _postings(classes: DataFrame, p: Params) -> DataFrame:
     """``part, sig, home, cls, n, pos``: the prefix of every class, in the
-    partition of its length and as a visitor in the next, if that can hold
-    sets like it."""
+    partition of its length and, if that can hold sets like it, as a visitor in
+    the next. There it is the shorter set, for which a shorter prefix does."""
     often = _frequencies(classes, p)
     ranked = F.array_sort(F.transform("prints", lambda s: F.struct(
         F.element_at(often, F.pmod(s, F.lit(p.bins)) + 1).alias("often"), s.alias("sig"))))
@@ -133,21 +133,23 @@ def _postings(classes: DataFrame, p: Params) -> DataFrame:
     df = once(df.select("cls", "n", F.slice("ranked", F.lit(1), F.col("n") - least + 1).alias("ranked")),
               "part", F.size(F.filter(edges, lambda e: e <= F.col("n"))))
     visits = F.col("n").cast("long") * p.den >= F.element_at(edges, F.col("part") + 1) * F.lit(p.num)
+    df = df.select("cls", "n", "part", visits.alias("visits"), F.posexplode("ranked").alias("pos", "x"))
+    # all from here on, against a set at least as long
+    enough = (F.col("n") - F.col("pos")).cast("long") * (p.num + p.den) >= F.col("n").cast("long") * (2 * p.num)
     home = F.struct(F.col("part"), F.lit(True).alias("home"))
     away = F.struct((F.col("part") + 1).alias("part"), F.lit(False).alias("home"))
-    df = df.select("cls", "n", F.when(visits, F.array(home, away)).otherwise(F.array(home)).alias("at"),
-                   F.posexplode("ranked").alias("pos", "x"))
+    df = df.withColumn("at", F.when(F.col("visits") & enough, F.array(home, away)).otherwise(F.array(home)))
     return df.select(F.explode("at").alias("at"), "cls", "n", "pos", F.col("x.sig").alias("sig")) \
              .select("at.part", "sig", "at.home", "cls", "n", "pos")
 
 
-def _fits(n1: Column, i1: Column, n2: Column, i2: Column, p: Params) -> Column:
-    """Whether sets of these lengths with one signature at these positions in
-    common may be alike: their lengths allow it, and so does what follows."""
+def _fits(n1: Column, left1: Column, n2: Column, left2: Column, p: Params) -> Column:
+    """Whether sets of these lengths may be alike if a signature is the first
+    they share, with so many left from it on: lengths and rests allow it. Like
+    sets pass in the list of their first, so that no pair is lost."""
     a, b = n1.cast("long"), n2.cast("long")
-    rest = F.least(n1 - i1, n2 - i2).cast("long") + F.least(i1, i2)  # before: at most the shorter part
     return ((F.least(a, b) * p.den >= F.greatest(a, b) * p.num)
-            & (rest * (p.num + p.den) >= (a + b) * p.num))
+            & (F.least(left1, left2).cast("long") * (p.num + p.den) >= (a + b) * p.num))
 
 
 def _alike(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
@@ -164,22 +166,25 @@ def _across(posts: DataFrame, comps: DataFrame, p: Params) -> DataFrame:
     key = ["part", "sig"]
     comp = F.coalesce("component", "cls")
     rows = (posts.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
-                 .select(*key, "home", "cls", "n", "pos", comp.alias("comp")))
-    groups = rows.groupBy(*key, "comp").agg(F.min("n").alias("n1"), F.max("n").alias("n2"))
+                 .select(*key, "home", "cls", "n", (F.col("n") - F.col("pos")).alias("left"), comp.alias("comp")))
+    groups = rows.groupBy(*key, "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("left").alias("left"),
+                                            F.max("home").alias("home"))
     lists = groups.groupBy(*key).agg(F.count(F.lit(1)).alias("m")).where("m > 1") \
                   .withColumn("salts", F.ceil(F.col("m") / p.deal).cast("int"))
     groups = groups.join(lists, key)
-    left = groups.select(*key, F.col("comp").alias("c1"), F.col("n1").alias("a1"), F.col("n2").alias("a2"),
-                         F.pmod(F.xxhash64("comp"), F.col("salts")).cast("int").alias("salt"))
-    right = groups.select(*key, F.col("comp").alias("c2"), F.col("n1").alias("b1"), F.col("n2").alias("b2"),
-                          F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    met = left.join(right, [*key, "salt"]).where(
-        (F.col("c1") < F.col("c2")) & (F.col("a2").cast("long") * p.den >= F.col("b1").cast("long") * p.num)
-        & (F.col("b2").cast("long") * p.den >= F.col("a1").cast("long") * p.num)).select(*key, "c1", "c2")
-    side = lambda x: rows.select(*key, F.col("comp").alias(f"c{x}"), F.col("cls").alias(f"cls{x}"),
-                                 F.col("home").alias(f"h{x}"), F.col("n").alias(f"m{x}"), F.col("pos").alias(f"i{x}"))
-    return (met.join(side(1), [*key, "c1"]).join(side(2), [*key, "c2"])
-               .where((F.col("h1") | F.col("h2")) & _fits(F.col("m1"), F.col("i1"), F.col("m2"), F.col("i2"), p))
+    part = lambda x, salt: groups.select(*key, *[F.col(c).alias(f"{c}{x}") for c in ("comp", "lo", "hi", "left", "home")],
+                                         salt.alias("salt"))
+    one = part(1, F.pmod(F.xxhash64("comp"), F.col("salts")).cast("int"))
+    two = part(2, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    # the bounds of the members, as far as the group tells
+    near = ((F.col("hi1").cast("long") * p.den >= F.col("lo2").cast("long") * p.num)
+            & (F.col("hi2").cast("long") * p.den >= F.col("lo1").cast("long") * p.num)
+            & (F.least("left1", "left2").cast("long") * (p.num + p.den) >= (F.col("lo1") + F.col("lo2")).cast("long") * p.num))
+    met = (one.join(two, [*key, "salt"]).where((F.col("comp1") < F.col("comp2")) & (F.col("home1") | F.col("home2")) & near)
+              .select(*key, "comp1", "comp2"))
+    side = lambda x: rows.select(*key, *[F.col(c).alias(f"{c}{x}") for c in ("comp", "cls", "home", "n", "left")])
+    return (met.join(side(1), [*key, "comp1"]).join(side(2), [*key, "comp2"])
+               .where((F.col("home1") | F.col("home2")) & _fits(F.col("n1"), F.col("left1"), F.col("n2"), F.col("left2"), p))
                .select(F.least("cls1", "cls2").alias("u"), F.greatest("cls1", "cls2").alias("v")))
 
 
@@ -191,11 +196,11 @@ def _near_classes(prints: DataFrame, p: Params) -> DataFrame:
                                  .withColumn("cls", F.monotonically_increasing_id()), "spot-classes")
     posts = scratch.land(_postings(classes, p), "spot-postings")
     first = F.min(F.when(F.col("home"), F.struct(F.col("cls").alias("u"), F.col("n").alias("nu"),
-                                                 F.col("pos").alias("iu"))))
+                                                 (F.col("n") - F.col("pos")).alias("left_u"))))
     lists = (posts.groupBy("part", "sig").agg(F.count(F.lit(1)).alias("m"), first.alias("x"))
                   .where("m > 1 and x is not null").select("part", "sig", "x.*"))
     stars = (posts.join(lists, ["part", "sig"])
-                  .where((F.col("cls") != F.col("u")) & _fits(F.col("n"), F.col("pos"), F.col("nu"), F.col("iu"), p))
+                  .where((F.col("cls") != F.col("u")) & _fits(F.col("n"), F.col("n") - F.col("pos"), F.col("nu"), F.col("left_u"), p))
                   .select(F.least("cls", "u").alias("u"), F.greatest("cls", "u").alias("v")))
     links = scratch.land(_alike(stars, classes, p), "spot-links")
     comps = connected_components(links, scratch)
