@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,19 @@ class Scratch:
         self.held = []
 
 
+@contextmanager
+def freed_shuffles(spark):
+    """Within this block a query's shuffle files go when it is done, not when the
+    driver next collects garbage. For steps whose results are landed."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def sieve(hashes: DataFrame, bits: int) -> bytes:
     """A bit set of ``2 ** bits`` bits (15 or more) with the first ``bits`` bits of each
     long of a one-column table; its size depends on ``bits`` alone."""

@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import Scratch, connected_components, land, number_rows, once
+from quire.llm.common import Scratch, connected_components, freed_shuffles, land, number_rows, once
 from quire.llm.licenses import WORD_BREAK
 
 # Common words of English, German, French and Spanish.
@@ -228,7 +228,8 @@ def near_documents(docs: DataFrame, params: Params = Params(), id_col: str = "do
     reachable over like fingerprints (its own id if it has no words; null if
     none of the component has an id)."""
     prints = with_fingerprint(_sources(docs, id_col, text_col), "text", "prints").select("doc_id", "prints")
-    near = _near_classes(prints, params)
+    with freed_shuffles(docs.sparkSession):
+        near = _near_classes(prints, params)
     return (prints.select("doc_id", F.size("prints").alias("n_signatures"), *_set_key())
                   .join(near.withColumn("known", F.lit(True)), ["s1", "s2"], "left")
                   .select("doc_id", "n_signatures",
@@ -245,25 +246,26 @@ def fingerprint_edits(docs: DataFrame, params: Params = Params(), id_col: str =
     src = _sources(docs, id_col, text_col)
     key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k"), F.xxhash64("doc_id", "text").alias("h")]
     scratch = Scratch()
-    prints = scratch.land(with_fingerprint(src.select("*", *key), "text", "prints")
-                          .select("doc_id", "k", "h", F.length("text").cast("long").alias("n_chars"), "prints"), "spot-prints")
-    near = _near_classes(prints, params)
-    named = scratch.land(prints.select("doc_id", "k", "h", "n_chars", *_set_key())
-                         .join(near.withColumn("known", F.lit(True)), ["s1", "s2"], "left")
-                         .select("doc_id", "k", "h", "n_chars", F.when(F.col("known"), F.col("near_class"))
-                                 .otherwise(F.col("doc_id")).alias("near_class")), "spot-named")
-    order = [F.col("doc_id").desc_nulls_last(), F.col("h")]
-    rows = land(number_rows(named, order), "spot-rows")
-    scratch.clear()
+    with freed_shuffles(docs.sparkSession):
+        prints = scratch.land(with_fingerprint(src.select("*", *key), "text", "prints")
+                              .select("doc_id", "k", "h", F.length("text").cast("long").alias("n_chars"), "prints"),
+                              "spot-prints")
+        near = _near_classes(prints, params)
+        named = scratch.land(prints.select("doc_id", "k", "h", "n_chars", *_set_key())
+                             .join(near.withColumn("known", F.lit(True)), ["s1", "s2"], "left")
+                             .select("doc_id", "k", "h", "n_chars", F.when(F.col("known"), F.col("near_class"))
+                                     .otherwise(F.col("doc_id")).alias("near_class")), "spot-named")
+        order = [F.col("doc_id").desc_nulls_last(), F.col("h")]
+        rows = land(number_rows(named, order), "spot-rows")
+        scratch.clear()
     n = rows.count()
     ahead = rows.select(F.pmod(F.col("row_no") - 1, F.lit(max(n, 1))).alias("row_no"),
                         F.col("k").alias("nk"), F.col("h").alias("nh"))
     pairs = rows.join(ahead, "row_no").select("row_no", "doc_id", "k", "h", "n_chars", "near_class", "nk", "nh")
 
-    # one row an id and text; both joins read the same exchange of it. The
-    # fingerprints are taken again behind it: they are a third of the text's size
-    texts = with_fingerprint(src.select(*key, "text").groupBy("k", "h").agg(F.first("text").alias("text")),
-                             "text", "prints")
+    # one row an id and text; both joins read the same exchange of it
+    texts = (with_fingerprint(src.select(*key, "text"), "text", "prints")
+                .groupBy("k", "h").agg(F.first("text").alias("text"), F.first("prints").alias("prints")))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     after = texts.select(F.col("k").alias("nk"), F.col("h").alias("nh"), F.col("text").alias("next_text"),
                          F.col("prints").alias("next_prints"))
