@@ -161,6 +161,13 @@ def _alike(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
                  .where(both * (p.num + p.den) >= (F.size("a") + F.size("b")) * p.num).select("u", "v"))
 
 
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs ``u, v`` whose classes lie in different components."""
+    of = lambda x: comps.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    return (pairs.join(of("u"), "u", "left").join(of("v"), "v", "left")
+                 .where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v"))
+
+
 def _across(posts: DataFrame, comps: DataFrame, p: Params) -> DataFrame:
     """Candidate pairs of classes in one list but in different components."""
     key = ["part", "sig"]
@@ -202,12 +209,15 @@ def _near_classes(prints: DataFrame, p: Params) -> DataFrame:
     stars = (posts.join(lists, ["part", "sig"])
                   .where((F.col("cls") != F.col("u")) & _fits(F.col("n"), F.col("n") - F.col("pos"), F.col("nu"), F.col("left_u"), p))
                   .select(F.least("cls", "u").alias("u"), F.greatest("cls", "u").alias("v")))
-    links = scratch.land(_alike(stars, classes, p), "spot-links")
-    comps = connected_components(links, scratch)
-    more = scratch.land(_alike(_across(posts, comps, p), classes, p), "spot-links")
-    if not more.isEmpty():
-        comps = connected_components(more.union(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))),
-                                     scratch)
+    # one leader a class first; its other ones only where that left them apart
+    stars = scratch.land(stars.distinct(), "spot-stars")
+    once_each = stars.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
+    comps = connected_components(scratch.land(_alike(once_each, classes, p), "spot-links"), scratch)
+    for apart in (lambda: _apart(stars, comps), lambda: _across(posts, comps, p)):
+        more = scratch.land(_alike(apart(), classes, p), "spot-links")
+        if not more.isEmpty():
+            comps = connected_components(
+                more.union(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))), scratch)
     named = (classes.select("cls", "least", *_set_key())
                     .join(comps.withColumnRenamed("node", "cls"), "cls", "left")
                     .withColumn("component", F.coalesce("component", "cls")))
