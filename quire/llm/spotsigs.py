@@ -18,9 +18,11 @@ ones).
    a visitor in the next.
 3. In each list every member is compared with one of them; candidates must
    pass the bounds on set lengths and on positions, then the exact Jaccard.
-4. Lists whose members now lie in several components are compared again, but
-   only members of different components, dealt over salts. So no link between
-   components is lost, and no group's pairs are all formed.
+4. In lists whose members now lie in several components, each member meets the
+   next few of an order drawn by hash, twice, which joins most of what is alike.
+5. Lists still in several components are compared again, all members of
+   different components, dealt over salts. So no link between components is
+   lost, and a large group's pairs are not all formed.
 
 Built-in functions only. Null texts are empty. Equal texts have equal
 fingerprints. Rows are identified by id and text, so null ids work, and rows
@@ -32,7 +34,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import Scratch, connected_components, freed_shuffles, land, number_rows, once
@@ -53,7 +55,8 @@ class Params:
     num: int = 80                 # like: num / den of the joint signatures
     den: int = 100
     bins: int = 1 << 16           # counters of signatures' frequencies (by hash)
-    deal: int = 256               # components of a list that one salt compares
+    deal: int = 256               # components (members in a first look) of a list that one salt compares
+    tries: int = 8                # next members of a list that one meets in a first look
 
 
 CHAIN = 3     # content words of a signature
@@ -161,11 +164,24 @@ def _alike(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
                  .where(both * (p.num + p.den) >= (F.size("a") + F.size("b")) * p.num).select("u", "v"))
 
 
-def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` whose classes lie in different components."""
-    of = lambda x: comps.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
-    return (pairs.join(of("u"), "u", "left").join(of("v"), "v", "left")
-                 .where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v"))
+def _neighbours(posts: DataFrame, comps: DataFrame, p: Params, turn: int) -> DataFrame:
+    """Candidate pairs for a first look across components: each member of a list
+    with the next few of an order drawn by hash (another at each turn), where
+    those lie in other components. Their number grows with the members."""
+    key = ["part", "sig"]
+    rows = (posts.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
+                 .select(*key, "home", "cls", "n", (F.col("n") - F.col("pos")).alias("left"),
+                         F.coalesce("component", "cls").alias("comp")))
+    lists = (rows.groupBy(*key).agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                 .where("lo < hi").select(*key, F.ceil(F.col("m") / p.deal).cast("int").alias("salts")))
+    drawn = F.xxhash64(F.lit(turn), "sig", "cls")
+    dealt = rows.join(lists, key).select("*", drawn.alias("draw"), F.pmod(F.xxhash64("cls", F.lit(turn)), "salts").alias("salt"))
+    order = Window.partitionBy(*key, "salt").orderBy("draw").rowsBetween(1, p.tries)
+    met = dealt.withColumn("next", F.collect_list(F.struct("comp", "cls", "n", "left", "home")).over(order))
+    return (met.select("comp", "cls", "n", "left", "home", F.explode("next").alias("y"))
+               .where((F.col("comp") != F.col("y.comp")) & (F.col("home") | F.col("y.home"))
+                      & _fits(F.col("n"), F.col("left"), F.col("y.n"), F.col("y.left"), p))
+               .select(F.least("cls", "y.cls").alias("u"), F.greatest("cls", "y.cls").alias("v")))
 
 
 def _across(posts: DataFrame, comps: DataFrame, p: Params) -> DataFrame:
@@ -206,15 +222,15 @@ def _near_classes(prints: DataFrame, p: Params) -> DataFrame:
                                                  (F.col("n") - F.col("pos")).alias("left_u"))))
     lists = (posts.groupBy("part", "sig").agg(F.count(F.lit(1)).alias("m"), first.alias("x"))
                   .where("m > 1 and x is not null").select("part", "sig", "x.*"))
+    # one leader a class
     stars = (posts.join(lists, ["part", "sig"])
                   .where((F.col("cls") != F.col("u")) & _fits(F.col("n"), F.col("n") - F.col("pos"), F.col("nu"), F.col("left_u"), p))
-                  .select(F.least("cls", "u").alias("u"), F.greatest("cls", "u").alias("v")))
-    # one leader a class first; its other ones only where that left them apart
-    stars = scratch.land(stars.distinct(), "spot-stars")
-    once_each = stars.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
-    comps = connected_components(scratch.land(_alike(once_each, classes, p), "spot-links"), scratch)
-    for apart in (lambda: _apart(stars, comps), lambda: _across(posts, comps, p)):
-        more = scratch.land(_alike(apart(), classes, p), "spot-links")
+                  .select(F.least("cls", "u").alias("u"), F.greatest("cls", "u").alias("v"))
+                  .groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
+    comps = connected_components(scratch.land(_alike(stars, classes, p), "spot-links"), scratch)
+    for pairs in (lambda: _neighbours(posts, comps, p, 1), lambda: _neighbours(posts, comps, p, 2),
+                  lambda: _across(posts, comps, p)):
+        more = scratch.land(_alike(pairs(), classes, p), "spot-links")
         if not more.isEmpty():
             comps = connected_components(
                 more.union(comps.select(F.col("node").alias("u"), F.col("component").alias("v"))), scratch)
