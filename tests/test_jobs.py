@@ -140,6 +140,66 @@ def test_change_sets_read_touched_buckets_only(spark, workdir):
     assert f"(b#" in plan and f"= {bucket})" in plan.split("PartitionFilters", 1)[1]
 
 
+def test_changes_of_a_feed_are_exchanged_once(spark, workdir, monkeypatch):
+    """A first feed's reviews are grouped, counted and stored in order behind one
+    exchange, whose tasks get rows, not bytes; nothing is sorted or hashed before it."""
+    monkeypatch.setattr("quire.session.TASK_ROWS", 1000)
+    root = f"{workdir}/keyed"
+    keyed_tables_job(spark, _csv(spark, workdir), root)
+    srv = ReviewServing(spark, root)
+    changes = board_changes(srv.by_product, srv.by_customer, 0)
+    for name, (_, schema) in BOARDS.items():
+        plan = changes[name]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange rangepartitioning(") == 1 and "hashpartitioning(" not in plan, plan
+        assert "SortAggregate" not in plan.split("Exchange rangepartitioning(")[1] and plan.count("Sort [") <= 2, plan
+        # one row a key, in files of disjoint key ranges, sorted
+        key = [c for c in schema.fieldNames() if c != "review_count"]
+        stored = spark.read.parquet(f"{root}/{name}/batch_id=0/attempt=0").withColumn("f", F.input_file_name())
+        files = {}
+        for row in stored.withColumn("at", F.monotonically_increasing_id()).orderBy("f", "at").collect():
+            files.setdefault(row.f, []).append(tuple(row[c] for c in key))
+        spans = sorted((rows[0], rows[-1]) for rows in files.values())
+        assert all(rows == sorted(set(rows)) for rows in files.values())
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_boards_count_a_repeated_key_once(spark, workdir):
+    """Rows of one key within a feed count once, as the greatest has it; a later
+    feed takes them all back."""
+    cols = ", ".join(f"{c} string" for c in REVIEW_COLUMNS)
+
+    def feed(name, *rows):
+        df = spark.createDataFrame([{c: "1" for c in REVIEW_COLUMNS} | {"review_date": "2015-08-31"} | r
+                                    for r in rows], cols)
+        return land_csv(df, f"{workdir}/{name}", compression="lz4")
+
+    r = {"review_id": "r", "product_id": "p", "customer_id": "c", "star_rating": "5"}
+    root = f"{workdir}/keyed"
+    keyed_tables_job(spark, feed("f0", r | {"product_title": "a"}, r | {"product_title": "b", "star_rating": "1"},
+                                 r | {"product_title": "b"}, r | {"review_date": "2015-09-01", "product_title": "b"}), root)
+    srv = ReviewServing(spark, root)
+    rows = lambda name: sorted(map(tuple, srv.board(name).collect()))
+    # the product side tells rows by their rating also: two keys in August, one in September
+    assert rows("top_reviewed_items_by_period") == [
+        ("2015-08", "p", "b", 2), ("2015-09", "p", "b", 1)]
+    assert rows("top_customers_by_period") == [("2015-08", "c", 1), ("2015-09", "c", 1)]
+    assert rows("top_sentiment_by_period") == [("2015-08", "c", 1, "backer"), ("2015-09", "c", 1, "backer")]
+    keyed_tables_job(spark, feed("f1", r | {"star_rating": "1", "review_date": "2015-08-02"}), root)
+    assert rows("top_reviewed_items_by_period") == [("2015-08", "p", "1", 1)]
+    assert rows("top_customers_by_period") == [("2015-08", "c", 1)]
+    assert rows("top_sentiment_by_period") == [("2015-08", "c", 1, "hater")]
+
+
+def test_tasks_follow_rows(spark):
+    from quire.session import tasks_for
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "10")
+    try:
+        assert [tasks_for(spark, n) for n in (0, 1, 250_001, 2_500_000, 9_000_000, 40_000_001)] == [1, 1, 2, 10, 10, 41]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_boards_in_an_external_store_can_fall(spark, workdir):
     """A store that upserts by key, here the Parquet source of one folder per table."""
     cols = ", ".join(f"{c} string" for c in REVIEW_COLUMNS)
