@@ -235,3 +235,19 @@ def test_counts_sum_fall_and_vanish(spark, workdir):
     t.write_batch(rows(("2015-08", "b", 4)))
     t.write_batch(rows(("2015-08", "b", 1)), 2, replay=True)
     assert sorted(map(tuple, t.read(period="2015-08").collect())) == [("2015-08", "a", 2), ("2015-08", "b", 2)]
+
+
+def test_a_whole_count_table_is_summed_behind_its_exchange(spark, workdir, monkeypatch):
+    """Nothing is hashed in scan splits, whose rows are far more than their bytes tell;
+    the tasks of the exchange follow the rows."""
+    monkeypatch.setattr("quire.session.TASK_ROWS", 100)
+    t = CountTable(spark, f"{workdir}/n", TOP_CUSTOMERS_SCHEMA, "period")
+    rows = spark.range(300).select(F.lit("2015-08").alias("period"), F.col("id").cast("string").alias("customer_id"),
+                                   F.lit(2).cast("long").alias("review_count"))
+    t.write_batch(rows)
+    t.write_batch(rows.where("customer_id < 100").withColumn("review_count", F.lit(-2).cast("long")))
+    df = t.read()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "HashAggregate" not in plan.split("Exchange ")[1]
+    assert df.rdd.getNumPartitions() == 4
+    assert sorted(int(r.customer_id) for r in df.collect()) == list(range(100, 300))
