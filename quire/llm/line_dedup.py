@@ -7,15 +7,16 @@ characters have no near lines; exact repeats of them are dropped from
 ``exact_chars`` characters on (``None``: as ``min_chars``). Shorter and blank
 lines always stay.
 
-Near lines: each distinct line is cut into ``edits + 1`` even segments; two
-lines within ``edits`` edits share one of the shorter one's segments exactly,
-at a place that the lengths and the segment's number leave few choices for.
-Segments are indexed by (length, number, text) and the longer line probes the
-lengths it may match at those places only; what meets and agrees in a small
-character signature is checked with a banded edit distance (the built-in one,
-which is not bit-parallel). Whether a line has an earlier near line is found
-without pairing up whole groups, see :func:`later_lines`. Lines are told apart
-by 96 bits of hashes where their texts do not travel.
+Near lines: each distinct line is cut into ``edits + 1`` segments; two lines
+within ``edits`` edits share one of the shorter one's segments exactly, at a
+place that the lengths and the segment's number leave few choices for. Segments
+are indexed by (class of lengths, number, text) and the longer line probes the
+classes it may match at those places only, see :func:`segment_rows`; what meets
+and agrees in length and in a character signature is checked with a banded edit
+distance (the built-in one, which is not bit-parallel). Whether a line has an
+earlier near line is found without pairing up whole groups, see
+:func:`later_lines`. Lines are told apart by 96 bits of hashes where their texts
+do not travel.
 
 Built-in functions only. Null texts have no lines; rows without an id come
 last in the order; rows that repeat id and text are one document (their lines
@@ -42,100 +43,105 @@ class Params:
     exact_chars: int | None = None
 
 
-def _segment(n: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment ``i`` (from 0) of a text of ``n``
-    characters in ``parts`` even parts, the longer ones last."""
-    base, extra = F.floor(n / parts).cast("int"), F.pmod(n, F.lit(parts))
-    short = parts - extra
-    start = base * i + F.greatest(F.lit(i) - short, F.lit(0)) + 1
-    return start.cast("int"), (base + F.when(F.lit(i) >= short, 1).otherwise(0)).cast("int")
-
-
-def _key(length: Column, i: int, piece: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), piece)
-
-
-def segment_keys(p: Params) -> Column:
-    """Index keys of ``line`` (``len`` characters)."""
-    out = []
-    for i in range(p.edits + 1):
-        start, size = _segment(F.col("len"), i, p.edits + 1)
-        out.append(_key(F.col("len"), i, F.substring(F.col("line"), start, size)))
-    return F.array(*out)
-
-
-def probe_keys(p: Params) -> Column:
-    """Keys under which a partner of the same or a smaller length may be indexed."""
-    out = []
-    for less in range(p.edits + 1):
-        other = F.col("len") - less
-        for i in range(p.edits + 1):
-            start, size = _segment(other, i, p.edits + 1)
-            low = max(-i, less - (p.edits - i))
-            high = min(i, less + (p.edits - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                fits = (at >= 1) & (at + size - 1 <= F.col("len"))
-                # the line's own index keys are told apart, as shift none of its own length
-                kind = less if less or shift else -1
-                out.append(F.when(fits, F.struct(
-                    _key(other, i, F.substring(F.col("line"), at, size)).alias("key"), F.lit(kind).alias("less"))))
-    return F.array(*out)
+def _class(n: Column) -> Column:
+    """The least length of the class of lengths that ``n`` characters are in."""
+    return F.when(n < 16, n).when(n < 64, n - n % 4).when(n < 256, n - n % 8).otherwise(n - n % 16)
+
+
+def segment_rows(lines: DataFrame, p: Params) -> DataFrame:
+    """``key, no, len, own``: the segment keys of each line (``no, line, len``) in
+    its own class of lengths and in those of lines up to ``edits`` shorter.
+    ``own`` marks the keys a line is indexed under, all are probed.
+
+    The segments' size follows from the class. All but the last begin at a
+    multiple of it, the last is the end of the line. Of two lines within ``edits``
+    edits the shorter one has a segment ``i`` that no edit touches, with ``i`` edits
+    before it and ``edits - i`` at most behind it, which bounds its places in the
+    longer one."""
+    e = p.edits
+    cls, size = F.col("cls"), F.col("size")
+    classes = F.array_distinct(F.array(*[_class(F.col("len") - less) for less in range(e + 1)]))
+    rows = (lines.select("no", "line", "len", F.explode(classes).alias("cls")).where(cls >= _class(F.lit(p.min_chars)))
+                 .withColumn("size", F.floor(cls / (e + 1)).cast("int")))
+    # texts are cut once a segment, then the few places of one in that piece
+    places = [(-min(i, e - i), i) for i in range(e)]
+    pieces = [F.substring("line", size * i + (1 + low), size + (high - low)).alias(f"p{i}")
+              for i, (low, high) in enumerate(places)]
+    end = F.substring(F.col("line"), F.col("len") - size + 1, size).alias("end")
+    rows = once(rows, "x", F.struct(*pieces, end))
+    key = lambda i, piece: F.xxhash64(cls, F.lit(i), piece).alias("key")
+    keys = [F.struct(key(e, F.col("x.end")), F.lit(True).alias("even"))]
+    for i, (low, high) in enumerate(places):
+        keys += [F.struct(key(i, F.substring(F.col(f"x.p{i}"), F.lit(shift - low + 1), size)), F.lit(shift == 0).alias("even"))
+                 for shift in range(low, high + 1)]
+    return (rows.select("no", "len", (cls == _class(F.col("len"))).alias("own"), F.explode(F.array(*keys)).alias("k"))
+                .select("k.key", "no", "len", (F.col("own") & F.col("k.even")).alias("own")))
+
+
+# each a bit of a line's signature
+COUNTED = "abcdefghijklmnopqrstuvwxyz0123456789 .,-ETASéèêàâäöüßñóíáçú"
 
 
 def parities(line: Column) -> Column:
-    """The parity of how often each letter a-z and digit stands in a line, two of
-    these 36 to a bit. An edit changes the counts of two characters at most, so
-    lines within ``e`` edits differ in at most ``2 * e`` bits; other lines mostly
-    in more."""
-    def bits(chars: str, at: int) -> Column:
-        size, out = F.octet_length(line), F.lit(0)
-        for i, c in enumerate(chars):
-            n = size - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
-            out = out.bitwiseXOR(F.shiftleft(n.bitwiseAND(F.lit(1)), (at + i) % 18))
-        return out
-
-    digits = F.when(line.rlike("[0-9]"), bits("0123456789", 26)).otherwise(F.lit(0))
-    return bits("abcdefghijklmnopqrstuvwxyz", 0).bitwiseXOR(digits)
-
-
-CELLS = 1 << 17
-
-
-def _near(pairs: DataFrame, lines: DataFrame, p: Params, land) -> DataFrame:
-    """The pairs ``later, earlier`` within ``p.edits`` edits."""
-    pairs = land(pairs.distinct(), "line-pairs")
-    need = pairs.select(F.explode(F.array("later", "earlier")).alias("no")).distinct()
-    # most texts stay where they are: a filter of at most CELLS rows goes to them
-    cell = F.pmod(F.xxhash64("no"), F.lit(CELLS))
-    some = F.broadcast(need.select(cell.alias("cell")).distinct())
-    text = land(lines.select("no", "line", cell.alias("cell")).join(some, "cell", "left_semi")
-                     .join(need, "no", "left_semi").select("no", "line"), "line-texts")
-    return (pairs.join(text.select(F.col("no").alias("later"), F.col("line").alias("x")), "later")
-                 .join(text.select(F.col("no").alias("earlier"), F.col("line").alias("y")), "earlier")
-                 .where(F.levenshtein("x", "y", p.edits) >= 0).select("later", "earlier"))
-
-
-def _firsts(need: DataFrame, lines: DataFrame) -> DataFrame:
-    """``no, first`` of some lines."""
-    cell = F.pmod(F.xxhash64("no"), F.lit(CELLS))
-    some = F.broadcast(need.select(cell.alias("cell")).distinct())
-    return lines.select("no", "first", cell.alias("cell")).join(some, "cell", "left_semi").select("no", "first")
+    """The parity of how often each of the counted characters stands in a line. An
+    edit changes the counts of two characters at most, so lines within ``e`` edits
+    differ in at most ``2 * e`` bits; other lines mostly in more."""
+    size, out = F.octet_length(line), F.lit(0).cast("long")
+    for i, c in enumerate(COUNTED):
+        n = size - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+        odd = F.floor(n / len(c.encode())).cast("long").bitwiseAND(F.lit(1))
+        out = out.bitwiseXOR(F.shiftleft(odd, i))
+    return out
+
+
+LEAST_BITS, MOST_BITS = 16, 26
+
+
+def _texts(need: DataFrame, lines: DataFrame) -> DataFrame:
+    """``no, line, first`` of the lines whose ``no`` is in ``need`` (distinct). Most
+    texts stay where they are: a bit set of ``2 ** MOST_BITS`` bits (8 MB) at most,
+    16 bits a needed line below that, goes to them as a filter."""
+    bits = min(max((16 * need.count()).bit_length(), LEAST_BITS), MOST_BITS)
+    at = (F.shiftrightunsigned(F.xxhash64("no"), 64 - bits) + 1).alias("at")  # buckets of 32768 bits begin at 1
+    bucket, place = F.bitmap_bucket_number("at").alias("bucket"), F.bitmap_bit_position("at")
+    held = (need.select(at).select(bucket, place.alias("place")).groupBy("bucket")
+                .agg(F.bitmap_construct_agg("place").alias("bits")))
+    byte = F.substring(F.col("bits"), F.floor(F.col("place") / 8).cast("int") + 1, F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(F.col("place"), F.lit(8)).cast("int")) == 1
+    some = (lines.select("no", "line", "first", at).select("no", "line", "first", bucket, place.alias("place"))
+                 .join(F.broadcast(held), "bucket").where(is_set))
+    # no semi join: that would be pushed below the filter
+    return some.select("no", "line", "first").join(need, "no")
+
+
+def _near(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+    """``later`` of the pairs ``later, earlier`` within ``p.edits`` edits."""
+    return (pairs.distinct().join(texts.select(F.col("no").alias("later"), F.col("line").alias("x")), "later")
+                 .join(texts.select(F.col("no").alias("earlier"), F.col("line").alias("y")), "earlier")
+                 .where(F.levenshtein("x", "y", p.edits) >= 0).select("later").distinct())
 
 
 def later_lines(lines: DataFrame, p: Params, land) -> DataFrame:
-    """``no`` of the lines (``no, line, len, w, first``, distinct) that have a near
+    """``no`` of the lines (``no, line, len, first``, distinct) that have a near
     line of an earlier first place.
 
-    Under a key of few indexed lines every probe meets all of them. Under the
-    others lines first meet the earliest one on either side, which settles
-    groups of near copies in one check a line; only lines that are then still
-    open meet all the rest."""
-    index = lines.select(F.explode(segment_keys(p)).alias("key"), F.col("no").alias("a"), F.col("w").alias("wa"))
-    probe = (lines.select(F.explode(probe_keys(p)).alias("k"), F.col("no").alias("b"), F.col("w").alias("wb"))
-                  .where("k is not null").select("k.key", "k.less", "b", "wb"))
-    heavy = land(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > p.few).select("key"),
-                 "line-heavy")
+    Only lines that share a key with another go on, with their texts. Under a
+    key of few indexed lines every probe meets all of them. Under the others
+    lines first meet the earliest one on either side, which settles groups of
+    near copies in one check a line; only lines that are then still open meet
+    all the rest."""
+    # one exchange of the keys, read for the counts and for what shares one
+    rows = segment_rows(lines, p).repartition("key")
+    shared = (rows.groupBy("key").agg(F.count_if("own").alias("n"), F.min("no").alias("lo"), F.max("no").alias("hi"),
+                                      F.min(F.when(F.col("own"), F.col("len"))).alias("least"), F.max("len").alias("most"))
+                  .where("lo < hi and least <= most").select("key", (F.col("n") > p.few).alias("heavy")))
+    met = land(rows.join(shared.hint("shuffle_hash"), "key").distinct(), "line-met")
+    need = met.select("no").distinct()
+    texts = land(_texts(need, lines).withColumn("w", parities(F.col("line"))), "line-texts")
+    met = land(met.join(texts.select("no", "w", "first"), "no"), "line-probing")
+
+    def side(rows: DataFrame, x: str) -> DataFrame:
+        return rows.select("key", F.col("no").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("len", "own", "w", "first")])
 
     def alike(x, y):
         return F.bit_count(F.col(x).bitwiseXOR(F.col(y))) <= 2 * p.edits
@@ -143,38 +149,28 @@ def later_lines(lines: DataFrame, p: Params, land) -> DataFrame:
     def pair(later, earlier):
         return [F.col(later).alias("later"), F.col(earlier).alias("earlier")]
 
-    # one pass of the probes: all pairs under light keys, and under heavy ones the probes alone
-    none = F.lit(None).cast("long")
-    held = (index.join(heavy, "key", "left_anti").withColumn("heavy", F.lit(False))
-                 .union(heavy.select("key", none, none, F.lit(True))))
-    ordered = (F.col("less") > 0) | (F.col("a") < F.col("b"))
-    met = land(held.join(probe, "key").where(F.col("heavy") | (ordered & alike("wa", "wb")))
-                   .select(F.when(F.col("heavy"), F.col("key")).alias("key"), "heavy", "a", "b", "less", "wb"), "line-met")
-    few = met.where("not heavy").select("a", "b").distinct()
-    first = land(_firsts(few.select(F.explode(F.array("a", "b")).alias("no")).union(met.where("heavy").select("b")), lines),
-                 "line-firsts")
-    fa, fb = (first.select(F.col("no").alias(c), F.col("first").alias(f"f{c}")) for c in "ab")
-    few = (few.join(fa, "a").join(fb, "b").where(F.col("fa") != F.col("fb"))
-              .select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("later"),
-                      F.when(F.col("fa") < F.col("fb"), F.col("a")).otherwise(F.col("b")).alias("earlier")))
+    # an indexed line a, a line b that probes
+    longer = F.col("len_b") - F.col("len_a")
+    fits = ((longer >= 0) | F.col("own_b")) & (F.abs(longer) <= p.edits) & alike("w_a", "w_b")
+    light, heavy = met.where("not heavy"), met.where("heavy")
+    few = (side(light.where("own"), "a").join(side(light, "b"), "key")
+           .where(fits & (~F.col("own_b") | (F.col("a") < F.col("b"))) & (F.col("first_a") != F.col("first_b")))
+           .select(F.when(F.col("first_a") < F.col("first_b"), F.struct(*pair("b", "a")))
+                    .otherwise(F.struct(*pair("a", "b"))).alias("x")).select("x.later", "x.earlier"))
     if heavy.isEmpty():
-        return _near(few, lines, p, land).select(F.col("later").alias("no")).distinct()
-    probing = land(met.where("heavy").select("key", "less", "b", "wb").join(fb, "b"), "line-probing")
-    indexed = probing.where("less = -1").select("key", F.col("b").alias("a"), F.col("wb").alias("wa"),
-                                                F.col("fb").alias("fa"))
-    led_by = lambda rows, no, w, f: rows.groupBy("key").agg(
-        F.min(f).alias("f1"), F.min_by(no, f).alias("no1"), F.min_by(w, f).alias("w1"))
-    led = (probing.join(led_by(indexed, "a", "wa", "fa"), "key").where((F.col("f1") < F.col("fb")) & alike("w1", "wb"))
-                  .select(*pair("b", "no1"))
-           .union(indexed.join(led_by(probing, "b", "wb", "fb"), "key").where((F.col("f1") < F.col("fa")) & alike("w1", "wa"))
-                         .select(*pair("a", "no1"))))
-    done = land(_near(few.union(led), lines, p, land).select("later").distinct(), "line-done")
-    open_probes = probing.join(done.select(F.col("later").alias("b")), "b", "left_anti")
-    open_lines = indexed.join(done.select(F.col("later").alias("a")), "a", "left_anti")
-    rest = (indexed.join(open_probes, "key").where((F.col("fa") < F.col("fb")) & alike("wa", "wb")).select(*pair("b", "a"))
-            .union(open_lines.join(probing, "key").where((F.col("fb") < F.col("fa")) & alike("wa", "wb"))
-                             .select(*pair("a", "b"))))
-    return done.union(_near(rest, lines, p, land).select("later")).distinct().select(F.col("later").alias("no"))
+        return _near(few, texts, p).select(F.col("later").alias("no"))
+    lead = lambda rows: rows.groupBy("key").agg(F.min(F.struct("first", "no", "w")).alias("lead"))
+    led = lambda rows, leads: (
+        rows.join(leads, "key").where((F.col("lead.first") < F.col("first")) & alike("lead.w", "w"))
+            .select(F.col("no").alias("later"), F.col("lead.no").alias("earlier")))
+    indexed = heavy.where("own")
+    done = land(_near(few.union(led(heavy, lead(indexed))).union(led(indexed, lead(heavy))), texts, p), "line-done")
+    still = lambda rows: rows.join(done.select(F.col("later").alias("no")), "no", "left_anti")
+    rest = (side(indexed, "a").join(side(still(heavy), "b"), "key").where((F.col("first_a") < F.col("first_b")) & fits)
+                              .select(*pair("b", "a"))
+            .union(side(still(indexed), "a").join(side(heavy, "b"), "key")
+                   .where((F.col("first_b") < F.col("first_a")) & fits).select(*pair("a", "b"))))
+    return done.union(_near(rest, texts, p)).distinct().select(F.col("later").alias("no"))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -198,7 +194,7 @@ def repeated_lines(docs: DataFrame, params: Params = Params(), id_col: str = "do
     place = F.col("doc").cast("decimal(19,0)") * F.lit(1 << 31).cast("decimal(10,0)") + F.col("pos")
     lines = scratch.land(long.groupBy("line").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                              .select(F.monotonically_increasing_id().alias("no"), "line", F.length("line").alias("len"),
-                                     parities(F.col("line")).alias("w"), "first", "n"), "lines", {"compression": "zstd"})
+                                     "first", "n"), "lines", {"compression": "zstd"})
     near = later_lines(lines.where(F.col("len") >= p.min_chars), p, scratch.land)
     lid = [F.xxhash64("line").alias("lid"), F.hash("line").alias("lid2")]
     affected = land(lines.select("no", *lid, "first", "n").join(near.withColumn("near", F.lit(True)), "no", "left")

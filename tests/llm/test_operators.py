@@ -253,6 +253,42 @@ def test_line_dedup_of_large_groups(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("e", [1, 2, 3])
+def test_line_segments_at_class_edges(spark, e):
+    """Lines on both sides of the edges between classes of lengths: every near pair
+    shares a key, a line has few keys, and their number does not grow with ``edits``
+    squared; the texts fetched are those asked for."""
+    rnd = random.Random(e)
+    chars, lines = "abcdeé é1", set()
+    for n in (e + 1, 15, 16, 17, 63, 64, 66, 255, 256, 258):
+        base = [rnd.choice(chars) for _ in range(n)]
+        for _ in range(12):
+            x = list(base)
+            for _ in range(rnd.randrange(e + 1)):
+                at, what = rnd.randrange(len(x)), rnd.randrange(3)
+                x[at:at + (what > 0)] = [rnd.choice(chars)] if what < 2 else []
+            if len(x) > e:
+                lines.add("".join(x))
+    lines = sorted(lines)
+    p = line_dedup.Params(edits=e, min_chars=e + 1)
+    df = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(lines)], "no long, line string, len int").repartition(3)
+    rows = [tuple(r) for r in line_dedup.segment_rows(df, p).select("key", "no", "own").collect()]
+    held, probes = collections.defaultdict(set), collections.defaultdict(set)
+    for key, no, own in rows:
+        probes[key].add(no)
+        if own:
+            held[key].add(no)
+    met = {(a, b) for key, x in held.items() for a in x for b in probes[key]}
+    pairs = (df.alias("x").join(df.alias("y"), F.expr(f"x.no < y.no and levenshtein(x.line, y.line) <= {e}"))
+               .select("x.no", "y.no").collect())
+    assert len(pairs) > 50 and all((a, b) in met or (b, a) in met for a, b in pairs)
+    wide = collections.Counter(no for _, no, _ in rows if len(lines[no]) >= 20)
+    assert max(wide.values()) <= 2 * (1 + sum(min(i, e - i) + i + 1 for i in range(e)))
+    need = spark.createDataFrame([(i,) for i in range(0, len(lines), 3)], "no long")
+    got = line_dedup._texts(need, df.withColumn("first", F.col("no"))).collect()
+    assert sorted((r.no, r.line) for r in got) == [(i, lines[i]) for i in range(0, len(lines), 3)]
+
+
 def test_line_dedup_short_lines(spark, tmp_path):
     from quire.llm import queries
     long = "one line that is long enough to be near another"
