@@ -21,8 +21,9 @@ ones).
 4. In lists whose members now lie in several components, each member meets the
    next few of an order drawn by hash, twice, which joins most of what is alike.
 5. Lists still in several components are compared again, all members of
-   different components, dealt over salts. So no link between components is
-   lost, and a large group's pairs are not all formed.
+   different components, dealt over salts; what the parity sketches of two sets
+   rule out is not paired. So no link between components is lost, and a large
+   group's pairs are not all formed.
 
 Built-in functions only. Null texts are empty. Equal texts have equal
 fingerprints. Rows are identified by id and text, so null ids work, and rows
@@ -57,10 +58,12 @@ class Params:
     bins: int = 1 << 16           # counters of signatures' frequencies (by hash)
     deal: int = 256               # components (members in a first look) of a list that one salt compares
     tries: int = 8                # next members of a list that one meets in a first look
+    run: int = 64                 # members of a component that meet others together
 
 
 CHAIN = 3     # content words of a signature
 REACH = 3     # stretches between anchors a chain may run over
+SKETCH = 4    # longs of a set's sketch (a power of two)
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -184,31 +187,53 @@ def _neighbours(posts: DataFrame, comps: DataFrame, p: Params, turn: int) -> Dat
                .select(F.least("cls", "y.cls").alias("u"), F.greatest("cls", "y.cls").alias("v")))
 
 
-def _across(posts: DataFrame, comps: DataFrame, p: Params) -> DataFrame:
-    """Candidate pairs of classes in one list but in different components."""
+def _sketch(prints: Column) -> Column:
+    """``SKETCH`` longs whose bits hold the parity of how many signatures fall on
+    them: two sets differ in as many signatures as bits, at least."""
+    word = lambda i: F.aggregate(
+        F.filter(prints, lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(SKETCH - 1)) == i), F.lit(0).cast("long"),
+        lambda out, x: out.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)))))
+    return F.struct(*[word(i).alias(f"s{i}") for i in range(SKETCH)])
+
+
+def _across(posts: DataFrame, comps: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
+    """Candidate pairs of classes in one list but in different components. Members
+    of a component meet the others in runs of about ``p.run``, and only runs with a
+    pair that passes the bounds and whose sketches do not rule it out come out."""
     key = ["part", "sig"]
-    comp = F.coalesce("component", "cls")
     rows = (posts.join(comps.withColumnRenamed("node", "cls"), "cls", "left")
-                 .select(*key, "home", "cls", "n", (F.col("n") - F.col("pos")).alias("left"), comp.alias("comp")))
-    groups = rows.groupBy(*key, "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("left").alias("left"),
-                                            F.max("home").alias("home"))
-    lists = groups.groupBy(*key).agg(F.count(F.lit(1)).alias("m")).where("m > 1") \
-                  .withColumn("salts", F.ceil(F.col("m") / p.deal).cast("int"))
-    groups = groups.join(lists, key)
-    part = lambda x, salt: groups.select(*key, *[F.col(c).alias(f"{c}{x}") for c in ("comp", "lo", "hi", "left", "home")],
+                 .select(*key, "home", "cls", "n", (F.col("n") - F.col("pos")).alias("left"),
+                         F.coalesce("component", "cls").alias("comp")))
+    lists = (rows.groupBy(*key).agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+                 .where("low < high").select(*key, F.ceil(F.col("m") / p.run).cast("int").alias("runs")))
+    member = F.struct("cls", "home", "n", "left", "sketch")
+    groups = (rows.join(lists, key).join(classes.select("cls", _sketch(F.col("prints")).alias("sketch")), "cls")
+                  .groupBy(*key, "comp", F.pmod(F.xxhash64(F.lit(0), "cls"), "runs").alias("run"))
+                  .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("left").alias("left"), F.max("home").alias("home"),
+                       F.collect_list(member).alias("run_of")).drop("run"))
+    salts = groups.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / p.deal).cast("int").alias("salts"))
+    groups = groups.join(salts, key)
+    part = lambda x, salt: groups.select(*key, *[F.col(c).alias(f"{c}{x}") for c in ("comp", "lo", "hi", "left", "home", "run_of")],
                                          salt.alias("salt"))
-    one = part(1, F.pmod(F.xxhash64("comp"), F.col("salts")).cast("int"))
+    one = part(1, F.pmod(F.xxhash64("comp", "run_of"), F.col("salts")).cast("int"))
     two = part(2, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    # the bounds of the members, as far as the group tells
+    # the bounds of the members, as far as the run tells
     near = ((F.col("hi1").cast("long") * p.den >= F.col("lo2").cast("long") * p.num)
             & (F.col("hi2").cast("long") * p.den >= F.col("lo1").cast("long") * p.num)
             & (F.least("left1", "left2").cast("long") * (p.num + p.den) >= (F.col("lo1") + F.col("lo2")).cast("long") * p.num))
-    met = (one.join(two, [*key, "salt"]).where((F.col("comp1") < F.col("comp2")) & (F.col("home1") | F.col("home2")) & near)
-              .select(*key, "comp1", "comp2"))
-    side = lambda x: rows.select(*key, *[F.col(c).alias(f"{c}{x}") for c in ("comp", "cls", "home", "n", "left")])
-    return (met.join(side(1), [*key, "comp1"]).join(side(2), [*key, "comp2"])
-               .where((F.col("home1") | F.col("home2")) & _fits(F.col("n1"), F.col("left1"), F.col("n2"), F.col("left2"), p))
-               .select(F.least("cls1", "cls2").alias("u"), F.greatest("cls1", "cls2").alias("v")))
+
+    def may(x, y):
+        apart = sum((F.bit_count(x["sketch"][f"s{i}"].bitwiseXOR(y["sketch"][f"s{i}"])) for i in range(1, SKETCH)),
+                    F.bit_count(x["sketch"]["s0"].bitwiseXOR(y["sketch"]["s0"])))
+        return ((x["home"] | y["home"]) & _fits(x["n"], x["left"], y["n"], y["left"], p)
+                & (apart.cast("long") * (p.num + p.den) <= (x["n"] + y["n"]).cast("long") * (p.den - p.num)))
+
+    some = F.exists("run_of1", lambda x: F.exists("run_of2", lambda y: may(x, y)))
+    met = one.join(two, [*key, "salt"]).where((F.col("comp1") < F.col("comp2")) & (F.col("home1") | F.col("home2")) & near & some)
+    pairs = F.flatten(F.transform("run_of1", lambda x: F.transform(
+        F.filter("run_of2", lambda y: may(x, y)),
+        lambda y: F.struct(F.least(x["cls"], y["cls"]).alias("u"), F.greatest(x["cls"], y["cls"]).alias("v")))))
+    return met.select(F.explode(pairs).alias("x")).select("x.u", "x.v")
 
 
 def _near_classes(prints: DataFrame, p: Params) -> DataFrame:
@@ -229,7 +254,7 @@ def _near_classes(prints: DataFrame, p: Params) -> DataFrame:
                   .groupBy("v").agg(F.min("u").alias("u")).select("u", "v"))
     comps = connected_components(scratch.land(_alike(stars, classes, p), "spot-links"), scratch)
     for pairs in (lambda: _neighbours(posts, comps, p, 1), lambda: _neighbours(posts, comps, p, 2),
-                  lambda: _across(posts, comps, p)):
+                  lambda: _across(posts, comps, classes, p)):
         more = scratch.land(_alike(pairs(), classes, p), "spot-links")
         if not more.isEmpty():
             comps = connected_components(

@@ -371,6 +371,25 @@ def prose():
                   (None, "alone of all"), out[5], (12, footer), (13, (out[0][1] + "\n") * 200)]
 
 
+def test_across_components_of_a_large_list(spark):
+    """A list of variants that are not alike, some with a like one: every like pair
+    of different components comes out, and hardly any other."""
+    rnd = random.Random(5)
+    base = [rnd.randrange(-1 << 31, 1 << 31) for _ in range(60)]
+    vary = lambda x, k: x[k:] + [rnd.randrange(-1 << 31, 1 << 31) for _ in range(k)]
+    sets = [vary(rnd.sample(base, 60), 14) for _ in range(120)]
+    sets += [vary(x, 2) for x in sets[:20]]
+    like = {(a, b) for b in range(len(sets)) for a in range(b)
+            if 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})}
+    assert {(i, 120 + i) for i in range(20)} <= like and len(like) < 30
+    classes = spark.createDataFrame([(i, sorted(x)) for i, x in enumerate(sets)], "cls long, prints array<int>").repartition(3)
+    posts = classes.selectExpr("1 as part", "5 as sig", "true as home", "cls", "size(prints) as n", "0 as pos")
+    comps = spark.createDataFrame([(120, 0), (0, 0)], "node long, component long")
+    for p in (spotsigs.Params(), spotsigs.Params(run=2, deal=4)):
+        got = {(r.u, r.v) for r in spotsigs._across(posts, comps, classes, p).collect()}
+        assert like - {(0, 120)} <= got and (0, 120) not in got and len(got) < len(like) + 20
+
+
 def test_near_documents(spark, prose, empty):
     schema = "doc_id long, text string, prints string, cls int, part int, near_class string"
     df = spark.createDataFrame([(i, t, "p", 1, 2, "n") for i, t in prose], schema).repartition(4)
